@@ -62,12 +62,22 @@ def all_indexes(text, pattern) -> Column:
     return F.when(last >= 1, hits).otherwise(F.array().cast("array<int>"))
 
 
-def kmers(seq, k: int, drop_last: bool = False) -> Column:
-    """Array of all substrings of length ``k``."""
-    s = as_col(seq)
-    last = F.length(s) - k + (0 if drop_last else 1)
-    each = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substr(s, i, F.lit(k)))
-    return F.when(last >= 1, each).otherwise(F.array().cast("array<string>"))
+def kmers(seq, k: int) -> Column:
+    """Array of all substrings of length ``k``.
+
+    One regular-expression pass with a look-ahead; cutting each one out with
+    ``substring`` would walk the string from its start every time.
+    """
+    return F.regexp_extract_all(as_col(seq), F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
+
+
+def pieces(seq, size: int, overlap: int = 0) -> Column:
+    """Consecutive pieces of ``size`` characters, each with the ``overlap`` characters that follow."""
+    head = F.regexp_extract_all(as_col(seq), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    if not overlap:
+        return head
+    tail = F.regexp_extract_all(as_col(seq), F.lit(f"(?s).{{1,{size}}}(?=(.{{0,{overlap}}}))"), F.lit(1))
+    return F.zip_with(head, tail, lambda h, t: F.concat(h, t))
 
 
 def is_uncomplex(seq, max_k: int = 19) -> Column:

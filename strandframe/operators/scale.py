@@ -81,6 +81,24 @@ def running_sum(
     )
 
 
+def number_within(
+    df: DataFrame, key: Sequence[str], order: Sequence[Column], name: str = "n", hot: int = 1_000_000
+) -> DataFrame:
+    """``row_number`` per key that stays safe when a key is huge.
+
+    Keys with more than ``hot`` rows are numbered by range partitioning; the rest
+    by an ordinary window. Without such keys the plan is just the window.
+    """
+    window = Window.partitionBy(*key).orderBy(*order)
+    heavy = df.groupBy(*key).agg(F.count("*").alias("_c")).filter(F.col("_c") > hot).select(*key)
+    if heavy.isEmpty():
+        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+    heavy = maybe_broadcast(heavy)
+    usual = df.join(heavy, list(key), "left_anti").withColumn(name, F.row_number().over(window).cast("bigint"))
+    large = number_rows(df.join(heavy, list(key), "left_semi"), order, within=key, name=name)
+    return usual.select(*df.columns, name).unionByName(large.select(*df.columns, name))
+
+
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row per key as a partial aggregate (``min`` of a struct), no sort."""
     rest = [c for c in df.columns if c not in key]

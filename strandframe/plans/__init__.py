@@ -1,4 +1,4 @@
-from . import reads  # noqa: F401
+from . import alignments, contigs, pileup, reads  # noqa: F401
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY"]
