@@ -99,8 +99,17 @@ def number_within(
     return usual.select(*df.columns, name).unionByName(large.select(*df.columns, name))
 
 
+def concat_in_parts(
+    df: DataFrame, key: Sequence[str], order: Sequence[Column], value: str, sep: str, name: str, part_size: int = 10_000
+) -> DataFrame:
+    """Values of a key joined in order; after ``part_size`` values a further row (``part`` 1, 2, ...) goes on."""
+    numbered = number_within(df, key, order, name="_n").withColumn("part", F.floor((F.col("_n") - 1) / part_size).cast("int"))
+    packed = F.array_sort(F.collect_list(F.struct("_n", F.col(value).alias("v"))))
+    return numbered.groupBy(*key, "part").agg(F.array_join(F.transform(packed, lambda x: x["v"]), sep).alias(name))
+
+
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row per key as a partial aggregate (``min`` of a struct), no sort."""
     rest = [c for c in df.columns if c not in key]
-    packed = F.min(F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *rest)).alias("_row")
+    packed = F.min(F.struct(*[o.alias(f"__ord{i}") for i, o in enumerate(order)], *rest)).alias("_row")
     return df.groupBy(*key).agg(packed).select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
