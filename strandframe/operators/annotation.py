@@ -169,8 +169,8 @@ def consolidate_tags(tags: DataFrame, key: Sequence[str], order: Sequence[str])
 
 def notes_to_tags(features: DataFrame, keys: Sequence[str], note: str = "note") -> DataFrame:
     """``key: value; key: value`` notes -> rows (tag, value), trimmed and distinct."""
-    pair = F.split(F.explode(F.split(note, ";")), r"\s*:\s*")
-    rows = features.select(*keys, pair.alias("p"))
+    each = features.select(*keys, F.explode(F.split(note, ";")).alias("_x"))
+    rows = each.select(*keys, F.split("_x", r"\s*:\s*").alias("p"))
     rows = rows.select(*keys, F.trim(F.get("p", F.lit(0))).alias("tag"), F.trim(F.coalesce(F.get("p", F.lit(1)), F.lit(""))).alias("value"))
     return rows.filter((F.col("tag") != "") & (F.col("value") != "")).distinct()
 

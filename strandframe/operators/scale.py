@@ -108,6 +108,19 @@ def concat_in_parts(
     return numbered.groupBy(*key, "part").agg(F.array_join(F.transform(packed, lambda x: x["v"]), sep).alias(name))
 
 
+def carry_forward(df: DataFrame, group: Sequence[str], order: str, column: str, width: int = 1 << 14) -> DataFrame:
+    """The last non-null ``column`` at or before each row, in two levels as ``running_sum``."""
+    bucketed = df.withColumn("_bucket", F.floor(F.col(order) / F.lit(width)))
+    known = F.when(F.col(column).isNotNull(), F.col(order))
+    per = bucketed.groupBy(*group, "_bucket").agg(F.max_by(column, known).alias("_last"))
+    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*group, "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    inside = Window.partitionBy(*group, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = bucketed.join(per, [*group, "_bucket"])
+    filled = F.coalesce(F.last(column, ignorenulls=True).over(inside), F.col("_before"))
+    return joined.withColumn(column, filled).select(*df.columns)
+
+
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row per key as a partial aggregate (``min`` of a struct), no sort."""
     rest = [c for c in df.columns if c not in key]

@@ -79,15 +79,15 @@ rc AS (SELECT seqname, strand, stop, count(*) AS contributors, string_agg(DISTIN
 
 
 @query("A27_reconcile_predictions", f"""
-WITH {_REC} SELECT seqname, strand, stop, start, least(start, stop) AS lo, greatest(start, stop) AS hi, predictors, CAST(contributors AS BIGINT) AS contributors FROM rc WHERE contributors >= 12 AND start IS NOT NULL""")
+WITH {_REC} SELECT seqname, strand, stop, start, least(start, stop) AS lo, greatest(start, stop) AS hi, predictors, CAST(contributors AS BIGINT) AS contributors FROM rc WHERE contributors >= 3 AND start IS NOT NULL""")
 def a27(spark, sf):
-    return G.reconcile_predictions(fx(spark, sf, "predictions"), 12)[0]
+    return G.reconcile_predictions(fx(spark, sf, "predictions"), 3)[0]
 
 
 @query("A27_minority", f"""
-WITH {_REC} SELECT p.seqname, p.strand, p.stop, p.start, p.predictor FROM fx_predictions p JOIN rc USING (seqname, strand, stop) WHERE contributors < 12 OR rc.start IS NULL""")
+WITH {_REC} SELECT p.seqname, p.strand, p.stop, p.start, p.predictor FROM fx_predictions p JOIN rc USING (seqname, strand, stop) WHERE contributors < 3 OR rc.start IS NULL""")
 def a27m(spark, sf):
-    return G.reconcile_predictions(fx(spark, sf, "predictions"), 12)[1].select("seqname", "strand", "stop", "start", "predictor")
+    return G.reconcile_predictions(fx(spark, sf, "predictions"), 3)[1].select("seqname", "strand", "stop", "start", "predictor")
 
 
 _RNA = """rna AS (SELECT concat('chr', o_custkey % 10) AS seqname, CASE o_orderstatus WHEN 'O' THEN '+' ELSE '-' END AS strand, CASE o_orderstatus WHEN 'O' THEN (o_orderkey % 2000) * 3 + 900 ELSE (o_orderkey % 2000) * 3 + 1 END AS stop,
