@@ -28,6 +28,23 @@ def put(spark: SparkSession, df: DataFrame, text: str, label: str) -> str:
     return path
 
 
+def put_titled(spark: SparkSession, df: DataFrame, text: str, title: str, label: str) -> str:
+    """As ``put``, every part file beginning with ``title``."""
+    path = scratch_path(spark, label)
+    rows = df.select(F.spark_partition_id().alias("p"), F.lit(1).alias("k"), F.expr(text).alias("value"))
+    titles = rows.select("p").distinct().select("p", F.lit(0).alias("k"), F.lit(title).alias("value"))
+    rows.unionByName(titles).repartition("p").sortWithinPartitions("p", "k").select("value").write.text(path)
+    return path
+
+
+def put_xml(spark: SparkSession, df: DataFrame, text: str, schema: str, row_tag: str) -> str:
+    """Well-formed documents with one element per row."""
+    path = scratch_path(spark, "xml")
+    rows = df.select(F.from_xml(F.expr(text), schema).alias("x")).select("x.*")
+    rows.write.format("xml").option("rootTag", "set").option("rowTag", row_tag).save(path)
+    return path
+
+
 def place(spark: SparkSession, label: str) -> str:
     return scratch_path(spark, label)
 
@@ -154,7 +171,7 @@ def s11s(spark, sf):
     return T.read_side_table(spark, path, "tmhmm_location")
 
 
-@query("S12_vcf", "SELECT chrom, pos, ref, alt, qual, info, CAST(floor(qual) AS VARCHAR) AS dp, gt AS s1 FROM fx_variants")
+@query("S12_vcf", "SELECT chrom, pos, ref, alt, qual, info, CAST(CAST(floor(qual) AS INT) AS VARCHAR) AS dp, gt AS s1 FROM fx_variants")
 def s12(spark, sf):
     path = place(spark, "vcf")
     v = fx(spark, sf, "variants").withColumns({"id": F.lit("."), "filter": F.lit("."), "format": F.lit("GT"), "samples": F.array("gt", F.lit("0/0"))})
@@ -216,12 +233,12 @@ _UNIPROT = r"""concat('<entry dataset="Swiss-Prot">\n<accession>P', p_partkey, '
 SELECT concat('P', p_partkey) AS accession, concat('N', p_size) AS name, 'Swiss-Prot' AS dataset, p_name AS "proteinName", 'predicted' AS "proteinType", CASE WHEN p_size % 3 <> 0 THEN 'primary' END AS "geneType",
   CASE WHEN p_size % 3 <> 0 THEN concat('gen', p_size) END AS "geneName", CAST(p_size AS VARCHAR) AS "dbRefId" FROM part""")
 def s15(spark, sf):
-    return X.read_uniprot_xml(spark, put(spark, table(spark, sf, "part"), _UNIPROT, "xml"))[0]
+    return X.read_uniprot_xml(spark, put_xml(spark, table(spark, sf, "part"), _UNIPROT, X.PROTEIN_ENTRY, "entry"))[0]
 
 
 @query("S15_uniprot_refs", "SELECT concat('P', p_partkey) AS accession, concat('D', p_partkey) AS \"dbRefId\", 'PDB' AS \"dbRefType\", concat('V', p_size) AS \"dbRefName\" FROM part")
 def s15r(spark, sf):
-    return X.read_uniprot_xml(spark, put(spark, table(spark, sf, "part"), _UNIPROT, "xml"))[1]
+    return X.read_uniprot_xml(spark, put_xml(spark, table(spark, sf, "part"), _UNIPROT, X.PROTEIN_ENTRY, "entry"))[1]
 
 
 _INTERPRO = r"""concat('<protein id="g', p_partkey, '" length="', p_size + 100, '"><interpro id="I', p_size, '" name="', p_name, '" type="Domain">', if(p_size % 2 = 0, '<child_list><rel_ref ipr_ref="R1"/><rel_ref ipr_ref="R2"/></child_list>', ''),
@@ -233,22 +250,22 @@ _INTERPRO = r"""concat('<protein id="g', p_partkey, '" length="', p_size + 100,
 SELECT concat('g', p_partkey) AS protein_id, 'M1' AS match_id, 'm' AS match_name, 'PFAM' AS match_db_name, s AS start, CASE WHEN s = 1 THEN p_size ELSE 9 END AS "end", CASE WHEN s = 1 THEN '0.1' ELSE '0.2' END AS score, 'T' AS status, 'HMM' AS evidence
 FROM part, (VALUES (1), (5)) t(s)""")
 def s16(spark, sf):
-    return X.read_interpro_xml(spark, put(spark, table(spark, sf, "part"), _INTERPRO, "xml"))["matches"]
+    return X.read_interpro_xml(spark, put_xml(spark, table(spark, sf, "part"), _INTERPRO, X.DOMAIN_PROTEIN, "protein"))["matches"]
 
 
 @query("S16_interpro_hits", "SELECT concat('g', p_partkey) AS protein_id, p_size + 100 AS protein_length, concat('I', p_size) AS interpro_id, p_name AS interpro_name, 'Domain' AS interpro_type FROM part")
 def s16h(spark, sf):
-    return X.read_interpro_xml(spark, put(spark, table(spark, sf, "part"), _INTERPRO, "xml"))["hits"]
+    return X.read_interpro_xml(spark, put_xml(spark, table(spark, sf, "part"), _INTERPRO, X.DOMAIN_PROTEIN, "protein"))["hits"]
 
 
 @query("S16_interpro_children", "SELECT concat('g', p_partkey) AS protein_id, concat('I', p_size) AS interpro_id, r AS child_reference FROM part, (VALUES ('R1'), ('R2')) t(r) WHERE p_size % 2 = 0")
 def s16c(spark, sf):
-    return X.read_interpro_xml(spark, put(spark, table(spark, sf, "part"), _INTERPRO, "xml"))["children"]
+    return X.read_interpro_xml(spark, put_xml(spark, table(spark, sf, "part"), _INTERPRO, X.DOMAIN_PROTEIN, "protein"))["children"]
 
 
 @query("S16_interpro_classifications", "SELECT concat('g', p_partkey) AS protein_id, 'GO:1' AS id, 'GO' AS class_type, 'Function' AS category, 'binding' AS description FROM part WHERE p_size % 3 = 0")
 def s16k(spark, sf):
-    return X.read_interpro_xml(spark, put(spark, table(spark, sf, "part"), _INTERPRO, "xml"))["classifications"]
+    return X.read_interpro_xml(spark, put_xml(spark, table(spark, sf, "part"), _INTERPRO, X.DOMAIN_PROTEIN, "protein"))["classifications"]
 
 
 _DOMAINS = r"""concat('<interpro id="I', p_partkey, '" type="Family"><name>', p_name, '</name><abstract>about   ', p_type, '\n it</abstract>', if(p_size % 2 = 0, '<class_list><classification id="GO:7" class_type="GO"><category>C</category><description>d</description></classification><classification id="X" class_type="EC"><category>C</category><description>e</description></classification></class_list>', ''),
@@ -256,7 +273,7 @@ _DOMAINS = r"""concat('<interpro id="I', p_partkey, '" type="Family"><name>', p_
 
 
 def domains(spark, sf, part):
-    return X.read_interpro_entries(spark, put(spark, table(spark, sf, "part"), _DOMAINS, "xml"))[part]
+    return X.read_interpro_entries(spark, put_xml(spark, table(spark, sf, "part"), _DOMAINS, X.DOMAIN_ENTRY, "interpro"))[part]
 
 
 @query("S17_domains", "SELECT concat('I', p_partkey) AS id, p_name AS name, 'Family' AS type, concat('about ', p_type, ' it') AS abstract FROM part")
@@ -311,14 +328,8 @@ def s18p(spark, sf):
 SELECT concat('c', l_suppkey) AS seqname, l_partkey AS lo, l_partkey + 72 AS hi, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, CASE WHEN l_linestatus = 'O' THEN l_partkey ELSE l_partkey + 72 END AS start, 'Leu' AS trna_type, 'TTG' AS codon, l_tax AS score FROM lineitem""")
 def s19(spark, sf):
     text = r"""concat_ws('\t', concat('c', l_suppkey, ' '), '1', if(l_linestatus = 'O', concat(l_partkey, ' ', '\t', l_partkey + 72), concat(l_partkey + 72, '\t', l_partkey)), 'Leu', 'CAA', '0', '0', l_tax)"""
-    # Every part file of the fixture gets the three title lines.
-    path = place(spark, "trna")
-    rows = table(spark, sf, "lineitem").select(F.expr(text).alias("value"))
-    parts = rows.withColumn("p", F.spark_partition_id())
-    titles = parts.select("p").distinct().select("p", F.lit(0).alias("k"), F.lit("Sequence\ttRNA\nName\tnum\n----\t----").alias("value"))
-    both = parts.select("p", F.lit(1).alias("k"), "value").unionByName(titles)
-    both.repartition("p").sortWithinPartitions("k").select("value").write.partitionBy().text(path)
-    return RP.read_trna(spark, path).filter("seqname <> 'Name'").select("seqname", "lo", "hi", "strand", "start", "trna_type", "codon", "score")
+    path = put_titled(spark, table(spark, sf, "lineitem"), text, "Sequence\ttRNA\nName\tnum\n----\t----", "trna")
+    return RP.read_trna(spark, path).select("seqname", "lo", "hi", "strand", "start", "trna_type", "codon", "score")
 
 
 @query("S19_rrna", "SELECT concat('c', l_suppkey) AS seqname, l_partkey AS lo, l_partkey + 1500 AS hi, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, CASE WHEN l_linenumber = 1 THEN NULL ELSE '16S' END AS rrna_type FROM lineitem")
@@ -374,9 +385,8 @@ def s20l(spark, sf):
 @query("S21_keyed_csv", "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(p_size + 1 AS VARCHAR) AS size FROM part")
 def s21(spark, sf):
     # both rows of a key lie in one entry, so the later one follows the earlier one in its file
-    path = place(spark, "csv")
-    p = table(spark, sf, "part").select(F.expr(r"concat(p_partkey, ',old,0\n', p_partkey, ',', p_name, ',', p_size + 1)").alias("id,name,size"))
-    p.write.option("header", True).option("quote", "").option("escape", "").csv(path, sep="\t")
+    text = r"concat(p_partkey, ',old,0\n', p_partkey, ',', p_name, ',', p_size + 1)"
+    path = put_titled(spark, table(spark, sf, "part"), text, "id,name,size", "csv")
     return T.read_keyed_csv(spark, path, "id")
 
 
@@ -485,7 +495,7 @@ _MATES = """m AS (SELECT o_orderkey AS k, o_custkey AS p, o_orderstatus = 'O' AS
 
 @query("S29_soap_to_sam", f"""
 WITH {_MATES} SELECT concat('q', k) AS qname, CASE WHEN e = 1 THEN 1 + 2 + 64 + 32 ELSE 1 + 2 + 128 + 16 END AS flag, CASE WHEN e = 1 OR NOT far THEN c ELSE 'chrZ' END AS rname, CASE WHEN e = 1 THEN p + 1 ELSE p + 101 END AS pos, CASE WHEN e = 1 THEN 30 ELSE 0 END AS mapq,
- CASE WHEN NOT far THEN '=' WHEN e = 1 THEN 'chrZ' ELSE c END AS rnext, CASE WHEN e = 1 THEN p + 101 ELSE p + 1 END AS pnext, CASE WHEN far THEN 0 WHEN e = 1 THEN 110 ELSE -110 END AS tlen, CASE WHEN e = 1 THEN '3C6' ELSE '10' END AS md FROM m, (VALUES (1), (2)) t(e)""")
+ CASE WHEN NOT far THEN '=' WHEN e = 1 THEN 'chrZ' ELSE c END AS rnext, CASE WHEN e = 1 THEN p + 101 ELSE p + 1 END AS pnext, CAST(CASE WHEN far THEN 0 WHEN e = 1 THEN 110 ELSE -110 END AS BIGINT) AS tlen, CASE WHEN e = 1 THEN '3C6' ELSE '10' END AS md FROM m, (VALUES (1), (2)) t(e)""")
 def s29s(spark, sf):
     text = r"""concat('q', o_orderkey, '/1 ACGTACGTAC IIIIIIIIII 1 a 10 + chr', o_custkey % 10, ' ', o_custkey + 1, ' 1 C->3A30\nq', o_orderkey, '/2 ACGTACGTAC IIIIIIIIIIII 2 b 10 - ', if(o_orderstatus = 'O', 'chrZ', concat('chr', o_custkey % 10)), ' ', o_custkey + 101, ' 0')"""
     sam = K.soap_to_sam(spark, put(spark, table(spark, sf, "orders"), text, "soap"), paired=True)
@@ -494,7 +504,7 @@ def s29s(spark, sf):
 
 @query("S29_zoom_to_sam", f"""
 WITH {_MATES} SELECT concat('q', k) AS qname, CASE WHEN e = 1 THEN 1 + 64 + CASE WHEN far THEN 16 ELSE 0 END ELSE 1 + 128 + 16 - 16 + CASE WHEN far THEN 32 ELSE 0 END END AS flag, c AS rname, CASE WHEN e = 1 THEN p + 1 ELSE p + 201 END AS pos, '36M' AS cigar, '=' AS rnext,
- CASE WHEN e = 1 THEN 200 ELSE -200 END - CASE WHEN far THEN CASE WHEN e = 1 THEN 1 ELSE -1 END ELSE 0 END AS tlen FROM m, (VALUES (1), (2)) t(e)""")
+ CAST(CASE WHEN e = 1 THEN 200 ELSE -200 END - CASE WHEN far THEN CASE WHEN e = 1 THEN 1 ELSE -1 END ELSE 0 END AS BIGINT) AS tlen FROM m, (VALUES (1), (2)) t(e)""")
 def s29z(spark, sf):
     text = r"""concat('q', o_orderkey, '_F\tchr', o_custkey % 10, ' x:', o_custkey, '\t', if(o_orderstatus = 'O', '-', '+'), '\t1\nq', o_orderkey, '_R\tchr', o_custkey % 10, ' x:', o_custkey + 200, '\t-\t0')"""
     return K.zoom_to_sam(spark, put(spark, table(spark, sf, "orders"), text, "zoom"), 36).select("qname", "flag", "rname", "pos", "cigar", "rnext", "tlen")
@@ -509,7 +519,7 @@ def s29n(spark, sf):
     return sam.select("qname", "flag", "rname", "pos", "mapq", "cigar", "seq", F.substring(F.get("tag_text", F.lit(1)), 6, 50).alias("md"))
 
 
-_EXPORT = r"""concat_ws('\t', 'M', '1', o_orderkey, '2', '3', '4', 'ACG', '{r}', 'ACGTACGTAC', 'hhhhhhhhhh', if(o_orderstatus = 'P', 'NM', concat('chr', o_custkey % 10)), '', if(o_orderstatus = 'P', '', o_custkey + {at}), '{s}', if(o_orderstatus = 'P', '', '{d}'), '{se}', '{pe}', '', '', '', '', if(o_orderkey % 7 = 0, 'N', 'Y'))"""
+_EXPORT = r"""concat_ws('\t', 'M', '1', o_orderkey, '2', '3', '4', 'ACG', '{r}', 'ACGTACGTAC', 'hhhhhhhhhh', if(o_orderstatus = 'P', 'NM', concat('chr', o_custkey % 10)), '', if(o_orderstatus = 'P', '', string(o_custkey + {at})), '{s}', if(o_orderstatus = 'P', '', '{d}'), '{se}', '{pe}', '', '', '', '', if(o_orderkey % 7 = 0, 'N', 'Y'))"""
 
 
 def exports(spark, sf):
@@ -523,7 +533,7 @@ def exports(spark, sf):
 @query("S30_export_to_sam", """
 WITH m AS (SELECT o_orderkey AS k, o_custkey AS p, o_orderstatus <> 'P' AS has, concat('chr', o_custkey % 10) AS c FROM orders WHERE o_orderkey % 7 <> 0)
 SELECT concat('M_1:', k, ':2:3:4') AS qname, CASE WHEN e = 1 THEN 65 + CASE WHEN has THEN 2 + 32 ELSE 4 + 8 END ELSE 129 + CASE WHEN has THEN 16 ELSE 4 + 8 END END AS flag, CASE WHEN has THEN c ELSE '*' END AS rname, CASE WHEN NOT has THEN 0 WHEN e = 1 THEN p + 1 ELSE p + 101 END AS pos,
-  CASE WHEN NOT has THEN 0 WHEN e = 1 THEN 90 ELSE 70 END AS mapq, CASE WHEN NOT has THEN '*' WHEN e = 1 THEN '5M2D5M' ELSE '4M3I3M' END AS cigar, CASE WHEN has THEN '=' ELSE '*' END AS rnext, CASE WHEN NOT has THEN 0 WHEN e = 1 THEN 110 ELSE -110 END AS tlen,
+  CASE WHEN NOT has THEN 0 WHEN e = 1 THEN 90 ELSE 70 END AS mapq, CASE WHEN NOT has THEN '*' WHEN e = 1 THEN '5M2D5M' ELSE '4M3I3M' END AS cigar, CASE WHEN has THEN '=' ELSE '*' END AS rnext, CAST(CASE WHEN NOT has THEN 0 WHEN e = 1 THEN 110 ELSE -110 END AS BIGINT) AS tlen,
   CASE WHEN e = 1 THEN 'ACGTACGTAC' ELSE 'GTACGTACGT' END AS seq, repeat('I', 10) AS qual, concat('BC:Z:ACG', CASE WHEN has THEN CASE WHEN e = 1 THEN ' XD:Z:5^AC$5 SM:i:50 AS:i:90' ELSE ' XD:Z:4^3$2T SM:i:70 AS:i:0' END ELSE '' END) AS tags FROM m, (VALUES (1), (2)) t(e)""")
 def s30(spark, sf):
     a, b = exports(spark, sf)
@@ -548,9 +558,9 @@ def s31(spark, sf):
 @query("S34_sra_read_groups", "SELECT concat('SRR', p_partkey) AS run, 'strainA' AS sample, CASE WHEN p_size % 5 = 0 THEN NULL ELSE concat('lib', p_size % 50) END AS library FROM part")
 def s34(spark, sf):
     p = table(spark, sf, "part")
-    sample = put(spark, p.select("p_size").distinct(), "'<SAMPLE_SET><SAMPLE alias=\"strainA\" accession=\"SRS1\"></SAMPLE></SAMPLE_SET>'", "xml")
-    exp = put(spark, p.filter("p_size % 5 <> 0"), "concat('<EXPERIMENT accession=\"SRX', p_partkey, '\"><DESIGN><LIBRARY_DESCRIPTOR><LIBRARY_NAME> lib', p_size % 50, ' </LIBRARY_NAME></LIBRARY_DESCRIPTOR></DESIGN></EXPERIMENT>')", "xml")
-    run = put(spark, p, "concat('<RUN accession=\"SRR', p_partkey, '\"><EXPERIMENT_REF accession=\"SRX', p_partkey, '\"/><DATA_BLOCK><FILES><FILE filename=\"a\"/><FILE filename=\"b\"/></FILES></DATA_BLOCK></RUN>')", "xml")
+    sample = put_xml(spark, p.select("p_size").distinct(), "'<SAMPLE alias=\"strainA\" accession=\"SRS1\"></SAMPLE>'", X.SAMPLE, "SAMPLE")
+    exp = put_xml(spark, p.filter("p_size % 5 <> 0"), "concat('<EXPERIMENT accession=\"SRX', p_partkey, '\"><DESIGN><LIBRARY_DESCRIPTOR><LIBRARY_NAME> lib', p_size % 50, ' </LIBRARY_NAME></LIBRARY_DESCRIPTOR></DESIGN></EXPERIMENT>')", X.EXPERIMENT, "EXPERIMENT")
+    run = put_xml(spark, p, "concat('<RUN accession=\"SRR', p_partkey, '\"><EXPERIMENT_REF accession=\"SRX', p_partkey, '\"/><DATA_BLOCK><FILES><FILE filename=\"a\"/><FILE filename=\"b\"/></FILES></DATA_BLOCK></RUN>')", X.RUN, "RUN")
     return X.sra_read_groups(spark, sample, exp, run).select("run", "sample", "library")
 
 
@@ -558,5 +568,6 @@ def s34(spark, sf):
 SELECT concat('c', p_partkey) AS contig, CAST(1 + (p_size % 2 = 0)::INT AS BIGINT) AS n FROM part""")
 def s35(spark, sf):
     text = r"""concat('<A><RESTRICTION_MAP ID="m"><SEQUENCE_ANNOTATION IDENTIFIER="c', p_partkey, ' in silico" INSILICO="true"/></RESTRICTION_MAP>', if(p_size % 2 = 0, concat('<MAP_ALIGNMENT MAP1="optical" MAP2="c', p_partkey, ' in silico"/>'), ''), '</A>')"""
-    m = X.read_map_alignments(spark, put(spark, table(spark, sf, "part"), text, "xml"))
+    schema = f"RESTRICTION_MAP struct<{X.RESTRICTION_MAP}>, MAP_ALIGNMENT struct<{X.MAP_ALIGNMENT}>"
+    m = X.read_map_alignments(spark, put_xml(spark, table(spark, sf, "part"), text, schema, "A"))
     return m.groupBy("contig").agg(F.count("*").alias("n"))

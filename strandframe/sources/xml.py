@@ -87,15 +87,21 @@ def read_interpro_entries(spark: SparkSession, path) -> dict[str, DataFrame]:
     return {"domains": domains, "go": terms, "go_links": links, "publications": pubs}
 
 
+SAMPLE = "_alias string, _accession string"
+EXPERIMENT = "_accession string, DESIGN struct<LIBRARY_DESCRIPTOR: struct<LIBRARY_NAME: string>>"
+RUN = ("_accession string, EXPERIMENT_REF struct<_accession: string>, "
+       "DATA_BLOCK array<struct<FILES: struct<FILE: array<struct<_filename: string>>>>>")
+MAP_ALIGNMENT = "_MAP1 string, _MAP2 string"
+RESTRICTION_MAP = "SEQUENCE_ANNOTATION array<struct<_IDENTIFIER: string, _INSILICO: string>>"
+
+
 def sra_read_groups(spark: SparkSession, sample: str, experiment: str, run: str) -> DataFrame:
     """Read groups (run, sample, library) of one submission, with the files of each run."""
-    samples = _xml(spark, sample, "SAMPLE", "_alias string, _accession string")
+    samples = _xml(spark, sample, "SAMPLE", SAMPLE)
     alias = F.coalesce(samples.agg(F.max("_alias")).scalar(), F.lit("UNKNOWN"))
-    library = "DESIGN struct<LIBRARY_DESCRIPTOR: struct<LIBRARY_NAME: string>>"
-    experiments = _xml(spark, experiment, "EXPERIMENT", f"_accession string, {library}").select(
+    experiments = _xml(spark, experiment, "EXPERIMENT", EXPERIMENT).select(
         F.col("_accession").alias("experiment"), F.trim("DESIGN.LIBRARY_DESCRIPTOR.LIBRARY_NAME").alias("library"))
-    block = "DATA_BLOCK array<struct<FILES: struct<FILE: array<struct<_filename: string>>>>>"
-    runs = _xml(spark, run, "RUN", f"_accession string, EXPERIMENT_REF struct<_accession: string>, {block}")
+    runs = _xml(spark, run, "RUN", RUN)
     files = F.flatten(F.transform("DATA_BLOCK", lambda b: F.transform(b["FILES"]["FILE"], lambda f: f["_filename"])))
     rows = runs.select(F.col("_accession").alias("run"), F.col("EXPERIMENT_REF._accession").alias("experiment"), files.alias("files"))
     return rows.join(experiments, "experiment", "left").select("run", alias.alias("sample"), "library", "files")
@@ -110,9 +116,9 @@ def run_files(groups: DataFrame) -> DataFrame:
 
 def read_map_alignments(spark: SparkSession, path) -> DataFrame:
     """Mentions of contigs in restriction-map alignments, one row each (``contig``)."""
-    pairs = _xml(spark, path, "MAP_ALIGNMENT", "_MAP1 string, _MAP2 string")
+    pairs = _xml(spark, path, "MAP_ALIGNMENT", MAP_ALIGNMENT)
     silico = F.when(F.col("_MAP1").contains("in silico"), F.col("_MAP1")).when(F.col("_MAP2").contains("in silico"), F.col("_MAP2"))
-    maps = _xml(spark, path, "RESTRICTION_MAP", "SEQUENCE_ANNOTATION array<struct<_IDENTIFIER: string, _INSILICO: string>>")
+    maps = _xml(spark, path, "RESTRICTION_MAP", RESTRICTION_MAP)
     note = F.get("SEQUENCE_ANNOTATION", F.lit(0))
     placed = F.when(F.lower(note["_INSILICO"]).contains("false"), F.lit("0")).otherwise(note["_IDENTIFIER"])
     both = pairs.select(silico.alias("id")).unionByName(maps.select(placed.alias("id")))
