@@ -476,44 +476,36 @@ def calc_md(df: DataFrame, contigs: DataFrame) -> DataFrame:
     """
     from .pileup import reference_for
 
-    placed = reference_for(df, contigs)
-    blocks = cg.blocks("cigar")
-
-    def column(kind, q, r):
-        return F.struct(F.lit(kind).alias("k") if isinstance(kind, str) else kind.alias("k"), q.alias("q"), r.alias("r"))
-
-    def spread(b):
-        at = F.sequence(F.lit(0), b["len"] - 1)
-        return F.transform(at, lambda j: column(
-            b["op"],
-            F.when(b["op"] == "D", F.lit("")).otherwise(F.substr(F.col("seq"), b["qry"] + j + 1, F.lit(1))),
-            F.when(b["op"].isin("M", "D"), F.substr(F.col("refseq"), b["ref"] + j + 1, F.lit(1))).otherwise(F.lit(""))))
-
-    columns = F.flatten(F.transform(F.filter(blocks, lambda b: b["op"].isin("M", "D", "I", "S")), spread))
-    start = F.struct(F.lit("").alias("md"), F.lit(0).alias("u"), F.lit(0).alias("nm"), F.lit("").alias("prev"),
-                     F.lit(False).alias("done"), F.lit("").alias("masked"))
-
-    def step(acc, c):
-        out_of_range = c["k"].isin("M", "D") & (c["r"] == "")
-        done = acc["done"] | out_of_range
-        match = (c["k"] == "M") & (((F.upper(c["q"]) == F.upper(c["r"])) & (F.upper(c["q"]) != "N")) | (c["q"] == "="))
-        miss = ~done & (c["k"] == "M") & ~match
-        gap = ~done & (c["k"] == "D")
-        gap_text = F.when(acc["prev"] == "D", c["r"]).otherwise(F.concat(acc["u"].cast("string"), F.lit("^"), c["r"]))
-        return F.struct(
-            F.when(miss, F.concat(acc["md"], acc["u"].cast("string"), c["r"]))
-            .when(gap, F.concat(acc["md"], gap_text)).otherwise(acc["md"]).alias("md"),
-            F.when(miss | gap, F.lit(0)).when(~done & match, acc["u"] + 1).otherwise(acc["u"]).alias("u"),
-            (acc["nm"] + F.when(miss | gap | (~done & (c["k"] == "I")), 1).otherwise(0)).alias("nm"),
-            c["k"].alias("prev"),
-            done.alias("done"),
-            F.concat(acc["masked"], F.when(~done & match, F.lit("=")).otherwise(c["q"])).alias("masked"),
-        )
-
-    walked = placed.withColumn("_w", F.aggregate(columns, start, step))
-    return walked.select(
-        *df.columns, F.concat("_w.md", F.col("_w.u").cast("string")).alias("md"), F.col("_w.nm").alias("nm"),
-        F.col("_w.masked").alias("masked"))
+    placed = reference_for(df, contigs).withColumn("_b", cg.blocks("cigar"))
+
+    def query_text(b):
+        return F.when(b["op"] == "D", F.repeat(F.lit("-"), b["len"])).when(
+            b["op"].isin("M", "I", "S"), F.substr(F.col("seq"), b["qry"] + 1, b["len"])).otherwise(F.lit(""))
+
+    def reference_text(b):
+        there = F.rpad(F.substr(F.col("refseq"), b["ref"] + 1, b["len"]), b["len"], F.lit("~"))
+        return F.when(b["op"].isin("M", "D"), there).when(b["op"] == "I", F.repeat(F.lit("+"), b["len"])).when(
+            b["op"] == "S", F.repeat(F.lit("."), b["len"])).otherwise(F.lit(""))
+
+    def mark(q, r):
+        # '=' match, upper case mismatch, lower case deletion, '+' insertion, '.' clip, '~' past the contig
+        match = ((q == r) & (q != "N")) | (q == "=")
+        return F.when(r.isin("~", "+", "."), r).when(q == "-", F.lower(r)).when(match, F.lit("=")).otherwise(r)
+
+    lines = placed.withColumns({
+        "_q": F.array_join(F.transform("_b", query_text), ""),
+        "_r": F.upper(F.array_join(F.transform("_b", reference_text), ""))})
+    lines = lines.withColumn("_m", F.array_join(F.zip_with(
+        F.split(F.upper("_q"), ""), F.split("_r", ""), mark), ""))
+    inside = F.substring_index("_m", "~", 1)
+    plain = F.translate(inside, "+.", "")
+    # '^' opens a deletion, '0' stands wherever no match separates two marks
+    opened = F.regexp_replace(plain, "(?<![a-z])(?=[a-z])", "^")
+    spaced = F.regexp_replace(opened, "(?<=^|[A-Za-z])(?=[A-Z^]|$)", "0")
+    runs = F.regexp_extract_all(spaced, F.lit("=+|[^=]+"), F.lit(0))
+    md = F.upper(F.array_join(F.transform(runs, lambda x: F.when(x.startswith("="), F.length(x).cast("string")).otherwise(x)), ""))
+    masked = F.array_join(F.zip_with(F.split("_q", ""), F.split("_m", ""), lambda q, m: F.when(m == "=", m).when(q == "-", F.lit("")).otherwise(q)), "")
+    return lines.select(*df.columns, md.alias("md"), F.length(F.translate(inside, "=.", "")).alias("nm"), masked.alias("masked"))
 
 
 def alignment_accuracy(df: DataFrame, gap: int = 5) -> DataFrame:

@@ -5,8 +5,10 @@ Contigs are rows of (file, name, seq).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,17 +52,59 @@ def n50(contigs: DataFrame, by: Sequence[str] = ("file",), genome_length: int |
     return running.groupBy(*by).agg(F.coalesce(reached.cast("double"), F.lit(0.01)).alias("N50"))
 
 
+def _count_codes(by: Sequence[str], k: int):
+    """Arrow batches of pieces -> (keys, code, text, n): k-mers of A, C, G, T as integers of two bits a
+    base, any other k-mer as text, equal ones of a piece counted."""
+    table = np.full(256, 4, dtype=np.int64)
+    table[list(b"ACGT")] = range(4)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, codes, texts, counts = [], [], [], []
+            for i, piece in enumerate(batch.column("_piece").to_pylist()):
+                base = table[np.frombuffer(piece.encode("latin-1", "replace"), dtype=np.uint8)]
+                windows = len(base) - k + 1
+                if windows < 1:
+                    continue
+                value = np.zeros(windows, dtype=np.int64)
+                for j in range(k):
+                    value = (value << 2) | base[j : j + windows]
+                seen = np.concatenate(([0], np.cumsum(base == 4)))
+                odd = seen[k:] > seen[:windows]
+                code, n = np.unique(value[~odd], return_counts=True)
+                strange = [piece[j : j + k] for j in np.flatnonzero(odd)]
+                rows.append(np.full(len(code) + len(strange), i))
+                codes.append(pa.concat_arrays([pa.array(code), pa.nulls(len(strange), pa.int64())]))
+                texts.append(pa.concat_arrays([pa.nulls(len(code), pa.string()), pa.array(strange, pa.string())]))
+                counts.append(np.concatenate((n, np.ones(len(strange), dtype=np.int64))))
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).take(at) for c in by], pa.concat_arrays(codes), pa.concat_arrays(texts),
+                     pa.array(np.concatenate(counts))],
+                    names=[*by, "code", "text", "n"])
+
+    return run
+
+
 def kmer_counts(contigs: DataFrame, by: Sequence[str], k: int = 21, legacy_last: bool = False) -> DataFrame:
-    """How often each k-mer occurs per group. Long contigs are cut into overlapping pieces first."""
+    """How often each k-mer occurs per group (``code`` or ``text``, ``n``).
+
+    Long contigs are cut into overlapping pieces first. A k-mer of up to 31 bases
+    travels as one integer and is counted per piece before the shuffle.
+    """
     if legacy_last:
-        # the reference's loop stops one short of the last k-mer of each sequence
+        # the last k-mer of each sequence is left out
         source = contigs.withColumn("seq", F.expr("substring(seq, 1, greatest(length(seq) - 1, 0))"))
     else:
         source = contigs
     cut = source.select(*by, F.explode(dna.pieces("seq", PIECE, k - 1)).alias("_piece"))
-    return cut.select(*by, F.explode(dna.kmers("_piece", k)).alias("kmer")).groupBy(*by, "kmer").agg(
-        F.count("*").alias("n")
-    )
+    if k > 31:
+        each = cut.select(*by, F.lit(None).cast("bigint").alias("code"), F.explode(dna.kmers("_piece", k)).alias("text"))
+        return each.groupBy(*by, "code", "text").agg(F.count("*").alias("n"))
+    schema = ", ".join(f"`{c}` {cut.schema[c].dataType.simpleString()}" for c in by)
+    counted = cut.mapInArrow(_count_codes(by, k), f"{schema}, code bigint, text string, n bigint" if by else "code bigint, text string, n bigint")
+    return counted.groupBy(*by, "code", "text").agg(F.sum("n").alias("n"))
 
 
 def kmer_repeat_fraction(contigs: DataFrame, by: Sequence[str] = ("file",), k: int = 21,

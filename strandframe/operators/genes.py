@@ -20,8 +20,9 @@ def find_orfs(contigs: DataFrame, min_len: int = 90, truncated: bool = False, st
               with_seq: bool = False, keys: Sequence[str] = ("name",)) -> DataFrame:
     """Stop-to-stop reading frames in six frames that hold a start codon.
 
-    Each frame is one array of codons and its stops one array of indexes, so the
-    walk is array expressions within the row and nothing is shuffled.
+    A frame is cut at its stops by one regular expression, and the start codon of a
+    long enough segment found by another, so the walk stays within the row, costs a
+    few expression steps per segment, and nothing is shuffled.
     """
     n = F.length("seq")
     forms = F.array(*[F.struct(F.lit(s).alias("strand"), F.lit(f).alias("f")) for s in "+-" for f in (0, 1, 2)])
@@ -29,32 +30,30 @@ def find_orfs(contigs: DataFrame, min_len: int = 90, truncated: bool = False, st
     back = F.col("strand") == "-"
     shift = F.when(back, (n - F.col("f")) % 3).otherwise(F.col("f"))
     read = F.when(back, dna.reverse_complement("seq")).otherwise(F.col("seq"))
-    framed = framed.select(*keys, "strand", "f", n.alias("n"), shift.alias("shift"),
-                           *([F.col("seq").alias("_whole")] if with_seq else []),
-                           F.regexp_extract_all(F.substr(read, shift + 1, n), F.lit("..."), F.lit(0)).alias("c"))
-    size = F.size("c")
-    is_stop = lambda x: x.isin(*dna.STOP_CODONS)
-    ends = F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))),
-                    lambda i: is_stop(F.get("c", i)) | (i == size - 1))
-    ended = framed.filter(size > 0).withColumn("ends", ends)
-
-    def segment(b, i):
-        a = F.when(i == 0, F.lit(0)).otherwise(F.get("ends", i - 1) + 1)
-        return F.struct(a.alias("a"), b.alias("b"), is_stop(F.get("c", b)).alias("closed"))
-
-    segments = F.filter(F.transform("ends", segment), lambda s: ((s["b"] - s["a"] + 1) * 3 >= min_len) & (
-        s["closed"] | F.lit(truncated)))
-
-    def with_start(s):
-        part = F.slice(F.col("c"), s["a"] + 1, s["b"] - s["a"] + 1)
-        offset = (F.array_position(F.transform(part, lambda x: x.isin(*dna.START_CODONS)), True) - 1) * 3
-        extra = [F.array_join(part, "").alias("nt")] if with_seq else []
-        return F.struct(s["a"].alias("a"), s["b"].alias("b"), s["closed"].alias("closed"), offset.alias("offset"), *extra)
-
-    rows = ended.select(*keys, "strand", "f", "n", "shift", F.explode(F.transform(segments, with_start)).alias("s"))
-    length = (F.col("s.b") - F.col("s.a") + 1) * 3
-    rows = rows.filter((F.col("s.offset") >= 0) & (length - F.col("s.offset") >= min_len))
-    first = F.col("shift") + F.col("s.a") * 3  # 0-based on the strand that is read
+    stops, starts = "|".join(dna.STOP_CODONS), "|".join(dna.START_CODONS)
+    # up to a stop codon, or to the end of the sequence; possessive, so it does not recurse
+    segment = f"(?:(?!{stops})...)*+(?:...)?"
+    whole = F.substr(read, shift + 1, n - shift - F.pmod(n - shift, F.lit(3)))
+    framed = framed.select(*keys, "strand", "f", n.alias("n"), shift.alias("shift"), whole.alias("t"))
+    framed = framed.filter(F.length("t") > 0).withColumn("c", F.regexp_extract_all("t", F.lit(segment), F.lit(0))).drop("t")
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,txt:string>>").alias("kept"))
+
+    def collect(acc, x):
+        size = F.length(x)
+        ends = F.right(x, F.lit(3)).isin(*dna.STOP_CODONS) | F.lit(truncated)
+        here = F.array(F.struct(acc["at"].alias("at"), x.alias("txt")))
+        return F.struct((acc["at"] + size).alias("at"), F.when((size >= min_len) & ends, F.concat(acc["kept"], here)).otherwise(acc["kept"]).alias("kept"))
+
+    kept = F.aggregate("c", zero, collect, lambda acc: acc["kept"])
+    rows = framed.select(*keys, "strand", "f", "n", "shift", F.explode(kept).alias("o"))
+    skipped = F.length(F.regexp_extract("o.txt", f"^(?:(?!{starts})...)*+", 0))
+    rows = rows.select(*keys, "strand", "f", "n", "shift", F.struct(
+        F.col("o.at").alias("at"), F.right("o.txt", F.lit(3)).isin(*dna.STOP_CODONS).alias("closed"), skipped.alias("offset"),
+        F.length("o.txt").alias("len"), *([F.col("o.txt").alias("nt")] if with_seq else [])).alias("s"))
+    length = F.col("s.len")
+    rows = rows.filter((F.col("s.offset") < length) & (length - F.col("s.offset") >= min_len))
+    first = F.col("shift") + F.col("s.at")  # 0-based on the strand that is read
     after = first + length
     back = F.col("strand") == "-"
     ustop = F.when(back, F.col("n") - first).otherwise(first + 1)
@@ -63,7 +62,7 @@ def find_orfs(contigs: DataFrame, min_len: int = 90, truncated: bool = False, st
     out = rows.select(
         *keys, F.concat(F.col("f").cast("string"), F.when(back, F.lit("R")).otherwise(F.lit(""))).alias("frame"), "strand",
         ustop.cast("bigint").alias("ustop"), start.cast("bigint").alias("start"), stop.cast("bigint").alias("stop"),
-        length.cast("bigint").alias("length"), (F.col("s.a") == 0).alias("truncated_upstream"),
+        length.cast("bigint").alias("length"), (F.col("s.at") == 0).alias("truncated_upstream"),
         (~F.col("s.closed")).alias("truncated_downstream"),
         *([F.when(F.lit(start2stop), F.substr("s.nt", (F.col("s.offset") + 1).cast("int"), F.length("s.nt"))).otherwise(
             F.col("s.nt")).alias("seq")] if with_seq else []),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as cg
 from ..functions import dna
-from .scale import number_within
+from .scale import number_rows
 
 # Ambiguity codes of two bases.
 AMBIGUITY = {
@@ -44,33 +44,31 @@ def read_bases(df: DataFrame, keep: Sequence[str] = (), mask: int = cg.PILEUP_MA
     (length after this base, negative for a deletion), ins (inserted text), head, tail.
     """
     kept = df.filter(cg.lacks("flag", mask) & (F.col("mapq") >= min_mapq))
-    b = cg.blocks("cigar")
-    aligned = F.filter(b, lambda x: x["op"].isin("M", "D"))
-    kept = kept.withColumns({"_b": b, "_a": aligned, "_end": F.col("pos") + cg.reference_span("cigar") - 1})
-    block = kept.select("rname", "pos", "mapq", "flag", "seq", "qual", "_end", *keep, F.posexplode("_b").alias("_i", "_x"),
-                        F.col("_b").alias("_all"))
-    nxt = F.get("_all", F.col("_i") + 1)
-    after = F.when(nxt["op"] == "I", nxt["len"]).when(nxt["op"] == "D", -nxt["len"]).otherwise(F.lit(0))
-    ins = F.when(nxt["op"] == "I", F.substr("seq", nxt["qry"] + 1, nxt["len"])).otherwise(F.lit(""))
-    block = block.filter(F.col("_x.op").isin("M", "D")).withColumns({"_after": F.coalesce(after, F.lit(0)), "_ins": F.coalesce(ins, F.lit(""))})
-    each = block.select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("_x.len") - 1)).alias("_j"))
-    at = F.col("pos") + F.col("_x.ref") + F.col("_j")
-    deleted = F.col("_x.op") == "D"
-    q_at = F.col("_x.qry") + F.when(deleted, F.lit(0)).otherwise(F.col("_j"))
-    last = F.col("_j") == F.col("_x.len") - 1
+    kept = kept.withColumns({"_b": cg.blocks("cigar"), "_end": F.col("pos") + cg.reference_span("cigar") - 1})
+
+    def block(x, i):
+        nxt = F.get(F.col("_b"), i + 1)
+        after = F.when(nxt["op"] == "I", nxt["len"]).when(nxt["op"] == "D", -nxt["len"])
+        after = F.when(x["op"] == "M", F.coalesce(after, F.lit(0))).otherwise(0)
+        # a deleted base shows the quality of the base that follows
+        return F.struct(
+            x["op"].alias("op"), (F.col("pos") + x["ref"]).cast("bigint").alias("at"), x["len"].alias("len"), after.alias("after"),
+            F.when(after > 0, F.substr("seq", nxt["qry"] + 1, nxt["len"])).otherwise(F.lit("")).alias("ins"),
+            F.when(x["op"] == "M", F.upper(F.substr("seq", x["qry"] + 1, x["len"]))).alias("s"),
+            F.when(x["op"] == "M", F.substr("qual", x["qry"] + 1, x["len"])).otherwise(F.substr("qual", x["qry"] + 1, F.lit(1))).alias("q"))
+
+    # the texts of a block travel with it; the whole read stays behind
+    blocks = F.filter(F.transform("_b", block), lambda x: x["op"].isin("M", "D"))
+    rows = kept.select("rname", "pos", "mapq", cg.has("flag", cg.REVERSE).alias("back"), "_end", *keep, F.explode(blocks).alias("x"))
+    each = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("x.len") - 1)).alias("_j"))
+    deleted = F.col("x.op") == "D"
+    at = F.col("x.at") + F.col("_j")
+    last = F.col("_j") == F.col("x.len") - 1
     return each.select(
-        "rname",
-        at.cast("bigint").alias("site"),
-        F.when(deleted, F.lit("*")).otherwise(F.upper(F.substr("seq", q_at + 1, F.lit(1)))).alias("base"),
-        (F.ascii(F.substr("qual", q_at + 1, F.lit(1))) - 33).alias("q"),
-        "mapq",
-        cg.has("flag", cg.REVERSE).alias("back"),
-        F.when(last & ~deleted, F.col("_after")).otherwise(F.lit(0)).alias("indel"),
-        F.when(last & ~deleted, F.col("_ins")).otherwise(F.lit("")).alias("ins"),
-        (at == F.col("pos")).alias("head"),
-        (at == F.col("_end")).alias("tail"),
-        *[F.col(c) for c in keep],
+        "rname", at.alias("site"), F.when(deleted, F.lit("*")).otherwise(F.substr("x.s", F.col("_j") + 1, F.lit(1))).alias("base"),
+        (F.ascii(F.when(deleted, F.col("x.q")).otherwise(F.substr("x.q", F.col("_j") + 1, F.lit(1)))) - 33).alias("q"),
+        "mapq", "back", F.when(last, F.col("x.after")).otherwise(0).alias("indel"), F.when(last, F.col("x.ins")).otherwise(F.lit("")).alias("ins"),
+        (at == F.col("pos")).alias("head"), (at == F.col("_end")).alias("tail"), *[F.col(c) for c in keep],
     ).withColumnRenamed("site", "pos")
 
 
@@ -118,22 +116,35 @@ def pileup(df: DataFrame, order: Sequence[str], contigs: DataFrame | None = None
     start = F.when(F.col("head"), F.concat(F.lit("^"), F.char(F.least(F.col("mapq") + 33, F.lit(126))))).otherwise(F.lit(""))
     text = F.concat(start, shown, F.when(F.col("base") != "*", changed).otherwise(F.lit("")),
                     F.when(F.col("tail"), F.lit("$")).otherwise(F.lit("")))
+    shown_order = [c for c in order if c not in ("rname", "pos")]
     lines = each.select(
         *by, "rname", "pos", F.upper(ref).alias("ref"), text.alias("t"),
         F.char(F.least(F.col("q") + 33, F.lit(126))).alias("qc"), F.char(F.least(F.col("mapq") + 33, F.lit(126))).alias("mc"),
-        F.col("_start"), *[F.col(c) for c in order if c not in ("rname", "pos")],
-    )
-    ordering = [F.col("_start"), *[F.col(c) for c in order if c not in ("rname", "pos")], F.col("t")]
+        F.col("_start"), *[F.col(c) for c in shown_order])
+    ranks = ["_start", *[c for c in shown_order if c not in by], "t", "qc", "mc"]
     keys = [*by, "rname", "pos"]
-    numbered = number_within(lines, keys, ordering, name="_n").withColumn("part", F.floor((F.col("_n") - 1) / part_size).cast("int"))
-    packed = F.array_sort(F.collect_list(F.struct("_n", "t", "qc", "mc"))).alias("p")
-    grouped = numbered.groupBy(*keys, "part").agg(F.max("ref").alias("ref"), F.count("*").alias("depth"), packed)
 
-    def text_of(f):
-        return F.array_join(F.transform("p", lambda x: x[f]), "")
+    def finish(rows: DataFrame, extra: list[str]) -> DataFrame:
+        packed = F.array_sort(F.collect_list(F.struct(*ranks))).alias("p")
+        grouped = rows.groupBy(*keys, *extra).agg(F.max("ref").alias("ref"), F.count("*").alias("depth"), packed)
+
+        def text_of(f):
+            return F.array_join(F.transform("p", lambda x: x[f]), "")
 
-    return grouped.select(*keys, "part", "ref", "depth", text_of("t").alias("bases"), text_of("qc").alias("quals"),
-                          text_of("mc").alias("mapqs"))
+        part = F.col("part") if extra else F.lit(0).alias("part")
+        return grouped.select(*keys, part, "ref", "depth", text_of("t").alias("bases"), text_of("qc").alias("quals"), text_of("mc").alias("mapqs"))
+
+    from .alignments import depth_runs
+
+    # The sweep over block ends finds deep sites without looking at bases.
+    deep = depth_runs(df, mask, min_mapq).filter(F.col("depth") > part_size)
+    if deep.isEmpty():
+        return finish(lines, [])
+    deep = deep.select("rname", F.explode(F.sequence("beg", "end")).alias("pos"))
+    usual = finish(lines.join(deep, ["rname", "pos"], "left_anti"), [])
+    numbered = number_rows(lines.join(deep, ["rname", "pos"], "left_semi"), [F.col(c) for c in ranks], within=keys, name="_n")
+    parts = numbered.withColumn("part", F.floor((F.col("_n") - 1) / part_size).cast("int"))
+    return usual.unionByName(finish(parts, ["part"]))
 
 
 def mpileup(df: DataFrame, sample: str, samples: Sequence[str], order: Sequence[str], **options) -> DataFrame:
@@ -172,11 +183,11 @@ def call_genotypes(bases: DataFrame) -> DataFrame:
     quality) first leaves at most a few hundred rows per site; the damping of a run
     of equal qualities is a geometric sum.
     """
-    usable = bases.filter(F.col("base").isin("A", "C", "G", "T"))
-    capped = F.least(F.col("q"), F.col("mapq"))
-    counts = usable.groupBy("rname", "pos", "base", "back", capped.alias("cq"), (F.col("q") != 0).alias("nz")).agg(
-        F.count("*").alias("c"))
-    counts = counts.filter((F.col("cq") > 0) | F.col("nz"))
+    capped, square = F.least(F.col("q"), F.col("mapq")), F.least(F.col("mapq"), F.lit(CAP_MAPQ)).cast("bigint")
+    every = bases.filter(F.col("base") != "*").groupBy("rname", "pos", "base", "back", capped.alias("cq"), (F.col("q") != 0).alias("nz")).agg(
+        F.count("*").alias("all"), F.sum(square * square).alias("sq"))
+    usable = F.col("base").isin("A", "C", "G", "T") & ((F.col("cq") > 0) | F.col("nz"))
+    counts = every.withColumn("c", F.when(usable, F.col("all")).otherwise(0))
     counts = counts.withColumn("eq", F.when((F.col("cq") < 4) & F.col("nz"), F.lit(4)).otherwise(F.col("cq")))
     w = Window.partitionBy("rname", "pos", "base", "back").orderBy(F.col("cq").desc(), F.col("nz").desc())
     before = F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("c")
@@ -188,7 +199,8 @@ def call_genotypes(bases: DataFrame) -> DataFrame:
     per_site = weighted.groupBy("rname", "pos").agg(
         *[F.sum(F.when(F.col("base") == b, F.col("e")).otherwise(0.0)).alias(f"e_{b}") for b in "ACGT"],
         *[F.sum(F.when(F.col("base") == b, F.col("c")).otherwise(0)).alias(f"c_{b}") for b in "ACGT"],
-    )
+        F.sum("all").alias("depth"), F.floor(F.sqrt(F.sum("sq") / F.sum("all")) + 0.499).cast("int").alias("rms_mapq"),
+    ).filter("c_A + c_C + c_G + c_T > 0")
     total = sum((F.col(f"c_{b}") for b in "CGT"), F.col("c_A"))
     scaled = per_site.withColumn("_n", total)
     scaled = scaled.withColumns(
@@ -208,12 +220,10 @@ def call_genotypes(bases: DataFrame) -> DataFrame:
             F.lit(i).alias("i"), F.lit(AMBIGUITY[g]).alias("g"))
         for i, (g, c) in enumerate(costs.items())]))
     ranked = scaled.withColumn("_o", options)
-    mapq = site_counts(bases.filter(F.col("base") != "*")).select("rname", "pos", "rms_mapq", "depth")
-    called = ranked.select(
-        "rname", "pos", F.col("_o")[0]["g"].alias("consensus"), F.col("_o")[1]["g"].alias("second"),
+    return ranked.select(
+        "rname", "pos", "depth", "rms_mapq", F.col("_o")[0]["g"].alias("consensus"), F.col("_o")[1]["g"].alias("second"),
         F.least(F.col("_o")[1]["v"] - F.col("_o")[0]["v"], F.lit(255)).cast("int").alias("quality"),
         F.least(F.col("_o")[2]["v"] - F.col("_o")[1]["v"], F.lit(255)).cast("int").alias("second_quality"))
-    return called.join(mapq, ["rname", "pos"])
 
 
 def snp_quality(consensus: Column, second: Column, ref: Column, quality: Column, second_quality: Column) -> Column:

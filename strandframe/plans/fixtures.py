@@ -103,9 +103,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than the cluster has slots is dealt out first.
+
+    A small table is one row group in one file, so all that is computed from it
+    would run in one task; a large one has enough splits and is left alone.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view ``fx_<name>`` as a DataFrame, its base table bound by name."""
     text = FX[f"fx_{name}"]
     base = next(t for t in TABLES if f"FROM {t}" in text)
     bound = text.replace("{", "{{").replace("}", "}}").replace(f"FROM {base}", f"FROM {{{base}}}")
-    return spark.sql(bound, **{base: table(spark, sf_dir, base)})
+    return spark.sql(bound, **{base: spread(table(spark, sf_dir, base))})

@@ -9,7 +9,7 @@ from .alignments import BLK, MASK, REFS, al, references
 from .fixtures import fx
 from .registry import query
 
-ORDER = ["qname", "flag", "mapq", "cigar", "seq", "qual"]
+ORDER = ["qname", "flag"]
 
 BASES = f"""
 {BLK}, ba AS (SELECT f.qname, f.rname, CAST(f.pos + ro AS BIGINT) AS pos, f.pos AS st, CASE WHEN op = 'D' THEN '*' ELSE substr(f.seq, qo + 1, 1) END AS base,
@@ -35,7 +35,7 @@ tx AS (SELECT *, concat(CASE WHEN head THEN concat('^', chr(least(mapq + 33, 126
    CASE WHEN base = '*' THEN '*' WHEN base = rb THEN CASE WHEN back THEN ',' ELSE '.' END WHEN back THEN lower(base) ELSE base END,
    CASE WHEN indel > 0 THEN concat('+', indel, CASE WHEN back THEN lower(ins) ELSE ins END) WHEN indel < 0 THEN concat(indel, CASE WHEN back THEN lower(lost) ELSE lost END) ELSE '' END,
    CASE WHEN tail THEN '$' ELSE '' END) AS t, chr(least(q + 33, 126)) AS qc, chr(least(mapq + 33, 126)) AS mc FROM rf)"""
-_ORD = "st, qname, flag, mapq, cigar, seq, qual, t"
+_ORD = "st, qname, flag, t, qc, mc"
 
 
 @query("A21_pileup", f"""
@@ -47,7 +47,7 @@ def a21(spark, sf):
 
 @query("J12_pileup_sites", f"""
 WITH {BASES}, s AS (SELECT DISTINCT concat('chr', s_suppkey % 10) AS rname, s_suppkey * 7 AS pos FROM supplier)
-SELECT ba.rname, ba.pos, count(*) AS depth, string_agg(chr(least(q + 33, 126)), '' ORDER BY st, qname, flag, mapq, cigar, seq, qual) AS quals FROM ba JOIN s USING (rname, pos) GROUP BY ba.rname, ba.pos""")
+SELECT ba.rname, ba.pos, count(*) AS depth, string_agg(chr(least(q + 33, 126)), '' ORDER BY st, qname, flag, base, indel, q, mapq) AS quals FROM ba JOIN s USING (rname, pos) GROUP BY ba.rname, ba.pos""")
 def j12(spark, sf):
     s = spark.read.parquet(f"{sf}/supplier.parquet").select(
         F.concat(F.lit("chr"), F.col("s_suppkey") % 10).alias("rname"), (F.col("s_suppkey") * 7).alias("pos"))
