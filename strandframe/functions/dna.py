@@ -11,6 +11,8 @@ from .common import as_col, chars
 # per codon with the third base changing fastest.
 BASES = "TCAG"
 GENETIC_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+# Every base code and its complement, in both cases.
+AMBIGUOUS_COMPLEMENT = ("ACGTRYMKWSNacgtrymkwsn", "TGCAYRKMWSNtgcayrkmwsn")
 START_CODONS = ("ATG", "GTG")
 STOP_CODONS = ("TAA", "TAG", "TGA")
 

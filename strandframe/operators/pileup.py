@@ -44,32 +44,35 @@ def read_bases(df: DataFrame, keep: Sequence[str] = (), mask: int = cg.PILEUP_MA
     (length after this base, negative for a deletion), ins (inserted text), head, tail.
     """
     kept = df.filter(cg.lacks("flag", mask) & (F.col("mapq") >= min_mapq))
-    kept = kept.withColumns({"_b": cg.blocks("cigar"), "_end": F.col("pos") + cg.reference_span("cigar") - 1})
+    kept = kept.withColumn("_b", cg.blocks("cigar"))
+    walls = ("M", "N", "S", "H")
 
     def block(x, i):
-        nxt = F.get(F.col("_b"), i + 1)
+        behind = F.filter(F.slice("_b", F.lit(1), i), lambda y: y["op"].isin(*walls))
+        ahead = F.filter(F.slice("_b", i + 2, F.size("_b")), lambda y: y["op"].isin(*walls))
+        goes_on = F.coalesce(F.get(ahead, F.lit(0))["op"] == "M", F.lit(False))
+        nxt = F.get(F.col("_b"), F.when(F.get("_b", i + 1)["op"] == "P", i + 2).otherwise(i + 1))
         after = F.when(nxt["op"] == "I", nxt["len"]).when(nxt["op"] == "D", -nxt["len"])
-        after = F.when(x["op"] == "M", F.coalesce(after, F.lit(0))).otherwise(0)
-        # a deleted base shows the quality of the base that follows
+        after = F.when((x["op"] == "M") & goes_on, F.coalesce(after, F.lit(0))).otherwise(0)
         return F.struct(
             x["op"].alias("op"), (F.col("pos") + x["ref"]).cast("bigint").alias("at"), x["len"].alias("len"), after.alias("after"),
             F.when(after > 0, F.substr("seq", nxt["qry"] + 1, nxt["len"])).otherwise(F.lit("")).alias("ins"),
             F.when(x["op"] == "M", F.upper(F.substr("seq", x["qry"] + 1, x["len"]))).alias("s"),
-            F.when(x["op"] == "M", F.substr("qual", x["qry"] + 1, x["len"])).otherwise(F.substr("qual", x["qry"] + 1, F.lit(1))).alias("q"))
+            F.rpad(F.substr("qual", x["qry"] + 1, x["len"]), x["len"], F.lit("!")).alias("q"),
+            ((x["op"] == "M") & F.coalesce(F.try_element_at(behind, F.lit(-1))["op"] != "M", F.lit(True))).alias("opens"),
+            ((x["op"] == "M") & ~goes_on).alias("closes"))
 
     # the texts of a block travel with it; the whole read stays behind
     blocks = F.filter(F.transform("_b", block), lambda x: x["op"].isin("M", "D"))
-    rows = kept.select("rname", "pos", "mapq", cg.has("flag", cg.REVERSE).alias("back"), "_end", *keep, F.explode(blocks).alias("x"))
+    rows = kept.select("rname", "mapq", cg.has("flag", cg.REVERSE).alias("back"), *keep, F.explode(blocks).alias("x"))
     each = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("x.len") - 1)).alias("_j"))
-    deleted = F.col("x.op") == "D"
-    at = F.col("x.at") + F.col("_j")
     last = F.col("_j") == F.col("x.len") - 1
     return each.select(
-        "rname", at.alias("site"), F.when(deleted, F.lit("*")).otherwise(F.substr("x.s", F.col("_j") + 1, F.lit(1))).alias("base"),
-        (F.ascii(F.when(deleted, F.col("x.q")).otherwise(F.substr("x.q", F.col("_j") + 1, F.lit(1)))) - 33).alias("q"),
+        "rname", (F.col("x.at") + F.col("_j")).alias("pos"),
+        F.when(F.col("x.op") == "D", F.lit("*")).otherwise(F.substr("x.s", F.col("_j") + 1, F.lit(1))).alias("base"),
+        (F.ascii(F.substr("x.q", F.col("_j") + 1, F.lit(1))) - 33).alias("q"),
         "mapq", "back", F.when(last, F.col("x.after")).otherwise(0).alias("indel"), F.when(last, F.col("x.ins")).otherwise(F.lit("")).alias("ins"),
-        (at == F.col("pos")).alias("head"), (at == F.col("_end")).alias("tail"), *[F.col(c) for c in keep],
-    ).withColumnRenamed("site", "pos")
+        (F.col("x.opens") & (F.col("_j") == 0)).alias("head"), (F.col("x.closes") & last).alias("tail"), *[F.col(c) for c in keep])
 
 
 def site_counts(bases: DataFrame, by: Sequence[str] = ("rname", "pos")) -> DataFrame:

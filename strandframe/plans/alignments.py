@@ -18,12 +18,13 @@ cg AS (SELECT DISTINCT cigar, regexp_extract_all(cigar, '(\\d+)([MIDNSHP])', 1)
 blk AS (SELECT cigar, i, CAST(lens[i] AS INT) AS len, ops[i] AS op,
   coalesce(list_sum(list_transform(range(1, i), lambda j: CASE WHEN ops[j] IN ('M','D','N') THEN CAST(lens[j] AS INT) ELSE 0 END)), 0) AS ref,
   coalesce(list_sum(list_transform(range(1, i), lambda j: CASE WHEN ops[j] IN ('M','I','S') THEN CAST(lens[j] AS INT) ELSE 0 END)), 0) AS qry,
+  ops[i + 1] AS nop, ops[i - 1] AS pop,
   coalesce(CASE ops[i + 1] WHEN 'I' THEN CAST(lens[i + 1] AS INT) WHEN 'D' THEN -CAST(lens[i + 1] AS INT) END, 0) AS nxt
   FROM cg, range(1, 20) t(i) WHERE i <= len(ops)),
 tot AS (SELECT cigar, CAST(sum(CASE WHEN op IN ('M','D','N') THEN len ELSE 0 END) AS INT) AS span, CAST(sum(CASE WHEN op IN ('M','I') THEN len ELSE 0 END) AS INT) AS mi,
                CAST(sum(CASE WHEN op IN ('M','I','S') THEN len ELSE 0 END) AS INT) AS mis, CAST(sum(CASE WHEN op IN ('M','D') THEN len ELSE 0 END) AS INT) AS md,
                string_agg(repeat(op, CAST(len AS INT)), '' ORDER BY i) AS expanded FROM blk GROUP BY cigar),
-pb AS (SELECT cigar, op, ref + j AS ro, CAST(qry + CASE WHEN op = 'M' THEN j ELSE 0 END AS INT) AS qo, j = len - 1 AS last, nxt, CAST(qry + len AS INT) AS nq
+pb AS (SELECT cigar, op, ref + j AS ro, CAST(qry + j AS INT) AS qo, j = len - 1 AS last, op = 'M' AND j = 0 AND coalesce(pop, 'S') IN ('N','S','H') AS head, op = 'M' AND j = len - 1 AND coalesce(nop, 'S') IN ('N','S','H') AS tail, nxt, CAST(qry + len AS INT) AS nq
        FROM blk, range(0, 200) t(j) WHERE op IN ('M','D') AND j < len)"""
 QSUM = "list_sum(list_transform(string_split(qual,''), lambda c: ascii(c) - 33))"
 QSUMS = f"qs AS (SELECT qual, CAST({QSUM} AS BIGINT) AS q FROM (SELECT DISTINCT qual FROM fx_alignments))"

@@ -14,7 +14,7 @@ ORDER = ["qname", "flag"]
 BASES = f"""
 {BLK}, ba AS (SELECT f.qname, f.rname, CAST(f.pos + ro AS BIGINT) AS pos, f.pos AS st, CASE WHEN op = 'D' THEN '*' ELSE substr(f.seq, qo + 1, 1) END AS base,
    ascii(substr(f.qual, qo + 1, 1)) - 33 AS q, f.mapq, f.flag & 16 <> 0 AS back, CASE WHEN last AND op = 'M' THEN nxt ELSE 0 END AS indel,
-   CASE WHEN last AND op = 'M' AND nxt > 0 THEN substr(f.seq, nq + 1, CAST(nxt AS INT)) ELSE '' END AS ins, ro = 0 AS head, ro = span - 1 AS tail, f.flag, f.cigar, f.seq, f.qual, f.rg
+   CASE WHEN last AND op = 'M' AND nxt > 0 THEN substr(f.seq, nq + 1, CAST(nxt AS INT)) ELSE '' END AS ins, head, tail, f.flag, f.cigar, f.seq, f.qual, f.rg
    FROM fx_alignments f JOIN pb USING (cigar) JOIN tot USING (cigar) WHERE f.flag & {MASK} = 0)"""
 COUNTS = """
 ct AS (SELECT rname, pos, count(*) AS depth, count(*) FILTER (WHERE base = 'A') AS a, count(*) FILTER (WHERE base = 'C') AS c, count(*) FILTER (WHERE base = 'G') AS g, count(*) FILTER (WHERE base = 'T') AS t,

@@ -1,4 +1,4 @@
-"""Compare queries with their oracles: ``python tests/oracle.py [pattern ...]``."""
+"""Compare queries with their oracles: ``python tests/oracle_check.py [pattern ...]``."""
 
 from __future__ import annotations
 
