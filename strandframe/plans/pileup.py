@@ -220,6 +220,16 @@ def w14v(spark, sf):
     return P.consensus_from_variants(v, indel_window=1)
 
 
-@query("C4_alignments_to_consensus", None)
+@query("C4_alignments_to_consensus", f"""
+WITH {BASES}, {COUNTS}, {_TOP},
+bd AS (SELECT floor(greatest(avg(depth) - 3 * stddev_samp(depth), 5)) AS lo, ceil(avg(depth) + 3 * stddev_samp(depth)) AS hi FROM ct),
+cs AS (SELECT rname, pos, CASE WHEN depth BETWEEN lo AND hi AND top / CAST(depth AS DOUBLE) > 0.4 THEN b ELSE 'N' END AS base, chr(CAST(least(depth + 33, 126) AS INT)) AS qc FROM tp, bd),
+gr AS (SELECT rname, unnest(range(1, max(pos) + 1)) AS pos FROM cs GROUP BY rname),
+sq AS (SELECT gr.rname AS name, string_agg(coalesce(base, 'N'), '' ORDER BY gr.pos) AS seq, string_agg(coalesce(qc, '!'), '' ORDER BY gr.pos) AS qual FROM gr LEFT JOIN cs ON cs.rname = gr.rname AND cs.pos = gr.pos GROUP BY gr.rname),
+r AS (SELECT name, regexp_replace(seq, '^N+', '') AS s, length(seq) - length(regexp_replace(seq, '^N+', '')) AS lead, qual FROM sq),
+p AS (SELECT name, lead, qual, regexp_split_to_array(s, 'N{{3,}}') AS parts, regexp_extract_all(s, 'N{{3,}}') AS runs FROM r),
+e AS (SELECT name, lead, qual, parts, runs, unnest(range(1, len(parts) + 1)) AS i FROM p),
+o AS (SELECT name, lead, qual, i, parts[i] AS seq, coalesce(list_sum(list_transform(parts[1:i - 1], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(runs[1:i - 1], lambda x: length(x))), 0) AS off FROM e)
+SELECT concat(name, '_subcontig', i - 1) AS name, CAST(off + lead + 1 AS INT) AS start, seq, substr(qual, CAST(off + lead + 1 AS INT), CAST(length(seq) AS INT)) AS qual FROM o WHERE length(seq) > 0""")
 def c4(spark, sf):
     return P.alignments_to_consensus(al(spark, sf), min_share=0.4)

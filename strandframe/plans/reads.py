@@ -232,7 +232,7 @@ def a20_argmax(spark, sf):
 _PAIRS = """
 prs AS (SELECT pair_id, min(rid) AS rid, max(CASE WHEN mate=1 THEN seq END) AS s1, max(CASE WHEN mate=2 THEN seq END) AS s2,
                max(CASE WHEN mate=1 THEN qual END) AS q1, max(CASE WHEN mate=2 THEN qual END) AS q2,
-               max(CASE WHEN mate=1 THEN id END) AS i1 FROM fx_reads GROUP BY pair_id)"""
+               max(CASE WHEN mate=1 THEN id END) AS i1, max(CASE WHEN mate=2 THEN id END) AS i2 FROM fx_reads GROUP BY pair_id)"""
 
 
 def _dedup(key1: str, key2: str) -> str:
@@ -455,7 +455,23 @@ def f18(spark, sf):
     return q.select("rg", low.alias("low"), high.alias("high"))
 
 
-@query("C1_clean_reads", None)
+def _clean_reads() -> str:
+    """Composition trim, then duplicates, then mask, trim and route."""
+    steps = _dedup("s1", "s2").replace("FROM fx_reads", "FROM cut").strip().removeprefix("WITH").split("\nSELECT g.rid")[0]
+
+    def mate(m: int) -> str:
+        return f"""SELECT 0 AS rid, prs.pair_id, {m} AS mate, '' AS file, CASE WHEN g.n > 1 THEN concat(i{m}, ' combinedReads=', g.n) ELSE i{m} END AS id, s{m} AS seq,
+          CASE WHEN g.n > 1 THEN substr(c{m}, 1, length(q{m})) ELSE q{m} END AS qual FROM g JOIN prs USING (rid) JOIN j USING (k1, k2)"""
+
+    return f"""
+WITH {_cuts('7.0')},
+cut AS (SELECT rid, pair_id, mate, file, id, substr(seq, CAST(s + 1 AS INT), CAST(n - s - e AS INT)) AS seq, substr(qual, CAST(s + 1 AS INT), CAST(n - s - e AS INT)) AS qual FROM fx_reads, cuts),
+{steps}, single AS ({mate(1)} UNION ALL {mate(2)}),
+{MASKED.replace('FROM fx_reads', 'FROM single')}, {_trim('masked', 'trimmed', '30')}, {_routed('trimmed', '30', '10')}
+SELECT pair_id, mate, route, id, seq, {_text()} AS qual FROM routed WHERE route <> 'drop'"""
+
+
+@query("C1_clean_reads", _clean_reads())
 def c1(spark, sf):
     return R.clean_reads(fx(spark, sf, "reads"), bad_slope=7.0, min_length=30).select("pair_id", "mate", "route", "id", "seq", "qual")
 

@@ -35,6 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
         named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
 
