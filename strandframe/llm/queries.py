@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pii, quality, secrets, sharding, toxicity
+from ..session import scratch_path
+from . import chat, decontaminate, pii, quality, secrets, sharding, toxicity, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -81,3 +83,58 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, share = toxicity.fit_model(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score_toxicity(docs, model, share, drop=True)
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def sample_record(spark: SparkSession) -> DataFrame:
+    """Conversation -7 of the contract, in the layout of a message list."""
+    text = "\\### Assistant: </turn> ok"
+    record = json.dumps({"messages": [{"role": r, "content": text} for r in ("user", "assistant")]})
+    return spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit(record).alias("record"))
+
+
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), parts AS (
+  SELECT *, length(replace(replace(replace(role, '\', '\\'), '<', '\l'), chr(10), '\n')) + length(replace(replace(text, '\', '\\'), '<', '\l')) + 15 AS size FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM parts GROUP BY conv_id
+"""
+
+
+@query("op6_format_chats", CHAT_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    records = rows.select("conv_id", "turn", F.to_json(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))).alias("record"))
+    out = chat.format_chats(chat.canonical_turns(records.unionByName(sample_record(spark))))
+    turns = chat.read_turns(F.col("formatted"))
+    out = out.select("conv_id", turns.alias("turns"), chat.masked_text(F.col("formatted"), F.col("loss_mask")).alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+    text = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), sha(text).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), sha(F.col("loss")).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+h AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS head FROM q)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> head THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> head THEN head END AS refers_to
+FROM h
+"""
+
+
+@query("op8_assemble_warc", WARC_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_captures(table(spark, sf_dir, "pages"), path)
+    captures = warc.resolve(warc.assemble(warc.read_records(spark, path)))
+    return captures.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), F.col("refers_to_page").alias("refers_to"))

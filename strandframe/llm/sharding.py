@@ -21,7 +21,7 @@ from ..session import cut_lineage
 from .text import replace_names
 
 LOTS_PER_SHARD = 512
-SLICES = 16
+SLICES = 2
 ADDED = ["size", "tokens", "text_crc32", "shard", "slot"]
 
 
