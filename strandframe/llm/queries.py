@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, pii, quality, secrets, sharding, toxicity, warc
+from . import chat, decontaminate, ngram_join, pii, quality, secrets, sharding, toxicity, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -138,3 +138,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_captures(table(spark, sf_dir, "pages"), path)
     captures = warc.resolve(warc.assemble(warc.read_records(spark, path)))
     return captures.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), F.col("refers_to_page").alias("refers_to"))
+
+
+@query("op7_ngram_classes")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_classes(table(spark, sf_dir, "documents"))
