@@ -301,16 +301,38 @@ class Join:
         return found, groups
 
 
-def ngram_classes(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id): the smallest id that links reach, one row per input row."""
-    join = Join(docs, id_column, column)
+def _classified(join: Join) -> DataFrame:
+    """(node, label, low): class and smallest id of each node."""
     _, groups = join.links()
     own = join.rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("low"))
     label = groups.select(F.col("node").alias("_g"), "label")
     joined = own.join(label, F.col("node") == F.col("_g"), "left").withColumn("label", F.coalesce("label", "node"))
-    joined = join.keep(joined.select("node", "label", "low"), "classes")
+    return join.keep(joined.select("node", "label", "low"), "classes")
+
+
+def ngram_classes(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id): the smallest id that links reach, one row per input row."""
+    join = Join(docs, id_column, column)
+    joined = _classified(join)
     lowest = joined.groupBy("label").agg(F.min("low").alias("component_id"))
     final = joined.join(lowest, "label").select(F.col("node").alias("_n"), "component_id")
     return join.rows.join(final, F.col("node") == F.col("_n"), "left").select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
     )
+
+
+def keep_first(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
+    """One row of each class: the smallest id (null last), of rows that repeat it the first in file order.
+
+    Texts without words stay. Rows are told apart by the number that the scan gives them, so only
+    keys are moved; the texts meet the rows to drop in one join.
+    """
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    join = Join(numbered.select(F.col("_row").alias("id"), column), "id", column)
+    classes = _classified(join).select(F.col("node").alias("_n"), "label")
+    members = join.rows.filter("node IS NOT NULL").join(classes, F.col("node") == F.col("_n")).select(F.col("id").alias("_row"), "label")
+    ids = numbered.select("_row", F.col(id_column).alias("_id"))
+    members = join.keep(members.join(ids, "_row").select("_row", "label", F.struct(F.col("_id").isNull().alias("none"), "_id", "_row").alias("rank")), "members")
+    crowded = members.groupBy("label").agg(F.min("rank").alias("first"), F.count("*").alias("c")).filter("c > 1")
+    drop = members.join(crowded, "label").filter("_row <> first._row").select("_row")
+    return numbered.join(drop, "_row", "left_anti").drop("_row")

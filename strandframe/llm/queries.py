@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, ngram_join, pii, quality, secrets, sharding, toxicity, warc
+from . import chat, decontaminate, ngram_join, pii, quality, secrets, sentencepiece_scan, sharding, toxicity, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -143,3 +143,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ngram_classes")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op2_sentencepiece")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and hash of the ids of each text, and whether decoding gives the text back."""
+    model = sentencepiece_scan.Pieces.read(sentencepiece_scan.default_model())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = sentencepiece_scan.decode(sentencepiece_scan.encode(docs, model), model)
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
+        (F.col("decoded") == F.replace("text", F.lit(sentencepiece_scan.BLANK), F.lit(" "))).alias("round_trip"),
+    )
