@@ -84,6 +84,8 @@ class Pieces:
     width: int = 1
     splits: bool = True
     unknown: int = 0
+    begins: set[str] = field(default_factory=set)
+    inside: set[str] = field(default_factory=set)
     bytes_from: dict[int, int] = field(default_factory=dict)
 
     @classmethod
@@ -107,6 +109,8 @@ class Pieces:
         if out.merges:  # a piece that its own merges do not give never occurs
             out.numbers = {s: i for s, i in out.numbers.items() if merge(s, out.numbers, scores) == [s]}
         out.width = max(map(len, out.numbers), default=1)
+        out.begins = {s[:k] for s in out.numbers for k in range(1, len(s) + 1)}
+        out.inside = {s[k - 1 : k + 1] for s in out.numbers for k in range(1, len(s))}
         out.splits = not any(BLANK in s.lstrip(BLANK) for s in out.numbers)
         out.unknown = kinds.index(UNKNOWN) if UNKNOWN in kinds else 0
         out.bytes_from = {int(s[3:5], 16): i for i, (s, k) in enumerate(zip(strings, kinds)) if k == BYTE}
@@ -216,55 +220,79 @@ class Scan:
                 out.append(self.model.unknown)
         return out
 
-    def learn(self, units: list[str]) -> None:
-        """Add words to the cache. A path to a place depends on what lies before it alone, so with
-        the words in order each one goes on from what it shares with the one before."""
-        if not self.model.merges:
-            for unit in units:
-                best, _ = self.run(unit, 0, None, len(unit), len(unit))
-                self.words[unit] = self.ids(self.trace(best, len(unit)))
-            return
-        get, strings, width, pairs = self.model.numbers.get, self.model.strings, self.model.width, self.pairs
-        before, last, back = "", [-1], [-1]
-        for unit in sorted(units):
-            shared, most = 0, min(len(before), len(unit))
-            while shared < most and before[shared] == unit[shared]:
-                shared += 1
-            del last[shared + 1 :], back[shared + 1 :]
-            for p in range(shared + 1, len(unit) + 1):
-                for q in range(p - width if p > width else 0, p):
-                    piece = get(unit[q:p])
-                    if piece is None:
-                        if p - q > 1:
-                            continue
-                        piece = -1
-                    left = last[q]
-                    if q and left >= 0 and piece >= 0:
-                        known = pairs.get(left << 32 | piece)
-                        if known is None:
-                            known = pairs[left << 32 | piece] = self.fits(strings[left], strings[piece])
-                        if not known:
-                            continue
-                    last.append(piece)
-                    back.append(q)
-                    break
-            ids, p = [], len(unit)
-            while p:
-                ids.append(last[p])
-                p = back[p]
-            ids.reverse()
-            if -1 in ids:
-                ids = self.ids(self.cut(unit, back))
-            self.words[unit] = ids
-            before = unit
+    def parts(self, unit: str) -> list[str]:
+        """The word, cut between neighbours that no piece has side by side."""
+        inside, first, out = self.model.inside, 0, []
+        for k in range(1, len(unit)):
+            if unit[k - 1 : k + 1] not in inside:
+                out.append(unit[first:k])
+                first = k
+        out.append(unit[first:])
+        return out
 
-    @staticmethod
-    def cut(unit: str, back: list[int]) -> list[str]:
-        out, p = [], len(unit)
-        while p:
-            out.append(unit[back[p] : p])
-            p = back[p]
-        return out[::-1]
+    def learn(self, units: list[str]) -> None:
+        """Add words to the cache."""
+        words, path = self.words, self.only_path if self.model.merges else self.best_path
+        for unit in units:
+            if unit[1:].isalpha():
+                words[unit] = path(unit)
+                continue
+            ids: list[int] = []
+            for part in self.parts(unit):
+                known = words.get(part)
+                if known is None:
+                    known = words[part] = path(part)
+                ids = ids + known
+            words[unit] = ids
+
+    def best_path(self, unit: str) -> list[int]:
+        best, _ = self.run(unit, 0, None, len(unit), len(unit))
+        return self.ids(self.trace(best, len(unit)))
+
+    def only_path(self, unit: str) -> list[int]:
+        """With weights of 0 and minus infinity the one finite path is searched from the left, long pieces first."""
+        get, begins, strings, pairs = self.model.numbers.get, self.model.begins, self.model.strings, self.pairs
+        size, place, left = len(unit), 0, -1
+        path: list[tuple[int, int, list]] = []  # place, piece before it, options left there
+        failed: set[tuple[int, int]] = set()
+        options = None
+        while place < size:
+            if options is None:
+                options = []
+                end = place + 1
+                piece = unit[place:end]
+                while piece in begins:
+                    number = get(piece)
+                    if number is not None:
+                        options.append((number, end))
+                    end += 1
+                    if end > size:
+                        break
+                    piece = unit[place:end]
+                if not options or options[0][1] > place + 1:
+                    options.insert(0, (-1, place + 1))  # a character without a piece
+            while options:
+                number, end = options.pop()
+                if left >= 0 and number >= 0:
+                    key = left << 32 | number
+                    known = pairs.get(key)
+                    if known is None:
+                        known = pairs[key] = self.fits(strings[left], strings[number])
+                    if not known:
+                        continue
+                if failed and (end, number) in failed:
+                    continue
+                path.append((place, left, options))
+                place, left, options = end, number, None
+                break
+            else:
+                failed.add((place, left))
+                place, left, options = path.pop()
+        edges = [x[0] for x in path] + [size]
+        ids = [x[1] for x in path[1:]] + [left]
+        if -1 in ids:
+            return self.ids([unit[a:b] for a, b in zip(edges, edges[1:])])
+        return ids
 
     def encode_all(self, texts: list[str]) -> list[array]:
         """Ids of some texts; words that are not in the cache are learnt together."""
@@ -280,8 +308,8 @@ class Scan:
         get = self.words.__getitem__
         out = [array("i", chain.from_iterable(map(get, units))) for units in split]
         for unit in new:
-            if len(unit) > 64:
-                del self.words[unit]
+            if len(unit) > 64:  # long ones would fill the cache
+                self.words.pop(unit, None)
         return out
 
     def normal(self, text: str) -> str:
