@@ -6,8 +6,9 @@ falls with its frequency; a linear softmax on it gives the window's score and th
 gives the document's. Misspelt words share most n-grams with the words they come from. A toxic
 passage is short, so each round of training keeps, of a toxic document, its highest windows.
 
-The fit uses at most ``TRAINING_ROWS`` labelled documents of each class, in the order of a hash
-of the id, as windows of bucket numbers (a bounded sample); every document is scored whole.
+The fit uses at most ``TRAINING_ROWS`` toxic and twice as many other labelled documents, in the
+order of a hash of the id, as windows of bucket numbers (a bounded sample); a quarter of them is
+kept for the calibration. Every document is scored whole.
 
 Null and empty texts get the score of the bias alone. A null label trains nothing. Repeated rows
 get equal scores. Without labels of both classes the score is the share of toxic labels, or 0.
@@ -24,9 +25,9 @@ from pyspark.sql import functions as F
 
 from .text import LOWER, Texts, annotate, byte_class
 
-BITS, DIMENSIONS, WINDOW, SIZES = 15, 8, 24, (4, 5, 6)
-TRAINING_ROWS, EPOCHS, ROUNDS, RATE, SIF = 700, 3, 3, 0.5, 2e-4
-WINDOWS_PER_ROW = 64
+BITS, DIMENSIONS, WINDOW, SIZES = 17, 8, 8, (4, 5, 6)
+TRAINING_ROWS, EPOCHS, ROUNDS, RATE, SIF = 600, 2, 4, 0.3, 1e-3
+WINDOWS_PER_ROW = 128
 LETTER = byte_class("az")
 LETTER[128:] = True
 
@@ -70,7 +71,10 @@ def buckets(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 def window_of(places: np.ndarray, edges: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Number of the window of each n-gram; the mark before its first word belongs to it."""
-    return np.maximum(np.searchsorted(edges, places + 1, "right") - 1, 0)
+    number = np.zeros(int(offsets[-1]) + 2, np.int32)
+    number[edges] = 1
+    number = np.cumsum(number, dtype=np.int32) - 1
+    return np.maximum(number[places + 1], 0)
 
 
 @dataclass
@@ -95,6 +99,21 @@ class Model:
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], share: float, seed: int = 5) -> Model:
     """``rows``: buckets, windows (from 0) and label of each sampled document; ``share`` of toxic labels in all."""
+    apart = rows[::4] if len({y for *_, y in rows[::4]}) == 2 and len(rows) >= 40 else []
+    rest = [r for i, r in enumerate(rows) if i % 4 or not apart]
+    model = _train(rest, seed)
+    calibrate(model, apart or rest, share)
+    return model
+
+
+def _bag(b: np.ndarray, w: np.ndarray) -> list[np.ndarray]:
+    """The buckets of each window."""
+    order = np.argsort(w, kind="stable")
+    b, w = b[order], w[order]
+    return [x for x in np.split(b, np.flatnonzero(np.diff(w)) + 1) if len(x)]
+
+
+def _train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int) -> Model:
     rng = np.random.default_rng(seed)
     size = 1 << BITS
     counts = np.zeros(size)
@@ -102,12 +121,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], share: float, seed: in
         counts += np.bincount(b, minlength=size)
     weight = SIF / (SIF + counts / max(1, counts.sum()))
     model = Model(rng.normal(0, 0.1, (size, DIMENSIONS)), rng.normal(0, 0.1, (DIMENSIONS, 2)), np.zeros(2), weight)
-    bags = []
-    for b, w, y in rows:
-        order = np.argsort(w, kind="stable")
-        b, w = b[order], w[order]
-        edges = np.flatnonzero(np.diff(w)) + 1
-        bags.append([x for x in np.split(b, edges) if len(x)])
+    bags = [_bag(b, w) for b, w, _ in rows]
     if not any(bags):
         return model
     grow_e, grow_s, grow_b = np.full((size, 1), 1e-8), 1e-8, 1e-8
@@ -121,8 +135,6 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], share: float, seed: in
                 instances += [(bag[i], 1) for i in keep]
             else:
                 instances += [(x, y) for x in bag]
-        positive = [i for i, x in enumerate(instances) if x[1]]
-        weights = {1: 1.0, 0: 1.0}
         for _ in range(EPOCHS):
             for batch in np.array_split(rng.permutation(len(instances)), max(1, len(instances) // 256)):
                 ids = np.concatenate([instances[i][0] for i in batch])
@@ -136,7 +148,6 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], share: float, seed: in
                 p = np.exp(z - z.max(1, keepdims=True))
                 p /= p.sum(1, keepdims=True)
                 p[np.arange(len(y)), y] -= 1
-                p *= np.array([weights[int(v)] for v in y])[:, None]
                 g_soft, g_vec = vector.T @ p, p @ model.softmax.T
                 grad = share_of[:, None] * g_vec[row]
                 unique, inverse = np.unique(ids, return_inverse=True)
@@ -147,13 +158,12 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], share: float, seed: in
                 model.softmax -= RATE * 0.2 * g_soft / np.sqrt(grow_s)
                 grow_b += (p.sum(0) ** 2).mean()
                 model.bias -= RATE * 0.2 * p.sum(0) / np.sqrt(grow_b)
-        del positive
-    calibrate(model, bags, rows, share)
     return model
 
 
-def calibrate(model: Model, bags: list, rows: list, share: float) -> None:
+def calibrate(model: Model, rows: list, share: float) -> None:
     """Logistic scale and shift of the highest window, classes weighted to their share in all labels."""
+    bags = [_bag(b, w) for b, w, _ in rows]
     top = np.array([model.logits(np.concatenate(b), np.repeat(np.arange(len(b)), [len(x) for x in b]), len(b)).max() if b else model.bias[1] - model.bias[0] for b in bags])
     y = np.array([r[2] for r in rows])
     weight = np.where(y == 1, share / max(1, y.sum()), (1 - share) / max(1, (1 - y).sum()))
@@ -181,8 +191,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[list,
     if not shares["n"]:
         return [], 0.0
     order = F.xxhash64("doc_id")
-    chosen = [r["doc_id"] for y in (0, 1) for r in one.filter(F.col("_toxic") == y).orderBy(order, "doc_id").limit(rows).select("doc_id").collect()]
-    # at most 2 * rows ids: bounded
+    chosen = [r["doc_id"] for y in (0, 1) for r in one.filter(F.col("_toxic") == y).orderBy(order, "doc_id").limit(rows if y else 2 * rows).select("doc_id").collect()]
+    # at most 3 * rows ids: bounded
     picked = docs.filter(F.col("doc_id").isin(chosen)).select("doc_id", "text")
 
     def kernel():
@@ -206,8 +216,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[list,
 
     got = annotate(picked, "_b array<int>, _w array<int>", kernel, drop=True)
     got = got.join(F.broadcast(one.filter(F.col("doc_id").isin(chosen))), "doc_id").orderBy("doc_id").toArrow()
-    table = zip(got.column("_b").to_pylist(), got.column("_w").to_pylist(), got.column("_toxic").to_pylist())
-    return [(np.array(b, np.int64), np.array(w, np.int64), int(y)) for b, w, y in table], shares["p"] / shares["n"]
+    buckets_of, windows_of = (got.column(c).combine_chunks() for c in ("_b", "_w"))
+    sample = [(b.values.to_numpy(), w.values.to_numpy(), int(y)) for b, w, y in zip(buckets_of, windows_of, got.column("_toxic").to_pylist())]
+    return sample, shares["p"] / shares["n"]
 
 
 def held_out(id_column: str = "doc_id"):
