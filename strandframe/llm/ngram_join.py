@@ -21,7 +21,9 @@ Repeated rows are equal sets. A null id takes part; a class of null ids alone ha
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ SHINGLE = 3
 #: Threshold as a fraction: intersection / union >= 90 / 100.
 NUM, DEN = 90, 100
 SKETCH_BITS, BITMAP_BITS = 18, 24
+MARKS, SAMPLE = 8, 8
 
 
 def least_overlap(a: int, b: int) -> int:
@@ -74,6 +77,9 @@ def node_of(keys: np.ndarray) -> int:
         return int(mix(np.array([mix(keys).sum(dtype=np.uint64) + np.uint64(len(keys))], np.uint64)).view(np.int64)[0])
 
 
+SCANNED = ["id", "key", "n", "node", "bucket", "count"]
+
+
 def _scan(batches):
     """Per row its id, set size and node; at the end of the task the sketch of all its sets."""
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -86,11 +92,11 @@ def _scan(batches):
                 keys.append(s)
             sketch += np.bincount((np.concatenate(keys) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
             none = pa.nulls(end - first, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none.cast(pa.int32()), none], names=["id", "n", "node", "bucket", "count"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), batch.column(2).slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none.cast(pa.int32()), none], names=SCANNED)
     at = np.flatnonzero(sketch)
     if len(at):
         none = pa.nulls(len(at), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(at.astype(np.int32)), pa.array(sketch[at])], names=["id", "n", "node", "bucket", "count"])
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(at.astype(np.int32)), pa.array(sketch[at])], names=SCANNED)
 
 
 def token_order(levels: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -108,48 +114,98 @@ def _levels(sketch: DataFrame) -> np.ndarray:
     return np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint8)
 
 
+def _keys(x) -> np.ndarray:
+    return np.frombuffer(x.as_buffer(), np.uint64)
+
+
+def _kept(batch: pa.RecordBatch, keep: list[bool]) -> pa.RecordBatch:
+    mask = pa.array(keep, pa.bool_())
+    return pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+
+
+def _lists(parts: list[np.ndarray], kind) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts).astype(kind)))
+
+
 class Tree:
-    """Prefix tree of the sequences of a block; a branch knows its smallest size and its class, if it has one alone."""
+    """Prefix tree of the sequences of a block; a branch knows its sizes and its class, if it has one alone.
 
-    __slots__ = ("next", "held", "size", "only")
+    A branch with a single node stays a leaf: the node, its sequence and how far that is used.
+    """
+
+    __slots__ = ("next", "held", "least", "most", "only")
 
     def __init__(self) -> None:
-        self.next: dict[int, Tree] = {}
-        self.held: list[tuple[int, int, int, int, int]] = []
-        self.size = 1 << 62
+        self.next: dict[int, Tree | tuple] = {}
+        self.held: list[tuple] = []
+        self.least, self.most = 1 << 62, 0
         self.only: int | None = None
 
-    def add(self, entry: tuple[int, int, int, int, int], sequence) -> None:
-        here, fresh = self, self.size == 1 << 62
-        for token in (None, *sequence):
-            if token is not None:
-                fresh = token not in here.next
-                here = here.next.setdefault(token, Tree()) if fresh else here.next[token]
-            here.size = min(here.size, entry[2])
-            here.only = entry[1] if fresh else here.only if here.only == entry[1] else None
-        here.held.append(entry)
-
-    def partners(self, entry: tuple[int, int, int, int, int], sequence: list[int]) -> Iterator[int]:
+    def add(self, entry: tuple, sequence: list[int], at: int = 0) -> None:
+        self.only = entry[1] if not self.most else self.only if self.only == entry[1] else None
+        self.least, self.most = min(self.least, entry[2]), max(self.most, entry[2])
+        if at == len(sequence):
+            self.held.append(entry)
+            return
+        below = self.next.get(sequence[at])
+        if below is None:
+            self.next[sequence[at]] = (entry, sequence, at + 1)
+            return
+        if isinstance(below, tuple):
+            leaf, below = below, Tree()
+            self.next[sequence[at]] = below
+            below.add(*leaf)
+        below.add(entry, sequence, at + 1)
+
+    def partners(self, entry: tuple, sequence: list[int]) -> Iterator[int]:
         """Earlier nodes of other classes that can still reach the threshold with ``entry``."""
-        node, group, n, last, tail = entry
+        node, group, n, marks = entry
+        tail = n - prefix_length(n)
         place = {t: i for i, t in reversed(list(enumerate(sequence)))}  # of numbers that collide the first
         todo = [(self, 0, 0)]
         while todo:
             here, common, used = todo.pop()
-            if here.only is not None and here.only == group:
+            if here.most * DEN < n * NUM or (here.only is not None and here.only == group):
                 continue
             # all that is left of the prefix, and the rest of the set behind it
-            if 1 + common + (len(sequence) - used) + tail < least_overlap(n, here.size):
+            if 1 + common + (len(sequence) - used) + tail < least_overlap(n, here.least):
                 continue
-            for other, its_group, size, its_last, its_tail in here.held:
-                if its_group == group or other == node:
-                    continue
-                rest = tail if last < its_last else its_tail if its_last < last else max(tail, its_tail)
-                if 1 + common + rest >= least_overlap(n, size):
+            for other, its_group, size, its_marks in here.held:
+                if its_group != group and other != node and reaches(n, marks, size, its_marks, 1 + common):
                     yield other
             for token, below in here.next.items():
                 at = place.get(token)
-                todo.append((below, common, used) if at is None else (below, common + 1, max(used, at + 1)))
+                if isinstance(below, tuple):
+                    (other, its_group, size, its_marks), its_tokens, its_at = below
+                    if its_group != group and other != node and size * DEN >= n * NUM:
+                        shared = 1 + common + (at is not None) + sum(map(place.__contains__, its_tokens[its_at:]))
+                        if reaches(n, marks, size, its_marks, shared):
+                            yield other
+                else:
+                    todo.append((below, common, used) if at is None else (below, common + 1, max(used, at + 1)))
+
+
+def reaches(n: int, marks: list[int], m: int, other: list[int], shared: int) -> bool:
+    return m * DEN >= n * NUM and shared + rest_bound(n, marks, m, other) >= least_overlap(n, m)
+
+
+@lru_cache(4096)
+def mark_counts(n: int) -> list[int]:
+    """How many shingles of the prefix lie at or before each mark."""
+    p = prefix_length(n)
+    return [-(-p * (j + 1) // MARKS) for j in range(MARKS)]
+
+
+def rest_bound(n: int, marks: list[int], m: int, other: list[int]) -> int:
+    """Most that two sets can share behind the place where the first of the prefixes ends."""
+    if marks[-1] > other[-1]:
+        n, marks, m, other = m, other, n, marks
+    rest = n - prefix_length(n)
+    if marks[-1] == other[-1]:  # equal in the bits held: either may end first
+        return max(rest, m - prefix_length(m))
+    at = bisect_left(other, marks[-1])
+    return min(rest, m - (mark_counts(m)[at - 1] if at else 0))
 
 
 def _couples(limit: int | None):
@@ -159,14 +215,12 @@ def _couples(limit: int | None):
         out: list[tuple[int, int]] = []
         token, tree = None, Tree()
         for batch in batches:
-            columns = [batch.column(i) for i in range(6)]
-            tokens, nodes, groups, sizes, lasts = (c.to_numpy(zero_copy_only=False).tolist() for c in columns[:5])
-            sequences = columns[5].to_pylist()
-            for t, node, group, n, last, sequence in zip(tokens, nodes, groups, sizes, lasts, sequences):
+            tokens, nodes, groups, sizes, all_marks, sequences = (c.to_pylist() for c in batch.columns)
+            for t, node, group, n, marks, sequence in zip(tokens, nodes, groups, sizes, all_marks, sequences):
                 if t != token:
                     token, tree = t, Tree()
-                entry = (node, group, n, last, n - prefix_length(n))
-                if tree.size < 1 << 62:
+                entry = (node, group, n, marks)
+                if tree.most:
                     for k, other in enumerate(tree.partners(entry, sequence)):
                         if k == limit:
                             break
@@ -191,10 +245,12 @@ class Join:
 
     def __init__(self, docs: DataFrame, id_column: str, column: str) -> None:
         self.spark = docs.sparkSession
-        self.texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(column).alias("text"))
-        scanned = self.keep(self.texts.mapInArrow(_scan, "id long, n long, node long, bucket int, count long"), "sets")
-        self.rows = scanned.filter("bucket IS NULL").select("id", "n", "node")
+        text = F.coalesce(F.col(column), F.lit(""))
+        self.texts = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("key"))
+        scanned = self.keep(self.texts.mapInArrow(_scan, "id long, key long, n long, node long, bucket int, count long"), "sets")
+        self.rows = scanned.filter("bucket IS NULL").select("id", "key", "n", "node")
         self.levels = self.spark.sparkContext.broadcast(_levels(scanned.filter("bucket IS NOT NULL")))
+        self.heads = self.keep(self.prefixes(), "prefixes")
         self.entries = self.keep(self.blocks(), "blocks")
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -202,29 +258,35 @@ class Join:
         df.write.parquet(path)
         return self.spark.read.parquet(path)
 
-    def blocks(self) -> DataFrame:
-        """(node, n, last, tokens): each node's prefix, cut to shingles that other nodes have in theirs."""
+    def prefixes(self) -> DataFrame:
+        """(node, n, prefix, marks, sample): its first shingles, every eighth of them as a mark, and an eighth of the set."""
         levels = self.levels
 
-        def prefixes(batches):
+        def run(batches):
             order = levels.value
             for batch in batches:
-                for _, _, part in slices(batch.column(1)):
-                    nodes, sizes, heads = [], [], []
+                for _, _, part in slices(batch.column(0)):
+                    nodes, sizes, heads, marks, samples = [], [], [], [], []
                     for s in shingle_sets(part):
                         if len(s):
                             nodes.append(node_of(s))
                             sizes.append(len(s))
                             heads.append(token_order(order, s)[: prefix_length(len(s))].view(np.int64))
+                            marks.append(heads[-1][np.array(mark_counts(len(s))) - 1] >> 32)
+                            samples.append(s[(s & np.uint64(SAMPLE - 1)) == 0].tobytes())
                     if nodes:
-                        offsets = np.cumsum([0, *map(len, heads)])
-                        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(heads)))], names=["node", "n", "prefix"])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(heads, np.int64), _lists(marks, np.int32), pa.array(samples, pa.binary())],
+                            names=["node", "n", "prefix", "marks", "sample"])
+
+        return self.texts.select("text").mapInArrow(run, "node long, n long, prefix array<long>, marks array<int>, sample binary").dropDuplicates(["node"])
 
-        made = self.texts.mapInArrow(prefixes, "node long, n long, prefix array<long>").dropDuplicates(["node"])
-        each = made.select("node", "n", (F.shiftrightunsigned(F.element_at("prefix", -1), 32)).alias("last"), F.explode("prefix").alias("token"))
-        each = self.keep(each, "prefixes")
+    def blocks(self) -> DataFrame:
+        """(node, n, marks, tokens): each node's prefix, cut to shingles that other nodes have in theirs."""
+        each = self.heads.select("node", F.explode("prefix").alias("token"))
         shared = each.groupBy("token").agg(F.count("*").alias("_c")).filter("_c > 1").select("token")
-        return each.join(shared, "token").groupBy("node", "n", "last").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+        cut = each.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+        return cut.join(self.heads.select("node", "n", "marks"), "node")
 
     def couples(self, groups: DataFrame | None, limit: int | None) -> DataFrame:
         """Candidate couples of nodes in different classes."""
@@ -235,22 +297,41 @@ class Join:
             known = groups.select(F.col("node").alias("_g"), "label")
             entries = entries.join(known, F.col("node") == F.col("_g"), "left").withColumn("label", F.coalesce("label", "node"))
         short = F.transform("tokens", lambda x: F.hash(x))
-        each = entries.select("node", "label", "n", "last", short.alias("short"), F.posexplode("tokens").alias("pos", "token"))
-        each = each.select("token", "node", "label", "n", "last", F.slice("short", F.col("pos") + 2, F.size("short")).alias("rest"))
+        each = entries.select("node", "label", "n", "marks", short.alias("short"), F.posexplode("tokens").alias("pos", "token"))
+        each = each.select("token", "node", "label", "n", "marks", F.slice("short", F.col("pos") + 2, F.size("short")).alias("rest"))
         if groups is not None:
-            mixed = each.groupBy("token").agg(F.min("label").alias("_x"), F.max("label").alias("_y")).filter("_x <> _y").select("token")
-            each = each.join(mixed, "token")
+            mixed = entries.select("label", F.explode("tokens").alias("token")).groupBy("token").agg(F.min("label").alias("_x"), F.max("label").alias("_y"))
+            each = each.join(mixed.filter("_x <> _y").select("token"), "token")
         dealt = each.repartition("token").sortWithinPartitions("token", "n", "node")
-        found = dealt.select("token", "node", "label", "n", "last", "rest").mapInArrow(_couples(limit), "a long, b long")
+        found = dealt.select("token", "node", "label", "n", "marks", "rest").mapInArrow(_couples(limit), "a long, b long")
         return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
+    def likely(self, couples: DataFrame) -> DataFrame:
+        """Couples that an eighth of their sets does not rule out: what the rest can share is bounded by its size."""
+        part = self.heads.select("node", "n", "sample")
+        left = couples.join(part, F.col("a") == F.col("node")).select("a", "b", F.col("n").alias("na"), F.col("sample").alias("sa"))
+        both = left.join(part, F.col("b") == F.col("node")).select("a", "b", "na", "sa", F.col("n").alias("nb"), F.col("sample").alias("sb"))
+
+        def check(batches):
+            for batch in batches:
+                keep = []
+                sizes = zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())
+                for (n, m), x, y in zip(sizes, batch.column(3), batch.column(5)):
+                    p, q = _keys(x), _keys(y)
+                    most = len(np.intersect1d(p, q, assume_unique=True)) + min(n - len(p), m - len(q))
+                    keep.append(most >= least_overlap(n, m))
+                yield _kept(batch, keep)
+
+        return both.mapInArrow(check, "a long, b long")
+
     def verify(self, couples: DataFrame) -> DataFrame:
         """The couples whose whole sets reach the threshold."""
-        ends = couples.select(F.col("a").alias("node")).unionByName(couples.select(F.col("b").alias("node"))).distinct()
-        ends = self.keep(ends, "ends")
-        # a bitmap of fixed size tells most other texts apart before their sets leave the task
-        place = F.pmod(F.col("node"), F.lit(1 << BITMAP_BITS))
-        words = ends.groupBy(F.shiftright(place, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(pmod(node, 64) AS INT))")).alias("bits")).toArrow()
+        couples = self.keep(self.likely(couples), "likely")
+        ends = couples.select(F.explode(F.array("a", "b")).alias("e")).distinct()
+        texts = self.rows.groupBy("node").agg(F.min("key").alias("key")).join(ends, F.col("node") == F.col("e"), "left_semi").select("key")
+        # a bitmap of fixed size tells most other texts apart before their sets are made
+        texts = self.keep(texts.select(F.pmod("key", F.lit(1 << BITMAP_BITS)).alias("at")), "ends")
+        words = texts.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("bits")).toArrow()
         bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
         bitmap[words.column("w").to_numpy()] = words.column("bits").to_numpy()
         shared = self.spark.sparkContext.broadcast(bitmap)
@@ -258,19 +339,15 @@ class Join:
         def sets(batches):
             bits = shared.value
             for batch in batches:
-                for _, _, part in slices(batch.column(1)):
-                    nodes, held = [], []
-                    for s in shingle_sets(part):
-                        if len(s):
-                            node = node_of(s)
-                            at = node % (1 << BITMAP_BITS)
-                            if int(bits[at >> 6]) >> (at & 63) & 1:
-                                nodes.append(node)
-                                held.append(s.tobytes())
-                    if nodes:
-                        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(held, pa.binary())], names=["node", "keys"])
-
-        whole = self.texts.mapInArrow(sets, "node long, keys binary").dropDuplicates(["node"])
+                at = batch.column(1).to_numpy() & ((1 << BITMAP_BITS) - 1)
+                batch = batch.filter(pa.array((bits[at >> 6] >> (at & 63) & 1).astype(bool)))
+                for _, _, part in slices(batch.column(0)):
+                    held = [s for s in shingle_sets(part) if len(s)]
+                    if held:
+                        yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in held], pa.int64()), pa.array([s.tobytes() for s in held], pa.binary())], names=["node", "keys"])
+
+        whole = self.texts.select("text", "key").mapInArrow(sets, "node long, keys binary")
+        whole = whole.join(ends, F.col("node") == F.col("e"), "left_semi").dropDuplicates(["node"])
         whole = self.keep(whole, "whole")
         left = couples.join(whole, F.col("a") == F.col("node")).select("a", "b", F.col("keys").alias("ka"))
         both = left.join(whole, F.col("b") == F.col("node")).select("a", "b", "ka", F.col("keys").alias("kb"))
@@ -279,16 +356,15 @@ class Join:
             for batch in batches:
                 keep = []
                 for x, y in zip(batch.column(2), batch.column(3)):
-                    p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                    p, q = _keys(x), _keys(y)
                     keep.append(len(np.intersect1d(p, q, assume_unique=True)) >= least_overlap(len(p), len(q)))
-                mask = pa.array(keep, pa.bool_())
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+                yield _kept(batch, keep)
 
         return both.mapInArrow(check, "a long, b long")
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified links that connect all classes, and (node, label)."""
-        first = self.couples(None, 1).groupBy("a", "b").agg(F.count("*").alias("k"))
+        first = self.couples(None, 2).groupBy("a", "b").agg(F.count("*").alias("k"))
         # of the partners that the blocks of a node name, the most frequent one
         best = first.groupBy("a").agg(F.max(F.struct("k", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
         best = best.unionByName(first.groupBy("b").agg(F.max(F.struct("k", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")).distinct()
@@ -322,17 +398,16 @@ def ngram_classes(docs: DataFrame, id_column: str = "doc_id", column: str = "tex
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
-    """One row of each class: the smallest id (null last), of rows that repeat it the first in file order.
+    """One row of each class: the smallest id (null last), then the smallest text hash.
 
-    Texts without words stay. Rows are told apart by the number that the scan gives them, so only
-    keys are moved; the texts meet the rows to drop in one join.
+    Texts without words stay. Rows that repeat both id and text are kept once.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    join = Join(numbered.select(F.col("_row").alias("id"), column), "id", column)
+    join = Join(docs, id_column, column)
     classes = _classified(join).select(F.col("node").alias("_n"), "label")
-    members = join.rows.filter("node IS NOT NULL").join(classes, F.col("node") == F.col("_n")).select(F.col("id").alias("_row"), "label")
-    ids = numbered.select("_row", F.col(id_column).alias("_id"))
-    members = join.keep(members.join(ids, "_row").select("_row", "label", F.struct(F.col("_id").isNull().alias("none"), "_id", "_row").alias("rank")), "members")
-    crowded = members.groupBy("label").agg(F.min("rank").alias("first"), F.count("*").alias("c")).filter("c > 1")
-    drop = members.join(crowded, "label").filter("_row <> first._row").select("_row")
-    return numbered.join(drop, "_row", "left_anti").drop("_row")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    worded = join.rows.filter("node IS NOT NULL").groupBy("node").agg(F.min(rank).alias("r")).join(classes, F.col("node") == F.col("_n"))
+    first = worded.groupBy("label").agg(F.min("r").alias("r")).select("r.id", "r.key")
+    first = first.unionByName(join.rows.filter("node IS NULL").select("id", "key").distinct())
+    first = first.select(F.xxhash64("id", "key").alias("_k"))
+    keyed = docs.withColumn("_k", F.xxhash64(F.col(id_column).cast("long"), F.xxhash64(F.coalesce(F.col(column), F.lit("")))))
+    return keyed.join(first, "_k", "left_semi").dropDuplicates(["_k"]).drop("_k")
