@@ -31,11 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .text import replace_names, slices
+from .text import _BASE, _INVERSE, _power, mix, replace_names, slices
 
 BLANK = "▁"
 CHUNK = 32_768
 CACHE = 250_000
+TOGETHER = 64
 UNIGRAM, MERGES = 1, 2
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 NO = float("-inf")
@@ -87,6 +88,7 @@ class Pieces:
     begins: set[str] = field(default_factory=set)
     inside: set[str] = field(default_factory=set)
     bytes_from: dict[int, int] = field(default_factory=dict)
+    table: Table | None = None
 
     @classmethod
     def read(cls, path: str, kind: int | None = None) -> Pieces:
@@ -111,6 +113,7 @@ class Pieces:
         out.width = max(map(len, out.numbers), default=1)
         out.begins = {s[:k] for s in out.numbers for k in range(1, len(s) + 1)}
         out.inside = {s[k - 1 : k + 1] for s in out.numbers for k in range(1, len(s))}
+        out.table = Table(out.numbers, out.begins)
         out.splits = not any(BLANK in s.lstrip(BLANK) for s in out.numbers)
         out.unknown = kinds.index(UNKNOWN) if UNKNOWN in kinds else 0
         out.bytes_from = {int(s[3:5], 16): i for i, (s, k) in enumerate(zip(strings, kinds)) if k == BYTE}
@@ -129,6 +132,64 @@ def merge(text: str, numbers: dict[str, int], scores: list[float]) -> list[str]:
     return parts
 
 
+def prefix_hash(codes: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(codes)), out=total[1:])
+        return total
+
+
+def span_hash(total: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix((total[end] - total[first]) * _power(_INVERSE, len(total))[first] + (end - first).astype(np.uint64))
+
+
+class Table:
+    """Pieces and their beginnings by hash: number (or -1), and whether longer pieces begin so."""
+
+    def __init__(self, numbers: dict[str, int], begins: set[str]) -> None:
+        strings = sorted(begins)
+        codes = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends = np.cumsum([len(s) for s in strings])
+        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if strings else np.zeros(0, np.int64)
+        keys = span_hash(prefix_hash(codes), starts, ends.astype(np.int64)) if strings else np.zeros(0, np.uint64)
+        number = np.array([numbers.get(s, -1) for s in strings], np.int32)
+        longer = {s[:-1] for s in strings if len(s) > 1}
+        on = np.array([s in longer for s in strings], bool)
+        # open addressing: each round places the keys that found their slot free
+        bits = max(4, int(np.ceil(np.log2(len(strings) + 1))) + 3)
+        self.bits, self.key = bits, np.zeros(1 << bits, np.uint64)
+        self.number, self.on = np.full(1 << bits, -1, np.int32), np.zeros(1 << bits, bool)
+        todo, shift = np.arange(len(strings)), 0
+        while len(todo):
+            slot = self._slot(keys[todo], shift)
+            free = self.key[slot] == 0
+            _, one = np.unique(slot[free], return_index=True)
+            here = todo[free][one]
+            at = self._slot(keys[here], shift)
+            self.key[at], self.number[at], self.on[at] = keys[here], number[here], on[here]
+            todo = np.setdiff1d(todo, here)
+            shift += 1
+        self.probes = max(1, shift)
+
+    def _slot(self, keys: np.ndarray, shift: int) -> np.ndarray:
+        return ((keys >> np.uint64(64 - self.bits)).astype(np.int64) + shift * 7) & ((1 << self.bits) - 1)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        number, on = np.full(len(keys), -1, np.int32), np.zeros(len(keys), bool)
+        open_ = np.arange(len(keys))
+        for shift in range(self.probes):
+            slot = self._slot(keys[open_], shift)
+            held = self.key[slot]
+            same = held == keys[open_]
+            at = open_[same]
+            number[at], on[at] = self.number[slot[same]], self.on[slot[same]]
+            open_ = open_[~same & (held != 0)]
+            if not len(open_):
+                break
+        return number, on
+
+
 class Scan:
     """Segmentations of one model; the caches are bounded."""
 
@@ -137,6 +198,8 @@ class Scan:
         self.joins: dict[tuple[str, str], bool] = {}
         self.words: dict[str, list[int]] = {}
         self.pairs: dict[int, bool] = {}
+        self.pair_key = np.full(1 << 20, -1, np.int64)
+        self.pair_value = np.zeros(1 << 20, bool)
         self.floor = min(model.scores, default=0.0) - 10.0
         self.units = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if model.splits else r"(?s).+")
 
@@ -231,19 +294,91 @@ class Scan:
         return out
 
     def learn(self, units: list[str]) -> None:
-        """Add words to the cache."""
-        words, path = self.words, self.only_path if self.model.merges else self.best_path
+        """Add words to the cache: their parts are segmented together."""
+        words, split, todo = self.words, {}, set()
         for unit in units:
             if unit[1:].isalpha():
-                words[unit] = path(unit)
-                continue
-            ids: list[int] = []
-            for part in self.parts(unit):
-                known = words.get(part)
+                todo.add(unit)
+            else:
+                split[unit] = parts = self.parts(unit)
+                todo.update(x for x in parts if x not in words)
+        short = [x for x in todo if len(x) <= TOGETHER] if self.model.merges else []
+        for first in range(0, len(short), 50_000):
+            self.only_paths(short[first : first + 50_000])
+        for unit in todo:
+            if unit not in words:
+                words[unit] = self.only_path(unit) if self.model.merges else self.best_path(unit)
+        for unit, parts in split.items():
+            words[unit] = list(chain.from_iterable(map(words.__getitem__, parts)))
+
+    def only_paths(self, units: list[str]) -> None:
+        """The max-plus step over many words at once: from each place on, pieces of growing length
+        are set where they end if the pair with the piece before has weight 0."""
+        units.sort(key=len, reverse=True)
+        lengths = np.array([len(u) for u in units])
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts = np.cumsum(lengths) - lengths
+        total = prefix_hash(codes)
+        size = int(lengths[0])
+        last = np.full((size + 1, len(units)), -2, np.int32)
+        back = np.zeros((size + 1, len(units)), np.int8)
+        last[0] = -1
+        live = len(lengths) - np.searchsorted(lengths[::-1], np.arange(size + 1), "right")
+        for q in range(size):
+            active = np.arange(live[q])
+            for n in range(1, min(self.model.width, size - q) + 1):
+                active = active[: np.searchsorted(active, live[q + n - 1])]
+                if not len(active):
+                    break
+                at = starts[active] + q
+                number, goes_on = self.model.table.find(span_hash(total, at, at + n))
+                hit = np.flatnonzero(number >= 0)
+                if len(hit):
+                    rows = active[hit]
+                    fits = self.pair_fits(last[q, rows], number[hit])
+                    rows, kept = rows[fits], number[hit][fits]
+                    last[q + n, rows] = kept
+                    back[q + n, rows] = q
+                if n == 1:  # a character without a piece
+                    rows = active[number < 0]
+                    last[1 + q, rows] = -1
+                    back[1 + q, rows] = q
+                active = active[goes_on]
+        rows, place = np.arange(len(units)), lengths.copy()
+        steps = []
+        while len(rows):
+            steps.append((rows, last[place[rows], rows]))
+            place[rows] = back[place[rows], rows]
+            rows = rows[place[rows] > 0]
+        owner, number = np.concatenate([x[0] for x in steps]), np.concatenate([x[1] for x in steps])
+        order = np.argsort(owner, kind="stable")  # each word's pieces from its end
+        number = number[order][::-1].tolist()
+        ends = np.cumsum(np.bincount(owner, minlength=len(units))[::-1]).tolist()
+        first = 0
+        for unit, end in zip(reversed(units), ends):
+            ids = number[first:end]
+            first = end
+            self.words[unit] = self.only_path(unit) if -1 in ids else ids
+
+    def pair_fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``fits`` for many pairs, from a table whose places newer pairs take over."""
+        key = left.astype(np.int64) << 20 | right
+        place = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 20)).astype(np.int64)
+        out = self.pair_value[place]
+        new = np.flatnonzero((self.pair_key[place] != key) & (left >= 0))
+        if len(new):
+            strings, pairs = self.model.strings, self.pairs
+            for k, a, b in zip(new.tolist(), left[new].tolist(), right[new].tolist()):
+                known = pairs.get(a << 32 | b)
                 if known is None:
-                    known = words[part] = path(part)
-                ids = ids + known
-            words[unit] = ids
+                    known = pairs[a << 32 | b] = self.fits(strings[a], strings[b])
+                out[k] = known
+            _, one = np.unique(place[new], return_index=True)
+            new = new[one]
+            self.pair_key[place[new]] = key[new]
+            self.pair_value[place[new]] = out[new]
+        out[left < 0] = True
+        return out
 
     def best_path(self, unit: str) -> list[int]:
         best, _ = self.run(unit, 0, None, len(unit), len(unit))
@@ -439,7 +574,7 @@ def encode(docs: DataFrame, model: Pieces, column: str = "text", chunk: int = CH
     frame = replace_names(docs, ["ids", "_row"])
     kept = frame.columns
     short = frame.filter(F.col(column).isNull() | (F.length(column) <= chunk))
-    schema = short.withColumn("ids", F.array().cast("array<int>")).schema
+    schema = short.withColumn("ids", F.lit(None).cast("array<int>")).schema
 
     def plain(batches):
         scan = _scan(shared)
@@ -509,7 +644,7 @@ def decode(tokens: DataFrame, model: Pieces, column: str = "ids") -> DataFrame:
     """Adds ``decoded``, the text of the ids."""
     shared = tokens.sparkSession.sparkContext.broadcast(model)
     frame = replace_names(tokens, ["decoded"])
-    schema = frame.withColumn("decoded", F.lit("")).schema
+    schema = frame.withColumn("decoded", F.lit(None).cast("string")).schema
 
     def run(batches):
         held = shared.value

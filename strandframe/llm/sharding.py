@@ -2,8 +2,8 @@
 
 Rows with equal texts form a group. Groups are hashed into lots, of which there are
 ``shards * LOTS_PER_SHARD``, a bound that the data cannot move; a group with more than a lot's
-share of any dimension is a lot of its own, and one with more than ``1 / SLICES`` of a shard is
-dealt in slices of at most that. The lots, largest first, go to the shard where the dot product
+share of any dimension is a lot of its own, and one with more than half a shard is dealt in
+slices of at most ``1 / SLICES`` of a shard. The lots, largest first, go to the shard where the dot product
 of their vector with the residual capacity is highest. Slots number the rows of a shard without
 gaps: the lots of a shard one behind the other, and within a lot by row.
 
@@ -21,7 +21,7 @@ from ..session import cut_lineage
 from .text import replace_names
 
 LOTS_PER_SHARD = 512
-SLICES = 2
+SLICES = 16
 ADDED = ["size", "tokens", "text_crc32", "shard", "slot"]
 
 
@@ -61,7 +61,7 @@ def shard(docs: DataFrame, shards: int, id_column: str = "doc_id", column: str =
     lots = shards * LOTS_PER_SHARD
     groups = rows.groupBy("group", "crc", "size").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count("*").alias("n"))
     share = F.greatest(*[F.col(c) / F.lit(w if w else 1.0) for c, w in zip("btn", whole)])
-    large = groups.filter(share * lots > 1).withColumn("slices", F.ceil(share * shards * SLICES).cast("int"))
+    large = groups.filter(share * lots > 1).withColumn("slices", F.when(share * shards > 0.5, F.ceil(share * shards * SLICES)).otherwise(1).cast("int"))
     # at most three groups per lot's share: a bounded table
     own = large.select(*[F.col(c).alias(f"_{c}") for c in ("group", "crc", "size", "slices")])
     match = [F.col("group") == F.col("_group"), F.col("crc") == F.col("_crc"), F.col("size") == F.col("_size")]

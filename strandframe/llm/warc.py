@@ -6,8 +6,8 @@ Reading frames records by ``Content-Length`` while the lines of a compressed fil
 assembly joins the three kinds through that identifier into one nested row per capture.
 
 Of pages whose payloads have equal digests and at least ``LEAST_REVISIT`` bytes the one with the
-smallest id (null last, then the first row) is the response, the others revisit it. A null payload
-is empty. Every row is a capture of its own, also a repeated one. A capture without request or
+smallest id (null last) is the response, the others revisit it; rows that repeat its id are responses
+too. A null payload is empty. Every row is a capture of its own, also a repeated one. A capture without request or
 metadata has nulls there; of several the one with the smallest record id counts.
 """
 
@@ -25,8 +25,8 @@ RECORD = "file string, record_id string, type string, concurrent_to string, refe
 
 
 def _uuid(kind: str) -> Column:
-    """A name-based identifier of a page's record; ``_row`` makes repeated pages differ."""
-    h = F.md5(F.concat_ws(":", F.lit(kind), F.col("_row").cast("string"), F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.col("_digest")))
+    """A name-based identifier of a page's record."""
+    h = F.md5(F.concat_ws(":", F.lit(kind), F.col("url"), F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.col("_digest")))
     parts = [F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("3"), F.substring(h, 14, 3)), F.concat(F.lit("8"), F.substring(h, 18, 3)), F.substring(h, 21, 12)]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -39,17 +39,14 @@ def _record(headers: list[tuple[str, Column]], content_type: str, block: Column)
 
 def plan_captures(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) with the digest, the record ids and what each page revisits."""
-    body = F.coalesce("html", F.lit(""))
-    base = pages.select("page_id", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "").alias("url"), body.alias("html"), F.monotonically_increasing_id().alias("_row"))
+    base = pages.select("page_id", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     base = base.withColumn("_digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("_bytes", F.octet_length("html").cast("long"))
     base = base.withColumn("_id", _uuid("capture"))
-    first = F.min(F.struct(F.col("page_id").isNull().alias("n"), "page_id", "_row", "_id", "url"))
+    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", F.col("_id").alias("id"), "url"))
     heads = base.filter(F.col("_bytes") >= LEAST_REVISIT).groupBy("_digest").agg(first.alias("_h"), F.count("*").alias("_copies")).filter("_copies > 1")
-    heads = heads.select(F.col("_digest").alias("_d"), F.col("_h._row").alias("_head_row"), F.col("_h._id").alias("_head_id"), F.col("_h.url").alias("_head_url"))
-    # the keys alone are joined; the payload follows by the row number that the scan gives
-    copies = base.filter(F.col("_bytes") >= LEAST_REVISIT).select("_row", "_digest").join(heads, F.col("_digest") == F.col("_d"))
-    revisits = copies.filter("_row <> _head_row").select(F.col("_row").alias("_r"), "_head_id", "_head_url")
-    return base.join(revisits, F.col("_row") == F.col("_r"), "left").drop("_r")
+    joined = base.join(heads.select(F.col("_digest").alias("_d"), "_h"), F.col("_digest") == F.col("_d"), "left")
+    revisits = F.col("_h").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_h.page_id"))
+    return joined.withColumn("_head_id", F.when(revisits, F.col("_h.id"))).withColumn("_head_url", F.when(revisits, F.col("_h.url"))).drop("_d", "_h")
 
 
 def write_captures(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> None:
@@ -146,7 +143,8 @@ def resolve(captures: DataFrame) -> DataFrame:
     """Captures with the page that a revisit refers to, and the size and digest of the full payload."""
     page = F.when(F.col("fields")["page-id"] != "", F.col("fields")["page-id"].cast("long"))
     mine = captures.withColumn("page_id", page)
-    heads = mine.filter(F.col("type") == "response").select(F.col("record_id").alias("_h"), F.col("page_id").alias("_head_page"), F.col("found_bytes").alias("_head_bytes"), F.col("found_digest").alias("_head_digest"))
+    heads = mine.filter(F.col("type") == "response").groupBy(F.col("record_id").alias("_h")).agg(
+        F.min("page_id").alias("_head_page"), F.min("found_bytes").alias("_head_bytes"), F.min("found_digest").alias("_head_digest"))
     joined = mine.join(heads, mine.refers_to == heads["_h"], "left")
     revisit = F.col("type") == "revisit"
     return joined.withColumn("refers_to_page", F.col("_head_page")).withColumn("payload_bytes", F.when(revisit, F.col("_head_bytes")).otherwise(F.col("found_bytes"))).withColumn(
