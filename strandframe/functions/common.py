@@ -41,3 +41,17 @@ def compact(arr) -> Column:
 
 def compact_nonzero(arr) -> Column:
     return F.filter(as_col(arr), lambda x: x.isNotNull() & (x != 0))
+
+
+def first_of_key(entries) -> Column:
+    """Map of structs (k, v); of a repeated key the first value counts, a null key is left out."""
+    kept = F.filter(as_col(entries), lambda e: e["k"].isNotNull())
+    keys = F.transform(kept, lambda e: e["k"])
+    return F.map_from_entries(F.filter(kept, lambda e, i: F.array_position(keys, e["k"]) == i + 1))
+
+
+def keyed(text, outer: str, inner: str) -> Column:
+    """``a=1;b=2`` -> map, the first value of a key; a part without ``inner`` has a null value."""
+    parts = F.split(as_col(text), outer)
+    return first_of_key(F.transform(parts, lambda x: F.struct(
+        F.substring_index(x, inner, 1).alias("k"), F.when(x.contains(inner), F.substring(x, F.position(F.lit(inner), x) + len(inner), F.length(x))).alias("v"))))

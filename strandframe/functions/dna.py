@@ -57,11 +57,22 @@ def gc_count(seq) -> Column:
 
 
 def all_indexes(text, pattern) -> Column:
-    """Every 1-based position of ``pattern``, overlapping matches included."""
+    """Every 1-based position of ``pattern``, overlapping matches included.
+
+    The text is cut in front of each match in one pass; the pieces' lengths add up to the places.
+    """
     s, p = as_col(text), as_col(pattern)
-    last = F.length(s) - F.length(p) + 1
-    hits = F.filter(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substr(s, i, F.length(p)) == p)
-    return F.when(last >= 1, hits).otherwise(F.array().cast("array<int>"))
+    ahead = F.concat(F.lit(r"(?=\Q"), F.replace(p, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)"))
+    pieces = F.split(s, ahead)
+    # in front of each piece but the first, and of that if it begins with a match
+    begins = F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    places = F.aggregate(
+        begins, F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("all")),
+        lambda acc, x: F.struct((acc["at"] + F.length(x)).alias("at"), F.concat(acc["all"], F.array(acc["at"] + F.length(x))).alias("all")),
+        lambda acc: acc["all"])
+    first = F.when(s.startswith(p), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    every = F.sequence(F.lit(1), F.length(s) + 1)
+    return F.when(F.length(p) == 0, every).when(F.length(p) > F.length(s), F.array().cast("array<int>")).otherwise(F.concat(first, places))
 
 
 def kmers(seq, k: int) -> Column:

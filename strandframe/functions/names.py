@@ -90,12 +90,12 @@ def resistance_parts(name) -> Column:
     return F.struct(*[F.nullif(F.regexp_extract(n, pattern, i + 1), F.lit("")).alias(c) for i, c in enumerate(names)])
 
 
-def natural_key(name, digits: int = 20) -> Column:
-    """Sort key in which runs of digits compare as numbers."""
+def natural_key(name) -> Column:
+    """Sort key in which runs of digits compare as numbers: their length, then the digits."""
     pieces = F.regexp_extract_all(as_col(name), F.lit(r"\d+|\D+"), F.lit(0))
 
     def pad(p):
         bare = F.regexp_replace(p, "^0+(?=.)", "")
-        return F.when(p.rlike(r"^\d"), F.lpad(bare, digits, "0")).otherwise(p)
+        return F.when(p.rlike(r"^\d"), F.concat(F.lpad(F.length(bare).cast("string"), 10, "0"), bare)).otherwise(p)
 
     return F.array_join(F.transform(pieces, pad), "")

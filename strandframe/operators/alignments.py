@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import cigar as cg
 from ..functions import dna, names, phred as ph
 from ..functions.common import intersect_length
-from .scale import first_per_key, maybe_broadcast, number_within, running_sum
+from .scale import first_per_key, number_within, running_sum
 
 BIN_BITS = 14
 
@@ -31,13 +31,13 @@ def view(df: DataFrame, min_mapq: int = 0, required: int = 0, excluded: int = 0,
         out = out.filter(F.col("rg").isNull() | F.col("rg").isin(*groups))
     if library is not None:
         members = read_groups.filter(F.col("library") == library).select("rg")
-        out = out.join(maybe_broadcast(members), "rg", "left_semi")
+        out = out.join(members, "rg", "left_semi")
     return out
 
 
 def with_library(df: DataFrame, read_groups: DataFrame) -> DataFrame:
     """Library of each record from the header's read groups."""
-    return df.join(maybe_broadcast(read_groups.select("rg", "library")), "rg", "left")
+    return df.join(read_groups.select("rg", "library"), "rg", "left")
 
 
 def tag_values(df: DataFrame, tag: str) -> DataFrame:
@@ -344,9 +344,12 @@ def fragment_coverage(df: DataFrame, dictionary: DataFrame, bits: int = BIN_BITS
 
 
 def overlap(features: DataFrame, regions: DataFrame, columns: tuple[str, str, str] = ("rname", "beg", "end"),
-            bits: int = BIN_BITS) -> DataFrame:
+            bits: int = BIN_BITS, lengths: DataFrame | None = None) -> DataFrame:
     """Features that share a base with a region (name, beg, end), one row per couple.
 
+    An open region (null end) ends with its sequence in ``lengths`` (name, length); without
+    them it is an error, not an empty result.
+
     The join hashes on (reference, bin). A couple that shares several bins is kept
     only in its first common bin, so nothing has to be made distinct afterwards.
     """
@@ -356,8 +359,11 @@ def overlap(features: DataFrame, regions: DataFrame, columns: tuple[str, str, st
         return F.explode(F.sequence(F.shiftright(lo, bits), F.shiftright(hi, bits)))
 
     left = features.withColumn("_bin", bins(F.col(beg).cast("bigint"), F.greatest(F.col(end), F.col(beg)).cast("bigint")))
-    right = regions.select(F.col("name").alias("_name"), F.col("beg").cast("bigint").alias("r_beg"),
-                           F.col("end").cast("bigint").alias("r_end"))
+    if lengths is not None:
+        sizes = lengths.select("name", F.col("length").alias("_length"))
+        regions = regions.join(sizes, "name", "left").withColumn("end", F.coalesce("end", "_length")).drop("_length")
+    closed = F.coalesce(F.col("end").cast("bigint"), F.raise_error(F.lit("an open region needs lengths")).cast("bigint"))
+    right = regions.select(F.col("name").alias("_name"), F.col("beg").cast("bigint").alias("r_beg"), closed.alias("r_end"))
     right = right.withColumn("_rbin", bins(F.col("r_beg"), F.greatest("r_end", "r_beg")))
     first_bin = F.shiftright(F.greatest(F.col(beg).cast("bigint"), F.col("r_beg")), bits)
     on = (
@@ -423,7 +429,7 @@ def unique_alignments(df: DataFrame, order: Sequence[str], factor: float = 250.0
 
 def sort_by_coordinate(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Reference order of the dictionary (column ``idx``), position, strand; unplaced last."""
-    indexed = df.join(maybe_broadcast(dictionary.select(F.col("name").alias("rname"), F.col("idx").alias("_idx"))), "rname", "left")
+    indexed = df.join(dictionary.select(F.col("name").alias("rname"), F.col("idx").alias("_idx")), "rname", "left")
     return indexed.orderBy(F.col("_idx").asc_nulls_last(), "pos", cg.has("flag", cg.REVERSE)).drop("_idx")
 
 

@@ -9,36 +9,52 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dna, names
-from .scale import concat_in_parts, first_per_key, maybe_broadcast
+from .scale import concat_in_parts, first_per_key
+
+
+def header_parts(header: Column) -> dict[str, Column]:
+    """What the headers of protein sets are made of: the first word, its parts between bars, the text
+    up to the first ``key=``, the values of the keys, and an enzyme number anywhere."""
+    trimmed = F.trim(header)
+    word = F.substring_index(trimmed, " ", 1)
+    rest = F.trim(F.substring(trimmed, F.length(word) + 1, F.length(trimmed)))
+    free = F.split(F.regexp_replace(rest, "(^| )([A-Za-z]+)=", "\n$2="), "\n")
+    keys = F.slice(free, 2, F.size(free))
+    numbers = F.filter(F.split(header, "[^0-9.]+"), lambda x: F.size(F.split(x, "[.]")) == 4)
+    return {
+        "word": word, "bars": F.split(word, "[|]"), "rest": rest, "text": F.trim(F.get(free, F.lit(0))),
+        "keys": keys, "enzyme": F.coalesce(F.get(numbers, F.lit(0)), F.lit("")),
+    }
+
+
+def key_value(keys: Column, key: str) -> Column:
+    """First word of the value of a key, empty without it."""
+    found = F.get(F.filter(keys, lambda x: x.startswith(f"{key}=")), F.lit(0))
+    return F.coalesce(F.substring_index(F.substring(found, len(key) + 2, F.length(found)), " ", 1), F.lit(""))
 
 
 def parse_protein_header(df: DataFrame, header: str = "header", kind: str = "protein", genera: Sequence[str] | None = None,
                          need_genes: bool = False) -> DataFrame:
-    """Header -> (id, description ``xref~~~EC~~~gene~~~product``) for protein, phage and virulence sets."""
-    h = F.col(header)
-    ec = F.regexp_extract(h, r"(\d+(?:\.\d+){3})", 1)
+    """Header -> (id, description ``xref~~~EC~~~gene~~~product``) for protein, phage and virulence sets.
+
+    A phage header is ``id|xref|... product``, a virulence header ``id (number) [gene] (locus) - product``.
+    """
+    p = header_parts(F.col(header))
+    part = lambda i: F.coalesce(F.get(p["bars"], F.lit(i)), F.lit(""))
     if kind == "phage":
-        word = F.regexp_extract(h, r"^(\S+)", 1)
-        part = F.split(word, r"\|")
-        rest = F.trim(F.regexp_replace(h, r"^\S+\s*", ""))
-        return df.withColumns({"id": F.get(part, F.lit(0)), "description": F.concat_ws(
-            "~~~", F.lit(""), F.coalesce(F.get(part, F.lit(1)), F.lit("")), rest)})
+        return df.withColumns({"id": part(0), "description": F.concat_ws("~~~", F.lit(""), part(1), p["rest"])})
     if kind == "virulence":
-        xref = F.regexp_extract(h, r"^(\S+)", 1)
-        named = r"^\S+\s*\(gi:\d+\) (\w+) \(\S+\) - (.+)"
-        plain = r"^\S+\s*\(gi:\d+\) \S+ - (.+)"
-        gene = F.regexp_extract(h, named, 1)
-        product = F.when(gene != "", F.regexp_extract(h, named, 2)).otherwise(F.regexp_extract(h, plain, 1))
-        return df.withColumns({"id": F.concat_ws("~~~", xref, ec, gene, product), "description": F.lit("")})
-    out = df.filter(h.rlike("|".join(genera))) if genera else df
-    gene = F.regexp_extract(h, r"GN=(\S+)", 1)
+        product = F.substring(p["rest"], F.position(F.lit(" - "), p["rest"]) + 3, F.length(p["rest"]))
+        before = F.filter(F.split(F.substring_index(p["rest"], " - ", 1), " "), lambda x: ~x.startswith("("))
+        located = F.size(F.split(F.substring_index(p["rest"], " - ", 1), "[(]")) > 2  # a locus in brackets follows a gene
+        gene = F.when(located, F.coalesce(F.get(before, F.lit(0)), F.lit(""))).otherwise(F.lit(""))
+        return df.withColumns({"id": F.concat_ws("~~~", p["word"], p["enzyme"], gene, product), "description": F.lit("")})
+    out = df.filter(F.exists(F.array(*map(F.lit, genera)), lambda g: F.contains(F.col(header), g))) if genera else df
+    gene = key_value(p["keys"], "GN")
     if need_genes:
         out = out.filter(gene != "")
-    first = r"^\s*(\S+)\s+(.*?)\s*\w+="
-    xref = F.regexp_extract(h, r"(\w+)\|(\w+)(?:\|(\w+))?", 3)
-    return out.withColumns({
-        "id": F.regexp_extract(h, first, 1),
-        "description": F.concat_ws("~~~", xref, ec, gene, F.regexp_extract(h, first, 2))})
+    xref = F.regexp_extract(part(2), "^[A-Za-z0-9_]*", 0)
+    return out.withColumns({"id": p["word"], "description": F.concat_ws("~~~", xref, p["enzyme"], gene, p["text"])})
 
 
 def split_tilde(hits: DataFrame, columns: Sequence[str] = ("locus_tag", "target_id", "hit_accession", "hit_name")) -> DataFrame:
@@ -159,7 +175,7 @@ def hits_without_entry(hits: DataFrame, entries: DataFrame, key: str = "accessio
 def hits_with_cogs(hits: DataFrame, protein_to_group: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Protein -> group -> description, both optional."""
     two = hits.join(protein_to_group, "target_id", "left")
-    return two.join(maybe_broadcast(descriptions), "group_id", "left")
+    return two.join(descriptions, "group_id", "left")
 
 
 def consolidate_tags(tags: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -278,7 +278,7 @@ def set_md5(contigs: DataFrame, by: Sequence[str] = ("file",)) -> DataFrame:
 
 
 def parse_regions(df: DataFrame, column: str = "region") -> DataFrame:
-    """``chr:beg-end`` with thousands commas and open ends -> (name, beg, end)."""
+    """``chr:beg-end`` with thousands commas -> (name, beg, end); the end of an open region is null."""
     text = F.replace(F.col(column), F.lit(","), F.lit(""))
     pattern = r"^(.*?)(?::(\d*)(?:(-)(\d*))?)?$"
     beg = F.regexp_extract(text, pattern, 2).try_cast("bigint")
@@ -287,17 +287,17 @@ def parse_regions(df: DataFrame, column: str = "region") -> DataFrame:
         {
             "name": F.regexp_extract(text, pattern, 1),
             "beg": F.greatest(F.coalesce(beg, F.lit(1)), F.lit(1)),
-            "end": F.coalesce(end, F.lit((1 << 29) - 1)),
+            "end": end,
         }
     )
 
 
 def subseq(contigs: DataFrame, regions: DataFrame) -> DataFrame:
-    """Sub-sequences of (name, beg, end), clamped to the contig."""
+    """Sub-sequences of (name, beg, end), clamped to the contig; a null end is the contig's."""
     joined = regions.join(contigs.select("name", "seq"), "name")
     n = F.length("seq")
     beg = F.least(F.greatest(F.col("beg"), F.lit(1)), n)
-    end = F.least(F.greatest(F.col("end"), beg), n)
+    end = F.least(F.greatest(F.coalesce("end", n), beg), n)
     return joined.select(*regions.columns, F.substr("seq", beg.cast("int"), (end - beg + 1).cast("int")).alias("seq"))
 
 

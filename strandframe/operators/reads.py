@@ -410,9 +410,8 @@ def short_entries(reads: DataFrame, n: int, min_length: int) -> DataFrame:
 def sample_n(df: DataFrame, n: int, key: str = "id", seed: int = 0) -> DataFrame:
     """Fixed-size sample without replacement, repeatable by hash of the key."""
     order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), F.col(key)]
-    if n <= 100_000:
-        return df.orderBy(*order).limit(n)
-    return number_rows(df, order, name="_n").filter(F.col("_n") <= n).drop("_n")
+    order += [F.col(c) for c in df.columns if c != key and dict(df.dtypes)[c] != "variant" and not dict(df.dtypes)[c].startswith("map")]
+    return df.orderBy(*order).limit(n)
 
 
 def fastq_to_fasta_qual(reads: DataFrame, min_length: int = 50) -> tuple[DataFrame, DataFrame]:

@@ -9,14 +9,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-OFFSET_ROWS_TO_BROADCAST = 1_000_000
-
-
-def maybe_broadcast(df: DataFrame, limit: int = OFFSET_ROWS_TO_BROADCAST) -> DataFrame:
-    """Broadcast only after counting; a larger table joins by shuffle."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def number_rows(
     df: DataFrame, order_by: Sequence[Column], within: Sequence[str] = (), name: str = "n", first: int = 1
 ) -> DataFrame:
@@ -45,7 +37,7 @@ def number_rows(
     on = F.col("_part") == F.col("_p")
     for i, g in enumerate(within):
         on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    return laid_out.join(maybe_broadcast(offsets), on).select(
+    return laid_out.join(offsets, on).select(
         *df.columns, (F.col("_at") + F.col("_shift")).alias(name)
     )
 
@@ -81,22 +73,9 @@ def running_sum(
     )
 
 
-def number_within(
-    df: DataFrame, key: Sequence[str], order: Sequence[Column], name: str = "n", hot: int = 1_000_000
-) -> DataFrame:
-    """``row_number`` per key that stays safe when a key is huge.
-
-    Keys with more than ``hot`` rows are numbered by range partitioning; the rest
-    by an ordinary window. Without such keys the plan is just the window.
-    """
-    window = Window.partitionBy(*key).orderBy(*order)
-    heavy = df.groupBy(*key).agg(F.count("*").alias("_c")).filter(F.col("_c") > hot).select(*key)
-    if heavy.isEmpty():
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    heavy = maybe_broadcast(heavy)
-    usual = df.join(heavy, list(key), "left_anti").withColumn(name, F.row_number().over(window).cast("bigint"))
-    large = number_rows(df.join(heavy, list(key), "left_semi"), order, within=key, name=name)
-    return usual.select(*df.columns, name).unionByName(large.select(*df.columns, name))
+def number_within(df: DataFrame, key: Sequence[str], order: Sequence[Column], name: str = "n") -> DataFrame:
+    """``row_number`` per key by range partitioning, so a key of any size is spread over tasks."""
+    return number_rows(df, order, within=key, name=name)
 
 
 def concat_in_parts(

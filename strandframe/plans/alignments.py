@@ -129,9 +129,9 @@ def j17(spark, sf):
 @query("J7_fix_mates", f"""
 WITH {BLK}, n AS (SELECT regexp_replace(qname, '_\\d+$', '') AS name, flag, rname, pos, mapq, seq, qual, rg, cigar, span FROM fx_alignments JOIN tot USING (cigar)),
 k AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY rname, pos, flag, mapq, cigar, rg, seq, qual) AS k FROM n),
-p AS (SELECT a.*, b.flag AS oflag, b.rname AS orname, b.pos AS opos, CASE WHEN a.flag & 16 <> 0 THEN a.pos + a.span - 1 ELSE a.pos - 1 END AS five,
-             CASE WHEN b.flag & 16 <> 0 THEN b.pos + b.span - 1 ELSE b.pos - 1 END AS ofive
-      FROM k a LEFT JOIN k b ON a.name = b.name AND (a.k - 1) // 2 = (b.k - 1) // 2 AND a.k <> b.k)
+m AS (SELECT *, CASE WHEN flag & 16 <> 0 THEN pos + span - 1 ELSE pos - 1 END AS five FROM k),
+o AS (SELECT *, CASE WHEN k % 2 = 1 THEN lead({'{'}'f': flag, 'r': rname, 'p': pos, 'v': five{'}'}) OVER w ELSE lag({'{'}'f': flag, 'r': rname, 'p': pos, 'v': five{'}'}) OVER w END AS b FROM m WINDOW w AS (PARTITION BY name ORDER BY k)),
+p AS (SELECT *, b.f AS oflag, b.r AS orname, b.p AS opos, b.v AS ofive FROM o)
 SELECT name AS qname, pos, mapq, CAST(CASE WHEN oflag IS NULL THEN (flag | 8) & ~34
     ELSE CASE WHEN oflag & 4 <> 0 THEN ((flag & ~32 | CASE WHEN oflag & 16 <> 0 THEN 32 ELSE 0 END) | 8) & ~2 ELSE (flag & ~32) | CASE WHEN oflag & 16 <> 0 THEN 32 ELSE 0 END END END AS INT) AS flag,
   coalesce(orname, '*') AS rnext, coalesce(opos, 0) AS pnext, CASE WHEN oflag IS NOT NULL AND rname = orname AND flag & 12 = 0 AND oflag & 12 = 0 THEN ofive - five ELSE 0 END AS tlen FROM p""")
@@ -299,7 +299,8 @@ def o1(spark, sf):
 
 
 @query("O2_natural_key", """
-SELECT qname, concat('q', lpad(split_part(substr(qname, 2), '_', 1), 20, '0'), '_', lpad(split_part(qname, '_', 2), 20, '0')) AS k FROM fx_alignments""")
+WITH p AS (SELECT qname, split_part(substr(qname, 2), '_', 1) AS a, split_part(qname, '_', 2) AS b FROM fx_alignments)
+SELECT qname, concat('q', lpad(CAST(length(a) AS VARCHAR), 10, '0'), a, '_', lpad(CAST(length(b) AS VARCHAR), 10, '0'), b) AS k FROM p""")
 def o2(spark, sf):
     from ..functions.names import natural_key
 

@@ -253,7 +253,7 @@ def j16(spark, sf):
 
 @query("J10_parse_regions", """
 SELECT concat('chr', l_suppkey % 10) AS name, CASE WHEN l_linenumber IN (1, 2) THEN 1 ELSE l_partkey * 1000 + 1000 END AS beg,
-       CASE WHEN l_linenumber IN (1, 3) THEN 536870911 ELSE l_partkey * 1000 + 5000 END AS "end" FROM lineitem""")
+       CASE WHEN l_linenumber IN (1, 3) THEN NULL ELSE l_partkey * 1000 + 5000 END AS "end" FROM lineitem""")
 def j10p(spark, sf):
     n, chrom = F.col("l_linenumber"), F.concat(F.lit("chr"), F.col("l_suppkey") % 10)
     lo, hi = F.format_number(F.col("l_partkey") * 1000 + 1000, 0), F.format_number(F.col("l_partkey") * 1000 + 5000, 0)

@@ -16,7 +16,7 @@ def _genome_records(spark: SparkSession, path) -> DataFrame:
 def genome_sequences(spark: SparkSession, path) -> DataFrame:
     origin = F.regexp_replace(F.substring_index("r", "\nORIGIN", -1), r"^[^\n]*\n", "")
     text = F.when(F.col("r").contains("\nORIGIN"), F.upper(F.regexp_replace(origin, r"[\s\d]", ""))).otherwise(F.lit(""))
-    description = F.regexp_replace(F.regexp_extract("r", r"\nDEFINITION\s+([^\n]*(?:\n {12}[^\n]*){0,20})", 1), r"\s+", " ")
+    description = F.regexp_replace(F.regexp_extract("r", r"\nDEFINITION\s+([^\n]*(?:\n {12}[^\n]*)*)", 1), r"\s+", " ")
     return _genome_records(spark, path).select("file", "seqid", description.alias("description"), text.alias("seq"))
 
 

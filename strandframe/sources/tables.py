@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.common import first_of_key, keyed
+
 # Column names of the formats.
 HIT_COLUMNS = ("name1 string, name2 string, percent_id double, al_len long, mismatch_bp long, gap_openings long, "
                "start1 long, end1 long, start2 long, end2 long, evalue double, bitscore double")
@@ -46,17 +48,17 @@ def read_sam(spark: SparkSession, path) -> DataFrame:
     kinds = {"flag": "int", "mapq": "int", "pos": "bigint", "pnext": "bigint", "tlen": "bigint"}
     return split.select(
         *[_tab(i).cast(kinds.get(n, "string")).alias(n) for i, n in enumerate(names)],
-        F.map_from_entries(F.transform(extra, lambda t: F.struct(t[0], t[2]))).alias("tags"),
-        F.map_from_entries(F.transform(extra, lambda t: F.struct(t[0], t[1]))).alias("tag_types"),
+        first_of_key(F.transform(extra, lambda t: F.struct(t[0].alias("k"), t[2].alias("v")))).alias("tags"),
+        first_of_key(F.transform(extra, lambda t: F.struct(t[0].alias("k"), t[1].alias("v")))).alias("tag_types"),
     ).withColumn("rg", F.try_element_at("tags", F.lit("RG")))
 
 
 def sam_header(spark: SparkSession, path) -> DataFrame:
     """Header lines as (kind, key, tags)."""
     lines = _lines(spark, path).filter(F.col("value").rlike("^@[A-Z]{2}\t"))
-    tags = F.map_from_entries(F.transform(
+    tags = first_of_key(F.transform(
         F.filter(F.slice(F.split("value", "\t"), F.lit(2), F.greatest(F.size(F.split("value", "\t")) - 1, F.lit(0))), lambda t: t.contains(":")),
-        lambda t: F.struct(F.split(t, ":", 2)[0], F.split(t, ":", 2)[1])))
+        lambda t: F.struct(F.split(t, ":", 2)[0].alias("k"), F.split(t, ":", 2)[1].alias("v"))))
     out = lines.select(F.substring("value", 2, 2).alias("kind"), tags.alias("tags"))
     return out.withColumn("key", F.coalesce(F.try_element_at("tags", F.lit("SN")), F.try_element_at("tags", F.lit("ID")), F.lit("")))
 
@@ -95,7 +97,7 @@ def read_gff3(spark: SparkSession, path) -> DataFrame:
     return split.select(
         col(0).alias("seqid"), col(1).alias("source"), col(2).alias("type"), col(3).cast("bigint").alias("start"),
         col(4).cast("bigint").alias("end"), col(5).try_cast("double").alias("score"), col(6).alias("strand"), col(7).alias("phase"),
-        F.str_to_map(col(8), F.lit(";"), F.lit("=")).alias("attrs"))
+        keyed(col(8), ";", "=").alias("attrs"))
 
 
 GFF_KNOWN = "ID Name Alias Parent Target Gap Derives_from Note Dbxref Ontology_term".split()
@@ -186,7 +188,7 @@ def read_vcf(spark: SparkSession, path) -> DataFrame:
         _tab(0).alias("chrom"), _tab(1).cast("bigint").alias("pos"), _tab(2).alias("id"), _tab(3).alias("ref"), _tab(4).alias("alt"),
         _tab(5).try_cast("double").alias("qual"), _tab(6).alias("filter"), _tab(7).alias("info"), _tab(8).alias("format"),
         F.slice("_f", F.lit(10), F.greatest(F.size("_f") - 9, F.lit(0))).alias("samples"),
-        F.str_to_map(_tab(7), F.lit(";"), F.lit("=")).alias("info_map"), F.split(_tab(4), ",").alias("alts"))
+        keyed(_tab(7), ";", "=").alias("info_map"), F.split(_tab(4), ",").alias("alts"))
 
 
 def vcf_header(spark: SparkSession, path) -> DataFrame:

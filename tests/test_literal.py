@@ -260,7 +260,7 @@ def test_scale_helpers(spark):
     df = spark.range(n).select((F.col("id") % 7 == 0).alias("hot"), F.col("id"), (F.col("id") * 37 % n).alias("k"))
     numbered = S.number_rows(df, [F.col("k")], within=["hot"])
     assert numbered.groupBy("hot").agg((F.max("n") == F.count("*")).alias("ok"), (F.countDistinct("n") == F.count("*")).alias("u")).filter("ok AND u").count() == 2
-    w = S.number_within(df, ["hot"], [F.col("k")], hot=1000)
+    w = S.number_within(df, ["hot"], [F.col("k")])
     assert w.join(numbered.select("id", F.col("n").alias("m")), "id").filter("n <> m").isEmpty()
     total = S.running_sum(df.withColumn("g", F.lit(1)), ["g"], "id", {"upto": "k"}, width=64)
     assert one(total.filter(F.col("id") == n - 1)).upto == n * (n - 1) // 2
@@ -301,3 +301,24 @@ def test_edits(spark):
     assert one(P.apply_variants(c, e)).seq == "ATGTGGACAC"
     tiny = P.apply_edits(c, P.as_edits(e), chunk=3)
     assert one(tiny).seq == "ATGTGGACAC"
+
+
+def test_long_regions_names_and_descriptions(spark, tmp_path):
+    from strandframe.operators import contigs
+    from strandframe.sources import records
+
+    got = contigs.parse_regions(spark.createDataFrame([("c:600,000,000",), ("c",), ("c:5-700000000",)], "region string")).collect()
+    assert [(r.beg, r.end) for r in got] == [(600_000_000, None), (1, None), (5, 700_000_000)]
+    df = spark.createDataFrame([("c" + "1" * 24,), ("c" + "1" * 23 + "2",), ("c" + "9" * 20,)], "v string")
+    assert [r.v[-1] + str(len(r.v)) for r in df.orderBy(names.natural_key("v")).collect()] == ["921", "125", "225"]
+    lines = "\n".join(f"            w{i}" for i in range(1, 30))
+    (tmp_path / "g.gbk").write_text(f"LOCUS       s1 10 bp\nDEFINITION  w0\n{lines}\nORIGIN\n        1 acgt\n//\n")
+    assert records.genome_sequences(spark, str(tmp_path)).first().description.split() == [f"w{i}" for i in range(30)]
+
+
+def test_repeated_keys_and_all_places(spark):
+    from strandframe.functions import common, dna
+
+    df = spark.createDataFrame([("DP=1;DP=2;FLAG;X=a=b", "ATATATA", "ATA"), (None, "", "A"), ("", "A.A.", ".A")], "info string, s string, p string")
+    got = df.select(common.keyed("info", ";", "=").alias("m"), dna.all_indexes("s", "p").alias("i")).collect()
+    assert got[0].m == {"DP": "1", "FLAG": None, "X": "a=b"} and [r.i for r in got] == [[1, 3, 5], [], [2]]
