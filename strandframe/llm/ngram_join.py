@@ -24,6 +24,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +33,13 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .components import components
-from .text import LOWER, SPACE, Texts, mix, slices, windows
+from .text import LOWER, SPACE, Texts, member, mix, slices, sums, windows
 
 SHINGLE = 3
 #: Threshold as a fraction: intersection / union >= 90 / 100.
 NUM, DEN = 90, 100
 SKETCH_BITS, BITMAP_BITS = 18, 24
-MARKS, SAMPLE = 8, 8
+MARKS = 8
 
 
 def least_overlap(a: int, b: int) -> int:
@@ -114,15 +115,6 @@ def _levels(sketch: DataFrame) -> np.ndarray:
     return np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint8)
 
 
-def _keys(x) -> np.ndarray:
-    return np.frombuffer(x.as_buffer(), np.uint64)
-
-
-def _kept(batch: pa.RecordBatch, keep: list[bool]) -> pa.RecordBatch:
-    mask = pa.array(keep, pa.bool_())
-    return pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
-
-
 def _lists(parts: list[np.ndarray], kind) -> pa.ListArray:
     offsets = np.cumsum([0, *map(len, parts)])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts).astype(kind)))
@@ -159,10 +151,10 @@ class Tree:
         below.add(entry, sequence, at + 1)
 
     def partners(self, entry: tuple, sequence: list[int]) -> Iterator[int]:
-        """Earlier nodes of other classes that can still reach the threshold with ``entry``."""
-        node, group, n, marks = entry
+        """Places of earlier nodes of other classes that can still reach the threshold with ``entry``."""
+        place, group, n, marks = entry
         tail = n - prefix_length(n)
-        place = {t: i for i, t in reversed(list(enumerate(sequence)))}  # of numbers that collide the first
+        at_of = {t: i for i, t in enumerate(sequence)}
         todo = [(self, 0, 0)]
         while todo:
             here, common, used = todo.pop()
@@ -172,14 +164,14 @@ class Tree:
             if 1 + common + (len(sequence) - used) + tail < least_overlap(n, here.least):
                 continue
             for other, its_group, size, its_marks in here.held:
-                if its_group != group and other != node and reaches(n, marks, size, its_marks, 1 + common):
+                if its_group != group and reaches(n, marks, size, its_marks, 1 + common):
                     yield other
             for token, below in here.next.items():
-                at = place.get(token)
+                at = at_of.get(token)
                 if isinstance(below, tuple):
                     (other, its_group, size, its_marks), its_tokens, its_at = below
-                    if its_group != group and other != node and size * DEN >= n * NUM:
-                        shared = 1 + common + (at is not None) + sum(map(place.__contains__, its_tokens[its_at:]))
+                    if its_group != group and size * DEN >= n * NUM:
+                        shared = 1 + common + (at is not None) + sum(map(at_of.__contains__, its_tokens[its_at:]))
                         if reaches(n, marks, size, its_marks, shared):
                             yield other
                 else:
@@ -208,35 +200,124 @@ def rest_bound(n: int, marks: list[int], m: int, other: list[int]) -> int:
     return min(rest, m - (mark_counts(m)[at - 1] if at else 0))
 
 
+def _may_reach(n: np.ndarray, m: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """``reaches`` for arrays of couples, with a looser bound behind the prefixes; n <= m."""
+    rest = m - (m - (NUM * m + DEN - 1) // DEN + 1)
+    return (n * DEN >= m * NUM) & (shared + rest >= -(-NUM * (n + m) // (NUM + DEN)))
+
+
+BLOCK = "token long, node long, partners array<long>"
+
+
 def _couples(limit: int | None):
-    """Streams blocks of one shingle, sorted by size, and yields couples (a, b)."""
+    """Streams blocks of one shingle, sorted by size. Gives a row for each node of a block that is in
+    a couple, with the earlier nodes it may link to. A couple counts in the block of its first common shingle."""
+
+    def block(out: list, token: int, rows: range, nodes, groups, sizes, marks, tokens, offsets, at) -> None:
+        tree, before, after = Tree(), {}, {}
+        found: dict[int, list[int]] = {}
+        for i in rows:
+            own = tokens[offsets[i] : offsets[i + 1]].tolist()
+            before[i], after = set(own[: at[i]]), own[at[i] + 1 :]
+            entry = (i, int(groups[i]), int(sizes[i]), marks[i].tolist())
+            if tree.most:
+                n = 0
+                for j in tree.partners(entry, after):
+                    if before[i].isdisjoint(before[j]):
+                        found.setdefault(i, []).append(j)
+                        found.setdefault(j, [])
+                        n += 1
+                        if n == limit:
+                            break
+            tree.add(entry, after)
+        for i, partners in found.items():
+            out.append((token, int(nodes[i]), [int(nodes[j]) for j in partners]))
+
+    def emit(out: list) -> pa.RecordBatch:
+        t, node, partners = zip(*out)
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(node, pa.int64()), pa.array(partners, pa.list_(pa.int64()))], names=["token", "node", "partners"])
 
     def run(batches):
-        out: list[tuple[int, int]] = []
-        token, tree = None, Tree()
-        for batch in batches:
-            tokens, nodes, groups, sizes, all_marks, sequences = (c.to_pylist() for c in batch.columns)
-            for t, node, group, n, marks, sequence in zip(tokens, nodes, groups, sizes, all_marks, sequences):
-                if t != token:
-                    token, tree = t, Tree()
-                entry = (node, group, n, marks)
-                if tree.most:
-                    for k, other in enumerate(tree.partners(entry, sequence)):
-                        if k == limit:
-                            break
-                        out.append((node, other))
-                tree.add(entry, sequence)
-            if len(out) > 20_000:
-                yield _pairs(out)
-                out = []
+        out: list = []
+        held = None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                table = pa.Table.from_batches([batch] if held is None else [held, batch])
+                batch = table.combine_chunks().to_batches()[0] if table.num_rows else batch
+            else:
+                batch = held
+            if batch is None or not batch.num_rows:
+                continue
+            token = batch.column(0).to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1, [len(token)]])
+            if held is not batch:  # the last block may go on
+                held = batch.slice(int(edges[-2]))
+                edges = edges[:-1]
+            nodes, groups, sizes, at = (batch.column(k).to_numpy() for k in (1, 2, 3, 4))
+            marks = batch.column(5).flatten().to_numpy().reshape(-1, MARKS)
+            lists = batch.column(6)
+            tokens, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            after = np.diff(offsets) - at - 1
+            counts = np.diff(edges)
+            two = edges[:-1][counts == 2]  # most blocks: a look at the sizes settles nearly all
+            two = two[_may_reach(sizes[two], sizes[two + 1], 1 + np.minimum(after[two], after[two + 1])) & (groups[two] != groups[two + 1])]
+            for first, n in chain(zip(two.tolist(), [2] * len(two)), zip(edges[:-1][counts > 2].tolist(), counts[counts > 2].tolist())):
+                block(out, int(token[first]), range(first, first + n), nodes, groups, sizes, marks, tokens, offsets, at)
+                if len(out) > 20_000:
+                    yield emit(out)
         if out:
-            yield _pairs(out)
+            yield emit(out)
 
     return run
 
 
+def _verified(batches):
+    """Streams blocks with the whole sets of their nodes; gives links that join all that is linked in a block."""
+    out: list[tuple[int, int]] = []
+    sets: dict[int, np.ndarray] = {}
+    wanted: dict[int, list[int]] = {}
+    token = None
+
+    def settle() -> None:
+        parent = {x: x for x in sets}
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for node, partners in wanted.items():
+            partners = [p for p in partners if p in sets and root(p) != root(node)]
+            for first in range(0, len(partners), 256):
+                part = [p for p in partners[first : first + 256] if root(p) != root(node)]
+                if not part:
+                    continue
+                own, lengths = sets[node], np.array([len(sets[p]) for p in part])
+                shared = sums(member(own, np.concatenate([sets[p] for p in part]))[1], lengths)
+                for p in np.flatnonzero(shared >= -(-NUM * (len(own) + lengths) // (NUM + DEN))).tolist():
+                    if root(part[p]) != root(node):
+                        parent[root(part[p])] = root(node)
+                        out.append((node, part[p]))
+
+    for batch in batches:
+        for t, node, partners, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+            if t != token:
+                settle()
+                sets, wanted, token = {}, {}, t
+                if len(out) > 20_000:
+                    yield _pairs(out)
+                    out = []
+            sets[node] = np.frombuffer(keys.as_buffer(), np.uint64)
+            if partners:
+                wanted[node] = partners
+    settle()
+    if out:
+        yield _pairs(out)
+
+
 def _pairs(rows):
-    a = np.array(rows, np.int64)
+    a = np.sort(np.array(rows, np.int64), axis=1)
     return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
 
 
@@ -259,27 +340,26 @@ class Join:
         return self.spark.read.parquet(path)
 
     def prefixes(self) -> DataFrame:
-        """(node, n, prefix, marks, sample): its first shingles, every eighth of them as a mark, and an eighth of the set."""
+        """(node, n, prefix, marks): its first shingles, and every eighth of them as a mark."""
         levels = self.levels
 
         def run(batches):
             order = levels.value
             for batch in batches:
                 for _, _, part in slices(batch.column(0)):
-                    nodes, sizes, heads, marks, samples = [], [], [], [], []
+                    nodes, sizes, heads, marks = [], [], [], []
                     for s in shingle_sets(part):
                         if len(s):
                             nodes.append(node_of(s))
                             sizes.append(len(s))
                             heads.append(token_order(order, s)[: prefix_length(len(s))].view(np.int64))
                             marks.append(heads[-1][np.array(mark_counts(len(s))) - 1] >> 32)
-                            samples.append(s[(s & np.uint64(SAMPLE - 1)) == 0].tobytes())
                     if nodes:
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(heads, np.int64), _lists(marks, np.int32), pa.array(samples, pa.binary())],
-                            names=["node", "n", "prefix", "marks", "sample"])
+                            [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(heads, np.int64), _lists(marks, np.int32)],
+                            names=["node", "n", "prefix", "marks"])
 
-        return self.texts.select("text").mapInArrow(run, "node long, n long, prefix array<long>, marks array<int>, sample binary").dropDuplicates(["node"])
+        return self.texts.select("text").mapInArrow(run, "node long, n long, prefix array<long>, marks array<int>").dropDuplicates(["node"])
 
     def blocks(self) -> DataFrame:
         """(node, n, marks, tokens): each node's prefix, cut to shingles that other nodes have in theirs."""
@@ -289,45 +369,23 @@ class Join:
         return cut.join(self.heads.select("node", "n", "marks"), "node")
 
     def couples(self, groups: DataFrame | None, limit: int | None) -> DataFrame:
-        """Candidate couples of nodes in different classes."""
+        """Blocks with the candidate couples of nodes in different classes."""
         entries = self.entries
         if groups is None:
             entries = entries.withColumn("label", F.col("node"))
         else:
             known = groups.select(F.col("node").alias("_g"), "label")
             entries = entries.join(known, F.col("node") == F.col("_g"), "left").withColumn("label", F.coalesce("label", "node"))
-        short = F.transform("tokens", lambda x: F.hash(x))
-        each = entries.select("node", "label", "n", "marks", short.alias("short"), F.posexplode("tokens").alias("pos", "token"))
-        each = each.select("token", "node", "label", "n", "marks", F.slice("short", F.col("pos") + 2, F.size("short")).alias("rest"))
+        each = entries.select("node", "label", "n", "marks", F.col("tokens").alias("own"), F.posexplode("tokens").alias("at", "token"))
         if groups is not None:
             mixed = entries.select("label", F.explode("tokens").alias("token")).groupBy("token").agg(F.min("label").alias("_x"), F.max("label").alias("_y"))
             each = each.join(mixed.filter("_x <> _y").select("token"), "token")
         dealt = each.repartition("token").sortWithinPartitions("token", "n", "node")
-        found = dealt.select("token", "node", "label", "n", "marks", "rest").mapInArrow(_couples(limit), "a long, b long")
-        return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return dealt.select("token", "node", "label", "n", "at", "marks", "own").mapInArrow(_couples(limit), BLOCK)
 
-    def likely(self, couples: DataFrame) -> DataFrame:
-        """Couples that an eighth of their sets does not rule out: what the rest can share is bounded by its size."""
-        part = self.heads.select("node", "n", "sample")
-        left = couples.join(part, F.col("a") == F.col("node")).select("a", "b", F.col("n").alias("na"), F.col("sample").alias("sa"))
-        both = left.join(part, F.col("b") == F.col("node")).select("a", "b", "na", "sa", F.col("n").alias("nb"), F.col("sample").alias("sb"))
-
-        def check(batches):
-            for batch in batches:
-                keep = []
-                sizes = zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())
-                for (n, m), x, y in zip(sizes, batch.column(3), batch.column(5)):
-                    p, q = _keys(x), _keys(y)
-                    most = len(np.intersect1d(p, q, assume_unique=True)) + min(n - len(p), m - len(q))
-                    keep.append(most >= least_overlap(n, m))
-                yield _kept(batch, keep)
-
-        return both.mapInArrow(check, "a long, b long")
-
-    def verify(self, couples: DataFrame) -> DataFrame:
-        """The couples whose whole sets reach the threshold."""
-        couples = self.keep(self.likely(couples), "likely")
-        ends = couples.select(F.explode(F.array("a", "b")).alias("e")).distinct()
+    def verify(self, blocks: DataFrame) -> DataFrame:
+        """Links between nodes whose whole sets reach the threshold: enough to join all that the blocks link."""
+        ends = blocks.select(F.col("node").alias("e")).distinct()
         texts = self.rows.groupBy("node").agg(F.min("key").alias("key")).join(ends, F.col("node") == F.col("e"), "left_semi").select("key")
         # a bitmap of fixed size tells most other texts apart before their sets are made
         texts = self.keep(texts.select(F.pmod("key", F.lit(1 << BITMAP_BITS)).alias("at")), "ends")
@@ -346,31 +404,15 @@ class Join:
                     if held:
                         yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in held], pa.int64()), pa.array([s.tobytes() for s in held], pa.binary())], names=["node", "keys"])
 
-        whole = self.texts.select("text", "key").mapInArrow(sets, "node long, keys binary")
-        whole = whole.join(ends, F.col("node") == F.col("e"), "left_semi").dropDuplicates(["node"])
-        whole = self.keep(whole, "whole")
-        left = couples.join(whole, F.col("a") == F.col("node")).select("a", "b", F.col("keys").alias("ka"))
-        both = left.join(whole, F.col("b") == F.col("node")).select("a", "b", "ka", F.col("keys").alias("kb"))
-
-        def check(batches):
-            for batch in batches:
-                keep = []
-                for x, y in zip(batch.column(2), batch.column(3)):
-                    p, q = _keys(x), _keys(y)
-                    keep.append(len(np.intersect1d(p, q, assume_unique=True)) >= least_overlap(len(p), len(q)))
-                yield _kept(batch, keep)
-
-        return both.mapInArrow(check, "a long, b long")
+        whole = self.texts.select("text", "key").mapInArrow(sets, "node long, keys binary").dropDuplicates(["node"])
+        both = blocks.join(whole, "node").select("token", "node", "partners", "keys")
+        return both.repartition("token").sortWithinPartitions("token").mapInArrow(_verified, "a long, b long")
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified links that connect all classes, and (node, label)."""
-        first = self.couples(None, 2).groupBy("a", "b").agg(F.count("*").alias("k"))
-        # of the partners that the blocks of a node name, the most frequent one
-        best = first.groupBy("a").agg(F.max(F.struct("k", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-        best = best.unionByName(first.groupBy("b").agg(F.max(F.struct("k", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")).distinct()
-        found = self.keep(self.verify(self.keep(best, "couples")), "links")
+        found = self.keep(self.verify(self.keep(self.couples(None, 1), "couples")), "links")
         groups = components(found)
-        more = self.keep(self.couples(groups, None).distinct(), "couples")
+        more = self.keep(self.couples(groups, None), "couples")
         if not more.isEmpty():
             found = found.unionByName(self.keep(self.verify(more), "links"))
             groups = components(found)
