@@ -13,6 +13,11 @@ from strandframe.llm import decontaminate, ngram_join, pii, quality, sentencepie
 from strandframe.session import scratch_path
 
 
+def with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars`` follows the text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality.quality_rules(docs).filter("kept").select(*docs.columns)
@@ -26,12 +31,12 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages cut out; documents that consist of them mostly go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.remove_overlap(docs, benchmark).select(*docs.columns)
+    return with_length(decontaminate.remove_overlap(docs, benchmark)).select(*docs.columns)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind."""
-    return pii.redact(docs).select(*docs.columns)
+    return with_length(pii.redact(docs)).select(*docs.columns)
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .text import LOWER, SPACE, Texts, annotate, mix, repeated, slices, sums, windows
+from .text import SPACE, Texts, annotate, mix, repeated, replace_names, slices, sums, windows
 
 CLASSES, ORDER = 40, 4
 GRAMS = CLASSES**ORDER
@@ -225,6 +225,7 @@ def quality_rules(docs: DataFrame, lower: float = LOWER_WIDTH, upper: float = UP
     Needs ``text`` and ``lang``. Bands are one row per language in a written table; up to
     ``LANGUAGES_TO_BROADCAST`` of them are broadcast, more join by shuffle.
     """
+    docs = replace_names(docs, ["log_ppl", "ppl_low", "ppl_high", "base_failed", "kept"])
     scored = score_documents(docs, fit_model(docs))
     bands = cut_lineage(language_bands(scored, lower, upper))
     few = bands.limit(LANGUAGES_TO_BROADCAST + 1).count() <= LANGUAGES_TO_BROADCAST
