@@ -25,8 +25,9 @@ from .text import SPACE, Texts, annotate, mix, repeated, replace_names, slices,
 CLASSES, ORDER = 40, 4
 GRAMS = CLASSES**ORDER
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-#: Standard deviations of log perplexity, below and above the mean of the language.
-LOWER_WIDTH, UPPER_WIDTH = 4.0, 4.0
+#: Standard deviations of log perplexity, below and above the mean of the language. A text of few
+#: bytes varies more: the variance of its bytes over their number is added.
+LOWER_WIDTH, UPPER_WIDTH = 3.0, 2.5
 #: A language table up to so many rows is broadcast; beyond it the join shuffles.
 LANGUAGES_TO_BROADCAST = 10_000
 
@@ -180,7 +181,8 @@ def base_counts(texts: Texts) -> list[np.ndarray]:
 
 
 def score_documents(docs: DataFrame, model: KneserNey, column: str = "text") -> DataFrame:
-    """Adds the base counts and ``log_ppl``, the mean negative log probability of a byte (null without text)."""
+    """Adds the base counts, ``log_ppl``, the mean negative log probability of a byte (null without text),
+    and ``log_var``, the variance of these."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def kernel():
@@ -194,41 +196,43 @@ def score_documents(docs: DataFrame, model: KneserNey, column: str = "text") ->
                 present = np.flatnonzero(np.bincount(code, minlength=GRAMS))
                 dense = np.zeros(GRAMS, np.float32)
                 dense[present] = known.score(present)
-                total = -sums(dense[code].astype(np.float64), length)
+                each = dense[code].astype(np.float64)
+                total, squares = -sums(each, length), sums(each * each, length)
             else:
-                total = np.zeros(len(texts))
+                total = squares = np.zeros(len(texts))
             mean = total / np.maximum(length, 1)
-            return [*out, pa.array(mean, mask=length == 0)]
+            spread = np.maximum(squares / np.maximum(length, 1) - mean * mean, 0)
+            return [*out, pa.array(mean, mask=length == 0), pa.array(spread, mask=length == 0)]
 
         return run
 
-    return annotate(docs, COUNTS + ", log_ppl double", kernel, column)
+    return annotate(docs, COUNTS + ", log_ppl double, log_var double", kernel, column)
 
 
 def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def language_bands(scored: DataFrame, lower: float = LOWER_WIDTH, upper: float = UPPER_WIDTH) -> DataFrame:
-    """Band of log perplexity per language, from all documents that pass the base rules."""
+def language_bands(scored: DataFrame) -> DataFrame:
+    """Mean and variance of log perplexity per language, and the mean variance of a byte, from all documents that pass the base rules."""
     return (
-        scored.filter(~base_failed()).groupBy("lang")
-        .agg(F.avg("log_ppl").alias("_mean"), F.coalesce(F.stddev_pop("log_ppl"), F.lit(0.0)).alias("_sd"))
-        .select(F.col("lang").alias("_lang"), (F.col("_mean") - lower * F.col("_sd") - 1e-9).alias("ppl_low"),
-                (F.col("_mean") + upper * F.col("_sd") + 1e-9).alias("ppl_high"))
+        scored.filter(~base_failed()).groupBy(F.col("lang").alias("_lang"))
+        .agg(F.avg("log_ppl").alias("_mean"), F.coalesce(F.var_pop("log_ppl"), F.lit(0.0)).alias("_var"), F.avg("log_var").alias("_byte"))
     )
 
 
 def quality_rules(docs: DataFrame, lower: float = LOWER_WIDTH, upper: float = UPPER_WIDTH) -> DataFrame:
-    """Adds counts, ``log_ppl``, the band of its language, ``base_failed`` and ``kept``.
+    """Adds counts, ``log_ppl``, its band (``ppl_low``, ``ppl_high``), ``base_failed`` and ``kept``.
 
     Needs ``text`` and ``lang``. Bands are one row per language in a written table; up to
     ``LANGUAGES_TO_BROADCAST`` of them are broadcast, more join by shuffle.
     """
-    docs = replace_names(docs, ["log_ppl", "ppl_low", "ppl_high", "base_failed", "kept"])
+    docs = replace_names(docs, ["log_ppl", "log_var", "ppl_low", "ppl_high", "base_failed", "kept"])
     scored = score_documents(docs, fit_model(docs))
-    bands = cut_lineage(language_bands(scored, lower, upper))
+    bands = cut_lineage(language_bands(scored))
     few = bands.limit(LANGUAGES_TO_BROADCAST + 1).count() <= LANGUAGES_TO_BROADCAST
-    joined = scored.join(F.broadcast(bands) if few else bands, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
+    joined = scored.join(F.broadcast(bands) if few else bands, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    width = F.sqrt(F.col("_var") + F.col("_byte") / F.greatest(F.octet_length("text"), F.lit(1))) + 1e-9
+    joined = joined.withColumn("ppl_low", F.col("_mean") - lower * width).withColumn("ppl_high", F.col("_mean") + upper * width)
     fits = F.coalesce(F.col("log_ppl").between(F.col("ppl_low"), F.col("ppl_high")), F.lit(False))
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & fits)
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & fits).drop("_lang", "_mean", "_var", "_byte", "log_var")
