@@ -28,7 +28,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -362,10 +362,11 @@ class Join:
         return self.texts.select("text").mapInArrow(run, "node long, n long, prefix array<long>, marks array<int>").dropDuplicates(["node"])
 
     def blocks(self) -> DataFrame:
-        """(node, n, marks, tokens): each node's prefix, cut to shingles that other nodes have in theirs."""
-        each = self.heads.select("node", F.explode("prefix").alias("token"))
+        """(node, n, marks, tokens, places): each node's prefix, cut to shingles that other nodes have in theirs."""
+        each = self.heads.select("node", F.posexplode("prefix").alias("place", "token"))
         shared = each.groupBy("token").agg(F.count("*").alias("_c")).filter("_c > 1").select("token")
-        cut = each.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+        cut = each.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("token", "place"))).alias("both"))
+        cut = cut.select("node", F.col("both.token").alias("tokens"), F.col("both.place").alias("places"))
         return cut.join(self.heads.select("node", "n", "marks"), "node")
 
     def couples(self, groups: DataFrame | None, limit: int | None) -> DataFrame:
@@ -376,11 +377,21 @@ class Join:
         else:
             known = groups.select(F.col("node").alias("_g"), "label")
             entries = entries.join(known, F.col("node") == F.col("_g"), "left").withColumn("label", F.coalesce("label", "node"))
-        each = entries.select("node", "label", "n", "marks", F.col("tokens").alias("own"), F.posexplode("tokens").alias("at", "token"))
+        each = entries.select("node", "label", "n", "places", F.posexplode("tokens").alias("at", "token"))
+        each = each.select("token", "node", "label", "n", "at", F.get("places", F.col("at")).alias("place"))
         if groups is not None:
-            mixed = entries.select("label", F.explode("tokens").alias("token")).groupBy("token").agg(F.min("label").alias("_x"), F.max("label").alias("_y"))
+            mixed = each.groupBy("token").agg(F.min("label").alias("_x"), F.max("label").alias("_y"))
             each = each.join(mixed.filter("_x <> _y").select("token"), "token")
-        dealt = each.repartition("token").sortWithinPartitions("token", "n", "node")
+        # the smaller set of a couple has their first common shingle among even fewer of its first ones;
+        # only rows that meet such a one of fitting size get their sequences
+        order = Window.partitionBy("token").orderBy("n", "node")
+        early = F.col("place") <= F.col("n") - F.ceil(F.lit(2 * NUM) * F.col("n") / F.lit(NUM + DEN))
+        each = each.withColumn("early", early).withColumn("next", F.lead("n").over(order))
+        each = each.withColumn("before", F.max(F.when(F.col("early"), F.col("n"))).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+        meets = (F.col("early") & (F.col("next") * NUM <= F.col("n") * DEN)) | (F.col("before") * DEN >= F.col("n") * NUM)
+        met = each.filter(meets).select("token", "node", "at")
+        whole = met.join(entries.select("node", "label", "n", "marks", F.col("tokens").alias("own")), "node")
+        dealt = whole.repartition("token").sortWithinPartitions("token", "n", "node")
         return dealt.select("token", "node", "label", "n", "at", "marks", "own").mapInArrow(_couples(limit), BLOCK)
 
     def verify(self, blocks: DataFrame) -> DataFrame:

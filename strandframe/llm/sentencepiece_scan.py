@@ -23,7 +23,6 @@ import struct
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +88,9 @@ class Pieces:
     inside: set[str] = field(default_factory=set)
     bytes_from: dict[int, int] = field(default_factory=dict)
     table: Table | None = None
+    right: dict[str, list[tuple[str, float]]] = field(default_factory=dict)
+    left: dict[str, list[tuple[str, float]]] = field(default_factory=dict)
+    ordered: bool = True
 
     @classmethod
     def read(cls, path: str, kind: int | None = None) -> Pieces:
@@ -108,8 +110,8 @@ class Pieces:
                 dummy = bool(dict(_fields(value)).get(3, 1))
         out = cls(strings, scores, kinds, (kind or own) == MERGES, dummy)
         out.numbers = {s: i for i, (s, k) in enumerate(zip(strings, kinds)) if k == NORMAL}
-        if out.merges:  # a piece that its own merges do not give never occurs
-            out.numbers = {s: i for s, i in out.numbers.items() if merge(s, out.numbers, scores) == [s]}
+        if out.merges:
+            _grow_spines(out)
         out.width = max(map(len, out.numbers), default=1)
         out.begins = {s[:k] for s in out.numbers for k in range(1, len(s) + 1)}
         out.inside = {s[k - 1 : k + 1] for s in out.numbers for k in range(1, len(s))}
@@ -120,6 +122,21 @@ class Pieces:
         return out
 
 
+PLAIN = float("inf")
+
+
+def last_pair(text: str, numbers: dict[str, int], scores: list[float]) -> list[str]:
+    """The two parts that the merges of ``text`` join last; one or more than two parts if they do not give it."""
+    parts = before = list(text)
+    while len(parts) > 1:
+        options = [(-scores[i], k) for k in range(len(parts) - 1) if (i := numbers.get(parts[k] + parts[k + 1])) is not None]
+        if not options:
+            return parts
+        before, k = parts, min(options)[1]
+        parts = [*parts[:k], parts[k] + parts[k + 1], *parts[k + 2 :]]
+    return before
+
+
 def merge(text: str, numbers: dict[str, int], scores: list[float]) -> list[str]:
     """Join the neighbours that form the best piece, the leftmost of equals, until none do."""
     parts = list(text)
@@ -132,6 +149,21 @@ def merge(text: str, numbers: dict[str, int], scores: list[float]) -> list[str]:
     return parts
 
 
+def _grow_spines(model: Pieces) -> None:
+    """For each piece what stands at its right (and left) end while it is merged, and the rank at
+    which that is taken up. A piece that its own merges do not give never occurs and is left out."""
+    split = {s: last_pair(s, model.numbers, model.scores) for s in model.numbers}
+    model.numbers = {s: i for s, i in model.numbers.items() if len(split[s]) == min(2, len(s))}
+    rank = {s: -model.scores[i] for s, i in model.numbers.items()}
+    worst = max(rank.values(), default=0.0)
+    for s in sorted(model.numbers, key=len):
+        for own, end in ((model.right, -1), (model.left, 0)):
+            below = own.get(split[s][end], [(split[s][end], PLAIN)]) if len(s) > 1 else []
+            own[s] = [*below[:-1], *([(below[-1][0], rank[s])] if below else []), (s, PLAIN)]
+        # do the parts always come before the whole?
+        model.ordered &= all(rank.get(x, -PLAIN) < rank[s] for x in split[s] if len(x) > 1) or rank[s] == worst
+
+
 def prefix_hash(codes: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         total = np.zeros(len(codes) + 1, np.uint64)
@@ -196,7 +228,7 @@ class Scan:
     def __init__(self, model: Pieces) -> None:
         self.model = model
         self.joins: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
         self.pair_key = np.full(1 << 20, -1, np.int64)
         self.pair_value = np.zeros(1 << 20, bool)
@@ -212,9 +244,31 @@ class Scan:
         if known is None:
             if len(self.joins) > 4 * CACHE:
                 self.joins.clear()
-            known = self.joins[key] = merge(left + right, self.model.numbers, self.model.scores) == [left, right]
+            known = self.joins[key] = self._apart(left, right)
         return known
 
+    def _apart(self, left: str, right: str) -> bool:
+        """Follow what stands at the common border, by rank: would a merge across it come first?"""
+        model = self.model
+        if model.ordered and left in model.right and right in model.left:
+            a, b, i, j = model.right[left], model.left[right], 0, 0
+            while True:
+                (x, until), (y, other) = a[i], b[j]
+                number = model.numbers.get(x + y)
+                rank = PLAIN if number is None else -model.scores[number]
+                first = min(until, other)
+                if rank < first:
+                    return False
+                if first == PLAIN:
+                    return True
+                if rank == first or until == other:
+                    break  # of equal ranks the place decides
+                if until < other:
+                    i += 1
+                else:
+                    j += 1
+        return merge(left + right, model.numbers, model.scores) == [left, right]
+
     def run(self, text: str, first: int, before: str | None, starts_to: int, stop: int, meet: dict | None = None) -> tuple[dict[int, tuple[float, str | None, int]], int]:
         """Best paths from ``first``, where ``before`` ended, over pieces that start before ``starts_to``.
 
@@ -307,9 +361,9 @@ class Scan:
             self.only_paths(short[first : first + 50_000])
         for unit in todo:
             if unit not in words:
-                words[unit] = self.only_path(unit) if self.model.merges else self.best_path(unit)
+                words[unit] = array("i", self.only_path(unit) if self.model.merges else self.best_path(unit)).tobytes()
         for unit, parts in split.items():
-            words[unit] = list(chain.from_iterable(map(words.__getitem__, parts)))
+            words[unit] = b"".join(map(words.__getitem__, parts))
 
     def only_paths(self, units: list[str]) -> None:
         """The max-plus step over many words at once: from each place on, pieces of growing length
@@ -352,13 +406,14 @@ class Scan:
             rows = rows[place[rows] > 0]
         owner, number = np.concatenate([x[0] for x in steps]), np.concatenate([x[1] for x in steps])
         order = np.argsort(owner, kind="stable")  # each word's pieces from its end
-        number = number[order][::-1].tolist()
-        ends = np.cumsum(np.bincount(owner, minlength=len(units))[::-1]).tolist()
+        raw = number[order][::-1].tobytes()
+        ends = np.cumsum(np.bincount(owner, minlength=len(units))[::-1] * 4).tolist()
         first = 0
         for unit, end in zip(reversed(units), ends):
-            ids = number[first:end]
+            self.words[unit] = raw[first:end]
             first = end
-            self.words[unit] = self.only_path(unit) if -1 in ids else ids
+        for k in np.unique(owner[number < 0]).tolist():  # with a character that has no piece
+            self.words[units[k]] = array("i", self.only_path(units[k])).tobytes()
 
     def pair_fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """``fits`` for many pairs, from a table whose places newer pairs take over."""
@@ -429,7 +484,7 @@ class Scan:
             return self.ids([unit[a:b] for a, b in zip(edges, edges[1:])])
         return ids
 
-    def encode_all(self, texts: list[str]) -> list[array]:
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of some texts; words that are not in the cache are learnt together."""
         split = [self.units.findall(self.normal(t)) for t in texts]
         distinct = set().union(*split)
@@ -441,7 +496,7 @@ class Scan:
             self.pairs.clear()
         self.learn(list(new))
         get = self.words.__getitem__
-        out = [array("i", chain.from_iterable(map(get, units))) for units in split]
+        out = [np.frombuffer(b"".join(map(get, units)), np.int32) for units in split]
         for unit in new:
             if len(unit) > 64:  # long ones would fill the cache
                 self.words.pop(unit, None)
@@ -585,7 +640,7 @@ def encode(docs: DataFrame, model: Pieces, column: str = "text", chunk: int = CH
                 texts = part.column(at).to_pylist()
                 ids = scan.encode_all([t or "" for t in texts])
                 offsets = np.cumsum([0, *map(len, ids)])
-                made = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.frombuffer(x, np.int32) for x in ids])), mask=pa.array([t is None for t in texts]))
+                made = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids)), mask=pa.array([t is None for t in texts]))
                 yield pa.RecordBatch.from_arrays([*part.columns, made], names=schema.names)
 
     long = frame.filter(F.length(column) > chunk).withColumn("_row", F.monotonically_increasing_id())
