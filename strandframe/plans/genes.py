@@ -58,15 +58,16 @@ def w12s(spark, sf):
 
 @query("W15_snap_to_start", """
 WITH r AS (SELECT name, CAST(substr(name, 2) AS BIGINT) % 3 + 1 AS lo, CASE WHEN CAST(substr(name, 2) AS BIGINT) % 2 = 0 THEN '+' ELSE '-' END AS strand, seq FROM fx_contigs),
-h AS (SELECT *, lo + 3 * (least(length(seq) - lo + 1, 300) // 3) - 1 AS hi, lo + least(length(seq) - lo + 1, 300) // 3 AS pos FROM r WHERE length(seq) > 10),
+h AS (SELECT *, lo + 3 * ((length(seq) - lo + 1) // 3) - 1 AS hi, lo + (length(seq) - lo + 1) // 3 AS pos FROM r WHERE length(seq) > 10),
 b AS (SELECT *, pos - 1 - ((pos - 1 - (lo - 1)) % 3) AS here FROM h),
-c AS (SELECT name, lo - 1 + 3 * i AS low, here, pos, lo FROM b, range(0, 101) t(i) WHERE lo + 3 * i + 2 <= hi AND CASE WHEN strand = '-' THEN substr(seq, CAST(lo + 3 * i AS INT), 3) IN ('CAT','CAC') ELSE substr(seq, CAST(lo + 3 * i AS INT), 3) IN ('ATG','GTG') END),
+i AS (SELECT *, unnest(range(0, length(seq) // 3 + 1)) AS i FROM b),
+c AS (SELECT name, lo - 1 + 3 * i AS low, here, pos, lo FROM i WHERE lo + 3 * i + 2 <= hi AND CASE WHEN strand = '-' THEN substr(seq, CAST(lo + 3 * i AS INT), 3) IN ('CAT','CAC') ELSE substr(seq, CAST(lo + 3 * i AS INT), 3) IN ('ATG','GTG') END),
 m AS (SELECT name, min(low) FILTER (WHERE low >= here) AS nx, max(low) FILTER (WHERE low < here AND low > lo - 1) AS pv FROM c GROUP BY name)
 SELECT b.name, CASE WHEN nx IS NULL THEN pv WHEN pv IS NULL THEN nx WHEN pos - 1 - pv < nx - (pos - 1) THEN pv ELSE nx END + CASE WHEN strand = '-' THEN 3 ELSE 1 END AS snapped FROM b LEFT JOIN m USING (name)""")
 def w15(spark, sf):
     k = F.regexp_extract("name", r"(\d+)", 1).cast("bigint")
     rows = contigs(spark, sf).filter(F.length("seq") > 10).withColumn("lo", k % 3 + 1)
-    room = F.least(F.length("seq") - F.col("lo") + 1, F.lit(300))
+    room = F.length("seq") - F.col("lo") + 1
     rows = rows.withColumns({"hi": F.col("lo") + 3 * F.floor(room / 3) - 1, "pos": F.col("lo") + F.floor(room / 3),
                              "strand": F.when(k % 2 == 0, F.lit("+")).otherwise(F.lit("-"))})
     rows = rows.withColumn("seq", F.substr("seq", F.col("lo").cast("int"), (F.col("hi") - F.col("lo") + 1).cast("int")))
