@@ -34,7 +34,7 @@ from .text import _BASE, _INVERSE, _power, mix, replace_names, slices
 
 BLANK = "▁"
 CHUNK = 32_768
-CACHE = 250_000
+CACHE = 150_000
 TOGETHER = 64
 UNIGRAM, MERGES = 1, 2
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
@@ -229,7 +229,6 @@ class Scan:
         self.model = model
         self.joins: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
-        self.pairs: dict[int, bool] = {}
         self.pair_key = np.full(1 << 20, -1, np.int64)
         self.pair_value = np.zeros(1 << 20, bool)
         self.floor = min(model.scores, default=0.0) - 10.0
@@ -242,7 +241,7 @@ class Scan:
         key = (left, right)
         known = self.joins.get(key)
         if known is None:
-            if len(self.joins) > 4 * CACHE:
+            if len(self.joins) > CACHE // 4:
                 self.joins.clear()
             known = self.joins[key] = self._apart(left, right)
         return known
@@ -422,12 +421,8 @@ class Scan:
         out = self.pair_value[place]
         new = np.flatnonzero((self.pair_key[place] != key) & (left >= 0))
         if len(new):
-            strings, pairs = self.model.strings, self.pairs
-            for k, a, b in zip(new.tolist(), left[new].tolist(), right[new].tolist()):
-                known = pairs.get(a << 32 | b)
-                if known is None:
-                    known = pairs[a << 32 | b] = self.fits(strings[a], strings[b])
-                out[k] = known
+            strings = self.model.strings
+            out[new] = [self._apart(strings[a], strings[b]) for a, b in zip(left[new].tolist(), right[new].tolist())]
             _, one = np.unique(place[new], return_index=True)
             new = new[one]
             self.pair_key[place[new]] = key[new]
@@ -441,7 +436,7 @@ class Scan:
 
     def only_path(self, unit: str) -> list[int]:
         """With weights of 0 and minus infinity the one finite path is searched from the left, long pieces first."""
-        get, begins, strings, pairs = self.model.numbers.get, self.model.begins, self.model.strings, self.pairs
+        get, begins, strings = self.model.numbers.get, self.model.begins, self.model.strings
         size, place, left = len(unit), 0, -1
         path: list[tuple[int, int, list]] = []  # place, piece before it, options left there
         failed: set[tuple[int, int]] = set()
@@ -463,13 +458,8 @@ class Scan:
                     options.insert(0, (-1, place + 1))  # a character without a piece
             while options:
                 number, end = options.pop()
-                if left >= 0 and number >= 0:
-                    key = left << 32 | number
-                    known = pairs.get(key)
-                    if known is None:
-                        known = pairs[key] = self.fits(strings[left], strings[number])
-                    if not known:
-                        continue
+                if left >= 0 and number >= 0 and not self.fits(strings[left], strings[number]):
+                    continue
                 if failed and (end, number) in failed:
                     continue
                 path.append((place, left, options))
@@ -492,8 +482,6 @@ class Scan:
         if len(self.words) + len(new) > CACHE:
             self.words.clear()
             new = distinct
-        if len(self.pairs) > 4 * CACHE:
-            self.pairs.clear()
         self.learn(list(new))
         get = self.words.__getitem__
         out = [np.frombuffer(b"".join(map(get, units)), np.int32) for units in split]

@@ -198,5 +198,6 @@ def annotate(df: DataFrame, fields: str, kernel: Callable[[], Callable[[Texts],
                 rest = [batch.column(batch.schema.get_field_index(n)).slice(first, end - first) for n in names]
                 new = [x if isinstance(x, pa.Array) else pa.array(x, type=t) for x, t in zip(work(part), types)]
                 yield pa.RecordBatch.from_arrays([*rest, *new], names=[*names, *[f.name for f in added.fields]])
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
