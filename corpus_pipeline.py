@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from strandframe.llm import decontaminate, ngram_join, pii, quality, sentencepiece_scan
 from strandframe.session import scratch_path
 
+#: Near copies of the pipeline: shingles of five words, similarity of 0.8 or more.
+NEAR = ngram_join.Rule(words=5, num=80, den=100)
+
 
 def with_length(docs: DataFrame) -> DataFrame:
     """``n_chars`` follows the text."""
@@ -25,7 +28,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of linked documents the one with the smallest id; rows that repeat it go too."""
-    return ngram_join.keep_first(docs)
+    return ngram_join.keep_first(docs, rule=NEAR)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

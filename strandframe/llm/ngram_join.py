@@ -1,9 +1,9 @@
 """N-gram Jaccard join with prefix trees, and the classes of documents it links.
 
-A document's set holds its distinct shingles of three words. Documents with equal sets are one
-node. Shingles have one global order: rare before frequent, by a sketch of how often each of
+A document's set holds its distinct shingles of ``rule.words`` words; sets link whose intersection
+is at least ``rule.num / rule.den`` of their union. Documents with equal sets are one node. Shingles have one global order: rare before frequent, by a sketch of how often each of
 2^SKETCH_BITS hash classes occurs in all documents (a fixed size, so it can be broadcast), then by
-hash. Two sets that reach the threshold share a shingle among their first ``n - ceil(0.9 n) + 1``.
+hash. Two sets that reach the threshold t share a shingle among their first ``n - ceil(t n) + 1``.
 
 For each shingle that several nodes have there, a tree holds what else their prefixes share, in
 that order. A node is looked up in the tree of those before it (by size): partial overlaps are
@@ -23,8 +23,9 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,38 +36,51 @@ from ..session import scratch_path
 from .components import components
 from .text import LOWER, SPACE, Texts, member, mix, slices, sums, windows
 
-SHINGLE = 3
-#: Threshold as a fraction: intersection / union >= 90 / 100.
-NUM, DEN = 90, 100
+
+class Rule(NamedTuple):
+    """Words of a shingle, and the threshold as a fraction: intersection / union >= num / den."""
+
+    words: int = 3
+    num: int = 90
+    den: int = 100
+
+
+#: What op7's contract asks for.
+CONTRACT = Rule()
 SKETCH_BITS, BITMAP_BITS = 18, 24
 MARKS = 8
 
 
-def least_overlap(a: int, b: int) -> int:
+def least_overlap(a: int, b: int, rule: Rule) -> int:
     """Smallest intersection of sets of these sizes that reaches the threshold."""
-    return -(-NUM * (a + b) // (NUM + DEN))
+    _, num, den = rule
+    return -(-num * (a + b) // (num + den))
 
 
-def prefix_length(n):
-    return n - (NUM * n + DEN - 1) // DEN + 1
+def prefix_length(n, rule: Rule):
+    _, num, den = rule
+    return n - (num * n + den - 1) // den + 1
 
 
-def shingle_sets(texts: Texts) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Texts, words: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each document."""
     low = Texts(LOWER[texts.data], texts.offsets)
     starts, ends, counts = low.spans(~SPACE)
     hashes = low.hashes(starts, ends)
-    at, keys = windows(hashes, counts, SHINGLE)
+    at, keys = windows(hashes, counts, words)
     last = np.cumsum(counts)
     edges = np.searchsorted(at, last)
     before = 0
     for i, n in enumerate(counts):
-        if n >= SHINGLE:
+        if n >= words:
             yield np.unique(keys[before : edges[i]])
         elif n:
-            own = hashes[last[i] - n : last[i]]
+            own = hashes[last[i] - n : last[i]]  # too short for a shingle: all its words are one
             with np.errstate(over="ignore"):
-                yield mix(np.array([own[0] * np.uint64(n + 7) + (own[1] * np.uint64(0x51ED2701) if n > 1 else np.uint64(0))], np.uint64))
+                total = own[0] * np.uint64(n + 7)
+                for k in range(1, n):
+                    total += own[k] * np.uint64(pow(0x51ED2701, k, 1 << 64))
+                yield mix(np.array([total], np.uint64))
         else:
             yield np.zeros(0, np.uint64)
         before = edges[i]
@@ -81,14 +95,14 @@ def node_of(keys: np.ndarray) -> int:
 SCANNED = ["id", "key", "n", "node", "bucket", "count"]
 
 
-def _scan(batches):
+def _scan(words: int, batches):
     """Per row its id, set size and node; at the end of the task the sketch of all its sets."""
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
     for batch in batches:
         pa.default_memory_pool().release_unused()
         for first, end, part in slices(batch.column(1)):
             sizes, nodes, keys = [], [], []
-            for s in shingle_sets(part):
+            for s in shingle_sets(part, words):
                 sizes.append(len(s))
                 nodes.append(node_of(s) if len(s) else None)
                 keys.append(s)
@@ -135,82 +149,93 @@ class Tree:
         self.least, self.most = 1 << 62, 0
         self.only: int | None = None
 
-    def add(self, entry: tuple, sequence: list[int], at: int = 0) -> None:
+    def add(self, entry: tuple, sequence: list[int]) -> None:
+        """A loop, not recursion: long near copies share paths of thousands of shingles."""
+        here, at = self, 0
+        while True:
+            here._count(entry)
+            if at == len(sequence):
+                here.held.append(entry)
+                return
+            below = here.next.get(sequence[at])
+            if below is None:
+                here.next[sequence[at]] = (entry, sequence, at + 1)
+                return
+            if isinstance(below, tuple):
+                leaf, below = below, Tree()
+                here.next[sequence[at]] = below
+                below._count(leaf[0])
+                if leaf[2] == len(leaf[1]):
+                    below.held.append(leaf[0])
+                else:
+                    below.next[leaf[1][leaf[2]]] = (leaf[0], leaf[1], leaf[2] + 1)
+            here, at = below, at + 1
+
+    def _count(self, entry: tuple) -> None:
         self.only = entry[1] if not self.most else self.only if self.only == entry[1] else None
         self.least, self.most = min(self.least, entry[2]), max(self.most, entry[2])
-        if at == len(sequence):
-            self.held.append(entry)
-            return
-        below = self.next.get(sequence[at])
-        if below is None:
-            self.next[sequence[at]] = (entry, sequence, at + 1)
-            return
-        if isinstance(below, tuple):
-            leaf, below = below, Tree()
-            self.next[sequence[at]] = below
-            below.add(*leaf)
-        below.add(entry, sequence, at + 1)
-
-    def partners(self, entry: tuple, sequence: list[int]) -> Iterator[int]:
+
+    def partners(self, entry: tuple, sequence: list[int], rule: Rule) -> Iterator[int]:
         """Places of earlier nodes of other classes that can still reach the threshold with ``entry``."""
         place, group, n, marks = entry
-        tail = n - prefix_length(n)
+        _, num, den = rule
+        tail = n - prefix_length(n, rule)
         at_of = {t: i for i, t in enumerate(sequence)}
         todo = [(self, 0, 0)]
         while todo:
             here, common, used = todo.pop()
-            if here.most * DEN < n * NUM or (here.only is not None and here.only == group):
+            if here.most * den < n * num or (here.only is not None and here.only == group):
                 continue
             # all that is left of the prefix, and the rest of the set behind it
-            if 1 + common + (len(sequence) - used) + tail < least_overlap(n, here.least):
+            if 1 + common + (len(sequence) - used) + tail < least_overlap(n, here.least, rule):
                 continue
             for other, its_group, size, its_marks in here.held:
-                if its_group != group and reaches(n, marks, size, its_marks, 1 + common):
+                if its_group != group and reaches(n, marks, size, its_marks, 1 + common, rule):
                     yield other
             for token, below in here.next.items():
                 at = at_of.get(token)
                 if isinstance(below, tuple):
                     (other, its_group, size, its_marks), its_tokens, its_at = below
-                    if its_group != group and size * DEN >= n * NUM:
+                    if its_group != group and size * den >= n * num:
                         shared = 1 + common + (at is not None) + sum(map(at_of.__contains__, its_tokens[its_at:]))
-                        if reaches(n, marks, size, its_marks, shared):
+                        if reaches(n, marks, size, its_marks, shared, rule):
                             yield other
                 else:
                     todo.append((below, common, used) if at is None else (below, common + 1, max(used, at + 1)))
 
 
-def reaches(n: int, marks: list[int], m: int, other: list[int], shared: int) -> bool:
-    return m * DEN >= n * NUM and shared + rest_bound(n, marks, m, other) >= least_overlap(n, m)
+def reaches(n: int, marks: list[int], m: int, other: list[int], shared: int, rule: Rule) -> bool:
+    return m * rule.den >= n * rule.num and shared + rest_bound(n, marks, m, other, rule) >= least_overlap(n, m, rule)
 
 
 @lru_cache(4096)
-def mark_counts(n: int) -> list[int]:
+def mark_counts(n: int, rule: Rule) -> list[int]:
     """How many shingles of the prefix lie at or before each mark."""
-    p = prefix_length(n)
+    p = prefix_length(n, rule)
     return [-(-p * (j + 1) // MARKS) for j in range(MARKS)]
 
 
-def rest_bound(n: int, marks: list[int], m: int, other: list[int]) -> int:
+def rest_bound(n: int, marks: list[int], m: int, other: list[int], rule: Rule) -> int:
     """Most that two sets can share behind the place where the first of the prefixes ends."""
     if marks[-1] > other[-1]:
         n, marks, m, other = m, other, n, marks
-    rest = n - prefix_length(n)
+    rest = n - prefix_length(n, rule)
     if marks[-1] == other[-1]:  # equal in the bits held: either may end first
-        return max(rest, m - prefix_length(m))
+        return max(rest, m - prefix_length(m, rule))
     at = bisect_left(other, marks[-1])
-    return min(rest, m - (mark_counts(m)[at - 1] if at else 0))
+    return min(rest, m - (mark_counts(m, rule)[at - 1] if at else 0))
 
 
-def _may_reach(n: np.ndarray, m: np.ndarray, shared: np.ndarray) -> np.ndarray:
+def _may_reach(n: np.ndarray, m: np.ndarray, shared: np.ndarray, rule: Rule) -> np.ndarray:
     """``reaches`` for arrays of couples, with a looser bound behind the prefixes; n <= m."""
-    rest = m - (m - (NUM * m + DEN - 1) // DEN + 1)
-    return (n * DEN >= m * NUM) & (shared + rest >= -(-NUM * (n + m) // (NUM + DEN)))
+    rest = m - prefix_length(m, rule)
+    return (n * rule.den >= m * rule.num) & (shared + rest >= least_overlap(n, m, rule))
 
 
 BLOCK = "token long, node long, partners array<long>"
 
 
-def _couples(limit: int | None):
+def _couples(limit: int | None, rule: Rule):
     """Streams blocks of one shingle, sorted by size. Gives a row for each node of a block that is in
     a couple, with the earlier nodes it may link to. A couple counts in the block of its first common shingle."""
 
@@ -223,7 +248,7 @@ def _couples(limit: int | None):
             entry = (i, int(groups[i]), int(sizes[i]), marks[i].tolist())
             if tree.most:
                 n = 0
-                for j in tree.partners(entry, after):
+                for j in tree.partners(entry, after, rule):
                     if before[i].isdisjoint(before[j]):
                         found.setdefault(i, []).append(j)
                         found.setdefault(j, [])
@@ -262,7 +287,7 @@ def _couples(limit: int | None):
             after = np.diff(offsets) - at - 1
             counts = np.diff(edges)
             two = edges[:-1][counts == 2]  # most blocks: a look at the sizes settles nearly all
-            two = two[_may_reach(sizes[two], sizes[two + 1], 1 + np.minimum(after[two], after[two + 1])) & (groups[two] != groups[two + 1])]
+            two = two[_may_reach(sizes[two], sizes[two + 1], 1 + np.minimum(after[two], after[two + 1]), rule) & (groups[two] != groups[two + 1])]
             for first, n in chain(zip(two.tolist(), [2] * len(two)), zip(edges[:-1][counts > 2].tolist(), counts[counts > 2].tolist())):
                 block(out, int(token[first]), range(first, first + n), nodes, groups, sizes, marks, tokens, offsets, at)
                 if len(out) > 20_000:
@@ -273,7 +298,7 @@ def _couples(limit: int | None):
     return run
 
 
-def _verified(batches):
+def _verified(rule: Rule, batches):
     """Streams blocks with the whole sets of their nodes; gives links that join all that is linked in a block."""
     out: list[tuple[int, int]] = []
     sets: dict[int, np.ndarray] = {}
@@ -296,7 +321,7 @@ def _verified(batches):
                     continue
                 own, lengths = sets[node], np.array([len(sets[p]) for p in part])
                 shared = sums(member(own, np.concatenate([sets[p] for p in part]))[1], lengths)
-                for p in np.flatnonzero(shared >= -(-NUM * (len(own) + lengths) // (NUM + DEN))).tolist():
+                for p in np.flatnonzero(shared >= least_overlap(len(own), lengths, rule)).tolist():
                     if root(part[p]) != root(node):
                         parent[root(part[p])] = root(node)
                         out.append((node, part[p]))
@@ -325,11 +350,11 @@ def _pairs(rows):
 class Join:
     """The tables of one join; each is written, so a lost executor costs only its own tasks."""
 
-    def __init__(self, docs: DataFrame, id_column: str, column: str) -> None:
-        self.spark = docs.sparkSession
+    def __init__(self, docs: DataFrame, id_column: str, column: str, rule: Rule) -> None:
+        self.spark, self.rule = docs.sparkSession, rule
         text = F.coalesce(F.col(column), F.lit(""))
         self.texts = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("key"))
-        scanned = self.keep(self.texts.mapInArrow(_scan, "id long, key long, n long, node long, bucket int, count long"), "sets")
+        scanned = self.keep(self.texts.mapInArrow(partial(_scan, rule.words), "id long, key long, n long, node long, bucket int, count long"), "sets")
         self.rows = scanned.filter("bucket IS NULL").select("id", "key", "n", "node")
         self.levels = self.spark.sparkContext.broadcast(_levels(scanned.filter("bucket IS NOT NULL")))
         self.heads = self.keep(self.prefixes(), "prefixes")
@@ -342,7 +367,7 @@ class Join:
 
     def prefixes(self) -> DataFrame:
         """(node, n, prefix, marks): its first shingles, and every eighth of them as a mark."""
-        levels = self.levels
+        levels, rule = self.levels, self.rule
 
         def run(batches):
             order = levels.value
@@ -350,12 +375,12 @@ class Join:
                 pa.default_memory_pool().release_unused()
                 for _, _, part in slices(batch.column(0)):
                     nodes, sizes, heads, marks = [], [], [], []
-                    for s in shingle_sets(part):
+                    for s in shingle_sets(part, rule.words):
                         if len(s):
                             nodes.append(node_of(s))
                             sizes.append(len(s))
-                            heads.append(token_order(order, s)[: prefix_length(len(s))].view(np.int64))
-                            marks.append(heads[-1][np.array(mark_counts(len(s))) - 1] >> 32)
+                            heads.append(token_order(order, s)[: prefix_length(len(s), rule)].view(np.int64))
+                            marks.append(heads[-1][np.array(mark_counts(len(s), rule)) - 1] >> 32)
                     if nodes:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(heads, np.int64), _lists(marks, np.int32)],
@@ -373,7 +398,7 @@ class Join:
 
     def couples(self, groups: DataFrame | None, limit: int | None) -> DataFrame:
         """Blocks with the candidate couples of nodes in different classes."""
-        entries = self.entries
+        entries, (_, num, den) = self.entries, self.rule
         if groups is None:
             entries = entries.withColumn("label", F.col("node"))
         else:
@@ -387,14 +412,14 @@ class Join:
         # the smaller set of a couple has their first common shingle among even fewer of its first ones;
         # only rows that meet such a one of fitting size get their sequences
         order = Window.partitionBy("token").orderBy("n", "node")
-        early = F.col("place") <= F.col("n") - F.ceil(F.lit(2 * NUM) * F.col("n") / F.lit(NUM + DEN))
+        early = F.col("place") <= F.col("n") - F.ceil(F.lit(2 * num) * F.col("n") / F.lit(num + den))
         each = each.withColumn("early", early).withColumn("next", F.lead("n").over(order))
         each = each.withColumn("before", F.max(F.when(F.col("early"), F.col("n"))).over(order.rowsBetween(Window.unboundedPreceding, -1)))
-        meets = (F.col("early") & (F.col("next") * NUM <= F.col("n") * DEN)) | (F.col("before") * DEN >= F.col("n") * NUM)
+        meets = (F.col("early") & (F.col("next") * num <= F.col("n") * den)) | (F.col("before") * den >= F.col("n") * num)
         met = each.filter(meets).select("token", "node", "at")
         whole = met.join(entries.select("node", "label", "n", "marks", F.col("tokens").alias("own")), "node")
         dealt = whole.repartition("token").sortWithinPartitions("token", "n", "node")
-        return dealt.select("token", "node", "label", "n", "at", "marks", "own").mapInArrow(_couples(limit), BLOCK)
+        return dealt.select("token", "node", "label", "n", "at", "marks", "own").mapInArrow(_couples(limit, self.rule), BLOCK)
 
     def verify(self, blocks: DataFrame) -> DataFrame:
         """Links between nodes whose whole sets reach the threshold: enough to join all that the blocks link."""
@@ -405,7 +430,7 @@ class Join:
         words = texts.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("bits")).toArrow()
         bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
         bitmap[words.column("w").to_numpy()] = words.column("bits").to_numpy()
-        shared = self.spark.sparkContext.broadcast(bitmap)
+        shared, rule = self.spark.sparkContext.broadcast(bitmap), self.rule
 
         def sets(batches):
             bits = shared.value
@@ -414,13 +439,13 @@ class Join:
                 at = batch.column(1).to_numpy() & ((1 << BITMAP_BITS) - 1)
                 batch = batch.filter(pa.array((bits[at >> 6] >> (at & 63) & 1).astype(bool)))
                 for _, _, part in slices(batch.column(0)):
-                    held = [s for s in shingle_sets(part) if len(s)]
+                    held = [s for s in shingle_sets(part, rule.words) if len(s)]
                     if held:
                         yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in held], pa.int64()), pa.array([s.tobytes() for s in held], pa.binary())], names=["node", "keys"])
 
         whole = self.texts.select("text", "key").mapInArrow(sets, "node long, keys binary").dropDuplicates(["node"])
         both = blocks.join(whole, "node").select("token", "node", "partners", "keys")
-        return both.repartition("token").sortWithinPartitions("token").mapInArrow(_verified, "a long, b long")
+        return both.repartition("token").sortWithinPartitions("token").mapInArrow(partial(_verified, rule), "a long, b long")
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified links that connect all classes, and (node, label)."""
@@ -442,9 +467,9 @@ def _classified(join: Join) -> DataFrame:
     return join.keep(joined.select("node", "label", "low"), "classes")
 
 
-def ngram_classes(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
+def ngram_classes(docs: DataFrame, id_column: str = "doc_id", column: str = "text", rule: Rule = CONTRACT) -> DataFrame:
     """(id, n_shingles, component_id): the smallest id that links reach, one row per input row."""
-    join = Join(docs, id_column, column)
+    join = Join(docs, id_column, column, rule)
     joined = _classified(join)
     lowest = joined.groupBy("label").agg(F.min("low").alias("component_id"))
     final = joined.join(lowest, "label").select(F.col("node").alias("_n"), "component_id")
@@ -453,12 +478,12 @@ def ngram_classes(docs: DataFrame, id_column: str = "doc_id", column: str = "tex
     )
 
 
-def keep_first(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
+def keep_first(docs: DataFrame, id_column: str = "doc_id", column: str = "text", rule: Rule = CONTRACT) -> DataFrame:
     """One row of each class: the smallest id (null last), then the smallest text hash.
 
     Texts without words stay. Rows that repeat both id and text are kept once.
     """
-    join = Join(docs, id_column, column)
+    join = Join(docs, id_column, column, rule)
     classes = _classified(join).select(F.col("node").alias("_n"), "label")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     worded = join.rows.filter("node IS NOT NULL").groupBy("node").agg(F.min(rank).alias("r")).join(classes, F.col("node") == F.col("_n"))

@@ -153,6 +153,61 @@ def test_join_against_all_couples(spark):
     assert got == classes(texts)
 
 
+def brute_classes(texts, words, num, den):
+    """Class of each text by comparing all couples."""
+    sets = {}
+    for i, t in texts.items():
+        w = t.split()
+        sets[i] = {tuple(w[k : k + words]) for k in range(len(w) - words + 1)} or ({tuple(w)} if w else set())
+    label = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and label[i] != label[j] and den * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j]) > 0:
+                a, b = sorted((label[i], label[j]))
+                label = {k: a if x == b else x for k, x in label.items()}
+    return label
+
+
+def families(rng, count, copies, longest=120):
+    texts = {}
+    for _ in range(count):
+        base = [f"w{rng.randint(0, 400)}" for _ in range(rng.randint(3, longest))]
+        for _ in range(copies):
+            copy = list(base)
+            for _ in range(rng.randint(0, 4)):
+                copy[rng.randrange(len(copy))] = f"w{rng.randint(0, 400)}"
+            texts[len(texts)] = " ".join(copy[: len(copy) - rng.randint(0, 4)])
+    return texts
+
+
+def test_near_duplicates_stage(spark):
+    """Copies between the thresholds of the contract (3 words, 0.9) and of the stage (5 words, 0.8) go."""
+    import corpus_pipeline
+
+    base = [f"a{k}" for k in range(100)]
+    near, far = list(base), list(base)
+    near[30], near[70] = "x", "y"
+    for k in range(5, 100, 10):
+        far[k] = "z"
+    texts = {1: " ".join(base), 2: " ".join(near), 3: " ".join(far), 4: "one two three four", 5: "one two three five"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates_stage(spark, docs, "").collect()) == [1, 3, 4, 5]
+    assert sorted(r["doc_id"] for r in ngram_join.keep_first(docs).collect()) == [1, 2, 3, 4, 5]
+    texts = families(random.Random(8), 12, 12)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = sorted(set(brute_classes(texts, 5, 80, 100).values()))
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates_stage(spark, docs, "").collect()) == want
+
+
+def test_long_near_copies(spark):
+    """Prefixes of thousands of shared shingles."""
+    base = [f"a{k}" for k in range(12_000)]
+    texts = {k: " ".join([*base[: 4000 * k], "x", *base[4000 * k + 1 :]]) for k in range(3)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for rule in (ngram_join.CONTRACT, ngram_join.Rule(5, 80, 100)):
+        assert [r["doc_id"] for r in ngram_join.keep_first(docs, rule=rule).collect()] == [0]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (7, 7)], "a long, b long")
     got = {r["node"]: r["label"] for r in components(links).collect()}
