@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns; and the methods by themselves."""
 
+import collections
+import math
 import random
 import re
 
@@ -8,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strandframe.llm import automaton, chat, decontaminate, ngram_join, pii, quality, secrets, sharding, toxicity, warc
+from strandframe.llm import automaton, chat, decontaminate, ngram_join, pii, quality, secrets, sharding, toxicity, warc, word_model
 from strandframe.llm import sentencepiece_scan as scan
 from strandframe.llm.components import components
 from strandframe.llm.text import slices
@@ -105,6 +107,64 @@ def test_quality(odd, none):
     assert quality.quality_rules(none).count() == 0
 
 
+def test_word_model(spark):
+    """Trigram probabilities of each half against a dictionary version."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("a b c d e A é".split()) for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    halves = {r["doc_id"]: r["h"] for r in docs.select("doc_id", word_model.half(word_model.text_key("text")).alias("h")).collect()}
+    words = set(" ".join(texts).split())
+
+    def fit(h):
+        three = collections.Counter(g for i, t in enumerate(texts) if halves[i] == h for w in [["", "", *t.split()]] for g in zip(w, w[1:], w[2:]))
+        two = collections.Counter(g[1:] for g in three)
+        one = collections.Counter(g[1:] for g in two)
+
+        def level(counts, lower):
+            of = [sum(n == k for n in counts.values()) for k in range(1, 5)]
+            y = of[0] / max(1, of[0] + 2 * of[1])
+            cut = [0, *(min(k, max(0.0, k - (k + 1) * y * of[k] / of[k - 1])) if of[k - 1] else 0.5 for k in (1, 2, 3))]
+            total, gamma = collections.Counter(), collections.Counter()
+            for g, n in counts.items():
+                total[g[:-1]] += n
+                gamma[g[:-1]] += cut[min(n, 3)]
+
+            def p(g):
+                if not total[g[:-1]]:
+                    return lower(g[1:])
+                return (counts[g] - cut[min(counts[g], 3)]) / total[g[:-1]] + min(1, max(1e-9, gamma[g[:-1]] / total[g[:-1]])) * lower(g[1:])
+
+            return p
+
+        return level(three, level(two, level(one, lambda g: 1 / (len(words) + 1))))
+
+    p = [fit(0), fit(1)]
+    got = {r["doc_id"]: r["log_ppl"] for r in docs.join(word_model.score_texts(docs), word_model.text_key("text") == F.col("key")).collect()}
+    for i, t in enumerate(texts):
+        w = ["", "", *t.split()]
+        x = [-math.log(p[1 - halves[i]](g)) for g in zip(w, w[1:], w[2:])]
+        assert (i in got) == bool(x) and (not x or abs(got[i] - sum(x) / len(x)) < 1e-9)
+
+
+def test_shuffled_words(spark):
+    """Real words without order are rejected."""
+    rng = random.Random(6)
+    follow = {k: [rng.randrange(300) for _ in range(3)] for k in range(300)}
+
+    def prose(n):
+        out = [rng.randrange(300)]
+        while len(out) < n:
+            out.append(rng.choice(follow[out[-1]]))
+        return [f"w{k}" for k in out]
+
+    texts = {i: prose(rng.randint(40, 120)) for i in range(400)}
+    for i in range(20):
+        texts[400 + i] = rng.sample(texts[i], len(texts[i]))
+    rows = [(i, " ".join(w), "en") for i, w in texts.items()]
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert sum(got[i] for i in range(400)) > 390 and sum(got[i] for i in range(400, 420)) <= 2
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(1)
     codes = np.unique(rng.integers(0, 12, (3000, 4)) @ np.array([64000, 1600, 40, 1]), return_counts=True)
