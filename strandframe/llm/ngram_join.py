@@ -14,6 +14,12 @@ Links are needed only as far as they join classes. So a first round takes one pa
 and a second one all couples whose nodes are still in different classes, where branches that
 hold nothing but the own class are left too. No couple of different classes is skipped.
 
+A block above ``PART_BYTES`` of sets is cut into slices, so no task holds it whole. The first round
+looks within slices; another one joins the classes of a block by one node of each; the last one
+meets each slice with each other one that is in reach by size and not of the same class, one part
+per two slices. So a block whose sets link costs little more than its slices, and only sets that
+do not link are compared in all parts, which then lie in many tasks.
+
 Nodes are 64-bit hashes of whole sets: two different sets would have to collide there to be
 taken as equal. Null texts and texts without words have the empty set and link with nothing.
 Repeated rows are equal sets. A null id takes part; a class of null ids alone has a null id.
@@ -49,6 +55,10 @@ class Rule(NamedTuple):
 CONTRACT = Rule()
 SKETCH_BITS, BITMAP_BITS = 18, 24
 MARKS = 8
+#: Whole sets in a slice of a block; a part of two slices is what a task holds at a time.
+PART_BYTES = 16 << 20
+#: Sets of so many shingles are added up wherever they are, smaller ones where many rows share a shingle.
+LONG_SET = 8_000
 
 
 def least_overlap(a: int, b: int, rule: Rule) -> int:
@@ -86,6 +96,11 @@ def shingle_sets(texts: Texts, words: int) -> Iterator[np.ndarray]:
         before = edges[i]
 
 
+def weight(n):
+    """Bytes of a set of this size and of what goes with it."""
+    return 8 * n + 1000
+
+
 def node_of(keys: np.ndarray) -> int:
     """A hash of the whole set."""
     with np.errstate(over="ignore"):
@@ -232,37 +247,40 @@ def _may_reach(n: np.ndarray, m: np.ndarray, shared: np.ndarray, rule: Rule) ->
     return (n * rule.den >= m * rule.num) & (shared + rest >= least_overlap(n, m, rule))
 
 
-BLOCK = "token long, node long, partners array<long>"
+#: ``part`` is the first slice << 32, the second one << 2, and where the node is: 0 for a part of one slice, else 1 or 2.
+BLOCK = "token long, part long, node long, partners array<long>"
 
 
 def _couples(limit: int | None, rule: Rule):
-    """Streams blocks of one shingle, sorted by size. Gives a row for each node of a block that is in
+    """Streams parts of blocks of one shingle, sorted by size. Gives a row for each node of a block that is in
     a couple, with the earlier nodes it may link to. A couple counts in the block of its first common shingle."""
 
-    def block(out: list, token: int, rows: range, nodes, groups, sizes, marks, tokens, offsets, at) -> None:
-        tree, before, after = Tree(), {}, {}
+    def block(out: list, token: int, rows: range, parts, nodes, groups, sizes, marks, tokens, offsets, at) -> None:
+        trees, before, after = (Tree(), Tree(), Tree()), {}, {}
         found: dict[int, list[int]] = {}
         for i in rows:
             own = tokens[offsets[i] : offsets[i + 1]].tolist()
             before[i], after = set(own[: at[i]]), own[at[i] + 1 :]
             entry = (i, int(groups[i]), int(sizes[i]), marks[i].tolist())
-            if tree.most:
+            side = int(parts[i]) & 3
+            other = trees[3 - side if side else 0]
+            if other.most:
                 n = 0
-                for j in tree.partners(entry, after, rule):
+                for j in other.partners(entry, after, rule):
                     if before[i].isdisjoint(before[j]):
                         found.setdefault(i, []).append(j)
                         found.setdefault(j, [])
                         n += 1
                         if n == limit:
                             break
-            tree.add(entry, after)
+            trees[side].add(entry, after)
         for i, partners in found.items():
-            out.append((token, int(nodes[i]), [int(nodes[j]) for j in partners]))
+            out.append((token, int(parts[i]) >> 2, int(nodes[i]), [int(nodes[j]) for j in partners]))
 
     def emit(out: list) -> pa.RecordBatch:
-        t, node, partners = zip(*out)
+        t, part, node, partners = zip(*out)
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(node, pa.int64()), pa.array(partners, pa.list_(pa.int64()))], names=["token", "node", "partners"])
+        return pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(part, pa.int64()), pa.array(node, pa.int64()), pa.array(partners, pa.list_(pa.int64()))], names=["token", "part", "node", "partners"])
 
     def run(batches):
         out: list = []
@@ -276,20 +294,21 @@ def _couples(limit: int | None, rule: Rule):
             if batch is None or not batch.num_rows:
                 continue
             token = batch.column(0).to_numpy()
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1, [len(token)]])
+            parts = batch.column(1).to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero((np.diff(token) != 0) | (np.diff(parts >> 2) != 0)) + 1, [len(token)]])
             if held is not batch:  # the last block may go on
                 held = batch.slice(int(edges[-2]))
                 edges = edges[:-1]
-            nodes, groups, sizes, at = (batch.column(k).to_numpy() for k in (1, 2, 3, 4))
-            marks = batch.column(5).flatten().to_numpy().reshape(-1, MARKS)
-            lists = batch.column(6)
+            nodes, groups, sizes, at = (batch.column(k).to_numpy() for k in (2, 3, 4, 5))
+            marks = batch.column(6).flatten().to_numpy().reshape(-1, MARKS)
+            lists = batch.column(7)
             tokens, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
             after = np.diff(offsets) - at - 1
             counts = np.diff(edges)
             two = edges[:-1][counts == 2]  # most blocks: a look at the sizes settles nearly all
             two = two[_may_reach(sizes[two], sizes[two + 1], 1 + np.minimum(after[two], after[two + 1]), rule) & (groups[two] != groups[two + 1])]
             for first, n in chain(zip(two.tolist(), [2] * len(two)), zip(edges[:-1][counts > 2].tolist(), counts[counts > 2].tolist())):
-                block(out, int(token[first]), range(first, first + n), nodes, groups, sizes, marks, tokens, offsets, at)
+                block(out, int(token[first]), range(first, first + n), parts, nodes, groups, sizes, marks, tokens, offsets, at)
                 if len(out) > 20_000:
                     yield emit(out)
         if out:
@@ -299,7 +318,7 @@ def _couples(limit: int | None, rule: Rule):
 
 
 def _verified(rule: Rule, batches):
-    """Streams blocks with the whole sets of their nodes; gives links that join all that is linked in a block."""
+    """Streams parts with the whole sets of their nodes; gives links that join all that is linked in a part."""
     out: list[tuple[int, int]] = []
     sets: dict[int, np.ndarray] = {}
     wanted: dict[int, list[int]] = {}
@@ -327,7 +346,7 @@ def _verified(rule: Rule, batches):
                         out.append((node, part[p]))
 
     for batch in batches:
-        for t, node, partners, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+        for t, node, partners, keys in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4)):
             if t != token:
                 settle()
                 sets, wanted, token = {}, {}, t
@@ -359,6 +378,8 @@ class Join:
         self.levels = self.spark.sparkContext.broadcast(_levels(scanned.filter("bucket IS NOT NULL")))
         self.heads = self.keep(self.prefixes(), "prefixes")
         self.entries = self.keep(self.blocks(), "blocks")
+        heavy = self.keep(self.large_blocks(), "large")
+        self.heavy = None if heavy.isEmpty() else heavy
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
@@ -396,8 +417,33 @@ class Join:
         cut = cut.select("node", F.col("both.token").alias("tokens"), F.col("both.place").alias("places"))
         return cut.join(self.heads.select("node", "n", "marks"), "node")
 
-    def couples(self, groups: DataFrame | None, limit: int | None) -> DataFrame:
-        """Blocks with the candidate couples of nodes in different classes."""
+    def large_blocks(self) -> DataFrame:
+        """Shingles whose nodes have sets of more than PART_BYTES; the first bits of a shingle tell how many rows may have it."""
+        often = min(255, int(8 * np.log2(PART_BYTES // weight(LONG_SET) + 1)))
+        each = self.entries.select("n", F.explode("tokens").alias("token")).filter((F.col("n") >= LONG_SET) | (F.shiftright("token", 55) >= often))
+        return each.groupBy("token").agg(F.sum(weight(F.col("n"))).alias("_w")).filter(F.col("_w") > PART_BYTES).select("token")
+
+    def sliced(self, met: DataFrame, within: bool) -> DataFrame:
+        """Rows of large blocks in slices: (token, node, at, part), a row for each part it is in."""
+        order = Window.partitionBy("token").orderBy(*([] if within else ["label"]), "n", "node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        own = weight(F.col("n"))
+        met = met.withColumn("slice", F.floor((F.sum(own).over(order) - own) / PART_BYTES).cast("long"))
+        two = lambda a, b, side: (F.shiftleft(a, 32) + F.shiftleft(b, 2) + F.lit(side)).alias("part")
+        if within:
+            return met.select("token", "node", "at", two(F.col("slice"), F.col("slice"), 0))
+        _, num, den = self.rule
+        met = self.keep(met, "slices")
+        a = self.keep(met.groupBy("token", "slice").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("label").alias("x"), F.max("label").alias("y")), "slice-list")
+        b = a.select("token", *[F.col(c).alias(f"{c}2") for c in ("slice", "lo", "hi", "x", "y")])
+        pairs = a.join(b, "token").filter("slice <= slice2").filter((F.col("hi") * den >= F.col("lo2") * num) & (F.col("hi2") * den >= F.col("lo") * num))
+        pairs = pairs.filter("least(x, x2) <> greatest(y, y2)")
+        first = pairs.select("token", "slice", F.when(F.col("slice") == F.col("slice2"), two(F.col("slice"), F.col("slice2"), 0)).otherwise(two(F.col("slice"), F.col("slice2"), 1)).alias("part"))
+        second = pairs.filter("slice < slice2").select("token", F.col("slice2").alias("slice"), two(F.col("slice"), F.col("slice2"), 2))
+        return met.join(first.unionByName(second), ["token", "slice"]).select("token", "node", "at", "part")
+
+    def parts(self, groups: DataFrame | None, representatives: bool = False) -> DataFrame:
+        """(token, part, node, label, n, at, marks, own): what tasks get, a part at a time. With
+        ``representatives`` only large blocks, and of each class in a block its smallest set."""
         entries, (_, num, den) = self.entries, self.rule
         if groups is None:
             entries = entries.withColumn("label", F.col("node"))
@@ -409,6 +455,9 @@ class Join:
         if groups is not None:
             mixed = each.groupBy("token").agg(F.min("label").alias("_x"), F.max("label").alias("_y"))
             each = each.join(mixed.filter("_x <> _y").select("token"), "token")
+        if representatives:
+            each = each.join(self.heavy, "token", "left_semi").groupBy("token", "label").agg(F.min(F.struct("n", "node", "at", "place")).alias("r"))
+            each = each.select("token", "r.node", "label", "r.n", "r.at", "r.place")
         # the smaller set of a couple has their first common shingle among even fewer of its first ones;
         # only rows that meet such a one of fitting size get their sequences
         order = Window.partitionBy("token").orderBy("n", "node")
@@ -416,10 +465,22 @@ class Join:
         each = each.withColumn("early", early).withColumn("next", F.lead("n").over(order))
         each = each.withColumn("before", F.max(F.when(F.col("early"), F.col("n"))).over(order.rowsBetween(Window.unboundedPreceding, -1)))
         meets = (F.col("early") & (F.col("next") * num <= F.col("n") * den)) | (F.col("before") * den >= F.col("n") * num)
-        met = each.filter(meets).select("token", "node", "at")
+        met = each.filter(meets)
+        one = F.lit(0).cast("long").alias("part")
+        if self.heavy is None:
+            met = met.select("token", "node", "at", one)
+        else:
+            met = self.keep(met.select("token", "node", "label", "n", "at"), "met")
+            large = self.sliced(met.join(self.heavy, "token", "left_semi"), groups is None or representatives)
+            met = met.join(self.heavy, "token", "left_anti").select("token", "node", "at", one).unionByName(large)
         whole = met.join(entries.select("node", "label", "n", "marks", F.col("tokens").alias("own")), "node")
-        dealt = whole.repartition("token").sortWithinPartitions("token", "n", "node")
-        return dealt.select("token", "node", "label", "n", "at", "marks", "own").mapInArrow(_couples(limit, self.rule), BLOCK)
+        of = F.shiftright("part", 2)
+        dealt = whole.repartition("token", of).sortWithinPartitions("token", of, "n", "node")
+        return dealt.select("token", "part", "node", "label", "n", "at", "marks", "own")
+
+    def couples(self, groups: DataFrame | None, limit: int | None, representatives: bool = False) -> DataFrame:
+        """Blocks with the candidate couples of nodes in different classes."""
+        return self.parts(groups, representatives).mapInArrow(_couples(limit, self.rule), BLOCK)
 
     def verify(self, blocks: DataFrame) -> DataFrame:
         """Links between nodes whose whole sets reach the threshold: enough to join all that the blocks link."""
@@ -444,17 +505,18 @@ class Join:
                         yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in held], pa.int64()), pa.array([s.tobytes() for s in held], pa.binary())], names=["node", "keys"])
 
         whole = self.texts.select("text", "key").mapInArrow(sets, "node long, keys binary").dropDuplicates(["node"])
-        both = blocks.join(whole, "node").select("token", "node", "partners", "keys")
-        return both.repartition("token").sortWithinPartitions("token").mapInArrow(partial(_verified, rule), "a long, b long")
+        both = blocks.join(whole, "node").select("token", "part", "node", "partners", "keys")
+        return both.repartition("token", "part").sortWithinPartitions("token", "part").mapInArrow(partial(_verified, rule), "a long, b long")
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified links that connect all classes, and (node, label)."""
         found = self.keep(self.verify(self.keep(self.couples(None, 1), "couples")), "links")
         groups = components(found)
-        more = self.keep(self.couples(groups, None), "couples")
-        if not more.isEmpty():
-            found = found.unionByName(self.keep(self.verify(more), "links"))
-            groups = components(found)
+        for representatives in (True, False) if self.heavy is not None else (False,):
+            more = self.keep(self.couples(groups, 1 if representatives else None, representatives), "couples")
+            if not more.isEmpty():
+                found = found.unionByName(self.keep(self.verify(more), "links"))
+                groups = components(found)
         return found, groups
 
 

@@ -268,6 +268,36 @@ def test_long_near_copies(spark):
         assert [r["doc_id"] for r in ngram_join.keep_first(docs, rule=rule).collect()] == [0]
 
 
+def test_large_blocks_are_cut(spark, monkeypatch):
+    """No part of a block exceeds two slices, whether its sets link or not, and the classes stay right."""
+    from test_queries import classes
+
+    rng = random.Random(9)
+    template = [f"t{k}" for k in range(60)]
+    texts = {}
+    for k in range(60):
+        copy = list(template)
+        copy[rng.randrange(60)] = f"x{k}"
+        texts[len(texts)] = " ".join(copy)
+    for k in range(60):  # share their rarest shingle with many and reach the threshold with few
+        own = [f"y{k // 2}-{j}" for j in range(57)]
+        own[k % 2] = f"z{k}"
+        texts[len(texts)] = " ".join(["p", "q", "r", *own])
+    texts |= {len(texts) + i: t for i, t in enumerate(families(rng, 4, 12).values())}
+    rows = list(texts.items())
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "PART_BYTES", 6000)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_classes(docs).collect()}
+    assert got == classes(texts)
+    join = ngram_join.Join(docs, "doc_id", "text", ngram_join.CONTRACT)
+    assert join.heavy is not None
+    groups = join.links()[1]
+    for known in (None, groups):
+        most = join.parts(known).groupBy("token", F.shiftright("part", 2)).agg(F.sum(ngram_join.weight(F.col("n"))).alias("w")).agg(F.max("w")).first()[0]
+        assert most is None or most <= 2 * (6000 + ngram_join.weight(120))
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (7, 7)], "a long, b long")
     got = {r["node"]: r["label"] for r in components(links).collect()}
