@@ -245,7 +245,7 @@ def filter_pileup(sites: DataFrame, snp_quality: int = 20, indel_quality: int =
 def basecall_changes(sites: DataFrame, min_depth: int = 20, percent: float = 90) -> DataFrame:
     """Consensus bases that enough reads show, and all indels (``+ACG`` or ``-ACG``)."""
     indel = F.col("ref") == "*"
-    support = F.regexp_count(F.lower("bases"), F.lower("consensus"))
+    support = F.length("bases") - F.length(F.replace(F.lower("bases"), F.lower("consensus"), F.lit("")))  # a literal: "." is a base too
     wanted = F.when(F.col("allele1") == "*", F.col("allele2")).otherwise(F.col("allele1"))
     change = F.when(indel, wanted).when(support > F.lit(percent / 100) * F.col("depth"), F.col("consensus"))
     return sites.filter(F.col("depth") >= min_depth).select("rname", "pos", change.alias("change")).filter(

@@ -153,7 +153,7 @@ _CHANGES = f"""{_CP}, ch AS (SELECT rname, pos, CASE WHEN ref = '*' THEN CASE WH
 
 @query("A25_basecall_changes", f"WITH {_CHANGES} SELECT * FROM ch WHERE change IS NOT NULL")
 def a25(spark, sf):
-    return P.basecall_changes(consensus_rows(spark, sf).filter("consensus <> '.'"))
+    return P.basecall_changes(consensus_rows(spark, sf))
 
 
 # Edits base by base: every contig position, its replacement and what goes before it.

@@ -322,3 +322,11 @@ def test_repeated_keys_and_all_places(spark):
     df = spark.createDataFrame([("DP=1;DP=2;FLAG;X=a=b", "ATATATA", "ATA"), (None, "", "A"), ("", "A.A.", ".A")], "info string, s string, p string")
     got = df.select(common.keyed("info", ";", "=").alias("m"), dna.all_indexes("s", "p").alias("i")).collect()
     assert got[0].m == {"DP": "1", "FLAG": None, "X": "a=b"} and [r.i for r in got] == [[1, 3, 5], [], [2]]
+
+
+def test_basecall_support_is_literal(spark):
+    """A consensus of "." is counted as itself, not as any character."""
+    rows = [("c", 1, "A", ".", "ACGTACGTACGTACGTACGT", 20), ("c", 2, "A", ".", "." * 20, 20), ("c", 3, "A", "G", "gG" * 10, 20), ("c", 4, "A", "G", "gA" * 10, 20)]
+    sites = spark.createDataFrame(rows, "rname string, pos int, ref string, consensus string, bases string, depth int")
+    sites = sites.withColumns({"allele1": F.lit("*"), "allele2": F.lit("*")})
+    assert sorted(tuple(r) for r in P.basecall_changes(sites).collect()) == [("c", 2, "."), ("c", 3, "G")]
