@@ -27,7 +27,6 @@ from .text import LOWER, Texts, annotate, byte_class
 
 BITS, DIMENSIONS, WINDOW, SIZES = 17, 8, 8, (4, 5, 6)
 TRAINING_ROWS, EPOCHS, ROUNDS, RATE, SIF = 600, 2, 4, 0.3, 1e-3
-WINDOWS_PER_ROW = 128
 LETTER = byte_class("az")
 LETTER[128:] = True
 
@@ -205,11 +204,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[list,
             for i in range(len(texts)):
                 mine = np.flatnonzero(doc == i) if len(texts) > 1 else np.arange(len(places))
                 local = window[mine] - first[i]
-                # bounded per document: of more windows, every k-th
-                step = max(1, -(-int(per_doc[i]) // WINDOWS_PER_ROW))
-                mine, local = mine[local % step == 0], local[local % step == 0]
                 out_b.append(found[mine].tolist())
-                out_w.append((local // step).tolist())
+                out_w.append(local.tolist())
             return [out_b, out_w]
 
         return run

@@ -390,3 +390,13 @@ def test_both_kinds_of_model_by_chunks():
             else:
                 assert sum(made.model.scores[i] for i in ids) == sum(made.model.scores[i] for i in made.encode(text)) == best_score(made, body)
                 assert made.decode(ids) == text
+
+
+def test_training_rows_are_whole(spark):
+    """A long document gives all its windows, so a short passage anywhere in it is trained on."""
+    words = 3001 * toxicity.WINDOW
+    ids = [r["doc_id"] for r in spark.range(20).withColumnRenamed("id", "doc_id").filter(~toxicity.held_out()).collect()]
+    docs = spark.createDataFrame([(ids[0], "word " * words), (ids[1], "other words")], "doc_id long, text string")
+    labels = spark.createDataFrame([(ids[0], 1), (ids[1], 0)], "doc_id long, toxic int")
+    rows, _ = toxicity.training_rows(docs, labels, 10)
+    assert sorted(len(np.unique(w)) for _, w, _ in rows) == [1, 3001]
