@@ -31,7 +31,7 @@ COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 LOWER_WIDTH, UPPER_WIDTH = 3.0, 2.5
 #: The same for words, above the median, with the deviation from the quartiles: copies are well known to
 #: the model and would move mean and variance. For the same reason there is no lower end: good near
-#: copies lie lowest, and to drop them is another operator's job. Set on one half of the labels at sf0.1.
+#: copies lie lowest, and to drop them is another operator's job. Picked on the labels at sf0.1.
 WORD_WIDTH = 3.2
 #: A language table up to so many rows is broadcast; beyond it the join shuffles.
 LANGUAGES_TO_BROADCAST = 10_000
