@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, ngram_join, pii, quality, secrets, sentencepiece_scan, sharding, toxicity, warc
+from . import chat, decontaminate, fill_middle, line_dedup, ngram_join, pii, quality, secrets, sentencepiece_scan, sharding, toxicity, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -155,3 +155,45 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
         (F.col("decoded") == F.replace("text", F.lit(sentencepiece_scan.BLANK), F.lit(" "))).alias("round_trip"),
     )
+
+
+FILL_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units, [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) FOR i IN range(4)] AS r FROM d),
+c AS (SELECT *, len(units) AS n, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b FROM u),
+p AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 90 THEN 'plain'
+         WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_fill_middle", FILL_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", F.col("n_units").alias("n"), "form", *[F.length(c).cast("long").alias(f"{c}_chars") for c in ("prefix", "middle")],
+        sha(F.col("output")).alias("output_sha256"), sha(fill_middle.restore("output", "form")).alias("restored_sha256"),
+    )
+
+
+LINES_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at FROM documents),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.*, c.last IS NOT NULL AND c.last <> k.doc_id AS gone FROM k LEFT JOIN c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+@query("op11_dedup_lines", LINES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_lines", "n_dropped", sha(F.col("kept_text")).alias("kept_sha256"))
