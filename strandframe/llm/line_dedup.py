@@ -151,10 +151,10 @@ def build_index(lines: DataFrame, min_docs: int) -> DataFrame:
     lines.groupBy("h", "f").agg(docs.alias("n"), F.coalesce(F.max("doc"), F.lit(0)).alias("last")).write.parquet(path)
     counted = spark.read.parquet(path)
     shards = counted.count() // SHARD + 1
+    names = T._parse_datatype_string(INDEX).names
 
     def run(table: pa.Table) -> pa.Table:
         made = LineIndex.build(_unsigned(table["h"].combine_chunks()), _unsigned(table["f"].combine_chunks()), table["n"].to_numpy(), table["last"].to_numpy(), min_docs)
-        names = [f.name for f in T._parse_datatype_string(INDEX).fields]
         kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
         return pa.table([pa.array([x], k) for x, k in zip(made.row(table["shard"][0].as_py()), kinds)], names=names)
 
@@ -214,7 +214,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", least: int = 40, min_docs:
     """
     rows = replace_names(docs, ["n_lines", "n_dropped", "kept_text"])
     gone = shared_lines(docs, key, least, min_docs).groupBy("doc", "t").agg(F.collect_list("line").alias("_gone"))
-    kept = [f for f in rows.schema.fields]
+    kept = rows.schema.fields
     joined = rows.join(gone, F.col(f"`{key}`").cast("long").eqNullSafe(F.col("doc")) & (F.xxhash64("text") == F.col("t")), "left").drop("doc", "t")
     added = T._parse_datatype_string("n_lines long, n_dropped long, kept_text string")
     names = [f.name for f in kept]
