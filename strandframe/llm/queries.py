@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, fill_middle, line_dedup, ngram_join, pii, quality, secrets, sentencepiece_scan, sharding, toxicity, warc
+from . import chat, chat_repair, decontaminate, fill_middle, line_dedup, ngram_join, pii, quality, secrets, sentencepiece_scan, sharding, toxicity, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -197,3 +197,61 @@ FROM m GROUP BY doc_id
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return made.select("doc_id", "n_lines", "n_dropped", sha(F.col("kept_text")).alias("kept_sha256"))
+
+
+REPAIR_SQL = r"""
+WITH RECURSIVE n AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+      list_prepend(4294967295, [ord(x) FOR x IN string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '')]),
+      lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda r, z: xor(r >> 1, 3988292384 * (r & 1))))) % 20 AS k FROM conversations
+), d AS (
+  SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM n, range(2) c(copy) WHERE k <> 0 AND (copy = 0 OR k = 3)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, left(role, 1) AS i FROM d
+), f AS (
+  SELECT *, CASE WHEN body = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY rn) || i NOT IN ('su', 'ua', 'au') AS odd FROM o
+), s AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (odd) AS illegal, list(CASE WHEN fault IN ('b', 'd') THEN 'x' WHEN i IN ('s', 'u', 'a') THEN i ELSE 'o' END ORDER BY rn) AS marks, list(fault = 't' ORDER BY rn) AS broken FROM f GROUP BY conv_id
+), seqs AS (SELECT DISTINCT marks, broken FROM s
+), walk AS (
+  SELECT marks, broken, 0 AS step, {'c': 0, 'l': ''} AS v0, {'c': 1000000000, 'l': ''} AS v1, {'c': 1000000000, 'l': ''} AS v2, {'c': 1000000000, 'l': ''} AS v3 FROM seqs
+  UNION ALL
+  SELECT marks, broken, step + 1,
+    {'c': v0.c + 2, 'l': v0.l || 'D'},
+    least({'c': v1.c + 2, 'l': v1.l || 'D'}, {'c': CASE WHEN m = 's' THEN v0.c + b ELSE 1000000000 END, 'l': v0.l || 'K'}),
+    least({'c': e2.c + 2, 'l': e2.l || 'D'}, {'c': CASE WHEN m = 'u' THEN eu.c + b ELSE 1000000000 END, 'l': eu.l || 'K'}, {'c': CASE WHEN m <> 'x' THEN eu.c + b + 1 ELSE 1000000000 END, 'l': eu.l || 'R'}),
+    least({'c': e3.c + 2, 'l': e3.l || 'D'}, {'c': CASE WHEN m = 'a' THEN e2.c + b ELSE 1000000000 END, 'l': e2.l || 'K'}, {'c': CASE WHEN m <> 'x' THEN e2.c + b + 1 ELSE 1000000000 END, 'l': e2.l || 'R'})
+  FROM (
+    SELECT *, least(v0, v1, e3) AS eu FROM (
+      SELECT *, marks[step + 1] AS m, CASE WHEN broken[step + 1] THEN 5 ELSE 0 END AS b,
+        least(v2, {'c': v0.c + 5, 'l': v0.l || 'I'}, {'c': v1.c + 5, 'l': v1.l || 'I'}, {'c': v3.c + 5, 'l': v3.l || 'I'}) AS e2,
+        least(v3, {'c': v2.c + 5, 'l': v2.l || 'I'}, {'c': v0.c + 10, 'l': v0.l || 'II'}, {'c': v1.c + 10, 'l': v1.l || 'II'}) AS e3
+      FROM walk WHERE step < len(marks)))
+), best AS (
+  SELECT marks, broken, least(v0, v3, {'c': v2.c + 5, 'l': v2.l || 'I'}, {'c': v1.c + 10, 'l': v1.l || 'II'}) AS won FROM walk WHERE step = len(marks)
+), a AS (SELECT s.*, won.c AS cost, won.l AS audit FROM s JOIN best USING (marks, broken)
+), letters AS (
+  SELECT conv_id, audit, unnest(string_split(audit, '')) AS x, generate_subscripts(string_split(audit, ''), 1) AS place FROM a
+), placed AS (
+  SELECT *, length(replace(left(audit, place), 'I', '')) AS rn, length(replace(left(audit, place), 'D', '')) AS q, length(replace(audit, 'D', '')) % 2 AS odd FROM letters
+), r AS (
+  SELECT p.conv_id, string_agg(CASE WHEN x = 'K' THEN f.role WHEN (q - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN x = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY q) AS repaired
+  FROM placed p LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.rn = p.rn AND x <> 'I' WHERE x <> 'D' GROUP BY p.conv_id
+)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query("op13_repair_conversations", REPAIR_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summary, pieces = chat_repair.repair(chat_repair.damage(table(spark, sf_dir, "conversations")))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
+    packed = F.array_sort(F.collect_list(F.struct("part", "seg", "audit", F.when(F.size("turns") > 0, lines).alias("lines"))))
+    whole = pieces.groupBy(F.col("conv_id").alias("_c")).agg(packed.alias("p")).select("_c", F.array_join("p.audit", "").alias("audit"), F.array_join("p.lines", "\n").alias("lines"))
+    out = summary.join(whole, F.col("conv_id").eqNullSafe(F.col("_c")), "left")
+    return out.select(*summary.columns, F.coalesce("audit", F.lit("")).alias("audit"), sha(F.coalesce("lines", F.lit(""))).alias("repaired_sha256"))
