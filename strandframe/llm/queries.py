@@ -236,9 +236,9 @@ WITH RECURSIVE n AS (
 ), letters AS (
   SELECT conv_id, audit, unnest(string_split(audit, '')) AS x, generate_subscripts(string_split(audit, ''), 1) AS place FROM a
 ), placed AS (
-  SELECT *, length(replace(left(audit, place), 'I', '')) AS rn, length(replace(left(audit, place), 'D', '')) AS q, length(replace(audit, 'D', '')) % 2 AS odd FROM letters
+  SELECT *, length(replace(left(audit, place), 'I', '')) AS rn, length(replace(left(audit, place), 'D', '')) AS q, length(replace(audit, 'D', '')) % 2 AS lone FROM letters
 ), r AS (
-  SELECT p.conv_id, string_agg(CASE WHEN x = 'K' THEN f.role WHEN (q - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN x = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY q) AS repaired
+  SELECT p.conv_id, string_agg(CASE WHEN x = 'K' THEN f.role WHEN (q - lone) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN x = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY q) AS repaired
   FROM placed p LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.rn = p.rn AND x <> 'I' WHERE x <> 'D' GROUP BY p.conv_id
 )
 SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
