@@ -213,21 +213,22 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", least: int = 40, min_docs:
     except those in the largest id that holds it.
     """
     rows = replace_names(docs, ["n_lines", "n_dropped", "kept_text"])
-    gone = shared_lines(docs, key, least, min_docs).groupBy("doc", "t").agg(F.collect_list("line").alias("_gone"))
+    lost = shared_lines(docs, key, least, min_docs).groupBy(F.col("doc").alias("_gone_doc"), F.col("t").alias("_gone_text")).agg(F.collect_list("line").alias("_gone"))
     kept = rows.schema.fields
-    joined = rows.join(gone, F.col(f"`{key}`").cast("long").eqNullSafe(F.col("doc")) & (F.xxhash64("text") == F.col("t")), "left").drop("doc", "t")
+    same = F.col(f"`{key}`").cast("long").eqNullSafe(F.col("_gone_doc")) & (F.xxhash64("text") == F.col("_gone_text"))
+    joined = rows.join(lost, same, "left").drop("_gone_doc", "_gone_text")
     added = T._parse_datatype_string("n_lines long, n_dropped long, kept_text string")
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, dropped, out = [], [], []
-            for text, lost in zip(_texts(batch, "text"), batch.column(len(names))):
+            for text, lines in zip(_texts(batch, "text"), batch.column(len(names))):
                 text = text or b""
                 total.append(text.count(b"\n") + 1)
-                if lost.is_valid:
-                    lost = set(lost.as_py())
-                    stay = [line for line in text.split(b"\n") if digest(line_key(line)) not in lost]
+                if lines.is_valid:
+                    leave = set(lines.as_py())
+                    stay = [line for line in text.split(b"\n") if digest(line_key(line)) not in leave]
                     dropped.append(total[-1] - len(stay))
                     text = b"\n".join(stay)
                 else:
