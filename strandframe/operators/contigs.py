@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dna
 from ..functions.common import as_col
+from . import pieces
 from .scale import first_per_key, number_rows, running_sum
 
 PIECE = 50_000
@@ -220,34 +221,13 @@ def rename_contigs(contigs: DataFrame, prefix: str = "contig") -> DataFrame:
 def split_at_gaps(contigs: DataFrame, min_gap: int, qual: str | None = None) -> DataFrame:
     """Cut at runs of at least ``min_gap`` N; leading N go with the first cut.
 
-    Offsets come from the lengths of the parts and the runs between them, so no
-    base is exploded.
+    Runs are found piece by piece and joined where pieces meet; the other columns tell contigs apart.
     """
-    s = F.regexp_replace("seq", "^[Nn]+", "")
-    lead = F.length("seq") - F.length(s)
-    parts = F.split(s, f"[Nn]{{{min_gap},}}")
-    runs = F.regexp_extract_all(s, F.lit(f"[Nn]{{{min_gap},}}"), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-
-    def step(acc, x):
-        return F.struct(
-            (acc["at"] + F.length(x["p"]) + F.coalesce(F.length(x["r"]), F.lit(0))).alias("at"),
-            F.concat(acc["out"], F.array(acc["at"])).alias("out"),
-        )
-
-    both = F.arrays_zip(parts.alias("p"), runs.alias("r"))
-    offsets = F.aggregate(both, start, step, lambda acc: acc["out"])
-    rows = contigs.select(
-        *contigs.columns, lead.alias("_lead"),
-        F.posexplode(F.arrays_zip(parts.alias("p"), offsets.alias("o"))).alias("_i", "_x"),
-    ).filter(F.length("_x.p") > 0)
-    out = rows.withColumns(
-        {"name": F.concat("name", F.lit("_subcontig"), "_i"), "seq": F.col("_x.p"),
-         "start": F.col("_x.o") + F.col("_lead") + 1}
-    )
-    if qual:
-        out = out.withColumn(qual, F.substr(qual, F.col("start"), F.length("seq")))
-    return out.drop("_lead", "_i", "_x")
+    texts = ["seq", *([qual] if qual else [])]
+    others = [c for c in contigs.columns if c not in texts]
+    held = pieces.cut(contigs.select(F.struct(*others).alias("_key"), *texts), "_key", texts)
+    out = pieces.split_at_runs(held, "Nn", min_gap, "_key", texts).select("_key.*", "i", F.col("start").cast("int").alias("start"), *texts)
+    return out.withColumn("name", F.concat("name", F.lit("_subcontig"), "i")).select(*contigs.columns, "start")
 
 
 def tile(contigs: DataFrame, length: int = 5_000_000, size: str | None = None) -> DataFrame:
@@ -294,11 +274,11 @@ def parse_regions(df: DataFrame, column: str = "region") -> DataFrame:
 
 def subseq(contigs: DataFrame, regions: DataFrame) -> DataFrame:
     """Sub-sequences of (name, beg, end), clamped to the contig; a null end is the contig's."""
-    joined = regions.join(contigs.select("name", "seq"), "name")
-    n = F.length("seq")
-    beg = F.least(F.greatest(F.col("beg"), F.lit(1)), n)
-    end = F.least(F.greatest(F.coalesce("end", n), beg), n)
-    return joined.select(*regions.columns, F.substr("seq", beg.cast("int"), (end - beg + 1).cast("int")).alias("seq"))
+    sized = regions.join(contigs.select("name", F.length("seq").alias("_n")), "name")
+    lo = F.least(F.greatest(F.col("beg"), F.lit(1)), F.col("_n"))
+    hi = F.least(F.greatest(F.coalesce("end", "_n"), lo), F.col("_n"))
+    asked = sized.withColumns({"_lo": lo.cast("bigint"), "_hi": hi.cast("bigint")})
+    return pieces.fetch(asked, pieces.cut(contigs), ("name", "_lo", "_hi")).select(*regions.columns, "seq")
 
 
 def parse_scaffold_spec(specs: DataFrame, default_spacing: int = 10) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dna
+from . import pieces
 from .contigs import overlay
 from .scale import first_per_key, number_rows, running_sum
 
@@ -20,55 +21,58 @@ def find_orfs(contigs: DataFrame, min_len: int = 90, truncated: bool = False, st
               with_seq: bool = False, keys: Sequence[str] = ("name",)) -> DataFrame:
     """Stop-to-stop reading frames in six frames that hold a start codon.
 
-    A frame is cut at its stops by one regular expression, and the start codon of a
-    long enough segment found by another, so the walk stays within the row, costs a
-    few expression steps per segment, and nothing is shuffled.
+    Each piece cuts its three frames on both strands at stop codons and reports its long segments and those at
+    its edges. An edge segment goes on in the next piece unless a stop closes it, so one window over the reports
+    joins them; text is fetched by place at the end, for the frames that are kept.
     """
-    n = F.length("seq")
-    forms = F.array(*[F.struct(F.lit(s).alias("strand"), F.lit(f).alias("f")) for s in "+-" for f in (0, 1, 2)])
-    framed = contigs.select(*keys, "seq", F.explode(forms).alias("x")).select(*keys, "seq", "x.strand", "x.f")
-    back = F.col("strand") == "-"
-    shift = F.when(back, (n - F.col("f")) % 3).otherwise(F.col("f"))
-    read = F.when(back, dna.reverse_complement("seq")).otherwise(F.col("seq"))
+    held = pieces.cut(contigs.select(F.struct(*keys).alias("_key"), "seq"), "_key", edge=2)
+    # reading six frames costs more than moving a letter, and a contig may be one row of many millions
+    held = held.repartition("_key", "piece")
+    at = F.col("piece") * pieces.WIDTH
+    reads = F.array(
+        F.struct(F.lit("+").alias("strand"), F.concat("seq", "after").alias("t"), at.alias("off")),
+        F.struct(F.lit("-").alias("strand"), dna.reverse_complement(F.concat("before", "seq")).alias("t"), (F.col("size") - at - F.length("seq")).alias("off")))
+    frames = held.select("_key", "size", F.explode(reads).alias("r"), F.array(F.lit(0), F.lit(1), F.lit(2)).alias("cs"))
+    frames = frames.select("_key", "size", "r.*", F.explode("cs").alias("c"))
+    # the first codon of the frame that begins in this piece, read as far as codons are whole
+    skip = F.pmod(F.col("c") - F.col("off"), F.lit(3)).cast("int")
+    room = F.length("t") - skip
+    frames = frames.select("_key", "size", "strand", "c", (F.col("off") + skip).alias("off"), F.substr("t", skip + 1, room - F.pmod(room, F.lit(3))).alias("u"))
+
     stops, starts = "|".join(dna.STOP_CODONS), "|".join(dna.START_CODONS)
-    # up to a stop codon, or to the end of the sequence; possessive, so it does not recurse
-    segment = f"(?:(?!{stops})...)*+(?:...)?"
-    whole = F.substr(read, shift + 1, n - shift - F.pmod(n - shift, F.lit(3)))
-    framed = framed.select(*keys, "strand", "f", n.alias("n"), shift.alias("shift"), whole.alias("t"))
-    framed = framed.filter(F.length("t") > 0).withColumn("c", F.regexp_extract_all("t", F.lit(segment), F.lit(0))).drop("t")
-
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,txt:string>>").alias("kept"))
-
-    def collect(acc, x):
-        size = F.length(x)
-        ends = F.right(x, F.lit(3)).isin(*dna.STOP_CODONS) | F.lit(truncated)
-        here = F.array(F.struct(acc["at"].alias("at"), x.alias("txt")))
-        return F.struct((acc["at"] + size).alias("at"), F.when((size >= min_len) & ends, F.concat(acc["kept"], here)).otherwise(acc["kept"]).alias("kept"))
-
-    kept = F.aggregate("c", zero, collect, lambda acc: acc["kept"])
-    rows = framed.select(*keys, "strand", "f", "n", "shift", F.explode(kept).alias("o"))
-    skipped = F.length(F.regexp_extract("o.txt", f"^(?:(?!{starts})...)*+", 0))
-    rows = rows.select(*keys, "strand", "f", "n", "shift", F.struct(
-        F.col("o.at").alias("at"), F.right("o.txt", F.lit(3)).isin(*dna.STOP_CODONS).alias("closed"), skipped.alias("offset"),
-        F.length("o.txt").alias("len"), *([F.col("o.txt").alias("nt")] if with_seq else [])).alias("s"))
-    length = F.col("s.len")
-    rows = rows.filter((F.col("s.offset") < length) & (length - F.col("s.offset") >= min_len))
-    first = F.col("shift") + F.col("s.at")  # 0-based on the strand that is read
-    after = first + length
+    n = F.length("u")
+    found = pieces.kept_matches(
+        # up to a stop codon, or to the end of the text; possessive, so it does not recurse
+        F.col("u"), f"(?:(?!{stops})...)*+(?:...)?",
+        lambda x, at: (F.length(x) >= min_len) | (at == 0) | (at + F.length(x) == n),
+        {"closed": (lambda x, at: F.right(x, F.lit(3)).isin(*dna.STOP_CODONS), "boolean"),
+         "skipped": (lambda x, at: F.length(F.regexp_extract(x, f"^(?:(?!{starts})...)*+", 0)), "int")})
+    rows = frames.select("_key", "size", "strand", "c", "off", F.explode(found).alias("o"))
+    place = F.col("off") + F.col("o.at")
+    rows = rows.select(
+        "_key", "size", "strand", "c", place.alias("at"), F.col("o.len").cast("bigint").alias("len"), F.col("o.closed").alias("closed"),
+        (F.col("o.at") == 0).alias("opens"), F.when(F.col("o.skipped") < F.col("o.len"), place + F.col("o.skipped")).alias("first"))
+    group = ["_key", "size", "strand", "c"]
+    whole = pieces.linked(rows, group, F.col("opens") & ~F.col("_lag_closed")).groupBy(*group, "run").agg(
+        F.min("at").alias("beg"), F.max(F.col("at") + F.col("len")).alias("end"), F.bool_or("closed").alias("closed"), F.min("first").alias("first"))
+    whole = whole.filter((F.col("end") - F.col("beg") >= min_len) & (F.col("end") - F.col("first") >= min_len) & (F.col("closed") | F.lit(truncated)))
+
     back = F.col("strand") == "-"
-    ustop = F.when(back, F.col("n") - first).otherwise(first + 1)
-    start = F.when(back, F.col("n") - first - F.col("s.offset")).otherwise(first + 1 + F.col("s.offset"))
-    stop = F.when(back, F.col("n") - after + 1).otherwise(after)
-    out = rows.select(
-        *keys, F.concat(F.col("f").cast("string"), F.when(back, F.lit("R")).otherwise(F.lit(""))).alias("frame"), "strand",
-        ustop.cast("bigint").alias("ustop"), start.cast("bigint").alias("start"), stop.cast("bigint").alias("stop"),
-        length.cast("bigint").alias("length"), (F.col("s.at") == 0).alias("truncated_upstream"),
-        (~F.col("s.closed")).alias("truncated_downstream"),
-        *([F.when(F.lit(start2stop), F.substr("s.nt", (F.col("s.offset") + 1).cast("int"), F.length("s.nt"))).otherwise(
-            F.col("s.nt")).alias("seq")] if with_seq else []),
-    )
+    shift = F.when(back, F.pmod(F.col("size") - F.col("c"), F.lit(3))).otherwise(F.col("c"))
+    out = whole.select(
+        "_key.*", "_key", F.concat(shift.cast("string"), F.when(back, F.lit("R")).otherwise(F.lit(""))).alias("frame"), "strand",
+        F.when(back, F.col("size") - F.col("beg")).otherwise(F.col("beg") + 1).alias("ustop"),
+        F.when(back, F.col("size") - F.col("first")).otherwise(F.col("first") + 1).alias("start"),
+        F.when(back, F.col("size") - F.col("end") + 1).otherwise(F.col("end")).alias("stop"),
+        (F.col("end") - F.col("beg")).alias("length"), (F.col("beg") < 3).alias("truncated_upstream"), (~F.col("closed")).alias("truncated_downstream"))
     out = out.withColumns({"lo": F.least("start", "stop"), "hi": F.greatest("start", "stop")})
-    return out.withColumn("aa_seq", dna.translate_dna("seq")) if with_seq else out
+    if not with_seq:
+        return out.drop("_key")
+    begin = F.col("start") if start2stop else F.col("ustop")
+    out = out.withColumns({"_from": F.least(begin, F.col("stop")), "_to": F.greatest(begin, F.col("stop"))})
+    out = pieces.fetch(out, held, ("_key", "_from", "_to"), name="_key").drop("_key", "_from", "_to")
+    out = out.withColumn("seq", F.when(F.col("strand") == "-", dna.reverse_complement("seq")).otherwise(F.col("seq")))
+    return out.withColumn("aa_seq", dna.translate_dna("seq"))
 
 
 def snap_to_start(rows: DataFrame) -> DataFrame:
@@ -76,20 +80,19 @@ def snap_to_start(rows: DataFrame) -> DataFrame:
 
     ``seq`` is the forward text of [lo, hi].
     """
-    wanted = F.when(F.col("strand") == "-", F.array(*[F.lit(c) for c in ("CAT", "CAC")])).otherwise(
-        F.array(*[F.lit(c) for c in dna.START_CODONS]))
-    c = F.filter(dna.codons("seq"), lambda x: F.length(x) == 3)
+    wanted = F.when(F.col("strand") == "-", F.lit("CAT,CAC")).otherwise(F.lit(",".join(dna.START_CODONS)))
     base = F.col("lo") - 1
     here = F.col("pos") - 1 - F.pmod(F.col("pos") - 1 - base, F.lit(3))
-    # array positions are turned into 0-based coordinates of the sequence
-    lows = F.transform(
-        F.filter(F.sequence(F.lit(0), F.greatest(F.size(c) - 1, F.lit(0))), lambda i: F.array_contains(wanted, F.get(c, i))),
-        lambda i: base + i * 3)
-    nxt = F.array_min(F.filter(lows, lambda x: x >= here))
-    prev = F.array_max(F.filter(lows, lambda x: (x < here) & (x > base)))
-    p = F.col("pos") - 1
+    # one pass over the codons, in 0-based coordinates of the sequence
+    hits = F.transform(dna.codons("seq"), lambda x, i: F.when((F.length(x) == 3) & F.contains(wanted, x), base + i * 3))
+    sides = F.aggregate(
+        hits, F.struct(F.lit(None).cast("bigint").alias("prev"), F.lit(None).cast("bigint").alias("next")),
+        lambda acc, x: F.struct(F.when((x < here) & (x > base), x).otherwise(acc["prev"]).cast("bigint").alias("prev"),
+                                F.coalesce(acc["next"], F.when(x >= here, x)).cast("bigint").alias("next")))
+    found = rows.withColumn("_near", sides)
+    nxt, prev, p = F.col("_near.next"), F.col("_near.prev"), F.col("pos") - 1
     best = F.when(nxt.isNull(), prev).when(prev.isNull(), nxt).when(p - prev < nxt - p, prev).otherwise(nxt)
-    return rows.withColumn("snapped", best + F.when(F.col("strand") == "-", 3).otherwise(1))
+    return found.withColumn("snapped", best + F.when(F.col("strand") == "-", 3).otherwise(1)).drop("_near")
 
 
 KEY = ("seqname", "strand", "stop")
@@ -118,11 +121,18 @@ def reconcile_predictions(predictions: DataFrame, min_predictors: int = 2) -> tu
 
 
 def gene_sequences(genes: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Coding text of each gene, reverse-complemented on '-', and its translation."""
-    joined = genes.join(contigs.select(F.col("name").alias("seqname"), F.col("seq").alias("_s")), "seqname")
-    text = F.substr("_s", F.col("lo").cast("int"), (F.col("hi") - F.col("lo") + 1).cast("int"))
-    nt = F.when(F.col("strand") == "-", dna.reverse_complement(text)).otherwise(text)
-    return joined.withColumn("nt", nt).drop("_s").withColumn("aa", dna.translate_dna("nt"))
+    """Coding text of each gene, reverse-complemented on '-', and its translation.
+
+    The text is that of the pieces that the gene touches. Genes with ``places``, an array of (lo, hi), are the
+    intervals joined. Genes of an unknown sequence are left out.
+    """
+    held = pieces.cut(contigs)
+    known = genes.join(contigs.select(F.col("name").alias("seqname")).distinct(), "seqname", "left_semi")
+    if "places" in genes.columns:
+        return pieces.splice(known, held).withColumn("aa", dna.translate_dna("nt"))
+    found = pieces.fetch(known, held, ("seqname", "lo", "hi"), ["nt"])
+    found = found.withColumn("nt", F.when(F.col("strand") == "-", dna.reverse_complement("nt")).otherwise(F.col("nt")))
+    return found.withColumn("aa", dna.translate_dna("nt"))
 
 
 def is_abnormal(aa="aa", shortest: int = 30, longest: int = 2000) -> Column:

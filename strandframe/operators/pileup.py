@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as cg
 from ..functions import dna
+from . import pieces
 from .scale import number_rows
 
 # Ambiguity codes of two bases.
@@ -26,15 +27,8 @@ CHUNK = 1 << 12
 
 def reference_for(df: DataFrame, contigs: DataFrame) -> DataFrame:
     """Adds ``refseq``: the reference under each record, shorter at the end of the contig."""
-    span = df.agg(F.coalesce(F.max(cg.reference_span("cigar")), F.lit(1))).first()[0]
-    width = max(512, int(span))
-    cut = contigs.select(
-        F.col("name").alias("_name"), F.posexplode(dna.pieces("seq", width, width)).alias("_chunk", "_text"))
-    start = F.col("pos").cast("bigint") - 1
-    here = df.withColumn("_at", F.floor(start / width))
-    joined = here.join(cut, (F.col("rname") == F.col("_name")) & (F.col("_at") == F.col("_chunk")), "left")
-    text = F.substr(F.col("_text"), (start - F.col("_at") * width + 1).cast("int"), cg.reference_span("cigar"))
-    return joined.withColumn("refseq", F.coalesce(text, F.lit(""))).drop("_name", "_chunk", "_text", "_at")
+    placed = df.withColumn("_end", F.col("pos").cast("bigint") + cg.reference_span("cigar") - 1)
+    return pieces.fetch(placed, pieces.cut(contigs), ("rname", "pos", "_end"), ["refseq"]).drop("_end")
 
 
 def read_bases(df: DataFrame, keep: Sequence[str] = (), mask: int = cg.PILEUP_MASK, min_mapq: int = 0) -> DataFrame:
