@@ -220,7 +220,7 @@ def test_variant_filter_trace(spark):
     assert got == {(100, "G"): "G", (102, "A"): "g", (110, "ATT"): "U", (200, "GT"): "M", (201, "T"): "U", (300, "C"): "Q"}
 
 
-def test_tiles_do_not_matter(spark):
+def test_partitions_do_not_matter(spark):
     rnd = random.Random(7)
     rows = []
     for p in range(1, 400):
@@ -229,12 +229,12 @@ def test_tiles_do_not_matter(spark):
             rows.append((p, r, a, rnd.randint(1, 99), rnd.choice([5, 60, 60])))
     df = variants(spark, rows)
     key = ["pos", "ref", "alt", "qual", "info", "code"]
-    whole = sorted(map(tuple, V.filter_variants(df, ORDER, tile=1 << 20).select(key).collect()))
-    parts = sorted(map(tuple, V.filter_variants(df, ORDER, tile=16).select(key).collect()))
+    whole = sorted(map(tuple, V.filter_variants(df.repartition(1), ORDER).select(key).collect()))
+    parts = sorted(map(tuple, V.filter_variants(df.repartition(7, "qual"), ORDER).select(key).collect()))
     assert whole == parts and len(whole) == len(rows)
 
 
-def test_pileup_variant_tiles(spark):
+def test_pileup_variant_partitions(spark):
     rnd = random.Random(3)
     rows = []
     for p in range(1, 300):
@@ -244,8 +244,8 @@ def test_pileup_variant_tiles(spark):
                          "G", "-AC" if indel else None, "*" if indel else None, 2, 1))
     df = spark.createDataFrame(rows, "rname string, pos bigint, ref string, consensus string, quality int, snp_quality int, rms_mapq int, depth bigint, bases string, allele1 string, allele2 string, count1 int, count2 int")
     key = ["pos", "ref", "snp_quality", "code"]
-    a = sorted(map(tuple, V.filter_pileup_variants(df, ["ref"], tile=1 << 20).select(key).collect()))
-    b = sorted(map(tuple, V.filter_pileup_variants(df, ["ref"], tile=40).select(key).collect()))
+    a = sorted(map(tuple, V.filter_pileup_variants(df.repartition(1), ["ref"]).select(key).collect()))
+    b = sorted(map(tuple, V.filter_pileup_variants(df.repartition(7, "snp_quality"), ["ref"]).select(key).collect()))
     assert a == b and {c for *_, c in a} >= {0, 4, 5}
 
 
