@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import cigar as cg
 from ..functions import dna, names, phred as ph
 from ..functions.common import intersect_length
+from . import bins
 from .scale import first_per_key, number_within, running_sum
 
 BIN_BITS = 14
@@ -265,20 +266,25 @@ def idxstats(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     return known.select("rname", F.col("length").cast("bigint").alias("length"), "mapped", "unmapped").unionByName(nowhere)
 
 
-def depth_runs(df: DataFrame, mask: int = cg.PILEUP_MASK, min_mapq: int = 0, bits: int = BIN_BITS) -> DataFrame:
+def depth_runs(df: DataFrame, mask: int = cg.PILEUP_MASK, min_mapq: int = 0, bits: int = BIN_BITS,
+               regions: DataFrame | None = None) -> DataFrame:
     """Stretches of equal depth (rname, beg, end, depth), depth > 0.
 
     Blocks are cut at bucket edges first, so every bucket is complete in itself;
     starts and ends are counted per position before the shuffle, so a bucket never
-    holds more than two rows per base however deep it is.
+    holds more than two rows per base however deep it is. With closed ``regions`` only the
+    buckets that they touch are swept.
     """
     width = 1 << bits
     kept = df.filter(cg.lacks("flag", mask) & (F.col("mapq") >= min_mapq))
     block = F.explode(F.filter(cg.blocks("cigar"), lambda b: b["op"].isin("M", "D"))).alias("b")
     spans = kept.select("rname", "pos", block).select(
         "rname", (F.col("pos") + F.col("b.ref")).alias("s"), (F.col("pos") + F.col("b.ref") + F.col("b.len") - 1).alias("e"))
-    bins = F.sequence(F.floor(F.col("s") / width), F.floor(F.col("e") / width))
-    cut = spans.select("rname", "s", "e", F.explode(bins).alias("bin"))
+    buckets = F.sequence(F.floor(F.col("s") / width), F.floor(F.col("e") / width))
+    cut = spans.select("rname", "s", "e", F.explode(buckets).alias("bin"))
+    if regions is not None:
+        wanted = bins.touched(regions, ("_name", "r_beg", "r_end"), bits).select(F.col("_name").alias("rname"), F.col("_bin").alias("bin"))
+        cut = cut.join(wanted, ["rname", "bin"], "left_semi")
     cut = cut.select("rname", "bin", F.greatest("s", F.col("bin") * width).alias("s"),
                      F.least("e", (F.col("bin") + 1) * width - 1).alias("e"))
     events = cut.select("rname", "bin", F.inline(F.array(
@@ -290,11 +296,14 @@ def depth_runs(df: DataFrame, mask: int = cg.PILEUP_MASK, min_mapq: int = 0, bit
     return runs.filter("depth > 0")
 
 
-def depth(df: DataFrame, mask: int = cg.PILEUP_MASK, min_mapq: int = 0, regions: DataFrame | None = None) -> DataFrame:
-    """One row per covered base."""
-    runs = depth_runs(df, mask, min_mapq)
-    if regions is not None:
-        runs = overlap(runs, regions, ("rname", "beg", "end")).select(
+def depth(df: DataFrame, mask: int = cg.PILEUP_MASK, min_mapq: int = 0, regions: DataFrame | None = None,
+          lengths: DataFrame | None = None) -> DataFrame:
+    """One row per covered base, or per couple of such a base and a region."""
+    if regions is None:
+        runs = depth_runs(df, mask, min_mapq)
+    else:
+        closed = closed_regions(regions, lengths)
+        runs = bins.couples(depth_runs(df, mask, min_mapq, regions=closed), closed, ("rname", "beg", "end")).select(
             "rname", F.greatest("beg", "r_beg").alias("beg"), F.least("end", "r_end").alias("end"), "depth")
     return runs.select("rname", F.explode(F.sequence("beg", "end")).alias("pos"), "depth")
 
@@ -343,37 +352,19 @@ def fragment_coverage(df: DataFrame, dictionary: DataFrame, bits: int = BIN_BITS
     return runs.select("rname", F.explode(F.sequence("beg", "end")).alias("pos"), "open")
 
 
-def overlap(features: DataFrame, regions: DataFrame, columns: tuple[str, str, str] = ("rname", "beg", "end"),
-            bits: int = BIN_BITS, lengths: DataFrame | None = None) -> DataFrame:
-    """Features that share a base with a region (name, beg, end), one row per couple.
-
-    An open region (null end) ends with its sequence in ``lengths`` (name, length); without
-    them it is an error, not an empty result.
-
-    The join hashes on (reference, bin). A couple that shares several bins is kept
-    only in its first common bin, so nothing has to be made distinct afterwards.
-    """
-    name, beg, end = columns
-
-    def bins(lo, hi):
-        return F.explode(F.sequence(F.shiftright(lo, bits), F.shiftright(hi, bits)))
-
-    left = features.withColumn("_bin", bins(F.col(beg).cast("bigint"), F.greatest(F.col(end), F.col(beg)).cast("bigint")))
+def closed_regions(regions: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
+    """(_name, r_beg, r_end): an open region (null end) ends with its sequence in ``lengths`` (name, length), else it is an error."""
     if lengths is not None:
         sizes = lengths.select("name", F.col("length").alias("_length"))
         regions = regions.join(sizes, "name", "left").withColumn("end", F.coalesce("end", "_length")).drop("_length")
     closed = F.coalesce(F.col("end").cast("bigint"), F.raise_error(F.lit("an open region needs lengths")).cast("bigint"))
-    right = regions.select(F.col("name").alias("_name"), F.col("beg").cast("bigint").alias("r_beg"), closed.alias("r_end"))
-    right = right.withColumn("_rbin", bins(F.col("r_beg"), F.greatest("r_end", "r_beg")))
-    first_bin = F.shiftright(F.greatest(F.col(beg).cast("bigint"), F.col("r_beg")), bits)
-    on = (
-        (F.col(name) == F.col("_name"))
-        & (F.col("_bin") == F.col("_rbin"))
-        & (F.col(beg) <= F.col("r_end"))
-        & (F.col(end) >= F.col("r_beg"))
-        & (F.col("_bin") == first_bin)
-    )
-    return left.join(right, on).drop("_bin", "_rbin", "_name")
+    return regions.select(F.col("name").alias("_name"), F.col("beg").cast("bigint").alias("r_beg"), closed.alias("r_end"))
+
+
+def overlap(features: DataFrame, regions: DataFrame, columns: tuple[str, str, str] = ("rname", "beg", "end"),
+            lengths: DataFrame | None = None) -> DataFrame:
+    """Features that share a base with a region (name, beg, end), one row per couple; open regions as in ``closed_regions``."""
+    return bins.couples(features, closed_regions(regions, lengths), columns)
 
 
 def shared_bases(features: DataFrame, regions: DataFrame, columns=("rname", "beg", "end")) -> DataFrame:

@@ -23,6 +23,8 @@ AMBIGUITY = {
 # Fixed values of the genotype model.
 DEPENDENCY, FLOOR, CAP_MAPQ, HET_PENALTY = 0.85, 0.03, 60, 27
 CHUNK = 1 << 12
+#: Bits of the bins in which reads look for wanted sites.
+SITE_BITS = 8
 
 
 def reference_for(df: DataFrame, contigs: DataFrame) -> DataFrame:
@@ -31,8 +33,9 @@ def reference_for(df: DataFrame, contigs: DataFrame) -> DataFrame:
     return pieces.fetch(placed, pieces.cut(contigs), ("rname", "pos", "_end"), ["refseq"]).drop("_end")
 
 
-def read_bases(df: DataFrame, keep: Sequence[str] = (), mask: int = cg.PILEUP_MASK, min_mapq: int = 0) -> DataFrame:
-    """One row per aligned base or deleted position of every record.
+def read_bases(df: DataFrame, keep: Sequence[str] = (), mask: int = cg.PILEUP_MASK, min_mapq: int = 0,
+               sites: DataFrame | None = None) -> DataFrame:
+    """One row per aligned base or deleted position of every record, or only those at ``sites`` (rname, pos).
 
     Columns: rname, pos, base ('*' when deleted), qual, mapq, back (strand), indel
     (length after this base, negative for a deletion), ins (inserted text), head, tail.
@@ -59,7 +62,18 @@ def read_bases(df: DataFrame, keep: Sequence[str] = (), mask: int = cg.PILEUP_MA
     # the texts of a block travel with it; the whole read stays behind
     blocks = F.filter(F.transform("_b", block), lambda x: x["op"].isin("M", "D"))
     rows = kept.select("rname", "mapq", cg.has("flag", cg.REVERSE).alias("back"), *keep, F.explode(blocks).alias("x"))
-    each = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("x.len") - 1)).alias("_j"))
+    if sites is None:
+        each = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("x.len") - 1)).alias("_j"))
+    else:
+        # blocks are cut at bin edges, and only those in the bin of a site fall into bases
+        lo, hi = F.col("x.at"), F.col("x.at") + F.col("x.len") - 1
+        rows = rows.withColumn("_bin", F.explode(F.sequence(F.shiftright(lo, SITE_BITS), F.shiftright(hi, SITE_BITS))))
+        spots = sites.select("rname", F.col("pos").cast("bigint").alias("pos")).distinct()
+        rows = rows.join(spots.select("rname", F.shiftright("pos", SITE_BITS).alias("_bin")).distinct(), ["rname", "_bin"], "left_semi")
+        first = F.greatest(F.shiftleft("_bin", SITE_BITS) - lo, F.lit(0)).cast("int")
+        end = F.least(F.shiftleft(F.col("_bin") + 1, SITE_BITS) - 1 - lo, hi - lo).cast("int")
+        each = rows.select("*", F.explode(F.sequence(first, end)).alias("_j")).withColumn("_at", lo + F.col("_j"))
+        each = each.join(spots.withColumnRenamed("pos", "_at"), ["rname", "_at"], "left_semi")
     last = F.col("_j") == F.col("x.len") - 1
     return each.select(
         "rname", (F.col("x.at") + F.col("_j")).alias("pos"),
@@ -96,9 +110,7 @@ def pileup(df: DataFrame, order: Sequence[str], contigs: DataFrame | None = None
     source = reference_for(df, contigs) if contigs is not None else df.withColumn("refseq", F.lit(""))
     source = source.withColumn("_start", F.col("pos"))
     keep = list(dict.fromkeys([*by, "refseq", "_start", *[c for c in order if c not in ("rname", "pos", "mapq")]]))
-    each = read_bases(source, keep, mask, min_mapq)
-    if sites is not None:
-        each = each.join(sites.select("rname", "pos").distinct(), ["rname", "pos"], "left_semi")
+    each = read_bases(source, keep, mask, min_mapq, sites)
     at = (F.col("pos") - F.col("_start") + 1).cast("int")
     ref = F.substr("refseq", at, F.lit(1))
     ref = F.when(ref == "", F.lit("N")).otherwise(ref)
