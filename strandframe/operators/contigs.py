@@ -182,7 +182,7 @@ def choose_best(metrics: DataFrame, score: str = "assemblyScore") -> DataFrame:
 
 
 def rank_assemblies(metrics: DataFrame, score: str = "assemblyScore") -> DataFrame:
-    return number_rows(metrics, [F.col(score).desc(), F.col("file")], name="rank")
+    return number_rows(metrics, [(F.col(score), False), F.col("file")], name="rank")
 
 
 def concat_contigs(*sets: DataFrame) -> DataFrame:
@@ -201,20 +201,25 @@ def overlay(base: DataFrame, later: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def concatenate_with(contigs: DataFrame, joiner: str, by: Sequence[str] = ("file",)) -> DataFrame:
-    """Layout of one long sequence per group: each contig with its 1-based start.
+    """Layout of one long sequence per group: each contig with its number and its 1-based start in the whole."""
+    numbered = number_rows(contigs, [F.col("name"), F.md5("seq")], within=by, name="k")
+    sized = numbered.select(*by, "k", (F.length("seq") + F.lit(len(joiner))).alias("_len"))
+    ends = running_sum(sized, by, "k", {"_end": "_len"}, width=1 << 12).select(*by, "k", (F.col("_end") - F.col("_len") + 1).alias("start"))
+    return numbered.join(ends, [*by, "k"]).select(*contigs.columns, "k", "start")
 
-    The joined text itself is the pieces in order of ``start`` with the joiner
-    between them; it is never built in one row.
-    """
-    numbered = number_rows(contigs, [F.col("name"), F.col("seq")], within=by, name="k")
-    sized = numbered.withColumn("_len", F.length("seq") + F.lit(len(joiner)))
-    placed = running_sum(sized, by, "k", {"_end": "_len"}, width=1 << 12)
-    return placed.withColumn("start", F.col("_end") - F.col("_len") + 1).drop("_end", "_len")
+
+def concatenated(contigs: DataFrame, joiner: str, by: Sequence[str] = ("file",)) -> DataFrame:
+    """(by, piece, seq): the contigs of a group in order of name with the joiner between them, in pieces of one width."""
+    placed = concatenate_with(contigs, joiner, by).withColumn("_key", F.struct(*by))
+    text = F.concat("seq", F.when(F.col("k") < F.col("_last"), F.lit(joiner)).otherwise(F.lit("")))
+    last = placed.groupBy("_key").agg(F.max("k").alias("_last"))
+    parts = placed.join(last, "_key").withColumn("_text", text)
+    return pieces.lay_end_to_end(parts, "_key", "start", "_text").select("_key.*", "piece", "seq")
 
 
 def rename_contigs(contigs: DataFrame, prefix: str = "contig") -> DataFrame:
-    """``contig%06d`` over the whole output, in order of file and name."""
-    numbered = number_rows(contigs, [F.col("file"), F.col("name"), F.col("seq")], name="_n")
+    """``contig%06d`` over the whole output, in order of file and name (of equal ones, by digest)."""
+    numbered = number_rows(contigs, [F.col("file"), F.col("name"), F.md5("seq")], name="_n")
     return numbered.withColumn("name", F.format_string(f"{prefix}%06d", "_n")).drop("_n")
 
 
@@ -299,22 +304,27 @@ def parse_scaffold_spec(specs: DataFrame, default_spacing: int = 10) -> DataFram
     )
 
 
-def build_scaffolds(contigs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Scaffolds from ordered, signed contigs with N between them; the rest passes through."""
-    placed = parts.join(contigs.select("name", "seq"), "name")
+def scaffold_pieces(contigs: DataFrame, parts: DataFrame) -> DataFrame:
+    """(name, piece, seq) of scaffolds from ordered, signed contigs with N between them; other contigs pass through."""
+    sized = parts.join(contigs.select("name", F.length("seq").alias("_n")), "name")
+    last = sized.groupBy("scaffold").agg(F.max("idx").alias("_last"), F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("idx", F.concat("strand", "name").alias("id")))), lambda x: x["id"]), "_").alias("_ids"))
+    spaced = sized.join(last, "scaffold").withColumn("_gap", F.when(F.col("idx") < F.col("_last"), F.col("gap")).otherwise(0))
+    spaced = spaced.withColumn("_len", (F.col("_n") + F.col("_gap")).cast("bigint"))
+    placed = running_sum(spaced.select("scaffold", "idx", "_len"), ["scaffold"], "idx", {"_end": "_len"}).select(
+        "scaffold", "idx", (F.col("_end") - F.col("_len") + 1).alias("start"))
+    laid = spaced.join(placed, ["scaffold", "idx"]).join(contigs.select("name", "seq"), "name")
     oriented = F.when(F.col("strand") == "-", dna.reverse_complement("seq")).otherwise(F.col("seq"))
-    last = F.max("idx").over(Window.partitionBy("scaffold"))
-    spaced = placed.withColumn("_last", last).withColumn(
-        "_txt", F.when(F.col("idx") < F.col("_last"), F.concat(oriented, F.repeat(F.lit("N"), F.col("gap"))))
-        .otherwise(oriented))
-    packed = F.array_sort(F.collect_list(F.struct("idx", F.concat("strand", "name").alias("id"), F.col("_txt").alias("t"))))
-    scaffolds = spaced.groupBy("scaffold").agg(packed.alias("p")).select(
-        F.concat(F.lit("Scaffold"), "scaffold", F.lit("_"), F.array_join(F.transform("p", lambda x: x["id"]), "_"))
-        .alias("name"),
-        F.array_join(F.transform("p", lambda x: x["t"]), "").alias("seq"),
-    )
-    rest = contigs.join(parts.select("name").distinct(), "name", "left_anti").select("name", "seq")
-    return scaffolds.unionByName(rest)
+    laid = laid.select(
+        F.concat(F.lit("Scaffold"), "scaffold", F.lit("_"), "_ids").alias("_scaffold"), "start", F.concat(oriented, F.repeat(F.lit("N"), F.col("_gap").cast("int"))).alias("_text"))
+    built = pieces.lay_end_to_end(laid, "_scaffold", "start", "_text").withColumnRenamed("_scaffold", "name")
+    rest = contigs.join(parts.select("name").distinct(), "name", "left_anti")
+    return built.unionByName(pieces.cut(rest).select("name", "piece", "seq"))
+
+
+def build_scaffolds(contigs: DataFrame, parts: DataFrame) -> DataFrame:
+    """``scaffold_pieces`` with each sequence in one row."""
+    return pieces.join_pieces(scaffold_pieces(contigs, parts))
 
 
 def add_linker(contigs: DataFrame, linker: str) -> DataFrame:

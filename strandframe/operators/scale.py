@@ -9,37 +9,55 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-def number_rows(
-    df: DataFrame, order_by: Sequence[Column], within: Sequence[str] = (), name: str = "n", first: int = 1
-) -> DataFrame:
-    """Running number in the given total order, restarting per ``within`` group.
+Order = Sequence[Column | tuple[Column, bool]]
+
+
+def _sorted(columns: Sequence[str], rising: Sequence[bool]) -> list[Column]:
+    return [F.col(c).asc() if up else F.col(c).desc() for c, up in zip(columns, rising)]
 
-    Range partitioning spreads a hot group over many tasks. The sorted rows are
-    checkpointed, so that the partition ids that the offsets refer to stay the
-    same when an executor is lost.
+
+def cumulative(counts: DataFrame, order: Sequence[Column], within: Sequence[str], amount: str, name: str) -> DataFrame:
+    """Adds the sum of ``amount`` over the rows before, per ``within`` group; one row per (within, order).
+
+    The order may be of any kind and spread: range partitioning cuts it by rank, so a group of any size is spread over
+    tasks and no task sorts more than one partition. Only these narrow rows are checkpointed, to keep the partition
+    ids that the totals refer to when an executor is lost.
     """
     keys = [F.col(g) for g in within]
-    laid_out = df.repartitionByRange(*keys, *order_by).sortWithinPartitions(*keys, *order_by)
-    laid_out = cut_lineage(laid_out.withColumn("_at", F.monotonically_increasing_id()))
-    laid_out = laid_out.withColumn("_part", F.shiftright("_at", 33))
-    sizes = laid_out.groupBy("_part", *within).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    if within:
-        before = Window.partitionBy(*within).orderBy("_part")
-    else:
-        # one row per partition of the layout
-        before = Window.orderBy("_part")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col("_part").alias("_p"),
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(within)],
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + F.lit(first)).alias("_shift"),
-    )
+    laid_out = counts.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    laid_out = cut_lineage(laid_out.withColumn("_part", F.spark_partition_id()))
+    totals = laid_out.groupBy("_part", *within).agg(F.sum(amount).alias("_t"))
+    # one row per partition, or per partition and group
+    earlier = (Window.partitionBy(*within) if within else Window).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        F.col("_part").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(within)], F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"))
     on = F.col("_part") == F.col("_p")
     for i, g in enumerate(within):
         on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    return laid_out.join(offsets, on).select(
-        *df.columns, (F.col("_at") + F.col("_shift")).alias(name)
-    )
+    inside = Window.partitionBy("_part", *within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = laid_out.join(offsets, on).withColumn(name, F.col("_off") + F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+    return sums.select(*counts.columns, name)
+
+
+def number_rows(df: DataFrame, order_by: Order, within: Sequence[str] = (), name: str = "n", first: int = 1) -> DataFrame:
+    """Running number in the given order, restarting per ``within`` group; (column, False) stands for falling order.
+
+    Only the distinct values of the order columns are laid out and counted; whole rows meet their number in one
+    join. Rows that tie on all of them are numbered by a hash of the row.
+    """
+    pairs = [o if isinstance(o, tuple) else (o, True) for o in order_by]
+    rising, marks = [up for _, up in pairs], [f"_o{i}" for i in range(len(pairs))]
+    keyed = df.withColumns({m: o for m, (o, _) in zip(marks, pairs)})
+    counts = keyed.groupBy(*within, *marks).agg(F.count("*").alias("_c"))
+    starts = cumulative(counts, _sorted(marks, rising), within, "_c", "_before")
+    both = [*within, *marks]
+    starts = starts.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(both)], "_before")
+    on = F.lit(True)
+    for i, c in enumerate(both):
+        on = on & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    hashed = F.xxhash64(*[f"`{f.name}`" for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"])
+    ties = F.row_number().over(Window.partitionBy(*both).orderBy(hashed))
+    return keyed.join(starts, on).select(*df.columns, (F.col("_before") + ties + F.lit(first - 1)).cast("bigint").alias(name))
 
 
 def running_sum(

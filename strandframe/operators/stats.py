@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scale import running_sum
+from .scale import cumulative
 
 
 def describe(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Population sd, median (mean of the middle two), mean, min and max; nulls are skipped."""
-    return df.groupBy(*by).agg(
+    sums = df.groupBy(*by).agg(
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
         F.stddev_pop(value).alias("sd"),
-        F.median(value).alias("median"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
+    middle = at_ranks(df, by, value, {"_low": lambda n: F.floor((n - 1) / 2), "_high": lambda n: F.floor(n / 2)})
+    middle = middle.select(*[F.col(g).alias(f"_m{i}") for i, g in enumerate(by)], ((F.col("_low") + F.col("_high")) / 2).cast("double").alias("median"))
+    on = F.lit(True)
+    for i, g in enumerate(by):
+        on = on & F.col(g).eqNullSafe(F.col(f"_m{i}"))
+    return sums.join(middle, on, "left").select(*by, "n", "mean", "sd", "median", "min", "max")
 
 
 def argmax(df: DataFrame, by: Sequence[str], label: str, value: str) -> DataFrame:
@@ -30,23 +35,35 @@ def argmax(df: DataFrame, by: Sequence[str], label: str, value: str) -> DataFram
     )
 
 
-def nearest_rank(df: DataFrame, by: Sequence[str], value: str, percents: dict[str, float]) -> DataFrame:
-    """``sorted[min(int(n * p / 100), n - 1)]`` per group.
+def at_ranks(df: DataFrame, by: Sequence[str], value: str, ranks: dict) -> DataFrame:
+    """The values at 0-based ranks per group, each given as a function of the group's size; nulls are skipped.
 
-    Works on counts per distinct value with a two-level running total, so a group
-    of any size is never sorted in one task.
+    Values are counted first; the counts are cut by rank into ranges and summed up to each range, so a group of
+    any size and spread is sorted in many tasks.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
-    cumulative = running_sum(counts, by, value, {"_upto": "_c"})
-    totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    # Few groups: the totals are one row each.
-    joined = cumulative.join(totals, list(by)) if by else cumulative.withColumn("_n", counts.agg(F.sum("_c")).scalar())
+    placed = cumulative(counts, [F.col(value)], by, "_c", "_before")
+    totals = placed.groupBy(*by).agg(F.sum("_c").alias("_n")).select(*[F.col(g).alias(f"_t{i}") for i, g in enumerate(by)], "_n")
+    on = F.lit(True)
+    for i, g in enumerate(by):
+        on = on & F.col(g).eqNullSafe(F.col(f"_t{i}"))
+    # without groups the total is a single row
+    joined = placed.join(totals, on) if by else placed.withColumn("_n", totals.scalar())
+
+    def pick(rank) -> Column:
+        here = rank(F.col("_n"))
+        return F.min(F.when((F.col("_before") <= here) & (here < F.col("_before") + F.col("_c")), F.col(value)))
+
+    return joined.groupBy(*by).agg(*[pick(r).alias(n) for n, r in ranks.items()])
+
+
+def nearest_rank(df: DataFrame, by: Sequence[str], value: str, percents: dict[str, float]) -> DataFrame:
+    """``sorted[min(int(n * p / 100), n - 1)]`` per group."""
 
-    def pick(p: float) -> Column:
-        rank = F.least(F.floor(F.col("_n") * F.lit(p) / 100), F.col("_n") - 1)
-        return F.min(F.when(F.col("_upto") > rank, F.col(value)))
+    def rank(p: float):
+        return lambda n: F.least(F.floor(n * F.lit(p) / 100), n - 1)
 
-    return joined.groupBy(*by).agg(*[pick(p).alias(n) for n, p in percents.items()])
+    return at_ranks(df, by, value, {name: rank(p) for name, p in percents.items()})
 
 
 def insert_size_window(q25, q50, q75) -> tuple[Column, Column]:
