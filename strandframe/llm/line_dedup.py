@@ -31,7 +31,7 @@ from .text import mix, replace_names
 
 BLANKS = b" \t\n\v\f\r"
 #: Distinct lines of a shard, on average, and hashes that probe one copy of it.
-SHARD, PART = 1 << 18, 1 << 20
+SHARD, PART = 1 << 14, 1 << 18
 LINE = "h long, f long, doc long, t long"
 INDEX = "shard long, levels array<long>, bits binary, marks binary, counts binary, lasts binary"
 GONE = "doc long, t long, line binary"
