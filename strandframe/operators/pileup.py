@@ -279,10 +279,11 @@ def alternates_as_edits(variants: DataFrame) -> DataFrame:
         F.when(alt.isin("", "."), F.lit("N")).otherwise(alt).alias("txt"))
 
 
-def apply_edits(contigs: DataFrame, edits: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Edited contigs. Contigs are cut into chunks; a deletion across an edge is cut too.
+def edited_pieces(contigs: DataFrame, edits: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(name, piece, seq): edited contigs, a piece for each ``chunk`` letters before editing.
 
-    Where edits collide the one that begins first wins. An edit beyond the contig is ignored.
+    A deletion across an edge is cut too. Where edits collide the one that begins first wins. An edit beyond the
+    contig is ignored.
     """
     whole = contigs.select("name", F.posexplode(dna.pieces("seq", chunk)).alias("_c", "_text"))
     span = F.greatest(F.col("span"), F.lit(1))
@@ -311,10 +312,12 @@ def apply_edits(contigs: DataFrame, edits: DataFrame, chunk: int = CHUNK) -> Dat
     tail_from = F.coalesce(F.element_at("e", -1)["upto"], F.lit(0)) + 1
     edited = F.when(F.col("e").isNull(), F.col("_text")).otherwise(
         F.concat(F.array_join(F.transform("e", piece), ""), F.substr("_text", tail_from, F.greatest(size - tail_from + 1, F.lit(0)))))
-    done = joined.select("name", "_c", edited.alias("txt"))
-    # the chunks of one contig; together they are as long as the contig row they came from
-    return done.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("_c", "txt"))).alias("p")).select(
-        "name", F.array_join(F.transform("p", lambda x: x["txt"]), "").alias("seq"))
+    return joined.select("name", F.col("_c").cast("bigint").alias("piece"), edited.alias("seq"))
+
+
+def apply_edits(contigs: DataFrame, edits: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``edited_pieces`` with each contig in one row."""
+    return pieces.join_pieces(edited_pieces(contigs, edits, chunk))
 
 
 def apply_variants(contigs: DataFrame, changes: DataFrame) -> DataFrame:
@@ -325,31 +328,29 @@ def apply_alternates(contigs: DataFrame, variants: DataFrame) -> DataFrame:
     return apply_edits(contigs, alternates_as_edits(variants))
 
 
-def lay_out(sites: DataFrame, name: str, chunk: int = CHUNK) -> DataFrame:
-    """Rows (name, pos, base, qchar), one per position -> sequence and quality per name, gaps filled.
-
-    Text is built per chunk of positions; the chunks of a name then form its row.
-    """
-    bounded = sites.withColumn("_c", F.floor((F.col("pos") - 1) / chunk))
-    ends = sites.groupBy(name).agg(F.max("pos").alias("_last"))
-    rows = bounded.groupBy(name, "_c").agg(F.array_sort(F.collect_list(F.struct("pos", "base", "qchar"))).alias("p"))
-    grid = ends.select(name, "_last", F.explode(F.sequence(F.lit(0), F.floor((F.col("_last") - 1) / chunk))).alias("_c"))
-    full = grid.join(rows, [name, "_c"], "left")
-    stop = F.least((F.col("_c") + 1) * chunk, F.col("_last"))
-    start = F.col("_c") * chunk
+def laid_out(sites: DataFrame, name: str, width: int = pieces.WIDTH) -> DataFrame:
+    """Rows (name, pos, base, qchar), one per position -> (name, size, piece, seq, qual), gaps filled."""
+    bounded = sites.withColumn("piece", F.floor((F.col("pos") - 1) / width))
+    ends = sites.groupBy(name).agg(F.max("pos").cast("bigint").alias("size"))
+    rows = bounded.groupBy(name, "piece").agg(F.array_sort(F.collect_list(F.struct("pos", "base", "qchar"))).alias("p"))
+    grid = ends.select(name, "size", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("size") - 1) / width))).alias("piece"))
+    full = grid.join(rows, [name, "piece"], "left")
+    stop = F.least((F.col("piece") + 1) * width, F.col("size"))
+    start = F.col("piece") * width
 
     def padded(field, fill):
-        def one(x, i):
-            last = F.coalesce(F.get("p", i - 1)["pos"], start)
-            return F.concat(F.repeat(F.lit(fill), (x["pos"] - last - 1).cast("int")), x[field])
-
+        here = F.transform("p", lambda x: x["pos"])
+        before = F.concat(F.array(start), F.slice(here, 1, F.greatest(F.size(here) - 1, F.lit(0))))
+        one = F.zip_with("p", before, lambda x, last: F.concat(F.repeat(F.lit(fill), (x["pos"] - last - 1).cast("int")), x[field]))
         tail = F.repeat(F.lit(fill), (stop - F.coalesce(F.element_at("p", -1)["pos"], start)).cast("int"))
-        return F.concat(F.coalesce(F.array_join(F.transform("p", one), ""), F.lit("")), tail)
+        return F.when(F.col("p").isNull(), tail).otherwise(F.concat(F.array_join(one, ""), tail))
+
+    return full.select(name, "size", "piece", padded("base", "n").alias("seq"), padded("qchar", "!").alias("qual"))
+
 
-    chunks = full.select(name, "_c", padded("base", "n").alias("s"), padded("qchar", "!").alias("q"))
-    return chunks.groupBy(name).agg(F.array_sort(F.collect_list(F.struct("_c", "s", "q"))).alias("p")).select(
-        name, F.array_join(F.transform("p", lambda x: x["s"]), "").alias("seq"),
-        F.array_join(F.transform("p", lambda x: x["q"]), "").alias("qual"))
+def lay_out(sites: DataFrame, name: str) -> DataFrame:
+    """``laid_out`` with each sequence in one row."""
+    return pieces.join_pieces(laid_out(sites, name), name, ["seq", "qual"])
 
 
 def lower_near(sites: DataFrame, windows: DataFrame, name: str) -> DataFrame:
@@ -406,7 +407,6 @@ def consensus_from_pileup(sites: DataFrame, min_depth: int = 3, max_depth: int =
 def alignments_to_consensus(df: DataFrame, min_gap: int = 3, k: float = 3, min_share: float = 0.8) -> DataFrame:
     """Depth bounds, majority calls, masking, then a cut at every long enough gap."""
     from .alignments import depth_bounds
-    from .contigs import mask_lowercase, split_at_gaps
 
     bounds = depth_bounds(df, k)
     low, high = bounds.select("min_depth").scalar(), bounds.select("max_depth").scalar()
@@ -414,5 +414,7 @@ def alignments_to_consensus(df: DataFrame, min_gap: int = 3, k: float = 3, min_s
     inside = F.col("depth").between(low, high)
     sites = calls.select("rname", "pos", F.when(inside, F.col("base")).otherwise(F.lit("N")).alias("base"),
                          F.char(F.least(F.col("depth") + 33, F.lit(126))).alias("qchar"))
-    sequences = lay_out(sites, "rname").select(F.lit("consensus").alias("file"), F.col("rname").alias("name"), "seq", "qual")
-    return split_at_gaps(mask_lowercase(sequences), min_gap, "qual").select("name", "start", "seq", "qual")
+    # the pieces are masked and cut as they are; only the parts between gaps become rows
+    held = laid_out(sites, "rname").withColumn("seq", dna.mask_lowercase("seq"))
+    parts = pieces.split_at_runs(held, "Nn", min_gap, "rname", ["seq", "qual"])
+    return parts.select(F.concat("rname", F.lit("_subcontig"), "i").alias("name"), F.col("start").cast("int").alias("start"), "seq", "qual")
