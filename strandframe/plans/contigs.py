@@ -196,6 +196,18 @@ def u5(spark, sf):
     return C.concatenate_with(contigs(spark, sf), "NNNNNN").select("file", "name", "k", "start")
 
 
+# The whole text of a group, cut anew by position.
+_PIECE = 12288
+
+
+@query("U5_concatenated", f"""
+WITH t AS (SELECT file, string_agg(seq, 'NNNNNN' ORDER BY name) AS whole FROM fx_contigs GROUP BY file),
+p AS (SELECT file, whole, unnest(range(0, CAST(ceil(length(whole) / {_PIECE}.0) AS BIGINT))) AS piece FROM t)
+SELECT file, piece, md5(substr(whole, CAST(piece * {_PIECE} + 1 AS BIGINT), {_PIECE})) AS digest FROM p""")
+def u5c(spark, sf):
+    return C.concatenated(contigs(spark, sf), "NNNNNN").select("file", "piece", F.md5("seq").alias("digest"))
+
+
 @query("W8_rename_contigs", """
 SELECT file, printf('contig%06d', row_number() OVER (ORDER BY file, name, seq)) AS name, md5(seq) AS digest FROM fx_contigs""")
 def w8(spark, sf):

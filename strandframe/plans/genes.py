@@ -163,14 +163,15 @@ def a29(spark, sf):
 
 _FEAT = """
 ft AS (SELECT concat('ST_', doc_id) AS tag, name AS seqname, doc_id % 40 + 1 AS lo, least(doc_id % 40 + 3 * (20 + doc_id % 700), length(seq)) AS hi, CASE WHEN quality = 1 THEN '+' ELSE '-' END AS strand,
-  CASE WHEN toxic = 1 THEN concat('gen', doc_id % 10) END AS gene, CASE WHEN doc_id % 2 = 0 THEN 'some protein' END AS product, seq FROM labels JOIN fx_contigs ON name = concat('c', doc_id) WHERE length(seq) > 60),
+  CASE WHEN toxic = 1 THEN concat('gen', doc_id % 10) END AS gene, CASE WHEN doc_id % 2 = 0 THEN 'some protein' END AS product, seq FROM labels JOIN fx_contigs ON name = concat('c', doc_id) WHERE length(seq) >= doc_id % 40 + 1),
 nt AS (SELECT *, CASE WHEN strand = '-' THEN reverse(translate(substr(seq, CAST(lo AS INT), CAST(hi - lo + 1 AS INT)), 'ATGC', 'TACG')) ELSE substr(seq, CAST(lo AS INT), CAST(hi - lo + 1 AS INT)) END AS nt FROM ft)"""
 
 
 def features(spark, sf):
     d = F.col("doc_id")
-    sized = contigs(spark, sf).filter(F.length("seq") > 60).select("name", F.length("seq").alias("n"))
-    rows = table(spark, sf, "labels").withColumn("name", F.concat(F.lit("c"), d)).join(sized, "name")
+    sized = contigs(spark, sf).select("name", F.length("seq").alias("n"))
+    # a gene begins inside its contig
+    rows = table(spark, sf, "labels").withColumn("name", F.concat(F.lit("c"), d)).join(sized, "name").filter(F.col("n") >= d % 40 + 1)
     return rows.select(
         F.concat(F.lit("ST_"), d).alias("locus_tag"), F.col("name").alias("seqname"), (d % 40 + 1).alias("lo"),
         F.least(d % 40 + 3 * (20 + d % 700), F.col("n")).alias("hi"), F.when(F.col("quality") == 1, F.lit("+")).otherwise(F.lit("-")).alias("strand"),
@@ -188,6 +189,24 @@ def c8(spark, sf):
     return G.extract_features(features(spark, sf), contigs(spark, sf), protein=True)
 
 
+# Three exons of a gene, with introns of 10 and 21 bases.
+_EXONS = f"""{_FEAT},
+ex AS (SELECT tag, strand, seq, lo AS a, lo + 29 AS b, lo + 40 AS c, lo + 60 AS d, lo + 82 AS e, lo + 90 AS g FROM ft),
+sp AS (SELECT tag, strand, concat(substr(seq, CAST(a AS INT), CAST(b - a + 1 AS INT)), substr(seq, CAST(c AS INT), CAST(d - c + 1 AS INT)), substr(seq, CAST(e AS INT), CAST(g - e + 1 AS INT))) AS t FROM ex)"""
+
+
+def exons(spark, sf):
+    def span(a, b):
+        return F.struct((F.col("lo") + a).alias("lo"), (F.col("lo") + b).alias("hi"))
+
+    return features(spark, sf).withColumn("places", F.array(span(0, 29), span(40, 60), span(82, 90)))
+
+
+@query("J15_joined_places", f"WITH {_EXONS} SELECT tag AS locus_tag, CASE WHEN strand = '-' THEN reverse(translate(t, 'ATGC', 'TACG')) ELSE t END AS nt FROM sp")
+def j15j(spark, sf):
+    return G.gene_sequences(exons(spark, sf), contigs(spark, sf)).select("locus_tag", "nt")
+
+
 @query("P30_flag_abnormal", f"""
 WITH {_FEAT}, a AS (SELECT tag, {protein('nt')} AS aa FROM nt) SELECT tag AS locus_tag, length(aa) < 30 OR length(aa) > 2000 OR NOT regexp_matches(aa, 'M.+\\*$') AS abnormal FROM a""")
 def p30(spark, sf):
@@ -202,9 +221,12 @@ def p31(spark, sf):
     return G.clip_proteins(contigs(spark, sf).select("name", translate_dna("seq").alias("seq")))
 
 
-@query("F15_codon_of_anticodon", "SELECT name, reverse(translate(substr(seq, 1, 3), 'ATGC', 'TACG')) AS codon FROM fx_contigs")
+@query("F15_codon_of_anticodon", """
+SELECT name, array_to_string(list_transform(range(1, length(seq) + 1, 3), lambda i: reverse(translate(substr(seq, CAST(i AS INT), 3), 'ATGC', 'TACG'))), ' ') AS codons FROM fx_contigs""")
 def f15(spark, sf):
-    return contigs(spark, sf).select("name", G.codon_of_anticodon(F.substring("seq", 1, 3)).alias("codon"))
+    from ..functions.dna import codons
+
+    return contigs(spark, sf).select("name", F.array_join(F.transform(codons("seq"), G.codon_of_anticodon), " ").alias("codons"))
 
 
 _TYPES = ["CDS", "gene", "tRNA", "CRISPR"]

@@ -166,6 +166,14 @@ def a26(spark, sf):
     return P.apply_alternates(references(spark, sf), v).select("name", F.md5("seq").alias("digest"))
 
 
+@query("A26_edited_pieces", f"""
+WITH {REFS}, e AS (SELECT chrom, pos, max(CASE WHEN split_part(alt, ',', 1) IN ('', '.') THEN 'N' ELSE split_part(alt, ',', 1) END) AS txt FROM fx_variants GROUP BY chrom, pos),
+b AS (SELECT name, i AS pos, substr(ref, CAST(i AS INT), 1) AS base FROM (SELECT name, ref, unnest(range(1, length(ref) + 1)) AS i FROM refs))
+SELECT name, CAST((b.pos - 1) // 100 AS BIGINT) AS piece, string_agg(coalesce(txt, base), '' ORDER BY b.pos) AS seq FROM b LEFT JOIN e ON chrom = name AND e.pos = b.pos GROUP BY ALL""")
+def a26p(spark, sf):
+    return P.edited_pieces(references(spark, sf), P.alternates_as_edits(fx(spark, sf, "variants")), chunk=100)
+
+
 @query("A26_apply_changes", f"""
 WITH {REFS}, v AS (SELECT concat('chr', o_custkey % 40) AS chrom, o_orderkey * 5 + 2 AS pos, CASE o_orderstatus WHEN 'O' THEN 'G' WHEN 'F' THEN '+TTC' ELSE '-AC' END AS change FROM orders),
 k AS (SELECT chrom, pos, min(change) AS change FROM v GROUP BY chrom, pos),

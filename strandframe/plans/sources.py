@@ -202,12 +202,26 @@ def _genome(spark, sf):
 
 @query("S13_genbank_features", """
 SELECT name AS seqid, 'CDS' AS type, doc_id % 40 + 1 AS lo, least(doc_id % 40 + 3 * (20 + doc_id % 700), length(seq)) AS hi, CASE WHEN quality = 1 THEN '+' ELSE '-' END AS strand, concat('ST_', doc_id) AS locus_tag,
-  CASE WHEN doc_id % 2 = 0 THEN 'some protein' ELSE 'none' END AS product FROM labels JOIN fx_contigs ON name = concat('c', doc_id) WHERE length(seq) > 60""")
+  CASE WHEN doc_id % 2 = 0 THEN 'some protein' ELSE 'none' END AS product FROM labels JOIN fx_contigs ON name = concat('c', doc_id) WHERE length(seq) >= doc_id % 40 + 1""")
 def s13(spark, sf):
     _, f = REC.read_genbank(spark, _genome(spark, sf))
     return f.filter("type <> 'source'").select("seqid", "type", "lo", "hi", "strand", REC.qualifier("locus_tag").alias("locus_tag"), REC.qualifier("product").alias("product"))
 
 
+@query("S13_joined_places", """
+SELECT name AS seqid, concat(lo, '..', lo + 29, ',', lo + 40, '..', lo + 60, ',', lo + 82, '..', lo + 90) AS places, strand FROM (
+  SELECT name, doc_id % 40 + 1 AS lo, CASE WHEN quality = 1 THEN '+' ELSE '-' END AS strand FROM labels JOIN fx_contigs ON name = concat('c', doc_id) WHERE length(seq) >= doc_id % 40 + 1)""")
+def s13j(spark, sf):
+    from .genes import exons
+
+    path = place(spark, "genbank")
+    seqs = fx(spark, sf, "contigs").select(F.col("name").alias("seqid"), "seq", F.lit(None).cast("string").alias("description"))
+    quals = F.array(F.struct(F.lit("locus_tag").alias("tag"), F.col("locus_tag").alias("value")))
+    REC.write_genbank(seqs, exons(spark, sf).select(F.col("seqname").alias("seqid"), "lo", "hi", "strand", "type", "places", quals.alias("quals")), path)
+    shown = F.array_join(F.transform("places", lambda x: F.concat(x["lo"].cast("string"), F.lit(".."), x["hi"].cast("string"))), ",")
+    return REC.genome_features(spark, path).filter("type <> 'source'").select("seqid", shown.alias("places"), "strand")
+
+
 @query("S14_genbank_sequences", "SELECT name AS seqid, 'a contig' AS description, seq FROM fx_contigs")
 def s14(spark, sf):
     return REC.genome_sequences(spark, _genome(spark, sf)).select("seqid", "description", "seq")
