@@ -56,23 +56,25 @@ def gc_count(seq) -> Column:
     return F.length(s) - F.length(F.translate(s, "GCgc", ""))
 
 
-def all_indexes(text, pattern) -> Column:
+def all_indexes(text, pattern, block: int = 256) -> Column:
     """Every 1-based position of ``pattern``, overlapping matches included.
 
-    The text is cut in front of each match in one pass; the pieces' lengths add up to the places.
+    The text is cut into blocks, each with the letters that a match may reach into, so the cost of a place does
+    not grow with the text.
     """
     s, p = as_col(text), as_col(pattern)
-    ahead = F.concat(F.lit(r"(?=\Q"), F.replace(p, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)"))
-    pieces = F.split(s, ahead)
-    # in front of each piece but the first, and of that if it begins with a match
-    begins = F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    places = F.aggregate(
-        begins, F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("all")),
-        lambda acc, x: F.struct((acc["at"] + F.length(x)).alias("at"), F.concat(acc["all"], F.array(acc["at"] + F.length(x))).alias("all")),
-        lambda acc: acc["all"])
-    first = F.when(s.startswith(p), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    m = F.length(p)
+    head = F.regexp_extract_all(s, F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
+    beyond = F.concat(F.lit(f"(?s).{{1,{block}}}(?=(.{{0,"), F.greatest(m - 1, F.lit(0)).cast("string"), F.lit("}))"))
+    blocks = F.zip_with(head, F.regexp_extract_all(s, beyond, F.lit(1)), lambda h, t: F.concat(h, t))
+    none = F.array().cast("array<int>")
+
+    def places(x, i):
+        hits = F.filter(F.sequence(F.lit(1), F.lit(block)), lambda j: F.substr(x, j, m) == p)
+        return F.when(F.contains(x, p), F.transform(hits, lambda j: i * block + j)).otherwise(none)
+
     every = F.sequence(F.lit(1), F.length(s) + 1)
-    return F.when(F.length(p) == 0, every).when(F.length(p) > F.length(s), F.array().cast("array<int>")).otherwise(F.concat(first, places))
+    return F.when(m == 0, every).otherwise(F.flatten(F.transform(blocks, places)))
 
 
 def kmers(seq, k: int) -> Column:

@@ -428,13 +428,33 @@ def sort_natural(df: DataFrame, column: str = "qname") -> DataFrame:
     return df.withColumn("_k", names.natural_key(column)).orderBy("_k", column).drop("_k")
 
 
-def merge_alignments(*sets: DataFrame, groups: Sequence[str] | None = None) -> DataFrame:
-    """Union of alignment sets, each with its own read group when ``groups`` is given."""
+def agreeing_dictionary(*dictionaries: DataFrame) -> DataFrame:
+    """The one dictionary (name, length, idx) that all inputs have; names, lengths or places that differ are an error.
+
+    The error is raised when the result is read.
+    """
+    each = [d.select("name", F.col("length").cast("bigint").alias("length"), F.col("idx").cast("bigint").alias("idx"), F.lit(i).alias("_d")) for i, d in enumerate(dictionaries)]
+    rows = each[0]
+    for d in each[1:]:
+        rows = rows.unionByName(d)
+    per = rows.groupBy("name").agg(
+        F.min("length").alias("length"), F.max("length").alias("_l"), F.min("idx").alias("idx"), F.max("idx").alias("_i"), F.count_distinct("_d").alias("_n"), F.count("*").alias("_c"))
+    same = (F.col("length") == F.col("_l")) & (F.col("idx") == F.col("_i")) & (F.col("_n") == len(each)) & (F.col("_c") == len(each))
+    clash = F.raise_error(F.concat(F.lit("sequence dictionaries disagree on "), "name")).cast("bigint")
+    return per.select("name", F.when(same, F.col("length")).otherwise(clash).alias("length"), F.when(same, F.col("idx")).otherwise(clash).alias("idx"))
+
+
+def merge_alignments(*sets: DataFrame, groups: Sequence[str] | None = None, dictionaries: Sequence[DataFrame] | None = None) -> DataFrame:
+    """Union of alignment sets, each with its own read group when ``groups`` is given.
+
+    With ``dictionaries`` (name, length, idx; one for each set) they have to agree, and the result is in
+    coordinate order by them.
+    """
     tagged = [s.withColumn("rg", F.lit(g)) for s, g in zip(sets, groups)] if groups else list(sets)
     out = tagged[0]
     for s in tagged[1:]:
         out = out.unionByName(s, allowMissingColumns=True)
-    return out
+    return out if dictionaries is None else sort_by_coordinate(out, agreeing_dictionary(*dictionaries))
 
 
 def same_dictionary(a: DataFrame, b: DataFrame) -> bool:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as cg
 from ..operators import alignments as A
-from .fixtures import fx, table
+from .fixtures import fx, in_order, table
 from .registry import query
 
 ALL = ["qname", "flag", "rname", "pos", "mapq", "cigar", "tlen", "rg", "seq", "qual"]
@@ -307,6 +307,35 @@ def o2(spark, sf):
     return A.sort_natural(al(spark, sf).select("qname")).select("qname", natural_key("qname").alias("k"))
 
 
+def indexed(spark, sf):
+    return dictionary(spark, sf).withColumn("idx", F.regexp_extract("name", r"(\d+)", 1).cast("int"))
+
+
+_SORTED = "row_number() OVER (ORDER BY CAST(regexp_extract(rname, '\\d+') AS INT), pos, flag & 16) AS place, rname, pos, flag & 16 > 0 AS back"
+
+
+def place_of_coordinates(df):
+    return in_order(df.select("rname", "pos", (F.col("flag").bitwiseAND(16) > 0).alias("back")))
+
+
+@query("O1_order", f"SELECT {_SORTED} FROM fx_alignments")
+def o1o(spark, sf):
+    return place_of_coordinates(A.sort_by_coordinate(al(spark, sf), indexed(spark, sf)))
+
+
+@query("O2_order", """
+WITH p AS (SELECT qname, split_part(substr(qname, 2), '_', 1) AS a, split_part(qname, '_', 2) AS b FROM fx_alignments)
+SELECT row_number() OVER (ORDER BY CAST(a AS BIGINT), CAST(b AS BIGINT)) AS place, qname FROM p""")
+def o2o(spark, sf):
+    return in_order(A.sort_natural(al(spark, sf).select("qname")))
+
+
+@query("U1_merge_sorted", f"SELECT {_SORTED} FROM fx_alignments")
+def u1s(spark, sf):
+    a, d = al(spark, sf), indexed(spark, sf)
+    return place_of_coordinates(A.merge_alignments(a.filter("rg = 'rg0'"), a.filter("rg <> 'rg0'"), groups=["a", "b"], dictionaries=[d, d]))
+
+
 @query("U1_merge_alignments", """
 SELECT rg, count(*) AS n, CAST(sum(pos) AS BIGINT) AS s FROM (SELECT 'a' AS rg, pos FROM fx_alignments WHERE rg = 'rg0' UNION ALL SELECT 'b', pos FROM fx_alignments WHERE rg <> 'rg0') GROUP BY rg""")
 def u1(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..operators import annotation as N
-from .fixtures import fx, table
+from .fixtures import fx, in_order, table
 from .registry import query
 
 
@@ -118,6 +118,21 @@ def o7(spark, sf):
     return N.order_features(fx(spark, sf, "genes")).select("seqname", "lo", "hi", "locus_tag")
 
 
+@query("O3_order", "SELECT row_number() OVER (ORDER BY query_id, evalue) AS place, query_id, evalue FROM fx_hits")
+def o3o(spark, sf):
+    return in_order(N.sort_hits(hits(spark, sf)).select("query_id", "evalue"))
+
+
+@query("O7_order", "SELECT row_number() OVER (ORDER BY seqname, lo, hi DESC) AS place, seqname, lo, hi FROM fx_genes")
+def o7o(spark, sf):
+    return in_order(N.order_features(fx(spark, sf, "genes")).select("seqname", "lo", "hi"))
+
+
+@query("O8_order", "SELECT row_number() OVER (ORDER BY CAST(substr(locus_tag, 2) AS BIGINT), locus_tag) AS place, locus_tag FROM fx_genes")
+def o8o(spark, sf):
+    return in_order(N.order_genes(fx(spark, sf, "genes")).select("locus_tag"))
+
+
 @query("U3_distinct", "SELECT DISTINCT query_id, target_id, coverage FROM fx_hits")
 def u3(spark, sf):
     return hits(spark, sf).select("query_id", "target_id", "coverage").distinct()

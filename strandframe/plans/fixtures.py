@@ -8,6 +8,10 @@ quality characters.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.scale import number_rows
+from ..session import scratch_path
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -119,3 +123,22 @@ def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     base = next(t for t in TABLES if f"FROM {t}" in text)
     bound = text.replace("{", "{{").replace("}", "}}").replace(f"FROM {base}", f"FROM {{{base}}}")
     return spark.sql(bound, **{base: spread(table(spark, sf_dir, base))})
+
+
+def in_order(df: DataFrame, name: str = "place") -> DataFrame:
+    """The rows of a sorted result with the place that each one has in it: written, and numbered by file and line."""
+    path = scratch_path(df.sparkSession, "ordered")
+    df.write.parquet(path)
+    return numbered_files(df.sparkSession.read.parquet(path), df.columns, F.col("_metadata.row_index"), name)
+
+
+def lines_in_order(spark: SparkSession, path: str, name: str = "place") -> DataFrame:
+    """The lines of written text files with their place in the whole."""
+    rows = spark.read.text(path).withColumn("_line", F.monotonically_increasing_id())
+    return numbered_files(rows, ["value"], F.col("_line"), name)
+
+
+def numbered_files(rows: DataFrame, columns: list[str], line, name: str) -> DataFrame:
+    # part files are named in the order of the partitions that wrote them
+    placed = rows.select(*columns, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), line.alias("_at"))
+    return number_rows(placed, [F.col("_file"), F.col("_block"), F.col("_at")], name=name).select(*columns, name)

@@ -16,7 +16,7 @@ from ..sources import records as REC
 from ..sources import reports as RP
 from ..sources import tables as T
 from ..sources import xml as X
-from .fixtures import fx, table
+from .fixtures import fx, lines_in_order, table
 from .pileup import _CP, consensus_rows
 from .registry import query
 
@@ -127,6 +127,24 @@ def s8(spark, sf):
     return spark.read.text(path)
 
 
+@query("S7_order", "SELECT row_number() OVER (ORDER BY seqname, lo, hi DESC) AS place, seqname, lo, hi FROM fx_genes")
+def s7o(spark, sf):
+    path = place(spark, "gff")
+    g = fx(spark, sf, "genes").withColumns({"score": F.lit(None).cast("double"), "strand": F.lit("+"), "attributes": F.concat(F.lit("ID="), "locus_tag")})
+    T.write_gff3(g, path, "test")
+    f = F.split("value", "\t")
+    return lines_in_order(spark, path).select("place", f[0].alias("seqname"), f[3].cast("bigint").alias("lo"), f[4].cast("bigint").alias("hi"))
+
+
+@query("S8_order", """
+WITH l AS (SELECT name, length(seq) AS n, 1 + CAST(ceil(length(seq) / 60.0) AS BIGINT) AS lines FROM fx_contigs)
+SELECT CAST(1 + coalesce(sum(lines) OVER (ORDER BY n DESC, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place, name FROM l""")
+def s8o(spark, sf):
+    path = place(spark, "fasta")
+    SR.write_fasta(fx(spark, sf, "contigs"), path, 60, order="length")
+    return lines_in_order(spark, path).filter(F.col("value").startswith(">")).select("place", F.expr("substr(value, 2)").alias("name"))
+
+
 # Two blocks with a gap on either side, from the columns of a line.
 _PSL = """concat_ws('\\t', l_linenumber + 20, l_linenumber % 3, 0, 0, 1, 2, 1, 3, if(l_linestatus = 'O', '+', '-'), concat('q', l_orderkey, '_', l_linenumber), 100, 5, 75 + l_linenumber,
  concat('chr', l_suppkey % 10), 90000, l_partkey, l_partkey + 80, 3, '20,15,30,', if(l_linestatus = 'O', '5,27,45,', concat(25 - l_linenumber, ',', 47 - l_linenumber, ',', 65 - l_linenumber, ',')), concat(l_partkey, ',', l_partkey + 22, ',', l_partkey + 43, ','))"""
