@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from .text import _BASE, _INVERSE, _power, mix, replace_names, slices
 
 BLANK = "▁"
 CHUNK = 32_768
+GROUP = 64
 CACHE = 150_000
 TOGETHER = 64
 UNIGRAM, MERGES = 1, 2
@@ -475,8 +475,12 @@ class Scan:
         return ids
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of some texts; words that are not in the cache are learnt together."""
-        split = [self.units.findall(self.normal(t)) for t in texts]
+        """Ids of some texts."""
+        return self.encode_units([self.normal(t) for t in texts])
+
+    def encode_units(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts that begin and end where words do; words that are not in the cache are learnt together."""
+        split = [self.units.findall(t) for t in texts]
         distinct = set().union(*split)
         new = {u for u in distinct if u not in self.words}
         if len(self.words) + len(new) > CACHE:
@@ -552,13 +556,28 @@ class Scan:
     def _exits(self, best: dict, last: int, stop: int) -> list[tuple[int, str | None, float]]:
         return [(p - last, best[p][1] if self.model.merges else None, best[p][0]) for p in range(last, stop + 1) if p in best and best[p][2] >= 0]
 
-    def chunk_ids(self, text: str, first: int, last: int, state: tuple[int, str | None], leave: tuple[int, str | None]) -> list[int]:
-        """Trace one chunk back between its fixed states: the pieces that begin in it."""
-        end = last + leave[0]
-        if first + state[0] >= last:
-            return []
-        best, _ = self.run(text, first + state[0], state[1], last, end)
-        return self.ids(self.trace(best, end))
+    def chunk_ids(self, text: str, first: int, last: int, state: tuple[int, str | None], leave: tuple[int, str | None]) -> np.ndarray:
+        """Trace one chunk back between its fixed states: the pieces that begin in it.
+
+        Where words end no piece crosses, so only the words at both edges are walked; those between are
+        segmented as words.
+        """
+        start, end = first + state[0], last + leave[0]
+        if start >= last:
+            return np.zeros(0, np.int32)
+
+        def walk(begin: int, before: str | None, upto: int, stop: int) -> list[int]:
+            best, _ = self.run(text, begin, before, upto, stop)
+            return self.ids(self.trace(best, stop))
+
+        places = self.ends(text, first + self.model.width, last)
+        if not places:
+            return np.array(walk(start, state[1], last, end), np.int32)
+        parts = [walk(start, state[1], places[0], places[0]), *self.encode_units([text[places[0] : places[-1]]]), walk(places[-1], None, last, end)]
+        return np.concatenate([np.asarray(x, np.int32) for x in parts])
+
+
+State = tuple[int, str | None]
 
 
 def times(a: dict, b: list) -> dict:
@@ -573,17 +592,30 @@ def times(a: dict, b: list) -> dict:
             for leave, x in rows.get(middle, ()):
                 if w + x > best.get(leave, NO):
                     best[leave] = w + x
-        out[start] = best
+        if best:
+            out[start] = best
     return out
 
 
-def boundary_states(matrices: list[list]) -> list[tuple[int, str | None]]:
-    """The best path's state at each boundary: products from the left, then back from the end."""
-    begin = (0, None)
+def product(matrices: list[list]) -> list:
+    """The matrix of several neighbouring chunks."""
+    out = {(s, sp): {(s, sp): 0.0} for s, sp, *_ in matrices[0]}
+    for m in matrices:
+        out = times(out, m)
+    return [(*a, *b, w) for a, to in out.items() for b, w in to.items()]
+
+
+def boundary_states(matrices: list[list], begin: State = (0, None), leave: State | None = None) -> list[State]:
+    """The best path's state at each boundary: products from the left, then back from the end.
+
+    ``leave`` is the state at the end where it is known; else the text ends there.
+    """
     products = [{begin: {begin: 0.0}}]
     for m in matrices:
         products.append(times(products[-1], m))
-    states = [max(((w, -s[0], s[1] or "", s) for s, w in products[-1][begin].items() if s[0] == 0))[3]]
+    if leave is None:
+        leave = max(((w, -s[0], s[1] or "", s) for s, w in products[-1][begin].items() if s[0] == 0))[3]
+    states = [leave]
     for m, before in zip(reversed(matrices), reversed(products[:-1])):
         options = [(before[begin][(s, sp)] + w, -s, sp or "", (s, sp)) for s, sp, e, ep, w in m if (e, ep) == states[-1] and (s, sp) in before[begin]]
         states.append(max(options)[3])
@@ -631,56 +663,96 @@ def encode(docs: DataFrame, model: Pieces, column: str = "text", chunk: int = CH
                 made = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids)), mask=pa.array([t is None for t in texts]))
                 yield pa.RecordBatch.from_arrays([*part.columns, made], names=schema.names)
 
-    long = frame.filter(F.length(column) > chunk).withColumn("_row", F.monotonically_increasing_id())
-    long = cut_lineage(long)  # the row numbers must stay
+    long = frame.filter(F.length(column) > chunk)
     return short.mapInArrow(plain, schema).unionByName(_encode_long(long, shared, model, column, chunk, kept))
 
 
+def _cells(column: pa.Array) -> list[list]:
+    """Per row its matrices, in order of their numbers."""
+    return [[[tuple(c.values()) for c in x["cells"]] for x in row] for row in column.to_pylist()]
+
+
+CELLS = pa.list_(pa.struct([("s", pa.int32()), ("sp", pa.string()), ("e", pa.int32()), ("ep", pa.string()), ("w", pa.float64())]))
+EDGES = "s int, sp string, e int, ep string"
+
+
+def _cell_array(matrices: list[list]) -> pa.Array:
+    return pa.array([[dict(zip(("s", "sp", "e", "ep", "w"), c)) for c in m] for m in matrices], CELLS)
+
+
+def _edge_arrays(path: list[State]) -> list[pa.Array]:
+    """Both states of each chunk along a path."""
+    return [pa.array([x[i] for x in part], t) for part in (path[:-1], path[1:]) for i, t in enumerate((pa.int32(), pa.string()))]
+
+
 def _encode_long(long: DataFrame, shared, model: Pieces, column: str, chunk: int, kept: list[str]) -> DataFrame:
+    """Texts of several chunks. A text is known by its hash, so copies are encoded once and no text is stored.
+
+    Matrices are multiplied in groups of ``GROUP`` chunks, then the products of a text; the states between the
+    groups are handed down to them, and those between their chunks to the chunks.
+    """
     width = model.width
     body = F.concat(F.lit(BLANK if model.dummy else ""), F.replace(F.col(column), F.lit(" "), F.lit(BLANK)))
     size = F.length("_body")
-    cut = long.select("_row", body.alias("_body")).withColumn("_n", F.ceil(size / chunk).cast("int"))
+    text_key = F.unhex(F.sha2(F.col(column).cast("binary"), 256))
+    cut = long.select(text_key.alias("_row"), body.alias("_body")).withColumn("_n", F.ceil(size / chunk).cast("int"))
     cut = cut.select("_row", "_n", "_body", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_k"))
     lead = F.least(F.col("_k") * chunk, F.lit(width))
+    # a chunk is a second's work and few bytes, so tasks are not merged by their bytes
+    tasks = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = cut.select(
         "_row", "_k", lead.alias("_first"), F.least(F.lit(chunk), size - F.col("_k") * chunk).alias("_size"),
         F.substring(F.col("_body"), F.col("_k") * chunk - lead + 1, lead + chunk + width).alias("_part"),
-    ).repartition("_row", "_k")
+    ).repartition(tasks, "_row", "_k").dropDuplicates(["_row", "_k"])
 
     def matrices(batches):
         scan = _scan(shared)
         for batch in batches:
-            for row, k, first, length, part in zip(*(c.to_pylist() for c in batch.columns)):
-                cells = scan.matrix(part, first, first + length, k == 0)
-                made = [[{"s": s, "sp": sp, "e": e, "ep": ep, "w": w} for s, sp, e, ep, w in cells]]
-                kind = pa.list_(pa.struct([("s", pa.int32()), ("sp", pa.string()), ("e", pa.int32()), ("ep", pa.string()), ("w", pa.float64())]))
-                yield pa.RecordBatch.from_arrays([pa.array([row], pa.int64()), pa.array([k], pa.int32()), pa.array(made, kind)], names=["_row", "_k", "cells"])
+            for i, (k, first, length, part) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+                cells = _cell_array([scan.matrix(part, first, first + length, k == 0)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), cells], names=["_row", "_k", "cells"])
+
+    each = pieces.mapInArrow(matrices, f"_row binary, _k int, cells array<{CELL}>")
+    ordered = F.array_sort(F.collect_list(F.struct("_k", "cells"))).alias("all")
+    groups = each.groupBy("_row", F.floor(F.col("_k") / GROUP).cast("int").alias("_g")).agg(ordered)
+
+    def products(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], _cell_array([product(x) for x in _cells(batch.column(2))])], names=["_row", "_k", "cells"])
+
+    whole = groups.mapInArrow(products, f"_row binary, _k int, cells array<{CELL}>").groupBy("_row").agg(ordered)
+
+    def outer(batches):
+        for batch in batches:
+            for i, chunks in enumerate(_cells(batch.column(1))):
+                path = boundary_states(chunks)
+                rows = batch.column(0).take(pa.array([i] * len(chunks)))
+                yield pa.RecordBatch.from_arrays([rows, pa.array(range(len(chunks)), pa.int32()), *_edge_arrays(path)], names=["_row", "_g", "s", "sp", "e", "ep"])
 
-    each = pieces.mapInArrow(matrices, f"_row long, _k int, cells array<{CELL}>")
-    per_text = each.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_k", "cells"))).alias("all"))
+    between = whole.mapInArrow(outer, f"_row binary, _g int, {EDGES}")
 
-    def states(batches):
+    def inner(batches):
         for batch in batches:
-            for row, chunks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                path = boundary_states([[(c["s"], c["sp"], c["e"], c["ep"], c["w"]) for c in x["cells"]] for x in chunks])
+            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            for i, (g, chunks, s, sp, e, ep) in enumerate(zip(col["_g"].to_pylist(), _cells(col["all"]), *(col[c].to_pylist() for c in ("s", "sp", "e", "ep")))):
+                path = boundary_states(chunks, (s, sp), (e, ep))
                 n = len(chunks)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([s[0] for s in path[:-1]], pa.int32()), pa.array([s[1] for s in path[:-1]], pa.string()),
-                     pa.array([s[0] for s in path[1:]], pa.int32()), pa.array([s[1] for s in path[1:]], pa.string())], names=["_row", "_k", "s", "sp", "e", "ep"])
+                    [col["_row"].take(pa.array([i] * n)), pa.array(range(g * GROUP, g * GROUP + n), pa.int32()), *_edge_arrays(path)], names=["_row", "_k", "s", "sp", "e", "ep"])
 
-    fixed = per_text.mapInArrow(states, "_row long, _k int, s int, sp string, e int, ep string")
+    fixed = groups.join(between, ["_row", "_g"]).select("_row", "_g", "all", "s", "sp", "e", "ep").mapInArrow(inner, f"_row binary, _k int, {EDGES}")
 
     def traced(batches):
         scan = _scan(shared)
         for batch in batches:
-            for row, k, first, length, part, s, sp, e, ep in zip(*(c.to_pylist() for c in batch.columns)):
+            for i, (k, first, length, part, s, sp, e, ep) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
                 ids = scan.chunk_ids(part, first, first + length, (s, sp), (e, ep))
-                yield pa.RecordBatch.from_arrays([pa.array([row], pa.int64()), pa.array([k], pa.int32()), pa.array([ids], pa.list_(pa.int32()))], names=["_row", "_k", "ids"])
+                made = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), made], names=["_row", "_k", "ids"])
 
-    made = pieces.join(fixed, ["_row", "_k"]).select("_row", "_k", "_first", "_size", "_part", "s", "sp", "e", "ep").mapInArrow(traced, "_row long, _k int, ids array<int>")
-    whole = made.groupBy("_row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_k", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return long.join(whole, "_row").select(*kept, "ids")
+    made = pieces.join(fixed, ["_row", "_k"]).select("_row", "_k", "_first", "_size", "_part", "s", "sp", "e", "ep").mapInArrow(traced, "_row binary, _k int, ids array<int>")
+    found = made.groupBy("_row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_k", "ids"))), lambda x: x["ids"])).alias("ids"))
+    return long.join(found, text_key == F.col("_row")).select(*kept, "ids")
 
 
 def decode(tokens: DataFrame, model: Pieces, column: str = "ids") -> DataFrame:
