@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dna, phred as ph
+from ..operators.proximity import visited, written
+from ..operators.scale import carry_forward, cumulative, number_rows, running_sum
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -60,43 +61,62 @@ def write_fastq(reads: DataFrame, path: str, compression: str | None = None) ->
     ordered.select(entry.alias("value")).write.text(path, compression=compression)
 
 
-def normalize_fastq(spark: SparkSession, path: str, min_length: int = 1) -> DataFrame:
-    """Records whose sequence and quality run over several lines.
+def record_spans(lines: DataFrame) -> DataFrame:
+    """(file, head, plus, last) of wrapped records, from the lines (file, n, mark, raw, own) of all files.
 
-    Quality lines may begin with any mark, so where a record ends depends on all
-    before it: a file is read in order by one task.
+    ``mark`` is the first character of a line, ``raw`` its length and ``own`` that without blanks around it. Any
+    line that begins with '@' may be a header or part of a quality. Each such line says where a record from there on
+    would end, by running sums of lengths, and so which header would follow; the true headers are those that these
+    pointers reach from the first one. Nothing is read in order by one task.
     """
+    summed = written(running_sum(lines, ["file"], "n", {"to_raw": "raw", "to_own": "own"}), "fastq-lines")
+    last = summed.groupBy("file").agg(F.max("n").alias("_last"))
+    backward = summed.withColumn("_m", -F.col("n"))
+    plus = F.when(F.col("mark") == "+", F.struct(F.col("n").alias("plus"), "to_raw", (F.col("to_own") - F.col("own")).alias("to_own")))
+    ahead = carry_forward(backward.withColumn("_plus", plus), ["file"], "_m", "_plus").filter("mark = '@'")
+    heads = ahead.join(last, "file").select(
+        "file", F.col("n").alias("head"), "_last", F.coalesce("_plus.plus", F.col("_last") + 1).alias("plus"),
+        # where the quality is as long as the sequence
+        (F.col("_plus.to_raw") + F.col("_plus.to_own") - F.col("to_own")).alias("x"))
+    heads = written(heads, "fastq-heads")
+    known = summed.select("file", F.col("to_raw").alias("x"), "n").unionByName(heads.select("file", "x", F.lit(None).cast("bigint").alias("n")))
+    reached = known.filter(F.col("x").isNotNull()).groupBy("file", "x").agg(F.min("n").alias("_end")).withColumn("_m", -F.col("x"))
+    reached = carry_forward(reached, ["file"], "_m", "_end").select("file", "x", "_end")
+    spans = heads.join(reached, ["file", "x"], "left").select("file", "head", "plus", F.coalesce("_end", "_last").alias("last"))
+    spans = written(spans, "fastq-spans")
+
+    order = cumulative(spans.select("file", "head").withColumn("_one", F.lit(1)), [F.col("head")], ["file"], "_one", "_before")
+    numbered = order.select("file", "head", (F.col("_before") + 1).alias("idx"))
+    marks = numbered.select("file", F.col("head").alias("at"), "idx").unionByName(spans.select("file", (F.col("last") + 1).alias("at"), F.lit(None).cast("bigint").alias("idx")))
+    marks = marks.groupBy("file", "at").agg(F.max("idx").alias("succ")).withColumn("_m", -F.col("at"))
+    following = carry_forward(marks, ["file"], "_m", "succ").select("file", F.col("at").alias("_at"), "succ")
+    jumps = spans.withColumn("_at", F.col("last") + 1).join(following, ["file", "_at"]).join(numbered, ["file", "head"])
+    jumps = written(jumps.select(F.col("file").alias("name"), "idx", "succ", "head", "plus", "last"), "fastq-jumps")
+    true = visited(jumps).join(jumps, ["name", "idx"])
+    return true.select(F.col("name").alias("file"), "head", "plus", "last")
+
+
+def normalize_fastq(spark: SparkSession, path: str, min_length: int = 1) -> DataFrame:
+    """Records whose sequence and quality run over several lines: (file, rid, id, seq, qual), ``rid`` per file from 0.
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                found: list[tuple] = []
-                lines = iter(content.decode("latin-1").splitlines())
-                for head in lines:
-                    if not head.startswith("@"):
-                        continue
-                    seq: list[str] = []
-                    for text in lines:
-                        if text.startswith("+"):
-                            break
-                        seq.append(text.strip())
-                    wanted, qual, size = sum(map(len, seq)), [], 0
-                    while size < wanted:
-                        text = next(lines, None)
-                        if text is None:
-                            break
-                        qual.append(text)
-                        size += len(text)
-                    found.append((name, len(found), head[1:], "".join(seq), "".join(qual)))
-                    if len(found) % 50_000 == 0:
-                        yield pd.DataFrame(found[-50_000:], columns=["file", "rid", "id", "seq", "qual"])
-                rest = len(found) % 50_000
-                if rest:
-                    yield pd.DataFrame(found[-rest:], columns=["file", "rid", "id", "seq", "qual"])
-
-    schema = "file string, rid bigint, id string, seq string, qual string"
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(parse, schema).filter(F.length("seq") >= min_length)
+    A record without a quality line, or cut off by the end of its file, has what is there.
+    """
+    lines = numbered_lines(spark, path)
+    spans = record_spans(lines.select(
+        "file", "n", F.left("value", F.lit(1)).alias("mark"), F.length("value").cast("bigint").alias("raw"), F.length(F.trim("value")).cast("bigint").alias("own")))
+    spans = written(number_rows(spans, [F.col("head")], within=["file"], name="rid", first=0), "fastq-records")
+    # each line with the last header at or before it
+    opened = lines.join(spans.select("file", F.col("head").alias("n"), F.struct("rid", "head", "plus", "last").alias("_of")), ["file", "n"], "left")
+    held = carry_forward(opened, ["file"], "n", "_of").filter(F.col("n") <= F.col("_of.last"))
+
+    def text(wanted, value):
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(wanted, F.struct("n", value.alias("v"))))), lambda x: x["v"]), "")
+
+    n, of = F.col("n"), F.col("_of")
+    records = held.groupBy("file", F.col("_of.rid").alias("rid")).agg(
+        F.max(F.when(n == of["head"], F.expr("substring(value, 2)"))).alias("id"),
+        text((n > of["head"]) & (n < of["plus"]), F.trim("value")).alias("seq"), text(n > of["plus"], F.col("value")).alias("qual"))
+    return records.filter(F.length("seq") >= min_length)
 
 
 def read_fasta(spark: SparkSession, path: str | list[str], first_word_only: bool = False, clean: bool = True) -> DataFrame:
