@@ -29,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .text import _BASE, _INVERSE, _power, mix, replace_names, slices
 
 BLANK = "▁"
 CHUNK = 32_768
 GROUP = 64
-CACHE = 150_000
+CACHE = 60_000
 TOGETHER = 64
 UNIGRAM, MERGES = 1, 2
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
@@ -634,9 +635,10 @@ def _scan(shared) -> Scan:
 
 
 def _groups(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Rows in groups of about two megabytes of text."""
-    for first, end, _ in slices(column, 1 << 21):
+    """Rows in groups of about a megabyte of text; what a group took is given back."""
+    for first, end, _ in slices(column, 1 << 20):
         yield first, end
+        pa.default_memory_pool().release_unused()
 
 
 CELL = "struct<s:int,sp:string,e:int,ep:string,w:double>"
@@ -712,7 +714,10 @@ def _encode_long(long: DataFrame, shared, model: Pieces, column: str, chunk: int
                 cells = _cell_array([scan.matrix(part, first, first + length, k == 0)])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), cells], names=["_row", "_k", "cells"])
 
-    each = pieces.mapInArrow(matrices, f"_row binary, _k int, cells array<{CELL}>")
+    # a few numbers for each chunk, which two steps read
+    path = scratch_path(long.sparkSession, "matrices")
+    pieces.mapInArrow(matrices, f"_row binary, _k int, cells array<{CELL}>").write.parquet(path)
+    each = long.sparkSession.read.parquet(path)
     ordered = F.array_sort(F.collect_list(F.struct("_k", "cells"))).alias("all")
     groups = each.groupBy("_row", F.floor(F.col("_k") / GROUP).cast("int").alias("_g")).agg(ordered)
 
