@@ -8,11 +8,18 @@ assembly joins the three kinds through that identifier into one nested row per c
 Of pages whose payloads have equal digests and at least ``LEAST_REVISIT`` bytes the one with the
 smallest id (null last) is the response, the others revisit it; rows that repeat its id are responses
 too. A null payload is empty. Every row is a capture of its own, also a repeated one. A capture without request or
-metadata has nulls there; of several the one with the smallest record id counts.
+metadata has nulls there; of several the one with the smallest record id counts. Of a field that metadata
+repeats, ``fields`` has the first value and ``field_lines`` all. Other columns of ``pages`` are not read, whatever their
+names. An empty table gives files without records and no captures.
+
+Records of any version are read. Lengths are trusted, so a payload may hold whole records itself; a record
+whose length runs past the end of its file is left out, and reading goes on with the next header behind its own.
+A payload of any length is one row.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,7 +27,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION = "WARC/1.1\r\n"
+#: What every version line begins with.
+MARK = "WARC/"
+VERSION_LINE = re.compile(rb"\d+\.\d+\r\n")
 LEAST_REVISIT = 100
+#: Parts in which the revisits of a page meet it.
+PARTS = 64
 RECORD = "file string, record_id string, type string, concurrent_to string, refers_to string, target_uri string, date string, payload_digest string, content_type string, block binary"
 
 
@@ -70,51 +82,78 @@ def write_captures(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     plan.select(F.concat(F.lit(VERSION), request, F.lit(VERSION), response, F.lit(VERSION), metadata).alias("value")).write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
-def _frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records from the pieces between version lines; a piece that is too short goes on in the next."""
-    rows: list[tuple] = []
-    size, file, held = 0, None, None
-    names = [f.split(" ")[0] for f in RECORD.split(", ")]
-    types = [pa.binary() if f.endswith("binary") else pa.string() for f in RECORD.split(", ")]
-
-    def take(piece: bytes) -> bytes | None:
-        """Adds the record if it is whole; what is not whole is returned."""
-        nonlocal size
-        head, mark, rest = piece.partition(b"\r\n\r\n")
-        if not mark:
-            return piece
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in head.split(b"\r\n")) if k}
-        length = int(fields.get(b"content-length", b"0"))
-        if len(rest) < length:
-            return piece
-        get = lambda k: fields[k].decode("utf-8", "replace") if k in fields else None
-        rows.append((file, get(b"warc-record-id"), get(b"warc-type"), get(b"warc-concurrent-to"), get(b"warc-refers-to"), get(b"warc-target-uri"), get(b"warc-date"), get(b"warc-payload-digest"), get(b"content-type"), rest[:length]))
-        size += length + 500
+def _header(piece: bytes) -> tuple[dict[bytes, bytes], int, int] | None:
+    """Fields, start of the block and end of the record; no fields where there is no record, None where the header goes on."""
+    version = VERSION_LINE.match(piece)
+    if not version:
+        return {}, 0, 0
+    end = piece.find(b"\r\n\r\n", version.end())
+    if end < 0:
         return None
-
-    def flush() -> pa.RecordBatch:
-        nonlocal size
-        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-        rows.clear()
-        size = 0
+    lines = piece[version.end() : end].split(b"\r\n")
+    fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in lines) if k}
+    length = fields.get(b"content-length", b"")
+    return (fields, end + 4, end + 4 + int(length)) if length.isdigit() else ({}, 0, 0)
+
+
+class _Reader:
+    """Records of one file from the pieces between version marks; a record goes on until it is as long as it says."""
+
+    def __init__(self, file: str) -> None:
+        self.file, self.rows, self.taken = file, [], 0
+        self.held: list[bytes] = []
+        self.size, self.header = 0, None
+
+    def add(self, piece: bytes) -> None:
+        self.size += len(piece) + (len(MARK) if self.held else 0)
+        self.held.append(piece)
+        if self.header is None:
+            self.header = _header(MARK.encode().join(self.held))
+        if self.header is not None and self.size >= self.header[2]:
+            fields, first, end = self.header
+            if fields:
+                get = lambda k: fields[k].decode("utf-8", "replace") if k in fields else None
+                names = (b"warc-record-id", b"warc-type", b"warc-concurrent-to", b"warc-refers-to", b"warc-target-uri", b"warc-date", b"warc-payload-digest", b"content-type")
+                self.rows.append((self.file, *map(get, names), MARK.encode().join(self.held)[first:end]))
+                self.taken += end + 500
+            self.held, self.size, self.header = [], 0, None
+
+    def finish(self) -> None:
+        """A record that is open at the end of the file is given up, those behind its header are read."""
+        while self.held:
+            again = self.held[1:]
+            self.held, self.size, self.header = [], 0, None
+            for piece in again:
+                self.add(piece)
+
+    def flush(self) -> pa.RecordBatch:
+        names = [f.split(" ")[0] for f in RECORD.split(", ")]
+        types = [pa.binary() if f.endswith("binary") else pa.string() for f in RECORD.split(", ")]
+        out = pa.RecordBatch.from_arrays([pa.array([r[i] for r in self.rows], t) for i, t in enumerate(types)], names=names)
+        self.rows, self.taken = [], 0
         return out
 
+
+def _frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    reader = None
     for batch in batches:
-        for here, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if here != file:
-                file, held = here, None
-            if held is not None:
-                piece = held + VERSION.encode() + piece
-            held = take(piece) if piece.strip() else held
-            if size > 1 << 22:
-                yield flush()
-    if rows:
-        yield flush()
+        for file, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if reader is None or file != reader.file:
+                if reader:
+                    reader.finish()
+                    yield reader.flush()
+                reader = _Reader(file)
+            reader.add(piece)
+            if reader.taken > 1 << 22:
+                yield reader.flush()
+    if reader:
+        reader.finish()
+        yield reader.flush()
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """The records of gzip-compressed WARC files; each file streams through one task."""
-    lines = spark.read.option("lineSep", VERSION).text(path)
+    lines = spark.read.option("lineSep", MARK).text(path)
     return lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("piece")).mapInArrow(_frames, RECORD)
 
 
@@ -135,17 +174,36 @@ def assemble(records: DataFrame) -> DataFrame:
     joined = joined.join(metadata, joined.record_id == metadata.concurrent_to, "left").drop("concurrent_to")
     return joined.select(
         "record_id", "type", "refers_to", "target_uri", "payload_digest", "found_digest", "found_bytes", "payload", "request",
-        F.col("metadata.record_id").alias("metadata_id"), F.str_to_map(F.rtrim(F.col("metadata.block"), F.lit("\r\n")), F.lit("\r\n"), F.lit(": ")).alias("fields"),
-    )
+        F.col("metadata.record_id").alias("metadata_id"), field_lines(F.col("metadata.block")).alias("field_lines"),
+    ).withColumn("fields", first_fields("field_lines"))
+
+
+def field_lines(block: Column) -> Column:
+    """(name, value) of each line of a block of fields."""
+    lines = F.filter(F.split(block, "\r\n"), lambda x: x != "")
+    value = lambda x: F.regexp_replace(F.substr(x, F.length(F.substring_index(x, ":", 1)) + 2), r"^[ \t]+", "")
+    return F.transform(lines, lambda x: F.struct(F.substring_index(x, ":", 1).alias("name"), F.when(F.contains(x, F.lit(":")), value(x)).otherwise("").alias("value")))
+
+
+def first_fields(lines: str) -> Column:
+    """The first value of each name; a record has a handful of them."""
+    names = F.transform(lines, lambda x: x["name"])
+    own = F.filter(lines, lambda x, i: F.array_position(names, x["name"]) == i + 1)
+    return F.map_from_entries(own)
 
 
 def resolve(captures: DataFrame) -> DataFrame:
     """Captures with the page that a revisit refers to, and the size and digest of the full payload."""
     page = F.when(F.col("fields")["page-id"] != "", F.col("fields")["page-id"].cast("long"))
     mine = captures.withColumn("page_id", page)
-    heads = mine.filter(F.col("type") == "response").groupBy(F.col("record_id").alias("_h")).agg(
-        F.min("page_id").alias("_head_page"), F.min("found_bytes").alias("_head_bytes"), F.min("found_digest").alias("_head_digest"))
-    joined = mine.join(heads, mine.refers_to == heads["_h"], "left")
-    revisit = F.col("type") == "revisit"
-    return joined.withColumn("refers_to_page", F.col("_head_page")).withColumn("payload_bytes", F.when(revisit, F.col("_head_bytes")).otherwise(F.col("found_bytes"))).withColumn(
-        "digest", F.when(revisit, F.col("_head_digest")).otherwise(F.col("found_digest"))).drop("_h", "_head_page", "_head_bytes", "_head_digest")
+    # only revisits look for a head, without any payload; a head of very many is met in parts
+    revisits = mine.filter(F.col("type") == "revisit").withColumn("_part", F.pmod(F.xxhash64("record_id"), F.lit(PARTS)))
+    heads = mine.filter(F.col("type") == "response").select(F.col("record_id").alias("_h"), F.col("page_id").alias("_page"), "found_bytes", "found_digest")
+    heads = heads.join(revisits.select(F.col("refers_to").alias("_h")).distinct(), "_h", "left_semi")
+    heads = heads.groupBy("_h").agg(F.min("_page").alias("_head_page"), F.min("found_bytes").alias("_head_bytes"), F.min("found_digest").alias("_head_digest"))
+    heads = heads.withColumn("_hpart", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    met = revisits.join(heads, (F.col("refers_to") == F.col("_h")) & (F.col("_part") == F.col("_hpart")), "left")
+    met = met.select(*mine.columns, F.col("_head_page").alias("refers_to_page"), F.col("_head_bytes").alias("payload_bytes"), F.col("_head_digest").alias("digest"))
+    own = mine.filter(F.col("type") != "revisit").select(
+        *mine.columns, F.lit(None).cast("long").alias("refers_to_page"), F.col("found_bytes").alias("payload_bytes"), F.col("found_digest").alias("digest"))
+    return own.unionByName(met)

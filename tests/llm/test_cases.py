@@ -304,6 +304,31 @@ def test_components(spark):
     assert all(got[k] == 0 for k in range(41)) and got[102] == 100
 
 
+def test_foreign_warc(spark, tmp_path):
+    """Other versions, repeated fields, records inside payloads, wrong lengths."""
+
+    def record(kind, name, block, to=None, version="1.0", length=None):
+        head = f"WARC/{version}\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{name}>\r\n" + (f"WARC-Concurrent-To: <{to}>\r\n" if to else "")
+        return f"{head}Content-Length: {len(block.encode()) if length is None else length}\r\n\r\n{block}\r\n\r\n"
+
+    inner = record("response", "inner", "HTTP/1.1 200 OK\r\n\r\nno")
+    body = "HTTP/1.1 200 OK\r\n\r\nsees WARC/ and WARC/1.1\r\n\r\n" + inner
+    (tmp_path / "a.warc").write_text(record("response", "r1", body) + record("metadata", "m1", "page-id: 7\r\noutlink: a\r\noutlink: b: c\r\nplain\r\n", "r1") + record("request", "q1", "GET / HTTP/1.1", "r1", "0.18"), newline="")
+    (tmp_path / "b.warc").write_text(record("response", "r2", "HTTP/1.1 200 OK\r\n\r\nx", length=10**6) + record("response", "r3", "HTTP/1.1 200 OK\r\n\r\nyé", version="1.1") + "trailing WARC/9", newline="")
+    (tmp_path / "c.warc").write_text("")
+    got = {r["record_id"]: r for r in warc.resolve(warc.assemble(warc.read_records(spark, str(tmp_path)))).collect()}
+    assert set(got) == {"<r1>", "<r3>"}
+    one = got["<r1>"]
+    assert bytes(one["payload"]).decode() == body.split("\r\n\r\n", 1)[1] and one["page_id"] == 7
+    assert [tuple(x) for x in one["field_lines"]] == [("page-id", "7"), ("outlink", "a"), ("outlink", "b: c"), ("plain", "")]
+    assert one["fields"] == {"page-id": "7", "outlink": "a", "plain": ""} and one["request"]["block"].startswith("GET")
+    assert bytes(got["<r3>"]["payload"]).decode() == "yé" and got["<r3>"]["request"] is None and got["<r3>"]["fields"] is None
+    none = spark.createDataFrame([], "page_id long, url string, html string, digest string")
+    path = scratch_path(spark, "warc-none")
+    warc.write_captures(none, path)
+    assert warc.resolve(warc.assemble(warc.read_records(spark, path))).count() == 0
+
+
 def test_warc(spark):
     body = "x" * 200 + "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabc"
     pages = spark.createDataFrame([(3, "http://a/", body), (2, "http://b/", body), (2, "http://b/", body), (None, None, body), (5, "u", None), (6, "u", "é"), (7, "v", "é")], "page_id long, url string, html string")
