@@ -38,19 +38,26 @@ def mask_lowercase(contigs: DataFrame) -> DataFrame:
     return contigs.withColumn("seq", dna.mask_lowercase("seq"))
 
 
-def n50(contigs: DataFrame, by: Sequence[str] = ("file",), genome_length: int | None = None) -> DataFrame:
-    """First length, ascending, at which the running total exceeds half of the size.
+def length_counts(contigs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Contigs, bases, and G or C per distinct length, with the bases of shorter ones and of the whole group.
 
-    Runs over counts per distinct length, so a group of any number of contigs is
-    a short list by the time it is ordered.
+    A group is a row per distinct length when it is ordered, which the longest contig bounds, however many there are.
     """
-    counts = contigs.groupBy(*by, F.length("seq").alias("len")).agg(F.count("*").alias("c"))
+    counts = contigs.groupBy(*by, F.length("seq").alias("len")).agg(F.count("*").alias("c"), F.sum(dna.gc_count("seq")).alias("gc"))
     counts = counts.withColumn("bases", F.col("len") * F.col("c"))
-    totals = counts.groupBy(*by).agg(F.sum("bases").alias("_size"))
-    running = running_sum(counts, by, "len", {"_upto": "bases"}).join(totals, list(by))
-    size = F.lit(genome_length) if genome_length else F.col("_size")
-    reached = F.min(F.when(F.col("_upto") > size / 2, F.col("len")))
-    return running.groupBy(*by).agg(F.coalesce(reached.cast("double"), F.lit(0.01)).alias("N50"))
+    group = Window.partitionBy(*by)
+    return counts.withColumns({
+        "upto": F.sum("bases").over(group.orderBy("len").rowsBetween(Window.unboundedPreceding, 0)), "size": F.sum("bases").over(group)})
+
+
+def _half_length(genome_length: int | None) -> Column:
+    size = F.lit(genome_length) if genome_length else F.col("size")
+    return F.coalesce(F.min(F.when(F.col("upto") > size / 2, F.col("len"))).cast("double"), F.lit(0.01))
+
+
+def n50(contigs: DataFrame, by: Sequence[str] = ("file",), genome_length: int | None = None) -> DataFrame:
+    """First length, ascending, at which the running total exceeds half of the size."""
+    return length_counts(contigs, by).groupBy(*by).agg(_half_length(genome_length).alias("N50"))
 
 
 def _count_codes(by: Sequence[str], k: int):
@@ -135,29 +142,28 @@ def assembly_score(n50_col, contigs_col, length_col, expected: int | None) -> Co
     return F.round(F.log(as_col(n50_col) / as_col(contigs_col) * covered), 3)
 
 
-# Named statistics of one group of contigs; a caller may ask for any of them.
-STATS: dict[str, Callable[[], Column]] = {
-    "genomeLength": lambda: F.sum(F.length("seq")),
-    "numContigs": lambda: F.count("*"),
-    "longestContig": lambda: F.max(F.length("seq")),
-    "avgContigLength": lambda: F.floor(F.avg(F.length("seq"))),
-    "GC": lambda: F.round(F.sum(dna.gc_count("seq")) / F.sum(F.length("seq")), 3) * 100,
+# Named statistics of one group, from its ``length_counts``; a caller may ask for any of them.
+STATS: dict[str, Callable[[int | None], Column]] = {
+    "genomeLength": lambda _: F.sum("bases"),
+    "numContigs": lambda _: F.sum("c"),
+    "longestContig": lambda _: F.max("len"),
+    "avgContigLength": lambda _: F.floor(F.sum("bases") / F.sum("c")),
+    "GC": lambda _: F.round(F.sum("gc") / F.sum("bases"), 3) * 100,
+    "N50": _half_length,
 }
-JOINED_STATS = ("N50", "kmer21", "assemblyScore")
+JOINED_STATS = ("kmer21", "assemblyScore")
 
 
 def assembly_metrics(contigs: DataFrame, min_contig: int = 500, genome_length: int | None = None,
                      stats: Sequence[str] | None = None, by: Sequence[str] = ("file",)) -> DataFrame:
-    """The named statistics per file, one pass for those of ``STATS``."""
+    """The named statistics per file: one pass over the lengths, one over the k-mers."""
     wanted = list(stats) if stats else [*STATS, *JOINED_STATS]
     unknown = set(wanted) - set(STATS) - set(JOINED_STATS)
     if unknown:
         raise ValueError(f"unknown statistics: {sorted(unknown)}")
     kept = contigs.filter(F.length("seq") >= min_contig)
     base = [s for s in STATS if s in wanted or "assemblyScore" in wanted]
-    out = kept.groupBy(*by).agg(*[STATS[s]().alias(s) for s in base or ["numContigs"]])
-    if "N50" in wanted or "assemblyScore" in wanted:
-        out = out.join(n50(kept, by, genome_length), list(by))
+    out = length_counts(kept, by).groupBy(*by).agg(*[STATS[s](genome_length).alias(s) for s in base or ["numContigs"]])
     if "kmer21" in wanted:
         out = out.join(kmer_repeat_fraction(kept, by), list(by), "left").na.fill(0.0, ["kmer21"])
     if "assemblyScore" in wanted:

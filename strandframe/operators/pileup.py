@@ -195,6 +195,8 @@ def call_genotypes(bases: DataFrame) -> DataFrame:
     capped, square = F.least(F.col("q"), F.col("mapq")), F.least(F.col("mapq"), F.lit(CAP_MAPQ)).cast("bigint")
     every = bases.filter(F.col("base") != "*").groupBy("rname", "pos", "base", "back", capped.alias("cq"), (F.col("q") != 0).alias("nz")).agg(
         F.count("*").alias("all"), F.sum(square * square).alias("sq"))
+    # a few hundred rows a site: dealt by site once, for the window and the sums
+    every = every.repartition("rname", "pos")
     usable = F.col("base").isin("A", "C", "G", "T") & ((F.col("cq") > 0) | F.col("nz"))
     counts = every.withColumn("c", F.when(usable, F.col("all")).otherwise(0))
     counts = counts.withColumn("eq", F.when((F.col("cq") < 4) & F.col("nz"), F.lit(4)).otherwise(F.col("cq")))
