@@ -20,12 +20,12 @@ blk AS (SELECT cigar, i, CAST(lens[i] AS INT) AS len, ops[i] AS op,
   coalesce(list_sum(list_transform(range(1, i), lambda j: CASE WHEN ops[j] IN ('M','I','S') THEN CAST(lens[j] AS INT) ELSE 0 END)), 0) AS qry,
   ops[i + 1] AS nop, ops[i - 1] AS pop,
   coalesce(CASE ops[i + 1] WHEN 'I' THEN CAST(lens[i + 1] AS INT) WHEN 'D' THEN -CAST(lens[i + 1] AS INT) END, 0) AS nxt
-  FROM cg, range(1, 20) t(i) WHERE i <= len(ops)),
+  FROM (SELECT *, unnest(range(1, len(ops) + 1)) AS i FROM cg)),
 tot AS (SELECT cigar, CAST(sum(CASE WHEN op IN ('M','D','N') THEN len ELSE 0 END) AS INT) AS span, CAST(sum(CASE WHEN op IN ('M','I') THEN len ELSE 0 END) AS INT) AS mi,
                CAST(sum(CASE WHEN op IN ('M','I','S') THEN len ELSE 0 END) AS INT) AS mis, CAST(sum(CASE WHEN op IN ('M','D') THEN len ELSE 0 END) AS INT) AS md,
                string_agg(repeat(op, CAST(len AS INT)), '' ORDER BY i) AS expanded FROM blk GROUP BY cigar),
 pb AS (SELECT cigar, op, ref + j AS ro, CAST(qry + j AS INT) AS qo, j = len - 1 AS last, op = 'M' AND j = 0 AND coalesce(pop, 'S') IN ('N','S','H') AS head, op = 'M' AND j = len - 1 AND coalesce(nop, 'S') IN ('N','S','H') AS tail, nxt, CAST(qry + len AS INT) AS nq
-       FROM blk, range(0, 200) t(j) WHERE op IN ('M','D') AND j < len)"""
+       FROM (SELECT *, unnest(range(0, len)) AS j FROM blk WHERE op IN ('M','D')))"""
 QSUM = "list_sum(list_transform(string_split(qual,''), lambda c: ascii(c) - 33))"
 QSUMS = f"qs AS (SELECT qual, CAST({QSUM} AS BIGINT) AS q FROM (SELECT DISTINCT qual FROM fx_alignments))"
 GROUPS = "groups AS (SELECT 'rg0' AS rg, 'libA' AS library UNION ALL SELECT 'rg1', 'libB' UNION ALL SELECT 'rg2', 'libA')"
@@ -380,7 +380,7 @@ d AS (SELECT DISTINCT rname, pos, cigar, seq FROM fx_alignments),
 w AS (SELECT d.*, coalesce(substr(ref, CAST(pos AS INT), CAST(span AS INT)), '') AS under FROM d JOIN tot USING (cigar) LEFT JOIN refs ON name = rname),
 c AS (SELECT rname, pos, cigar, seq, under, row_number() OVER (PARTITION BY rname, pos, cigar, seq ORDER BY i, j) AS k, op,
              CASE WHEN op = 'D' THEN '' ELSE substr(seq, CAST(qry + j + 1 AS INT), 1) END AS q, CASE WHEN op IN ('M','D') THEN substr(under, CAST(ref + j + 1 AS INT), 1) ELSE '' END AS r
-      FROM w JOIN blk USING (cigar), range(0, 200) t(j) WHERE j < len AND op IN ('M','D','I','S')),
+      FROM (SELECT *, unnest(range(0, len)) AS j FROM w JOIN blk USING (cigar) WHERE op IN ('M','D','I','S'))),
 cut AS (SELECT rname, pos, cigar, seq, coalesce(min(CASE WHEN op IN ('M','D') AND r = '' THEN k END), 100000) AS stop FROM c GROUP BY ALL),
 u AS (SELECT c.*, k < stop AS live, op = 'M' AND q = r AND k < stop AS hit FROM c JOIN cut USING (rname, pos, cigar, seq)),
 g AS (SELECT *, sum(CASE WHEN live AND op IN ('M','D') AND NOT hit THEN 1 ELSE 0 END) OVER (PARTITION BY rname, pos, cigar, seq ORDER BY k) AS seg,

@@ -33,14 +33,15 @@ def p11(spark, sf):
 
 
 @query("P12_is_uncomplex", """
-WITH s AS (SELECT name, CASE WHEN length(seq) % 4 = 0 THEN concat(repeat(substr(seq, 1, CAST(length(seq) % 25 + 1 AS INT)), 5), substr(seq, 1, 7)) ELSE seq END AS seq FROM fx_contigs),
+WITH s AS (SELECT name, seq FROM fx_contigs UNION ALL SELECT concat(name, '_twice'), concat(repeat(substr(seq, 1, CAST(length(seq) % 25 + 1 AS INT)), 5), substr(seq, 1, 7)) FROM fx_contigs),
 k AS (SELECT name, seq, k, length(seq) // k - CASE WHEN length(seq) % k = 0 AND length(seq) // k > 1 THEN 1 ELSE 0 END AS m FROM s, range(1, 20) t(k))
 SELECT name, bool_or(m >= 1 AND substr(seq, 1, CAST(m * k AS INT)) = repeat(substr(seq, 1, CAST(k AS INT)), CAST(m AS INT))) AS uncomplex FROM k GROUP BY name""")
 def p12(spark, sf):
     n = F.length("seq")
-    made = F.when(n % 4 == 0, F.concat(F.repeat(F.substr("seq", F.lit(1), n % 25 + 1), F.lit(5)), F.substring("seq", 1, 7)))
-    return contigs(spark, sf).withColumn("seq", F.coalesce(made, "seq")).select(
-        "name", dna.is_uncomplex("seq").alias("uncomplex"))
+    made = F.concat(F.repeat(F.substr("seq", F.lit(1), n % 25 + 1), F.lit(5)), F.substring("seq", 1, 7))
+    c = contigs(spark, sf).select("name", "seq")
+    repeats = c.select(F.concat("name", F.lit("_twice")).alias("name"), made.alias("seq"))
+    return c.unionByName(repeats).select("name", dna.is_uncomplex("seq").alias("uncomplex"))
 
 
 @query("P13_filter_min_reads", """
@@ -78,7 +79,7 @@ def w1e(spark, sf):
 
 def _kmers(src: str, by: str, last: int = 1) -> str:
     return f"""
-km AS (SELECT {by}, substr(seq, CAST(i AS INT), 21) AS k FROM {src}, range(1, 100000) t(i) WHERE i <= length(seq) - 21 + {last}),
+km AS (SELECT {by}, substr(seq, CAST(i AS INT), 21) AS k FROM (SELECT *, unnest(range(1, length(seq) - 20 + {last})) AS i FROM {src})),
 kc AS (SELECT {by}, k, count(*) AS n FROM km GROUP BY ALL),
 kf AS (SELECT {by}, round(count(*) FILTER (WHERE n > 1) / CAST(sum(n) AS DOUBLE), 4) AS kmer21 FROM kc GROUP BY ALL)"""
 

@@ -25,7 +25,7 @@ def _orfs(min_len: int, truncated: bool) -> str:
     return f"""
 fr AS (SELECT name, length(seq) AS n, s.strand, f, CASE WHEN s.strand = '-' THEN (length(seq) - f) % 3 ELSE f END AS shift,
          CASE WHEN s.strand = '-' THEN reverse(translate(seq, 'ATGC', 'TACG')) ELSE seq END AS rd FROM fx_contigs, (VALUES ('+'), ('-')) s(strand), (VALUES (0), (1), (2)) t(f)),
-cd AS (SELECT name, n, strand, f, shift, i, substr(rd, CAST(shift + 3 * i + 1 AS INT), 3) AS c, i = (n - shift) // 3 - 1 AS last FROM fr, range(0, 40000) r(i) WHERE i < (n - shift) // 3),
+cd AS (SELECT name, n, strand, f, shift, i, substr(rd, CAST(shift + 3 * i + 1 AS INT), 3) AS c, i = (n - shift) // 3 - 1 AS last FROM (SELECT *, unnest(range(0, (n - shift) // 3)) AS i FROM fr)),
 sg AS (SELECT *, coalesce(sum(CASE WHEN c IN ('TAA','TAG','TGA') THEN 1 ELSE 0 END) OVER (PARTITION BY name, strand, f ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM cd),
 og AS (SELECT name, n, strand, f, shift, seg, min(i) AS a, max(i) AS b, bool_or(c IN ('TAA','TAG','TGA')) AS closed, min(CASE WHEN c IN ('ATG','GTG') THEN i END) AS st FROM sg GROUP BY ALL),
 orfs AS (SELECT name, concat(f, CASE WHEN strand = '-' THEN 'R' ELSE '' END) AS frame, strand,

@@ -159,7 +159,7 @@ def a25(spark, sf):
 # Edits base by base: every contig position, its replacement and what goes before it.
 @query("A26_apply_alternates", f"""
 WITH {REFS}, e AS (SELECT chrom, pos, max(CASE WHEN split_part(alt, ',', 1) IN ('', '.') THEN 'N' ELSE split_part(alt, ',', 1) END) AS txt FROM fx_variants GROUP BY chrom, pos),
-b AS (SELECT name, i AS pos, substr(ref, CAST(i AS INT), 1) AS base FROM refs, range(1, 100000) t(i) WHERE i <= length(ref))
+b AS (SELECT name, i AS pos, substr(ref, CAST(i AS INT), 1) AS base FROM (SELECT name, ref, unnest(range(1, length(ref) + 1)) AS i FROM refs))
 SELECT name, md5(string_agg(coalesce(txt, base), '' ORDER BY b.pos)) AS digest FROM b LEFT JOIN e ON chrom = name AND e.pos = b.pos GROUP BY name""")
 def a26(spark, sf):
     v = fx(spark, sf, "variants")
@@ -177,7 +177,7 @@ def a26p(spark, sf):
 @query("A26_apply_changes", f"""
 WITH {REFS}, v AS (SELECT concat('chr', o_custkey % 40) AS chrom, o_orderkey * 5 + 2 AS pos, CASE o_orderstatus WHEN 'O' THEN 'G' WHEN 'F' THEN '+TTC' ELSE '-AC' END AS change FROM orders),
 k AS (SELECT chrom, pos, min(change) AS change FROM v GROUP BY chrom, pos),
-b AS (SELECT name, i AS pos, substr(ref, CAST(i AS INT), 1) AS base FROM refs, range(1, 100000) t(i) WHERE i <= length(ref)),
+b AS (SELECT name, i AS pos, substr(ref, CAST(i AS INT), 1) AS base FROM (SELECT name, ref, unnest(range(1, length(ref) + 1)) AS i FROM refs)),
 j AS (SELECT b.name, b.pos, CASE WHEN s.change IS NOT NULL THEN s.change WHEN d1.change IS NOT NULL OR d2.change IS NOT NULL THEN '' ELSE base END AS base, coalesce(substr(n.change, 2), '') AS after
   FROM b LEFT JOIN k s ON s.chrom = b.name AND s.pos = b.pos AND s.change = 'G'
   LEFT JOIN k d1 ON d1.chrom = b.name AND d1.pos = b.pos - 1 AND d1.change = '-AC' LEFT JOIN k d2 ON d2.chrom = b.name AND d2.pos = b.pos - 2 AND d2.change = '-AC'
@@ -215,13 +215,13 @@ WITH v AS (SELECT chrom, pos, ref, alt, concat(info, ';AF1=', CASE WHEN gt = '1/
 p AS (SELECT *, CAST(regexp_extract(info, 'DP=(\\d+)', 1) AS INT) AS dp, CAST(regexp_extract(info, 'MQ=(\\d+)', 1) AS INT) AS mq,
    CASE WHEN qual > 25 THEN CASE WHEN gt = '0/0' OR alt = '.' THEN ref ELSE alt END ELSE CASE concat(least(ref, alt), greatest(ref, alt)) WHEN 'AC' THEN 'M' WHEN 'AG' THEN 'R' WHEN 'AT' THEN 'W' WHEN 'CG' THEN 'S' WHEN 'CT' THEN 'Y' WHEN 'GT' THEN 'K' ELSE 'N' END END AS b FROM v),
 s AS (SELECT chrom, pos, min({'b': CASE WHEN mq >= 10 AND dp >= 3 THEN upper(b) ELSE lower(b) END, 'q': chr(CAST(33 + floor(qual) AS INT))}) AS s FROM p WHERE length(ref) = 1 AND length(alt) = 1 GROUP BY chrom, pos),
-gp AS (SELECT DISTINCT chrom, greatest(pos - 1, 0) + 1 AS x, pos + length(ref) + 1 AS y FROM v WHERE (length(ref) > 1 OR length(alt) > 1) AND qual > 45),
+gp AS (SELECT DISTINCT chrom, greatest(pos - 1, 0) + 1 AS x, pos + length(ref) + 1 AS y FROM v WHERE length(ref) > 1 OR length(alt) > 1),
 lw AS (SELECT DISTINCT chrom, unnest(range(x, y + 1)) AS pos FROM gp),
 g AS (SELECT chrom, unnest(range(1, max(pos) + 1)) AS pos FROM s GROUP BY chrom)
 SELECT g.chrom, string_agg(CASE WHEN lw.pos IS NOT NULL THEN lower(coalesce(s.b, 'n')) ELSE coalesce(s.b, 'n') END, '' ORDER BY g.pos) AS seq, string_agg(coalesce(s.q, '!'), '' ORDER BY g.pos) AS qual
 FROM g LEFT JOIN s ON s.chrom = g.chrom AND s.pos = g.pos LEFT JOIN lw ON lw.chrom = g.chrom AND lw.pos = g.pos GROUP BY g.chrom""")
 def w14v(spark, sf):
-    v = fx(spark, sf, "variants").filter("(length(ref) = 1 AND length(alt) = 1) OR qual > 45")
+    v = fx(spark, sf, "variants")
     af = F.when(F.col("gt") == "1/1", F.lit("1")).otherwise(F.lit("0.2"))
     fq = F.concat(F.when(F.col("qual") > 25, F.lit("-")).otherwise(F.lit("")), F.floor("qual").cast("string"))
     v = v.withColumn("info", F.concat("info", F.lit(";AF1="), af, F.lit(";FQ="), fq))

@@ -114,7 +114,7 @@ def p8(spark, sf):
 def _cuts(slope: str) -> str:
     return f"""
 bases AS (SELECT i AS pos, upper(substr(seq, CAST(i + 1 AS INT), 1)) AS b, ascii(substr(qual, CAST(i + 1 AS INT), 1)) - 33 AS q
-          FROM fx_reads, range(0, 200) t(i) WHERE i < length(seq)),
+          FROM (SELECT *, unnest(range(0, length(seq))) AS i FROM fx_reads)),
 prof AS (SELECT pos, count(*) FILTER (WHERE b='A') * 100.0 / count(*) AS a, count(*) FILTER (WHERE b='C') * 100.0 / count(*) AS c,
                 count(*) FILTER (WHERE b='G') * 100.0 / count(*) AS g, count(*) FILTER (WHERE b='T') * 100.0 / count(*) AS t, avg(q) AS q
          FROM bases GROUP BY pos),
@@ -240,9 +240,9 @@ def _dedup(key1: str, key2: str) -> str:
 WITH {_PAIRS},
 k AS (SELECT *, {key1} AS k1, coalesce({key2}, '') AS k2 FROM prs),
 g AS (SELECT k1, k2, count(*) AS n, min(rid) AS rid FROM k GROUP BY k1, k2),
-e AS (SELECT k1, k2, 1 AS m, i, ascii(substr(q1, CAST(i AS INT), 1)) - 33 AS q FROM k, range(1, 201) t(i) WHERE i <= length(q1)
+e AS (SELECT k1, k2, 1 AS m, i, ascii(substr(q1, CAST(i AS INT), 1)) - 33 AS q FROM (SELECT *, unnest(range(1, length(q1) + 1)) AS i FROM k)
       UNION ALL
-      SELECT k1, k2, 2, i, ascii(substr(q2, CAST(i AS INT), 1)) - 33 FROM k, range(1, 201) t(i) WHERE i <= length(q2)),
+      SELECT k1, k2, 2, i, ascii(substr(q2, CAST(i AS INT), 1)) - 33 FROM (SELECT *, unnest(range(1, length(q2) + 1)) AS i FROM k)),
 s AS (SELECT k1, k2, m, i, least(40, sum(q)) AS q FROM e GROUP BY ALL),
 j AS (SELECT k1, k2, string_agg(chr(CAST(q + 33 AS INT)), '' ORDER BY i) FILTER (WHERE m = 1) AS c1,
              string_agg(chr(CAST(q + 33 AS INT)), '' ORDER BY i) FILTER (WHERE m = 2) AS c2 FROM s GROUP BY k1, k2)
