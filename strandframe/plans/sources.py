@@ -572,10 +572,20 @@ def s30(spark, sf):
     return K.export_to_sam(spark, a, b).select("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "tlen", "seq", "qual", F.array_join("tag_text", " ").alias("tags"))
 
 
-@query("S30_export_mismatches", "SELECT CAST(count(*) AS BIGINT) AS n FROM orders WHERE o_orderkey < 0")
+@query("S30_export_mismatches", """
+WITH n AS (SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) - 1 AS n, count(*) OVER () AS total FROM orders)
+SELECT n FROM n WHERE k % 7 = 3 UNION ALL SELECT total FROM n WHERE n = 0""")
 def s30m(spark, sf):
-    a, b = exports(spark, sf)
-    return K.export_mismatches(spark, a, b).agg(F.count("*").alias("n"))
+    # every seventh name differs, and the second file has one line more
+    o = table(spark, sf, "orders").repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey")
+    first = put(spark, o, _EXPORT.format(r=1, at=1, s="F", d="5^AC$5", se=50, pe=90), "export")
+    last = o.orderBy(F.desc("o_orderkey")).limit(1).withColumn("o_orderkey", F.col("o_orderkey") + 8)
+    renamed = o.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 7 == 3, F.col("o_orderkey") + 10_000_000).otherwise(F.col("o_orderkey")))
+    both = renamed.select("*", F.lit(0).alias("_late")).unionByName(last.withColumn("_late", F.lit(1)))
+    key = F.when(F.col("o_orderkey") > 10_000_000, F.col("o_orderkey") - 10_000_000).otherwise(F.col("o_orderkey"))
+    both = both.withColumn("_at", key).repartitionByRange("_late", "_at").sortWithinPartitions("_late", "_at")
+    second = put(spark, both, _EXPORT.format(r=2, at=101, s="R", d="A2^3$4", se=70, pe=0), "export")
+    return K.export_mismatches(spark, first, second).select("n")
 
 
 @query("S31_blast_to_sam", """
