@@ -31,8 +31,6 @@ VERSION = "WARC/1.1\r\n"
 MARK = "WARC/"
 VERSION_LINE = re.compile(rb"\d+\.\d+\r\n")
 LEAST_REVISIT = 100
-#: Parts in which the revisits of a page meet it.
-PARTS = 64
 RECORD = "file string, record_id string, type string, concurrent_to string, refers_to string, target_uri string, date string, payload_digest string, content_type string, block binary"
 
 
@@ -181,8 +179,9 @@ def assemble(records: DataFrame) -> DataFrame:
 def field_lines(block: Column) -> Column:
     """(name, value) of each line of a block of fields."""
     lines = F.filter(F.split(block, "\r\n"), lambda x: x != "")
-    value = lambda x: F.regexp_replace(F.substr(x, F.length(F.substring_index(x, ":", 1)) + 2), r"^[ \t]+", "")
-    return F.transform(lines, lambda x: F.struct(F.substring_index(x, ":", 1).alias("name"), F.when(F.contains(x, F.lit(":")), value(x)).otherwise("").alias("value")))
+    # what stands behind the name, without the colon and blanks; nothing if there is no colon
+    value = lambda x: F.ltrim(F.substr(x, F.length(F.substring_index(x, ":", 1)) + 2), F.lit(" \t"))
+    return F.transform(lines, lambda x: F.struct(F.substring_index(x, ":", 1).alias("name"), value(x).alias("value")))
 
 
 def first_fields(lines: str) -> Column:
@@ -196,14 +195,12 @@ def resolve(captures: DataFrame) -> DataFrame:
     """Captures with the page that a revisit refers to, and the size and digest of the full payload."""
     page = F.when(F.col("fields")["page-id"] != "", F.col("fields")["page-id"].cast("long"))
     mine = captures.withColumn("page_id", page)
-    # only revisits look for a head, without any payload; a head of very many is met in parts
-    revisits = mine.filter(F.col("type") == "revisit").withColumn("_part", F.pmod(F.xxhash64("record_id"), F.lit(PARTS)))
-    heads = mine.filter(F.col("type") == "response").select(F.col("record_id").alias("_h"), F.col("page_id").alias("_page"), "found_bytes", "found_digest")
-    heads = heads.join(revisits.select(F.col("refers_to").alias("_h")).distinct(), "_h", "left_semi")
-    heads = heads.groupBy("_h").agg(F.min("_page").alias("_head_page"), F.min("found_bytes").alias("_head_bytes"), F.min("found_digest").alias("_head_digest"))
-    heads = heads.withColumn("_hpart", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
-    met = revisits.join(heads, (F.col("refers_to") == F.col("_h")) & (F.col("_part") == F.col("_hpart")), "left")
-    met = met.select(*mine.columns, F.col("_head_page").alias("refers_to_page"), F.col("_head_bytes").alias("payload_bytes"), F.col("_head_digest").alias("digest"))
-    own = mine.filter(F.col("type") != "revisit").select(
-        *mine.columns, F.lit(None).cast("long").alias("refers_to_page"), F.col("found_bytes").alias("payload_bytes"), F.col("found_digest").alias("digest"))
-    return own.unionByName(met)
+    heads = mine.filter(F.col("type") == "response").groupBy(F.col("record_id").alias("_h")).agg(
+        F.min("page_id").alias("_head_page"), F.min("found_bytes").alias("_head_bytes"), F.min("found_digest").alias("_head_digest"))
+    # a capture that refers to nothing has a key of its own, or all of them would be dealt to one task
+    looks_for = F.coalesce("refers_to", F.concat(F.lit(":"), "record_id"))
+    joined = mine.withColumn("_key", looks_for).join(heads, F.col("_key") == F.col("_h"), "left")
+    revisit = F.col("type") == "revisit"
+    return joined.select(
+        *mine.columns, F.when(revisit, F.col("_head_page")).alias("refers_to_page"), F.when(revisit, F.col("_head_bytes")).otherwise(F.col("found_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.col("_head_digest")).otherwise(F.col("found_digest")).alias("digest"))
