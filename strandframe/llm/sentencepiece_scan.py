@@ -30,16 +30,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .text import _BASE, _INVERSE, _power, mix, replace_names, slices
+from .text import _BASE, _INVERSE, _power, member, mix, replace_names, slices
 
 BLANK = "▁"
 CHUNK = 32_768
 GROUP = 64
-CACHE = 60_000
+CACHE = 100_000
 TOGETHER = 64
 UNIGRAM, MERGES = 1, 2
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 NO = float("-inf")
+LETTER = np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, object]]:
@@ -233,7 +234,7 @@ class Scan:
         self.pair_key = np.full(1 << 20, -1, np.int64)
         self.pair_value = np.zeros(1 << 20, bool)
         self.floor = min(model.scores, default=0.0) - 10.0
-        self.units = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if model.splits else r"(?s).+")
+        self.pairs = np.array(sorted(ord(x[0]) << 21 | ord(x[1]) for x in model.inside), np.int64)
 
     def fits(self, left: str | None, right: str) -> bool:
         """Do the merges leave these two neighbours apart?"""
@@ -337,33 +338,15 @@ class Scan:
                 out.append(self.model.unknown)
         return out
 
-    def parts(self, unit: str) -> list[str]:
-        """The word, cut between neighbours that no piece has side by side."""
-        inside, first, out = self.model.inside, 0, []
-        for k in range(1, len(unit)):
-            if unit[k - 1 : k + 1] not in inside:
-                out.append(unit[first:k])
-                first = k
-        out.append(unit[first:])
-        return out
-
     def learn(self, units: list[str]) -> None:
-        """Add words to the cache: their parts are segmented together."""
-        words, split, todo = self.words, {}, set()
-        for unit in units:
-            if unit[1:].isalpha():
-                todo.add(unit)
-            else:
-                split[unit] = parts = self.parts(unit)
-                todo.update(x for x in parts if x not in words)
-        short = [x for x in todo if len(x) <= TOGETHER] if self.model.merges else []
+        """Add units to the cache, the short ones of a model of merges together."""
+        words = self.words
+        short = [x for x in units if len(x) <= TOGETHER] if self.model.merges else []
         for first in range(0, len(short), 50_000):
             self.only_paths(short[first : first + 50_000])
-        for unit in todo:
+        for unit in units:
             if unit not in words:
                 words[unit] = array("i", self.only_path(unit) if self.model.merges else self.best_path(unit)).tobytes()
-        for unit, parts in split.items():
-            words[unit] = b"".join(map(words.__getitem__, parts))
 
     def only_paths(self, units: list[str]) -> None:
         """The max-plus step over many words at once: from each place on, pieces of growing length
@@ -480,16 +463,31 @@ class Scan:
         return self.encode_units([self.normal(t) for t in texts])
 
     def encode_units(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts that begin and end where words do; words that are not in the cache are learnt together."""
-        split = [self.units.findall(t) for t in texts]
-        distinct = set().union(*split)
+        """Ids of texts that begin and end where words do; units that are not in the cache are learnt together.
+
+        A text falls apart wherever no piece has the two characters side by side; between two letters that is not asked.
+        """
+        joined = "".join(texts)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        edges = np.cumsum([0, *map(len, texts)])
+        apart = np.zeros(len(codes) + 1, bool)
+        apart[edges] = True
+        letter = LETTER[codes]
+        at = np.flatnonzero(~(letter[:-1] & letter[1:])) + 1
+        pair = codes[at - 1].astype(np.int64) << 21 | codes[at]
+        apart[at[~member(self.pairs, pair)[1]]] = True
+        cuts = np.flatnonzero(apart)
+        places = cuts.tolist()
+        units = [joined[a:b] for a, b in zip(places, places[1:])]
+        distinct = set(units)
         new = {u for u in distinct if u not in self.words}
         if len(self.words) + len(new) > CACHE:
             self.words.clear()
             new = distinct
         self.learn(list(new))
         get = self.words.__getitem__
-        out = [np.frombuffer(b"".join(map(get, units)), np.int32) for units in split]
+        first = np.searchsorted(cuts, edges).tolist()
+        out = [np.frombuffer(b"".join(map(get, units[a:b])), np.int32) for a, b in zip(first, first[1:])]
         for unit in new:
             if len(unit) > 64:  # long ones would fill the cache
                 self.words.pop(unit, None)
