@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,8 @@ from .text import _BASE, _INVERSE, _power, member, mix, replace_names, slices
 BLANK = "▁"
 CHUNK = 32_768
 GROUP = 64
-CACHE = 100_000
+CACHE = 80_000
+PAIR_BITS = 20
 TOGETHER = 64
 UNIGRAM, MERGES = 1, 2
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
@@ -231,8 +233,8 @@ class Scan:
         self.model = model
         self.joins: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
-        self.pair_key = np.full(1 << 20, -1, np.int64)
-        self.pair_value = np.zeros(1 << 20, bool)
+        self.pair_key = np.full(1 << PAIR_BITS, -1, np.int64)
+        self.pair_value = np.zeros(1 << PAIR_BITS, bool)
         self.floor = min(model.scores, default=0.0) - 10.0
         self.pairs = np.array(sorted(ord(x[0]) << 21 | ord(x[1]) for x in model.inside), np.int64)
 
@@ -398,19 +400,23 @@ class Scan:
         for k in np.unique(owner[number < 0]).tolist():  # with a character that has no piece
             self.words[units[k]] = array("i", self.only_path(units[k])).tobytes()
 
+    @staticmethod
+    def _slots(key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+
     def pair_fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """``fits`` for many pairs, from a table whose places newer pairs take over."""
         key = left.astype(np.int64) << 20 | right
-        place = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 20)).astype(np.int64)
+        place = self._slots(key)
         out = self.pair_value[place]
         new = np.flatnonzero((self.pair_key[place] != key) & (left >= 0))
         if len(new):
             strings = self.model.strings
-            out[new] = [self._apart(strings[a], strings[b]) for a, b in zip(left[new].tolist(), right[new].tolist())]
-            _, one = np.unique(place[new], return_index=True)
-            new = new[one]
-            self.pair_key[place[new]] = key[new]
-            self.pair_value[place[new]] = out[new]
+            fresh, back = np.unique(key[new], return_inverse=True)
+            values = np.array([self._apart(strings[k >> 20], strings[k & 0xFFFFF]) for k in fresh.tolist()])
+            out[new] = values[back]
+            place = self._slots(fresh)
+            self.pair_key[place], self.pair_value[place] = fresh, values
         out[left < 0] = True
         return out
 
@@ -767,18 +773,25 @@ def decode(tokens: DataFrame, model: Pieces, column: str = "ids") -> DataFrame:
     def run(batches):
         held = shared.value
         raw = [bytes([int(s[3:5], 16)]) if k == BYTE else s.replace(BLANK, " ").encode() if k == NORMAL else b"" for s, k in zip(held.strings, held.kinds)]
+        size = np.array([len(x) for x in raw], np.int64)
+        start, table = np.cumsum(size) - size, np.frombuffer(b"".join(raw), np.uint8)
         for batch in batches:
             at = batch.schema.get_field_index(column)
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                texts = []
-                for ids in part.column(at):
-                    if not ids.is_valid:
-                        texts.append(None)
-                        continue
-                    text = b"".join(map(raw.__getitem__, ids.values.to_numpy().tolist())).decode("utf-8", "replace")
-                    texts.append(text[1:] if held.dummy and text[:1] == " " else text)
+                ids = part.column(at).flatten().to_numpy(zero_copy_only=False)
+                known = part.column(at).is_valid().to_numpy(zero_copy_only=False)
+                count = pc.fill_null(pc.list_value_length(part.column(at)), 0).to_numpy(zero_copy_only=False)
+                # the bytes of all pieces, one after the other
+                length = size[ids]
+                ends = np.cumsum(length)
+                data = table[np.repeat(start[ids] - ends + length, length) + np.arange(int(length.sum()))].tobytes()
+                edges = np.concatenate([[0], ends])[np.cumsum([0, *count])].tolist()
+                texts = [data[a:b].decode("utf-8", "replace") if k else None for a, b, k in zip(edges, edges[1:], known)]
+                if held.dummy:
+                    texts = [t[1:] if t and t[0] == " " else t for t in texts]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
+                pa.default_memory_pool().release_unused()
 
     return frame.mapInArrow(run, schema)
 
