@@ -343,12 +343,14 @@ class Scan:
     def learn(self, units: list[str]) -> None:
         """Add units to the cache, the short ones of a model of merges together."""
         words = self.words
-        short = [x for x in units if len(x) <= TOGETHER] if self.model.merges else []
-        for first in range(0, len(short), 50_000):
-            self.only_paths(short[first : first + 50_000])
-        for unit in units:
-            if unit not in words:
-                words[unit] = array("i", self.only_path(unit) if self.model.merges else self.best_path(unit)).tobytes()
+        alone = units
+        if self.model.merges:
+            short = [x for x in units if len(x) <= TOGETHER]
+            alone = [x for x in units if len(x) > TOGETHER] if len(short) < len(units) else []
+            for first in range(0, len(short), 50_000):
+                self.only_paths(short[first : first + 50_000])
+        for unit in alone:
+            words[unit] = array("i", self.only_path(unit) if self.model.merges else self.best_path(unit)).tobytes()
 
     def only_paths(self, units: list[str]) -> None:
         """The max-plus step over many words at once: from each place on, pieces of growing length
@@ -486,7 +488,7 @@ class Scan:
         places = cuts.tolist()
         units = [joined[a:b] for a, b in zip(places, places[1:])]
         distinct = set(units)
-        new = {u for u in distinct if u not in self.words}
+        new = distinct - self.words.keys()
         if len(self.words) + len(new) > CACHE:
             self.words.clear()
             new = distinct
@@ -494,9 +496,10 @@ class Scan:
         get = self.words.__getitem__
         first = np.searchsorted(cuts, edges).tolist()
         out = [np.frombuffer(b"".join(map(get, units[a:b])), np.int32) for a, b in zip(first, first[1:])]
-        for unit in new:
-            if len(unit) > 64:  # long ones would fill the cache
-                self.words.pop(unit, None)
+        if len(cuts) > 1 and np.diff(cuts).max() > TOGETHER:
+            for unit in new:
+                if len(unit) > TOGETHER:  # long ones would fill the cache
+                    del self.words[unit]
         return out
 
     def normal(self, text: str) -> str:
