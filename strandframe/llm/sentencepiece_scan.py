@@ -36,6 +36,7 @@ from .text import _BASE, _INVERSE, _power, member, mix, replace_names, slices
 BLANK = "▁"
 CHUNK = 32_768
 GROUP = 64
+TRACED = 32
 CACHE = 80_000
 PAIR_BITS = 20
 TOGETHER = 64
@@ -564,15 +565,14 @@ class Scan:
     def _exits(self, best: dict, last: int, stop: int) -> list[tuple[int, str | None, float]]:
         return [(p - last, best[p][1] if self.model.merges else None, best[p][0]) for p in range(last, stop + 1) if p in best and best[p][2] >= 0]
 
-    def chunk_ids(self, text: str, first: int, last: int, state: tuple[int, str | None], leave: tuple[int, str | None]) -> np.ndarray:
-        """Trace one chunk back between its fixed states: the pieces that begin in it.
+    def chunk_parts(self, text: str, first: int, last: int, state: tuple[int, str | None], leave: tuple[int, str | None]) -> tuple[list[int], str, list[int]]:
+        """Ids of the words at both edges of a chunk between its fixed states, and the text of those between.
 
-        Where words end no piece crosses, so only the words at both edges are walked; those between are
-        segmented as words.
+        Where words end no piece crosses, so only the words at the edges have to be walked.
         """
         start, end = first + state[0], last + leave[0]
         if start >= last:
-            return np.zeros(0, np.int32)
+            return [], "", []
 
         def walk(begin: int, before: str | None, upto: int, stop: int) -> list[int]:
             best, _ = self.run(text, begin, before, upto, stop)
@@ -580,9 +580,17 @@ class Scan:
 
         places = self.ends(text, first + self.model.width, last)
         if not places:
-            return np.array(walk(start, state[1], last, end), np.int32)
-        parts = [walk(start, state[1], places[0], places[0]), *self.encode_units([text[places[0] : places[-1]]]), walk(places[-1], None, last, end)]
-        return np.concatenate([np.asarray(x, np.int32) for x in parts])
+            return walk(start, state[1], last, end), "", []
+        return walk(start, state[1], places[0], places[0]), text[places[0] : places[-1]], walk(places[-1], None, last, end)
+
+    def chunks_ids(self, chunks: list[tuple]) -> list[np.ndarray]:
+        """Trace chunks back, each alone between its fixed states: the pieces that begin in it."""
+        parts = [self.chunk_parts(*x) for x in chunks]
+        between = self.encode_units([x[1] for x in parts])
+        return [np.concatenate([np.array(a, np.int32), m, np.array(b, np.int32)]) for (a, _, b), m in zip(parts, between)]
+
+    def chunk_ids(self, *chunk) -> np.ndarray:
+        return self.chunks_ids([chunk])[0]
 
 
 State = tuple[int, str | None]
@@ -757,10 +765,15 @@ def _encode_long(long: DataFrame, shared, model: Pieces, column: str, chunk: int
     def traced(batches):
         scan = _scan(shared)
         for batch in batches:
-            for i, (k, first, length, part, s, sp, e, ep) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
-                ids = scan.chunk_ids(part, first, first + length, (s, sp), (e, ep))
-                made = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), made], names=["_row", "_k", "ids"])
+            # a megabyte of text at a time, so that its new words are learnt together
+            for first in range(0, batch.num_rows, TRACED):
+                rows = batch.slice(first, TRACED)
+                _, at, size, part, s, sp, e, ep = (c.to_pylist() for c in rows.columns[1:])
+                ids = scan.chunks_ids([(p, a, a + n, (x, xp), (y, yp)) for p, a, n, x, xp, y, yp in zip(part, at, size, s, sp, e, ep)])
+                offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+                made = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32()))
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), made], names=["_row", "_k", "ids"])
+                pa.default_memory_pool().release_unused()
 
     made = pieces.join(fixed, ["_row", "_k"]).select("_row", "_k", "_first", "_size", "_part", "s", "sp", "e", "ep").mapInArrow(traced, "_row binary, _k int, ids array<int>")
     found = made.groupBy("_row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_k", "ids"))), lambda x: x["ids"])).alias("ids"))
