@@ -36,8 +36,8 @@ from .text import _BASE, _INVERSE, _power, member, mix, replace_names, slices
 BLANK = "▁"
 CHUNK = 32_768
 GROUP = 64
-TRACED = 32
-CACHE = 80_000
+TRACED = 8
+CACHE = 50_000
 PAIR_BITS = 20
 TOGETHER = 64
 UNIGRAM, MERGES = 1, 2
@@ -765,7 +765,7 @@ def _encode_long(long: DataFrame, shared, model: Pieces, column: str, chunk: int
     def traced(batches):
         scan = _scan(shared)
         for batch in batches:
-            # a megabyte of text at a time, so that its new words are learnt together
+            # some chunks at a time, so that their new words are learnt together
             for first in range(0, batch.num_rows, TRACED):
                 rows = batch.slice(first, TRACED)
                 _, at, size, part, s, sp, e, ep = (c.to_pylist() for c in rows.columns[1:])
