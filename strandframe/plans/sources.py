@@ -16,11 +16,15 @@ from ..sources import records as REC
 from ..sources import reports as RP
 from ..sources import tables as T
 from ..sources import xml as X
-from .fixtures import fx, lines_in_order, table
+from .fixtures import fx, lines_in_order, spread, table
 from .pileup import _CP, consensus_rows
 from .registry import query
 
 
+#: Elements of an XML file that a query writes.
+XML_ROWS = 50_000
+
+
 def put(spark: SparkSession, df: DataFrame, text: str, label: str) -> str:
     """Writes one text entry per row and returns the folder."""
     path = scratch_path(spark, label)
@@ -40,8 +44,9 @@ def put_titled(spark: SparkSession, df: DataFrame, text: str, title: str, label:
 def put_xml(spark: SparkSession, df: DataFrame, text: str, schema: str, row_tag: str) -> str:
     """Well-formed documents with one element per row."""
     path = scratch_path(spark, "xml")
-    rows = df.select(F.from_xml(F.expr(text), schema).alias("x")).select("x.*")
-    rows.write.format("xml").option("rootTag", "set").option("rowTag", row_tag).save(path)
+    rows = spread(df).select(F.from_xml(F.expr(text), schema).alias("x")).select("x.*")
+    # an XML file is read by one task
+    rows.write.format("xml").option("rootTag", "set").option("rowTag", row_tag).option("maxRecordsPerFile", XML_ROWS).save(path)
     return path
 
 

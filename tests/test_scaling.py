@@ -11,6 +11,7 @@ from strandframe.operators import alignments as A
 from strandframe.operators import contigs as C
 from strandframe.operators import pileup as P
 from strandframe.operators import scale
+from strandframe.plans import sources as S
 
 ROWS = [
     ("a", 1, "chr1", 250, 30, "6M1I4M2D5M", "ACGTACGACGTACGTA", "IIIIIIIIIHHHHHHH", "rg0"),
@@ -101,3 +102,22 @@ def test_low_prefixes_are_folded_not_indexed(spark):
     out = quals.select(ph.expanding_low(ph.phred("q"), 24, 8).alias("n"))
     assert "get(" not in plan(out)
     assert [r.n for r in out.collect()] == [8, 5, 8, 8]
+
+
+def test_reads_without_a_place_stay_one_site(reads, monkeypatch):
+    lost = reads.withColumn("pos", F.when(F.col("qname") != "b", F.col("pos")))
+    counts = {(r.rname, r.pos): r.depth for r in P.site_counts(P.read_bases(lost)).collect()}
+    assert counts["chr1", None] == 24 and counts["chr2", 4] == 1 and counts["chr1", 252] == 1
+    lines = {(r.rname, r.pos): r for r in P.pileup(lost, ["qname", "flag"]).collect()}
+    assert lines["chr1", None].depth == 24 and lines["chr1", None].quals == "AACCGGKKDDHHLLEEIIBBFFJJ"
+    monkeypatch.setattr(P, "BIN_BLOCKS", 2)
+    assert {(r.rname, r.pos): r.depth for r in P.site_counts(P.read_bases(lost)).collect()} == counts
+
+
+def test_xml_input_comes_in_files_of_bounded_size(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(S, "XML_ROWS", 10)
+    df = spark.range(95).coalesce(1).select(F.col("id").alias("p"))
+    path = S.put_xml(spark, df, """concat('<protein id="g', p, '" length="7"></protein>')""", S.X.DOMAIN_PROTEIN, "protein")
+    read = S.X._xml(spark, path, "protein", S.X.DOMAIN_PROTEIN)
+    per_file = read.groupBy(F.col("_metadata.file_path")).count().collect()
+    assert sum(r[1] for r in per_file) == 95 and max(r[1] for r in per_file) <= 12
