@@ -121,3 +121,68 @@ def test_xml_input_comes_in_files_of_bounded_size(spark, monkeypatch, tmp_path):
     read = S.X._xml(spark, path, "protein", S.X.DOMAIN_PROTEIN)
     per_file = read.groupBy(F.col("_metadata.file_path")).count().collect()
     assert sum(r[1] for r in per_file) == 95 and max(r[1] for r in per_file) <= 12
+
+
+def test_a_scan_with_all_rows_in_one_split_is_dealt_out(spark, tmp_path, monkeypatch):
+    from strandframe.plans import fixtures
+
+    path = str(tmp_path / "one.parquet")
+    spark.range(100_000).selectExpr("id", "sha2(cast(id as string), 256) as text").coalesce(1).write.parquet(path)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in old:
+            spark.conf.set(k, "65536")
+        scan = spark.read.parquet(path)
+        assert scan.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        dealt = fixtures.spread(scan)
+        sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert max(sizes) * spark.sparkContext.defaultParallelism <= 2 * sum(sizes)
+        assert sorted(r.id for r in dealt.select("id").collect()) == list(range(100_000))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_parts_between_gaps_are_not_moved(spark):
+    held = spark.createDataFrame([("x", "NACNNNGTNA", "0123456789"), ("x", "NACNNNGTNA", "0123456789"), ("n", "NNNN", "0123"), (None, "ANNNN", "01234")], "name string, seq string, qual string")
+    out = C.split_at_gaps(held, 3, "qual")
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    want = [("x_subcontig0", "AC", "12", 2), ("x_subcontig1", "GTNA", "6789", 7)] * 2 + [(None, "A", "0", 1)]
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, want))
+
+
+def test_only_frames_at_the_edges_of_pieces_meet_in_a_window(spark):
+    from strandframe.operators import genes as G
+
+    text = "TAA" + "ATG" + "GCC" * 40 + "TAA" + "CC"
+    held = spark.createDataFrame([("x", text)], "name string, seq string")
+    [row] = G.find_orfs(held, with_seq=True).filter("strand = '+'").collect()
+    assert (row.ustop, row.start, row.stop, row.length, row.seq, row.aa_seq) == (4, 4, 129, 126, text[3:129], "M" + "A" * 40 + "*")
+    batch = pa.RecordBatch.from_pylist([{"_key": {"name": "x"}, "size": len(text), "piece": 0, "seq": text, "before": "", "after": ""}])
+    [edges] = G._frames(True, 90, False, False, 12288)([batch])
+    assert all(o or not c for o, c in zip(edges.column("opens").to_pylist(), edges.column("closed").to_pylist()))
+    assert edges.num_rows <= 12
+
+
+def test_proteins_are_translated_once_by_arrays(spark):
+    from strandframe.operators import genes as G
+    from strandframe.functions import dna
+
+    held = spark.createDataFrame([("a", "ATGGCCTAAAC"), ("b", "é" * 3 + "NACatg😀TTTT"), ("c", ""), ("d", None)], "name string, seq string")
+    got = {r.name: r.p for r in held.select("name", dna.translate_dna("seq").alias("p")).collect()}
+    assert got == {"a": "MA*X", "b": "XXXXX", "c": "", "d": None}
+    out = G.clip_proteins(held.select("name", dna.translate_dna("seq").alias("seq")), 2)
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(r.name for r in out.collect()) == ["a", "b"]
+
+
+def test_records_of_a_library_are_not_dealt_by_read_group(reads, spark):
+    groups = spark.createDataFrame([("rg0", "L"), ("rg0", "L"), ("rg1", "M"), (None, "L")], "rg string, library string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = A.view(reads, library="L", read_groups=groups)
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.qname for r in out.collect()) == ["a", "c", "d"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
