@@ -117,3 +117,15 @@ def test_nearest_start_in_a_long_frame(spark):
     rows = spark.createDataFrame([("+", 1, len(s), p, s) for p in (1, 150_001, 150_010, 200_000, 215_000, 210_010)], "strand string, lo bigint, hi bigint, pos bigint, seq string")
     got = {r["pos"]: r["snapped"] for r in G.snap_to_start(rows).collect()}
     assert got == {1: 150_001, 150_001: 150_001, 150_010: 150_001, 200_000: 210_004, 215_000: 210_004, 210_010: 210_004}
+
+
+def test_fetch_sorts_parts_not_pieces(spark):
+    """What is put together are the cut parts: a row with a whole piece in it would be sorted for each request."""
+    contigs = spark.createDataFrame([("c", "ACGTTGCA" * 4000)], "name string, seq string")
+    asked = spark.createDataFrame([("c", 12280, 12300), ("c", 5, 9), ("c", 5, 9)], "name string, beg long, end long")
+    found = P.fetch(asked, P.cut(contigs), ("name", "beg", "end"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    gathered = [line for line in plan.splitlines() if "collect_list" in line]
+    assert gathered and not any(re.search(r"(?<!_)_t0", line) for line in gathered)
+    text = "ACGTTGCA" * 4000
+    assert sorted((r["beg"], r["seq"]) for r in found.collect()) == [(5, text[4:9]), (5, text[4:9]), (12280, text[12279:12300])]
