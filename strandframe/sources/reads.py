@@ -96,27 +96,41 @@ def record_spans(lines: DataFrame) -> DataFrame:
     return true.select(F.col("name").alias("file"), "head", "plus", "last")
 
 
-def normalize_fastq(spark: SparkSession, path: str, min_length: int = 1) -> DataFrame:
+def normalize_fastq(spark: SparkSession, path: str, min_length: int = 1, width: int = 1 << 14) -> DataFrame:
     """Records whose sequence and quality run over several lines: (file, rid, id, seq, qual), ``rid`` per file from 0.
 
     A record without a quality line, or cut off by the end of its file, has what is there.
     """
     lines = numbered_lines(spark, path)
+    # a number stands for the path of a file, one row per file: rows that are sorted and moved are short
+    files = lines.groupBy("file").agg(F.count("*").alias("_lines"))
+    files = written(files.select("file", F.row_number().over(Window.orderBy("file")).alias("_file")), "fastq-files")
+    lines = lines.join(F.broadcast(files), "file").select(F.col("_file").alias("file"), "n", "value")
     spans = record_spans(lines.select(
         "file", "n", F.left("value", F.lit(1)).alias("mark"), F.length("value").cast("bigint").alias("raw"), F.length(F.trim("value")).cast("bigint").alias("own")))
-    spans = written(number_rows(spans, [F.col("head")], within=["file"], name="rid", first=0), "fastq-records")
-    # each line with the last header at or before it
-    opened = lines.join(spans.select("file", F.col("head").alias("n"), F.struct("rid", "head", "plus", "last").alias("_of")), ["file", "n"], "left")
-    held = carry_forward(opened, ["file"], "n", "_of").filter(F.col("n") <= F.col("_of.last"))
-
-    def text(wanted, value):
-        return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(wanted, F.struct("n", value.alias("v"))))), lambda x: x["v"]), "")
-
-    n, of = F.col("n"), F.col("_of")
-    records = held.groupBy("file", F.col("_of.rid").alias("rid")).agg(
+    spans = number_rows(spans, [F.col("head")], within=["file"], name="rid", first=0)
+    # lines and records meet in buckets of lines; a record is sent to each one that it touches
+    first, end = F.floor(F.col("head") / width), F.floor(F.col("last") / width)
+    sent = spans.withColumn("_bucket", F.explode(F.sequence(first, end))).select(
+        "file", "_bucket", F.greatest("head", F.col("_bucket") * width).alias("n"), F.lit(None).cast("string").alias("value"), F.struct("rid", "head", "plus", "last").alias("_of"))
+    met = sent.unionByName(lines.withColumn("_bucket", F.floor(F.col("n") / width)), allowMissingColumns=True)
+    inside = Window.partitionBy("file", "_bucket").orderBy("n", F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    held = met.withColumn("_of", F.last("_of", ignorenulls=True).over(inside)).filter(F.col("value").isNotNull() & (F.col("n") <= F.col("_of.last")))
+
+    def text(wanted, order, value):
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(wanted, F.struct(order, value.alias("v"))))), lambda x: x["v"]), "")
+
+    n, of, always = F.col("n"), F.col("_of"), F.lit(True)
+    parts = held.groupBy("file", "_bucket", of["rid"].alias("rid"), (F.floor(of["head"] / width) == F.floor(of["last"] / width)).alias("_whole")).agg(
         F.max(F.when(n == of["head"], F.expr("substring(value, 2)"))).alias("id"),
-        text((n > of["head"]) & (n < of["plus"]), F.trim("value")).alias("seq"), text(n > of["plus"], F.col("value")).alias("qual"))
-    return records.filter(F.length("seq") >= min_length)
+        text((n > of["head"]) & (n < of["plus"]), "n", F.trim("value")).alias("seq"), text(n > of["plus"], "n", F.col("value")).alias("qual"))
+    parts = written(parts, "fastq-parts")
+    # only records across an edge of buckets are moved again
+    whole = parts.filter("_whole").select("file", "rid", "id", "seq", "qual")
+    cut = parts.filter("NOT _whole").groupBy("file", "rid").agg(
+        F.max("id").alias("id"), text(always, "_bucket", F.col("seq")).alias("seq"), text(always, "_bucket", F.col("qual")).alias("qual"))
+    records = whole.unionByName(cut).join(F.broadcast(files.select(F.col("_file").alias("file"), F.col("file").alias("_path"))), "file")
+    return records.select(F.col("_path").alias("file"), "rid", "id", "seq", "qual").filter(F.length("seq") >= min_length)
 
 
 def read_fasta(spark: SparkSession, path: str | list[str], first_word_only: bool = False, clean: bool = True) -> DataFrame:
