@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dna, phred as ph
 from ..operators.proximity import visited, written
-from ..operators.scale import carry_forward, cumulative, number_rows, running_sum
+from ..operators.scale import carry_forward, cumulative, number_rows
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -61,7 +61,7 @@ def write_fastq(reads: DataFrame, path: str, compression: str | None = None) ->
     ordered.select(entry.alias("value")).write.text(path, compression=compression)
 
 
-def record_spans(lines: DataFrame) -> DataFrame:
+def record_spans(lines: DataFrame, width: int = 1 << 14) -> DataFrame:
     """(file, head, plus, last) of wrapped records, from the lines (file, n, mark, raw, own) of all files.
 
     ``mark`` is the first character of a line, ``raw`` its length and ``own`` that without blanks around it. Any
@@ -69,20 +69,42 @@ def record_spans(lines: DataFrame) -> DataFrame:
     would end, by running sums of lengths, and so which header would follow; the true headers are those that these
     pointers reach from the first one. Nothing is read in order by one task.
     """
-    summed = written(running_sum(lines, ["file"], "n", {"to_raw": "raw", "to_own": "own"}), "fastq-lines")
-    last = summed.groupBy("file").agg(F.max("n").alias("_last"))
-    backward = summed.withColumn("_m", -F.col("n"))
+    # sums and the next "+" within buckets of lines, which are moved once; a row per bucket has what lies around it
+    forth = Window.partitionBy("file", "_bucket").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("file", "_bucket").orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    summed = lines.withColumn("_bucket", F.floor(F.col("n") / width)).withColumns({"to_raw": F.sum("raw").over(forth), "to_own": F.sum("own").over(forth)})
     plus = F.when(F.col("mark") == "+", F.struct(F.col("n").alias("plus"), "to_raw", (F.col("to_own") - F.col("own")).alias("to_own")))
-    ahead = carry_forward(backward.withColumn("_plus", plus), ["file"], "_m", "_plus").filter("mark = '@'")
-    heads = ahead.join(last, "file").select(
-        "file", F.col("n").alias("head"), "_last", F.coalesce("_plus.plus", F.col("_last") + 1).alias("plus"),
+    summed = summed.withColumn("_first", plus).withColumn("_plus", F.when(F.col("mark") == "@", F.last("_first", ignorenulls=True).over(back)))
+    summed = written(summed.select("file", "_bucket", "n", (F.col("mark") == "@").alias("_head"), "to_raw", "to_own", "_first", "_plus"), "fastq-lines")
+    per = summed.groupBy("file", "_bucket").agg(F.max("n").alias("_n"), F.max("to_raw").alias("_r"), F.max("to_own").alias("_o"), F.min("_first").alias("_f"))
+    before, after = (Window.partitionBy("file").orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col("_bucket"), F.col("_bucket").desc()))
+    per = per.withColumns({"_raw": F.coalesce(F.sum("_r").over(before), F.lit(0)), "_own": F.coalesce(F.sum("_o").over(before), F.lit(0))})
+
+    def moved(p):
+        return F.when(p.isNotNull(), F.struct(p["plus"].alias("plus"), (p["to_raw"] + F.col("_raw")).alias("to_raw"), (p["to_own"] + F.col("_own")).alias("to_own")))
+
+    per = per.withColumn("_later", F.last(moved(F.col("_f")), ignorenulls=True).over(after))
+    per = per.withColumn("_last", F.max("_n").over(Window.partitionBy("file")))
+    per = written(per.select("file", "_bucket", "_raw", "_own", "_later", "_last", (F.col("_raw") + F.col("_r")).alias("_top")), "fastq-buckets")
+    heads = summed.filter("_head").join(F.broadcast(per), ["file", "_bucket"]).withColumn("_plus", F.coalesce(moved(F.col("_plus")), F.col("_later")))
+    heads = heads.select(
+        "file", "_bucket", F.col("n").alias("head"), "_last", "_top", F.coalesce("_plus.plus", F.col("_last") + 1).alias("plus"),
         # where the quality is as long as the sequence
-        (F.col("_plus.to_raw") + F.col("_plus.to_own") - F.col("to_own")).alias("x"))
+        (F.col("_plus.to_raw") + F.col("_plus.to_own") - F.col("to_own") - F.col("_own")).alias("x"))
     heads = written(heads, "fastq-heads")
-    known = summed.select("file", F.col("to_raw").alias("x"), "n").unionByName(heads.select("file", "x", F.lit(None).cast("bigint").alias("n")))
-    reached = known.filter(F.col("x").isNotNull()).groupBy("file", "x").agg(F.min("n").alias("_end")).withColumn("_m", -F.col("x"))
-    reached = carry_forward(reached, ["file"], "_m", "_end").select("file", "x", "_end")
-    spans = heads.join(reached, ["file", "x"], "left").select("file", "head", "plus", F.coalesce("_end", "_last").alias("last"))
+    # the bucket in which that place is, mostly the head's own
+    near, far = heads.filter("x <= _top"), heads.filter("x IS NULL OR x > _top").drop("_bucket")
+    tops = per.select("file", F.col("_top").alias("x"), F.col("_bucket").alias("_to")).unionByName(far.filter("x IS NOT NULL").select("file", "x", F.lit(None).cast("bigint").alias("_to")))
+    tops = tops.groupBy("file", "x").agg(F.min("_to").alias("_to")).withColumn("_m", -F.col("x"))
+    far = far.join(carry_forward(tops, ["file"], "_m", "_to").select("file", "x", F.col("_to").alias("_bucket")), ["file", "x"], "left")
+    far = written(far.select(*heads.columns), "fastq-far")
+    asked = near.unionByName(far.filter("_bucket IS NOT NULL"))
+    asked = asked.join(F.broadcast(per.select("file", "_bucket", "_raw")), ["file", "_bucket"]).select(
+        "file", "_bucket", (F.col("x") - F.col("_raw")).alias("x"), F.lit(None).cast("bigint").alias("n"), "head", "plus")
+    known = summed.select("file", "_bucket", F.col("to_raw").alias("x"), "n")
+    reach = Window.partitionBy("file", "_bucket").orderBy(F.col("x").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    found = asked.unionByName(known, allowMissingColumns=True).withColumn("last", F.min("n").over(reach)).filter(F.col("head").isNotNull())
+    spans = found.select("file", "head", "plus", "last").unionByName(far.filter("_bucket IS NULL").select("file", "head", "plus", F.col("_last").alias("last")))
     spans = written(spans, "fastq-spans")
 
     order = cumulative(spans.select("file", "head").withColumn("_one", F.lit(1)), [F.col("head")], ["file"], "_one", "_before")
@@ -107,7 +129,7 @@ def normalize_fastq(spark: SparkSession, path: str, min_length: int = 1, width:
     files = written(files.select("file", F.row_number().over(Window.orderBy("file")).alias("_file")), "fastq-files")
     lines = lines.join(F.broadcast(files), "file").select(F.col("_file").alias("file"), "n", "value")
     spans = record_spans(lines.select(
-        "file", "n", F.left("value", F.lit(1)).alias("mark"), F.length("value").cast("bigint").alias("raw"), F.length(F.trim("value")).cast("bigint").alias("own")))
+        "file", "n", F.left("value", F.lit(1)).alias("mark"), F.length("value").cast("bigint").alias("raw"), F.length(F.trim("value")).cast("bigint").alias("own")), width)
     spans = number_rows(spans, [F.col("head")], within=["file"], name="rid", first=0)
     # lines and records meet in buckets of lines; a record is sent to each one that it touches
     first, end = F.floor(F.col("head") / width), F.floor(F.col("last") / width)
