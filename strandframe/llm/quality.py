@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, scratch_path
+from ..session import cut_lineage
 from . import word_model
 from .text import SPACE, Texts, annotate, mix, repeated, replace_names, slices, sums, windows
 
@@ -237,19 +237,17 @@ def quality_rules(docs: DataFrame, lower: float = LOWER_WIDTH, upper: float = UP
     Needs ``text`` and ``lang``. Bands are one row per language in a written table; up to
     ``LANGUAGES_TO_BROADCAST`` of them are broadcast, more join by shuffle.
     """
-    docs = replace_names(docs, ["log_ppl", "log_var", "ppl_high", "byte_ppl", "byte_var", "byte_low", "byte_high", "base_failed", "kept", "_key"])
-    path = scratch_path(docs.sparkSession, "word-scores")
-    word_model.score_texts(docs).write.parquet(path)
-    words = docs.sparkSession.read.parquet(path).withColumnRenamed("key", "_k")
-    scored = score_documents(docs.withColumn("_key", word_model.text_key("text")), fit_model(docs))
+    docs = replace_names(docs, ["log_ppl", "log_var", "ppl_high", "byte_ppl", "byte_var", "byte_low", "byte_high", "base_failed", "kept", "_key", "_bytes"])
+    words = word_model.score_texts(docs).withColumnRenamed("key", "_k")
+    scored = score_documents(docs.withColumn("_key", word_model.text_key("text")).withColumn("_bytes", F.octet_length("text")), fit_model(docs))
     scored = scored.join(words, F.col("_key") == F.col("_k"), "left").drop("_key", "_k")
     bands = cut_lineage(language_bands(scored))
     few = bands.limit(LANGUAGES_TO_BROADCAST + 1).count() <= LANGUAGES_TO_BROADCAST
     joined = scored.join(F.broadcast(bands) if few else bands, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    width = F.sqrt(F.col("_var") + F.col("_byte") / F.greatest(F.octet_length("text"), F.lit(1))) + 1e-9
+    width = F.sqrt(F.col("_var") + F.col("_byte") / F.greatest("_bytes", F.lit(1))) + 1e-9
     joined = joined.withColumn("byte_low", F.col("_mean") - lower * width).withColumn("byte_high", F.col("_mean") + upper * width)
     spread = (F.get("_quart", F.lit(2)) - F.get("_quart", F.lit(0))) / 1.349  # a normal distribution's deviation
     width = F.sqrt(spread * spread + F.col("_word") / F.greatest(F.col("n_words"), F.lit(1))) + 1e-9
     joined = joined.withColumn("ppl_high", F.get("_quart", F.lit(1)) + word * width)
     fits = F.coalesce(F.col("byte_ppl").between(F.col("byte_low"), F.col("byte_high")) & (F.col("log_ppl") <= F.col("ppl_high")), F.lit(False))
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & fits).drop("_lang", "_mean", "_var", "_byte", "_quart", "_word", "log_var", "byte_var")
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & fits).drop("_lang", "_mean", "_var", "_byte", "_quart", "_word", "_bytes", "log_var", "byte_var")

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import random
 import re
 
@@ -146,6 +147,33 @@ def test_word_model(spark):
         assert (i in got) == bool(x) and (not x or abs(got[i] - sum(x) / len(x)) < 1e-9)
 
 
+def test_word_model_blocks(spark, monkeypatch):
+    """Words travel in blocks: scores do not depend on where these end, an n-gram takes under nine bytes, and nothing stays."""
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(2000)]
+    texts = [" ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(2000)], k=rng.randint(0, 300))) for _ in range(80)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[:30], None, "", "the the the"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r["key"]: (r["log_ppl"], r["log_var"]) for r in word_model.score_texts(docs.coalesce(1)).collect()}
+    monkeypatch.setattr(word_model, "BLOCK_WORDS", 700)
+    got = word_model.score_texts(docs.repartition(9)).collect()
+    assert len(got) == len(whole) == len({t for t in texts if t}) + 1
+    assert all(abs(r["log_ppl"] - whole[r["key"]][0]) < 1e-9 and abs(r["log_var"] - whole[r["key"]][1]) < 1e-9 for r in got)
+
+    keyed = pa.RecordBatch.from_arrays([pa.array([t for _, t in rows]), pa.array([i << 7 for i, _ in rows])], names=["text", "key"])
+    (block,) = word_model._blocks(1 << 21, iter([keyed]))
+    asks = pa.Table.from_batches(word_model._ask_triples(5, iter([block]))).to_pylist()
+    want = {g for _, t in rows if t for w in [["", "", *t.split()]] for g in zip(w, w[1:], w[2:])}
+    assert len(asks) == 5 and sum(r["n"] for r in asks) == len(want)
+    assert sum(len(r["grams"]) + len(r["counts"]) for r in asks) < 9 * len(want)
+
+    scratch = word_model._Scratch(spark)
+    with scratch:
+        kept = scratch.written(spark.range(10).repartition(3, "id"), "kept")
+        assert kept.count() == 10
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in scratch.paths)
+
+
 def test_shuffled_words(spark):
     """Real words without order are rejected."""
     rng = random.Random(6)
