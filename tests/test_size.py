@@ -67,3 +67,29 @@ def test_edits_are_read_once_a_row_and_mates_moved_once(spark, tmp_path):
     assert (rows["q3", 4].cigar, rows["q3", 4].tag_text[1], rows["q3", 4].pnext, rows["q3", 4].tlen) == ("4M2I2M2D2M", "MD:Z:2A3^CG2", 104, 110)
     assert (rows["q0", 7].cigar, rows["q0", 7].tag_text[1], rows["q0", 7].rnext) == ("1D10M", "MD:Z:^A0G9", "*")
     assert (rows["x", 7].cigar, rows["x", 7].tag_text[1], rows["x", 7].flag) == ("2M", "MD:Z:2", 67)
+
+
+def test_heads_are_moved_once_by_place(spark):
+    from strandframe.operators import alignments as A
+
+    rows = [(f"n{i}", 67, "chr1", 1 + i % 3, 40, "4M", "ACGT", "I" * (1 + i % 4), "rg0", 50 if i % 5 else -50) for i in range(40)]
+    rows += [("n7", 131, "chr1", 9, 40, "4M", "ACGT", "IIII", "rg0", -50), ("n11", 131, "chr1", 9, 40, "4M", "ACGT", "IIII", "rg1", -50), (None, 131, None, 9, 40, "4M", "ACGT", "IIII", None, -5),
+             ("z", 67, None, None, 40, "4M", "ACGT", "II", None, 5), (None, 67, None, None, 40, "4M", "ACGT", "II", None, 5), ("f", 4, "chr1", 1, 40, "4M", "ACGT", "II", "rg0", 5)]
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, pos bigint, mapq int, cigar string, seq string, qual string, rg string, tlen int")
+    groups = spark.createDataFrame([("rg0", "L"), ("rg1", "M")], "rg string, library string")
+    marked = A.with_library(df, groups).withColumn("rnext", F.lit("="))
+    assert "BroadcastHashJoin" in physical(marked)
+    out = A.rmdup_pe(marked, ["qname", "flag"])
+    # the kept heads, the names of all heads, the tails and the names that are gone
+    text = physical(out)
+    assert text.count("Exchange hashpartitioning(_lib") == 2 and text.count("SortAggregate") == 0
+    heads = [r for r in rows if r[9] > 0 and r[1] != 4]
+    best = {}
+    for r in sorted(heads, key=lambda r: (-sum(ord(c) - 33 for c in r[7]), r[0] or "")):
+        best.setdefault((r[8], r[2], r[3], r[9]), r)
+    kept = {r[0] for r in best.values()}
+    gone = {r[0] for r in heads} - kept - {None}
+    want = sorted(map(repr, [*best.values(), *[r for r in rows if r[9] <= 0 and r[0] not in gone], *[r for r in rows if r[1] == 4]]))
+    shown = lambda d: sorted(map(repr, (tuple(r) for r in d.select(df.columns).collect())))
+    assert shown(out) == want
+    assert shown(A.rmdup_pe(marked, ["qname", "flag"], most=3)) == want
