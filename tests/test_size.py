@@ -93,3 +93,21 @@ def test_heads_are_moved_once_by_place(spark):
     shown = lambda d: sorted(map(repr, (tuple(r) for r in d.select(df.columns).collect())))
     assert shown(out) == want
     assert shown(A.rmdup_pe(marked, ["qname", "flag"], most=3)) == want
+
+
+def test_lines_of_a_bin_are_put_together_in_arrays(reads, spark):
+    odd = [("b", 17, "chr1", 252, 40, "12M", "gtacgtacgtaé", "éBCDEFGHIJKL", "rg1"), ("n", 1, "chr1", 253, 0, "4M", None, "IIII", "rg0"), ("m", 1, "chr1", 253, 93, "4M", "ACGT", None, None),
+           ("s", 16, "chr1", 254, 9, "6M", "AC", "II", "rg0"), (None, 0, "chr1", 254, 9, "3M1P2I3D2M", "ACGTACG", "IIIIIII", "rg0"), ("e", 0, None, 9, 9, "3M", "ACG", "III", "rg0"),
+           ("x", 0, "chr2", 9, 9, "4M", "ACGT", "IIII", "rg2"), ("far", 16, "chr3", 1023, 9, "2M300D2M", "ACGT", "IIII", "rg2")]
+    held = reads.unionByName(spark.createDataFrame(odd, reads.schema))
+    contigs = spark.createDataFrame([("chr1", "ACGt" * 100), ("chr2", "ACGTACGTAC"), ("chr3", "ACCA" * 400)], "name string, seq string")
+    lines = P.pileup(held, ["qname", "flag"], contigs)
+    assert "FlatMapGroupsInArrow" in physical(lines) and "collect_list" not in physical(lines).split("FlatMapGroupsInArrow")[0]
+    got = {(r.rname, r.pos): r for r in lines.collect()}
+    everywhere = held.sparkSession.createDataFrame([(n, p) for n, p in got if n], "rname string, pos bigint")
+    singly = P.pileup(held, ["qname", "flag"], contigs, sites=everywhere).collect()
+    assert len(singly) == len([k for k in got if k[0]])
+    assert [got[r.rname, r.pos] for r in singly] == singly
+    assert got[None, 10].bases == "C" and got["chr3", 1024].bases == "c-300" + ("acca" * 75) and got["chr3", 1100].bases == "*"
+    wide = {(r.rname, r.pos): r for r in P.mpileup(held, "rg", ["rg0", "rg1"], ["qname", "flag"], contigs=contigs).collect()}
+    assert set(wide) == set(got) and (wide["chr3", 1100].depth_rg0, wide["chr3", 1100].bases_rg1) == (0, "*")
