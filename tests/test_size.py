@@ -111,3 +111,32 @@ def test_lines_of_a_bin_are_put_together_in_arrays(reads, spark):
     assert got[None, 10].bases == "C" and got["chr3", 1024].bases == "c-300" + ("acca" * 75) and got["chr3", 1100].bases == "*"
     wide = {(r.rname, r.pos): r for r in P.mpileup(held, "rg", ["rg0", "rg1"], ["qname", "flag"], contigs=contigs).collect()}
     assert set(wide) == set(got) and (wide["chr3", 1100].depth_rg0, wide["chr3", 1100].bases_rg1) == (0, "*")
+
+
+@pytest.mark.parametrize("k", [3, 21, 31])
+def test_kmers_travel_in_sorted_blocks(spark, monkeypatch, k):
+    from collections import Counter
+
+    from strandframe.operators import contigs as C
+
+    text = "".join("ACGT"[i * i * 7 % 11 % 4] for i in range(900))
+    rows = [("f", "a", text), ("f", "b", text[100:400] + "N" * 60 + text[:90]), ("g", "c", "ACGTé x" * 20), (None, "d", text[:200] * 2), ("h", "e", "AC"), ("h", "n", None), ("i", "z", "")]
+    held = spark.createDataFrame(rows, "file string, name string, seq string")
+
+    def want(last):
+        out, seen = {}, {}
+        for f, _, s in rows:
+            s = (s or "")[: len(s or "") - last]
+            seen.setdefault(f, Counter()).update(s[i : i + k] for i in range(len(s) - k + 1))
+        for f, c in seen.items():
+            if c:
+                out[f] = round(sum(n > 1 for n in c.values()) / c.total(), 4)
+        return out
+
+    shown = lambda last: {r.file: r.kmer21 for r in C.kmer_repeat_fraction(held, k=k, legacy_last=last).collect()}
+    assert shown(False) == want(0) and shown(True) == want(1)
+    # pieces, blocks and parts of small size give the same
+    for name, value in (("PIECE", 50), ("CODED_LETTERS", 40), ("BLOCK_LETTERS", 100), ("PART_LETTERS", 64)):
+        monkeypatch.setattr(C, name, value)
+    assert shown(False) == want(0)
+    assert "code#" not in physical(C.kmer_repeat_fraction(held, k=k))
